@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, sharding
+from . import bpe, licenses, packing, quality, sharding
 from .common import table
 
 
@@ -22,12 +22,30 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), _tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=False)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_quality": op2_quality,
+    "op3_licenses": op3_licenses,
+    "op8_packing": op8_packing,
     "op10_sharding": op10_sharding,
 }
 
