@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import os
-import sys
+import pickle
 import tempfile
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,27 +42,38 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _call(module: str, name: str) -> Callable:
-    if ROOT not in sys.path:
-        sys.path.append(ROOT)
-    return getattr(import_module(module), name)
-
-
 def arrow_map(df: DataFrame, function: Callable, schema: str, *args) -> DataFrame:
     """``mapInArrow`` with a module's function, found by name so that workers keep its caches."""
-    module, name, root = function.__module__, function.__qualname__, ROOT
+    module, name, root, packed = function.__module__, function.__qualname__, ROOT, pickle.dumps(args)
 
     def run(batches):
+        import pickle
         import sys
         from importlib import import_module
 
         if root not in sys.path:
             sys.path.append(root)
-        yield from getattr(import_module(module), name)(batches, *args)
+        yield from getattr(import_module(module), name)(batches, *pickle.loads(packed))
 
     return df.mapInArrow(run, schema)
 
 
+def arrow_groups(df: DataFrame, keys: list, function: Callable, schema: str, *args) -> DataFrame:
+    """``applyInArrow`` over groups, with a module's function found by name."""
+    module, name, root, packed = function.__module__, function.__qualname__, ROOT, pickle.dumps(args)
+
+    def run(group):
+        import pickle
+        import sys
+        from importlib import import_module
+
+        if root not in sys.path:
+            sys.path.append(root)
+        return getattr(import_module(module), name)(group, *pickle.loads(packed))
+
+    return df.groupBy(*keys).applyInArrow(run, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
