@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, multiindex, packing, quality, sharding, topk
+from . import bpe, licenses, minhash, multiindex, packing, quality, sharding, topk
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_licenses": op3_licenses,
+    "op5_minhash": op5_minhash,
     "op6_topk": op6_topk,
     "op8_packing": op8_packing,
     "op9_multiindex": op9_multiindex,
