@@ -8,6 +8,7 @@ gram finds all equal windows; and a text that is repeated falls into the same ru
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 #: An odd multiplier of the polynomial hash modulo 2^64, its inverse, and two mixers.
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -72,6 +73,16 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
+def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' UTF-8 bytes end to end, and their offsets."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    texts = texts.cast(pa.large_binary())
+    bounds = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    return data, bounds - bounds[0]
+
+
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of texts that lie end to end: hash, first byte, end byte, and each text's first word.
 
@@ -93,17 +104,19 @@ _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 
 
 def runs(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """anchor, content hash, text, start (in its text), count of windows of each run.
+    """anchor, content hash, text, start (in its text), count of windows, self of each run.
 
     tokens are hashes of texts' tokens end to end, bounds the texts' offsets in them.  A run's
-    content is the tokens of all its windows: count + width - 1 of them.
+    content is the tokens of all its windows: count + width - 1 of them.  self tells that the least
+    gram stands in some window more than once, so that windows of the run may equal each other.
     """
     none = np.zeros(0, np.int64)
     n = len(tokens) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none, np.zeros(0, bool)
     prefix = prefixes(tokens)
-    anchor = least(grams(prefix, gram), width - gram + 1)
+    gram_hash, reach = grams(prefix, gram), width - gram + 1
+    anchor = least(gram_hash, reach)
     sizes = np.diff(bounds)
     text = np.repeat(np.arange(len(sizes)), sizes)[:n]
     whole = text == np.repeat(np.arange(len(sizes)), sizes)[width - 1 :]
@@ -111,11 +124,19 @@ def runs(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple
     new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (whole[1:] != whole[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, n))
+    repeated = np.zeros(len(first), bool)
+    # a gram is least in some window if the greatest of its windows' least grams is itself
+    edge = np.zeros(reach - 1, np.uint64)
+    chosen = np.flatnonzero(~least(~np.concatenate([edge, anchor, edge]), reach) == gram_hash)
+    again = (gram_hash[chosen[1:]] == gram_hash[chosen[:-1]]) & (chosen[1:] - chosen[:-1] < reach)
+    repeated[(np.cumsum(new) - 1)[np.clip(chosen[1:][again] - reach + 1, 0, n - 1)]] = True
+    repeated[(np.cumsum(new) - 1)[np.clip(chosen[:-1][again], 0, n - 1)]] = True
     keep = whole[first]
-    first, count = first[keep], count[keep]
+    first, count, repeated = first[keep], count[keep], repeated[keep]
     if len(count) and count.max() > LONGEST:
         parts = -(-count // LONGEST)
         step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         first = np.repeat(first, parts) + step * LONGEST
         count = np.minimum(np.repeat(count, parts) - step * LONGEST, LONGEST)
-    return anchor[first], spans(prefix, first, first + count + width - 1), text[first], first - bounds[text[first]], count
+        repeated = np.repeat(repeated, parts)
+    return anchor[first], spans(prefix, first, first + count + width - 1), text[first], first - bounds[text[first]], count, repeated

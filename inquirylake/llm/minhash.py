@@ -34,10 +34,8 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     Words are runs of bytes other than white space (0x20, 0x09 to 0x0D), with A-Z lower-cased.  A
     text of fewer words has one shingle, all its words; one without words has none.
     """
-    texts = texts.cast(pa.large_binary())
-    bounds = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]] if len(texts) else np.zeros(0, np.uint8)
-    tokens, _, _, first = anchors.words(_LOWER[data], bounds - bounds[0])
+    data, bounds = anchors.flat(texts)
+    tokens, _, _, first = anchors.words(_LOWER[data], bounds)
     prefix = anchors.prefixes(tokens)
     whole = anchors.grams(prefix, size)
     out = []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, minhash, multiindex, packing, quality, sharding, topk
+from . import bpe, licenses, minhash, multiindex, packing, quality, sharding, substring, suffix, topk
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op4_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -39,6 +43,10 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,8 +65,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
     "op3_licenses": op3_licenses,
+    "op4_suffix": op4_suffix,
     "op5_minhash": op5_minhash,
     "op6_topk": op6_topk,
+    "op7_substring": op7_substring,
     "op8_packing": op8_packing,
     "op9_multiindex": op9_multiindex,
     "op10_sharding": op10_sharding,
