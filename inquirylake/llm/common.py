@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -42,7 +43,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def arrow_map(df: DataFrame, function: Callable, schema: str, *args) -> DataFrame:
+def arrow_map(df: DataFrame, function: Callable, schema: str | StructType, *args) -> DataFrame:
     """``mapInArrow`` with a module's function, found by name so that workers keep its caches."""
     module, name, root, packed = function.__module__, function.__qualname__, ROOT, pickle.dumps(args)
 

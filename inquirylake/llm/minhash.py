@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors, common
@@ -213,6 +213,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     return linked.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows, with all their columns, of each group's smallest doc_id; one row a doc_id.
+
+    Rows of a null doc_id all stay; other cases as in near_duplicates.
+    """
+    kept = near_duplicates(docs, shingle, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept["kept_id"]).select(*(docs[c] for c in docs.columns))
+    once = Window.partitionBy("doc_id").orderBy("doc_id")  # the join has left the rows in this order
+    rows = rows.withColumn("_row", F.row_number().over(once)).where("_row = 1").drop("_row")
+    return rows.unionByName(docs.where(docs["doc_id"].isNull()))
+
+
 def _candidates(rows: DataFrame, least: float, most: int) -> DataFrame:
     """a, b, more over blocks of buckets: every pair of blocks of a bucket meets in one task."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import anchors
@@ -14,9 +14,9 @@ NO_ID = -(1 << 63)
 RUN = "anchor long, content long, key long, start int, count int, known boolean, from_key long, from_start int, self boolean"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """key (doc_id, never null) and text (null: empty)."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def keyed(docs: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """key (doc_id, never null), text (null: empty), and more columns."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *(column.alias(name) for name, column in (more or {}).items()))
 
 
 def batch(keys: np.ndarray, found: tuple[np.ndarray, ...], by_key: bool) -> pa.RecordBatch:

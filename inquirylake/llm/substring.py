@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is left of each text, before it any carried columns; an untouched text stays as it is."""
     for batch in batches:
         counts, removed, texts = [], [], []
         for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
@@ -57,13 +58,15 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for a, b in zip(starts[::-1].tolist(), ends[::-1].tolist(), strict=True):
                     del words[a:b]
             removed.append(counts[-1] - len(words))
-            texts.append(b" ".join(words).decode())
-        yield pa.RecordBatch.from_arrays([batch["key"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], ["key", "n_words", "n_removed", "kept_text"])
+            texts.append(b" ".join(words).decode() if removed[-1] else text)
+        carried = [name for name in batch.schema.names if name.startswith("carried")]
+        columns = [batch["key"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), *(batch[name] for name in carried)]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "n_words", "n_removed", "kept_text", *carried])
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _kept(batches):
-        digests = pa.array([hashlib.sha256(text.encode()).hexdigest() for text in batch["kept_text"].to_pylist()])
+        digests = pa.array([hashlib.sha256(b" ".join(text.encode().split())).hexdigest() for text in batch["kept_text"].to_pylist()])
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], digests], ["key", "n_words", "n_removed", "kept_sha256"])
 
 
@@ -97,17 +100,24 @@ def paths(docs: DataFrame, width: int = 13) -> DataFrame:
     return own.join(source, ["from_key", "from_start", "from_words"]).where("digest = from_digest").select("key", "start", "words")
 
 
-def dedup(docs: DataFrame, width: int = 13, digest: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text (or with digest kept_sha256) for each row.
+def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_text (or with digest kept_sha256), and ``carry``, for each row.
 
     Removes each word that a window of ``width`` words covers whose words also start in a document
     with a smaller doc_id; windows are judged on the input.  Words are runs of bytes other than
-    white space (0x20, 0x09 to 0x0D); kept ones are joined by a space.  Null, empty and short texts
-    lose nothing.  A null doc_id comes before all others.  Rows that share a doc_id are one
-    document: what is repeated in one text is taken from each as far as it reaches.  An empty table
-    gives no rows; other columns are ignored.
+    white space (0x20, 0x09 to 0x0D).  Where words go, those kept are joined by a space; the digest
+    is always of words so joined.  Null, empty and short texts lose nothing (null: empty).  A null
+    doc_id comes before all others.  Rows that share a doc_id are one document: what is repeated in
+    one text is taken from each as far as it reaches.  An empty table gives no rows.  Columns that
+    aren't carried are ignored; carried ones keep their names.
     """
+    carried = {f"carried{i}": F.col(name) for i, name in enumerate(() if digest else carry)}
     texts = repeats.keyed(docs)
-    function, last = (_digested, "kept_sha256") if digest else (_kept, "kept_text")
-    rows = common.arrow_map(repeats.at_places(texts, paths(texts, width), "left"), function, f"key long, n_words long, n_removed long, {last} string")
-    return rows.select(F.when(F.col("key") != repeats.NO_ID, F.col("key")).alias("doc_id"), "n_words", "n_removed", last)
+    rows = repeats.at_places(repeats.keyed(docs, carried), paths(texts, width), "left")
+    if digest:
+        rows = common.arrow_map(rows, _digested, "key long, n_words long, n_removed long, kept_sha256 string")
+    else:
+        types = "".join(f", {name} {dict(docs.dtypes)[column]}" for name, column in zip(carried, carry, strict=True))
+        rows = common.arrow_map(rows, _kept, f"key long, n_words long, n_removed long, kept_text string{types}")
+    last = ["kept_sha256"] if digest else ["kept_text", *(F.col(name).alias(column) for name, column in zip(carried, carry, strict=True))]
+    return rows.select(F.when(F.col("key") != repeats.NO_ID, F.col("key")).alias("doc_id"), "n_words", "n_removed", *last)
