@@ -3,13 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from inquirylake.llm import minhash, packing, quality, substring
+from inquirylake.llm.common import checkpoint, prepare
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose score reaches the cut; labels teach, they don't decide."""
+    prepare(spark)
+    return quality.keep(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each group of near duplicates (five words, 0.8)."""
+    prepare(spark)
+    return minhash.keep_first(docs.select(COLUMNS))
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out passages that stand in an earlier document; every document stays."""
+    prepare(spark)
+    cut = substring.dedup(docs, carry=["lang", "source", "n_chars"])
+    touched = F.col("n_removed") > 0
+    return cut.select(
+        "doc_id",
+        F.col("kept_text").alias("text"),
+        "lang",
+        "source",
+        F.when(touched, F.char_length("kept_text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"),
+    )
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of 2048 tokens; one row per piece, with its ids."""
+    import public_tokenizers
+
+    prepare(spark)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("passages", passage_stage),
+    ("packing", packing_stage),
+]
+
+#: The classifier, the sketches and the packing aren't expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; each stage's rows are cut off from its plan."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = checkpoint(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
