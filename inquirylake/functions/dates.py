@@ -54,7 +54,7 @@ def footer_date(text: Column, fallback_year: Column | None = None) -> Column:
 
 def as_date(text: Column) -> Column:
     """The date of an ISO text; null if there is no such day."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text, F.lit("yyyy-MM-dd"))) if hasattr(F, "try_to_date") else F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
 def days(later: Column, earlier: Column) -> Column:

@@ -6,19 +6,10 @@ from pyspark.sql import functions as F
 
 from .. import adapter
 from ..plans import reports as r
-from .common import BASE, BLOCK, INQUIRIES, MEMBERS, TOPICS
+from .common import BASE, BLOCK, MEMBERS, TOPICS
+from .registry import registry
 
-QUERIES, SQL = {}, {}
-
-
-def query(name: str, sql: str | None):
-    def keep(function):
-        QUERIES[name] = function
-        if sql:
-            SQL[name] = sql
-        return function
-
-    return keep
+QUERIES, SQL, query = registry()
 
 
 @query("a10_sla_by_ministry_total", f"""WITH {BASE}

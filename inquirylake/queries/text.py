@@ -1 +1,108 @@
-QUERIES, SQL = {}, {}
+"""Text functions over documents, pages and rendered values."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import adapter
+from ..functions import text as t
+from .common import INQUIRIES
+from .registry import registry
+
+QUERIES, SQL, query = registry()
+
+
+@query("fn1_squish", r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS squished FROM documents")
+def fn1(spark, sf_dir):
+    return adapter.read(spark, sf_dir, "documents").select("doc_id", t.squish(F.col("text")).alias("squished"))
+
+
+@query("fn4_remove_first", """SELECT c_custkey, CASE WHEN position('0' IN c_name) > 0 THEN substr(c_name, 1, position('0' IN c_name) - 1) || substr(c_name, position('0' IN c_name) + 1) ELSE c_name END AS cut FROM customer""")
+def fn4(spark, sf_dir):
+    return adapter.read(spark, sf_dir, "customer").select("c_custkey", t.remove_first(F.col("c_name"), "0").alias("cut"))
+
+
+@query("fn5_entities", """SELECT page_id, replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]*>', '', 'g'),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&amp;', '&') AS plain FROM pages""")
+def fn5(spark, sf_dir):
+    return adapter.read(spark, sf_dir, "pages").select("page_id", t.decode_entities(F.col("html")).alias("plain"))
+
+
+@query("fn7_filename", f"WITH {INQUIRIES} SELECT ka_nr, CASE WHEN ka_nr % 7 <> 0 THEN wp END AS wp, CASE WHEN ka_nr % 7 <> 0 THEN q_nr END AS nr FROM inq")
+def fn7(spark, sf_dir):
+    rows = adapter.inquiries(spark, sf_dir)
+    name = F.concat(F.lit("MMD"), F.replace("q_nr", F.lit("/"), F.lit("-")), F.when(F.col("ka_nr") % 7 != 0, ".pdf").otherwise(".txt"))
+    return rows.select("ka_nr", t.file_paper(name).alias("f")).select("ka_nr", "f.wp", "f.nr")
+
+
+@query("fn8_bucket", f"WITH {INQUIRIES} SELECT ka_nr, ((ka_nr // 2000) * 2000 + 1) || '-' || ((ka_nr // 2000) * 2000 + 2000) AS bucket FROM inq")
+def fn8(spark, sf_dir):
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.bucket(t.paper(F.col("q_nr"))["n"]).alias("bucket"))
+
+
+PLAIN = "LANDTAG NORDRHEIN-WESTFALEN Drucksache Antwort der Landesregierung auf die Kleine Anfrage"
+
+
+@query("fn10_dedouble", f"WITH {INQUIRIES} SELECT ka_nr, '{PLAIN} ' || ka_nr || ' ' || fraktion AS head FROM inq")
+def fn10(spark, sf_dir):
+    """Heads are rendered, every third with all characters doubled, and recovered."""
+    head = F.concat_ws(" ", F.lit(PLAIN), "ka_nr", "fraktion")
+    doubled = F.regexp_replace(head, r"(\S)", "$1$1")
+    shown = F.when(F.col("ka_nr") % 3 == 0, doubled).otherwise(head)
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.dedouble(shown).alias("head"))
+
+
+@query("fn11_hyphenation", f"WITH {INQUIRIES} SELECT ka_nr, 'Klimaschutz und Innern, Bundes- und Europa ' || ka_nr || ' Finanzen namens Bundes und' AS joined FROM inq")
+def fn11(spark, sf_dir):
+    cut = F.concat_ws(" ", F.lit("Klima-schutz und In- nern, Bundes- und Europa"), "ka_nr", F.lit("Finanzennamens Bundesund"))
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.undo_hyphenation(cut).alias("joined"))
+
+
+@query("fn12_camel", f"WITH {INQUIRIES} SELECT ka_nr, 'Anja Butschkau und Sven W. Tritschler ' || ministry AS open, 'Anja, Butschkau und Jürgen ' || ministry AS more FROM inq")
+def fn12(spark, sf_dir):
+    one = F.concat(F.lit("AnjaButschkau und Sven W.Tritschler "), "ministry")
+    two = F.concat(F.lit("Anja,Butschkauund  Jürgen "), "ministry")
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.open_camel(one).alias("open"), t.open_camel_more(two).alias("more"))
+
+
+@query("fn14_ministry_tokens", """SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(
+    list_transform(regexp_extract_all(lower(p_name || ' ' || p_type || 'ministerium'), '[a-z]+'), lambda w: regexp_replace(w, '(.)ministerium$', '\\1')), lambda w: len(w) >= 4))), ' ') AS tokens FROM part""")
+def fn14(spark, sf_dir):
+    tokens = t.ministry_tokens(F.concat_ws(" ", "p_name", F.concat("p_type", F.lit("Ministerium"))))
+    return adapter.read(spark, sf_dir, "part").select("p_partkey", F.array_join(F.array_sort(tokens), " ").alias("tokens"))
+
+
+@query("fn15_askers", f"WITH {INQUIRIES} SELECT ka_nr, fraktion AS nach1, 'Guido van den' AS vor1, ministry AS nach2, 'Arndt' AS vor2, CAST(CASE WHEN ka_nr % 2 = 0 THEN 3 ELSE 2 END AS INTEGER) AS least FROM inq")
+def fn15(spark, sf_dir):
+    text = F.concat("fraktion", F.lit(", Guido van den; "), "ministry", F.lit(", Arndt"), F.when(F.col("ka_nr") % 2 == 0, " u.a.").otherwise(""))
+    rows = adapter.inquiries(spark, sf_dir).select("ka_nr", t.askers(text).alias("a"), t.least_askers(text).cast("int").alias("least"))
+    return rows.select("ka_nr", *(F.col("a")[i][part].alias(f"{part}{i + 1}") for i in (0, 1) for part in ("nach", "vor")), "least")
+
+
+@query("fn17_name_forms", """SELECT s_suppkey, CASE s_suppkey % 3
+    WHEN 0 THEN 'Dr. Lisa-Marie ' || n || '|Dr. Lisa ' || n || '|Lisa-Marie ' || n || '|Lisa ' || n
+    WHEN 1 THEN 'Sven W. ' || n || '|Sven ' || n ELSE 'Anja ' || n END AS forms
+    FROM (SELECT s_suppkey, 'Name' || s_suppkey AS n FROM supplier)""")
+def fn17(spark, sf_dir):
+    k = F.col("s_suppkey") % 3
+    nach = F.concat(F.when(k == 0, "Dr. ").otherwise(""), F.lit("Name"), "s_suppkey")
+    vor = F.when(k == 0, "Lisa-Marie").when(k == 1, "Sven W.").otherwise("Anja")
+    return adapter.read(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(t.document_names(nach, vor), "|").alias("forms"))
+
+
+@query("fn21_faction_token", f"""WITH {INQUIRIES} SELECT ka_nr, ['GRÜNE', 'GRÜNE', 'fraktionslos', 'AfD', 'DIE LINKE', 'SPD'][CAST(ka_nr % 6 AS INTEGER) + 1] AS faction FROM inq""")
+def fn21(spark, sf_dir):
+    spelled = F.array(*map(F.lit, ("BÜNDNIS 90 / DIE GRÜNEN", "BÜNDNIS90/DIEGRÜNEN", "FRAKTIONSLOS", "AFD", "die Linke", " spd")))
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.faction(spelled[(F.col("ka_nr") % 6).cast("int")]).alias("faction"))
+
+
+@query("fn23_residue", f"WITH {INQUIRIES} SELECT ka_nr, fraktion || ' ' || ministry AS residue FROM inq")
+def fn23(spark, sf_dir):
+    text = F.concat(F.lit(" Dr. "), "fraktion", F.lit(" und,; Frau "), "ministry", F.lit(" Prof. "))
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.residue(text).alias("residue"))
+
+
+@query("a22_listed", f"WITH {INQUIRIES} SELECT ka_nr, CAST(CASE WHEN ka_nr % 3 = 0 THEN 0 WHEN ka_nr % 3 = 1 THEN 1 ELSE 2 END AS INTEGER) AS n FROM inq")
+def a22(spark, sf_dir):
+    text = F.when(F.col("ka_nr") % 3 == 0, " ,").when(F.col("ka_nr") % 3 == 1, F.concat("fraktion", F.lit(","))).otherwise(F.concat_ws(", ", "fraktion", "ministry"))
+    return adapter.inquiries(spark, sf_dir).select("ka_nr", t.count_listed(text).alias("n"))
