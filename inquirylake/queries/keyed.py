@@ -1 +1,117 @@
-QUERIES, SQL = {}, {}
+"""Keyed mutation over two snapshots of the question table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import adapter
+from ..operators import keyed as k
+from .common import ANSWERED, INQUIRIES
+from .registry import registry
+
+QUERIES, SQL, query = registry()
+
+RUN_AT = "2026-01-01T00:00:00"
+
+
+def _current(spark, sf_dir):
+    """Stored rows: two of three questions, with some fields still empty."""
+    rows = adapter.answered(spark, sf_dir).where("ka_nr % 3 <> 0")
+    return rows.select(
+        "pk",
+        "q_nr",
+        F.when(F.col("ka_nr") % 5 == 0, "").otherwise(F.col("fraktion")).alias("fraktion"),
+        F.when(F.col("ka_nr") % 7 == 0, F.lit(None)).otherwise(F.col("ministry")).alias("ministry"),
+        F.lit("2025-01-01T00:00:00").alias("added_at"),
+        F.lit("2025-01-01T00:00:00").alias("updated_at"),
+    )
+
+
+def _new(spark, sf_dir):
+    """Incoming rows: one of two questions; every fourth says nothing of the ministry."""
+    rows = adapter.answered(spark, sf_dir).where("ka_nr % 2 = 0")
+    return rows.select("pk", "q_nr", F.concat(F.lit("new "), "fraktion").alias("fraktion"), F.when(F.col("ka_nr") % 4 == 0, "").otherwise(F.concat(F.lit("new "), "ministry")).alias("ministry"))
+
+
+@query("u1_upsert_masked", f"""WITH {ANSWERED},
+c AS (SELECT pk, q_nr, CASE WHEN ka_nr % 5 = 0 THEN '' ELSE fraktion END AS fraktion, CASE WHEN ka_nr % 7 <> 0 THEN ministry END AS ministry FROM ans WHERE ka_nr % 3 <> 0),
+n AS (SELECT pk, q_nr, 'new ' || fraktion AS fraktion, CASE WHEN ka_nr % 4 = 0 THEN '' ELSE 'new ' || ministry END AS ministry FROM ans WHERE ka_nr % 2 = 0)
+SELECT coalesce(c.pk, n.pk) AS pk, CASE WHEN c.pk IS NULL THEN n.q_nr ELSE c.q_nr END AS q_nr, c.fraktion AS fraktion,
+    CASE WHEN c.pk IS NULL THEN nullif(n.ministry, '') ELSE coalesce(nullif(n.ministry, ''), c.ministry) END AS ministry,
+    CASE WHEN c.pk IS NOT NULL THEN '2025-01-01T00:00:00' ELSE '{RUN_AT}' END AS added_at,
+    CASE WHEN n.pk IS NOT NULL THEN '{RUN_AT}' ELSE '2025-01-01T00:00:00' END AS updated_at
+FROM c FULL OUTER JOIN n ON c.pk = n.pk""")
+def u1(spark, sf_dir):
+    return k.upsert(_current(spark, sf_dir), _new(spark, sf_dir), "pk", ["q_nr", "ministry"], F.lit(RUN_AT))
+
+
+def _hits(spark, sf_dir):
+    """Search hits: all questions; those stored as placeholders may have got an answer."""
+    rows = adapter.inquiries(spark, sf_dir)
+    return rows.select("ka_nr", "q_nr", F.when(F.col("ka_nr") % 2 == 0, F.col("a_nr")).alias("pk"), (F.col("ka_nr") % 11 == 0).alias("withdrawn"))
+
+
+def _stored(spark, sf_dir):
+    """Stored rows by ka_nr % 5: 0 none, 1 real, 2 placeholder, 3 both, 4 real."""
+    rows = adapter.inquiries(spark, sf_dir).where("ka_nr % 5 <> 0")
+    real = rows.where("ka_nr % 5 in (1, 3, 4)").select("q_nr", F.col("a_nr").alias("pk"))
+    return real.unionByName(rows.where("ka_nr % 5 in (2, 3)").select("q_nr", F.col("q_nr").alias("pk")))
+
+
+@query("j10_identity", f"""WITH {INQUIRIES} SELECT ka_nr, CASE
+    WHEN ka_nr % 2 = 0 AND ka_nr % 5 = 3 THEN 'drop_placeholder' WHEN ka_nr % 2 = 0 AND ka_nr % 5 IN (1, 4) THEN 'update'
+    WHEN ka_nr % 2 = 0 AND ka_nr % 5 = 2 THEN 'migrate' WHEN ka_nr % 5 IN (2, 3) THEN 'update_placeholder'
+    WHEN ka_nr % 11 = 0 THEN 'insert_withdrawn' WHEN ka_nr % 2 = 0 THEN 'insert' ELSE 'insert_placeholder' END AS disposition FROM inq""")
+def j10(spark, sf_dir):
+    return k.identity(_hits(spark, sf_dir), _stored(spark, sf_dir)).select("ka_nr", "disposition")
+
+
+@query("u2_migrate", f"""WITH {INQUIRIES} SELECT q_nr, a_nr AS pk FROM inq WHERE ka_nr % 5 IN (1, 3, 4)
+UNION ALL SELECT q_nr, CASE WHEN ka_nr % 2 = 0 THEN a_nr ELSE q_nr END FROM inq WHERE ka_nr % 5 = 2
+UNION ALL SELECT q_nr, q_nr FROM inq WHERE ka_nr % 5 = 3 AND ka_nr % 2 = 1""")
+def u2(spark, sf_dir):
+    return k.migrate(_stored(spark, sf_dir), _hits(spark, sf_dir))
+
+
+@query("j13_placeholder_purge", f"""WITH {INQUIRIES} SELECT q_nr, a_nr AS pk FROM inq WHERE ka_nr % 5 IN (1, 3, 4) UNION ALL SELECT q_nr, q_nr FROM inq WHERE ka_nr % 5 = 2""")
+def j13(spark, sf_dir):
+    return k.purge_placeholders(_stored(spark, sf_dir))
+
+
+@query("u5_preserve_db", f"WITH {INQUIRIES} SELECT ka_nr, CASE WHEN ka_nr % 3 = 0 THEN '2000-01-01' ELSE strftime(question_date, '%Y-%m-%d') END AS question_db FROM inq")
+def u5(spark, sf_dir):
+    rows = adapter.inquiries(spark, sf_dir).withColumns({"question_db": F.when(F.col("ka_nr") % 3 == 0, "2000-01-01").when(F.col("ka_nr") % 3 == 1, ""), "question": F.date_format("question_date", "yyyy-MM-dd")})
+    return rows.select("ka_nr", k.preserve("question", "question_db"))
+
+
+@query("u8_manual_locks", f"WITH {INQUIRIES} SELECT ka_nr, CASE WHEN ka_nr % 4 = 0 THEN fraktion ELSE ministry END AS value FROM inq")
+def u8(spark, sf_dir):
+    rows = adapter.inquiries(spark, sf_dir).withColumn("tags", F.when(F.col("ka_nr") % 4 == 0, "x,anfrager_manual").when(F.col("ka_nr") % 4 == 1, "anfrager_manual_not"))
+    return rows.select("ka_nr", k.locked("tags", "anfrager_manual", F.col("fraktion"), F.col("ministry")).alias("value"))
+
+
+@query("u9_scan_status", f"""WITH {INQUIRIES}, s AS (SELECT ka_nr, ka_nr % 2 = 0 AS parsed, ['extracted', 'pending', '', 'no_answer_yet'][CAST(ka_nr % 4 AS INTEGER) + 1] AS status FROM inq)
+SELECT ka_nr, CASE WHEN NOT parsed THEN CASE WHEN status = '' THEN 'extract_failed' ELSE status END WHEN status IN ('extracted', 'no_answer_yet') THEN status ELSE 'pending_enrich' END AS status FROM s""")
+def u9(spark, sf_dir):
+    status = F.array(*map(F.lit, ("extracted", "pending", "", "no_answer_yet")))[(F.col("ka_nr") % 4).cast("int")]
+    rows = adapter.inquiries(spark, sf_dir).select("ka_nr", status.alias("old"), (F.col("ka_nr") % 2 == 0).alias("parsed"))
+    return rows.select("ka_nr", k.scan_status("old", "parsed").alias("status"))
+
+
+@query("j11_stale_rows", """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem JOIN (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_partkey) > 1) USING (l_orderkey, l_linenumber)""")
+def j11(spark, sf_dir):
+    rows = adapter.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return k.stale(rows, ["l_orderkey", "l_linenumber"], "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("u6_delete_phantoms", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def u6(spark, sf_dir):
+    phantoms = adapter.read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return k.delete_phantoms(adapter.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), phantoms, "l_orderkey")
+
+
+@query("w9_keep_last", "SELECT user_id, event_type, max(event_id) AS event_id FROM events GROUP BY ALL")
+def w9(spark, sf_dir):
+    from ..operators.joins import keep_last
+
+    return keep_last(adapter.read(spark, sf_dir, "events").select("user_id", "event_type", "event_id"), "event_id", "user_id", "event_type")
