@@ -7,12 +7,16 @@ gram finds all equal windows; and a text that is repeated falls into the same ru
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 #: An odd multiplier of the polynomial hash modulo 2^64, its inverse, and two mixers.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Tokens that are hashed at once.
+SEGMENT = 1 << 20
 #: Windows of one run at most, so that a long monotone text doesn't make one long run.
 LONGEST = 1 << 12
 
@@ -73,6 +77,11 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """As flat, of texts in a list."""
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The texts' UTF-8 bytes end to end, and their offsets."""
     if not len(texts):
@@ -88,22 +97,64 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     Words are runs of bytes other than the space and 0x09 to 0x0D; bounds are the texts' offsets.
     """
-    inside = _INSIDE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[1:-1] = inside[1:] != inside[:-1]
-    edge[bounds] = True
-    at = np.flatnonzero(edge)
-    starts, ends = at[:-1], at[1:]
-    kept = inside[starts] if len(starts) else np.zeros(0, bool)
-    starts, ends = starts[kept], ends[kept]
-    return spans(prefixes(BYTES[data]), starts, ends), starts, ends, np.searchsorted(starts, bounds)
+    hashes, firsts, lasts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    at = 0
+    while at < len(data):
+        # blocks end at white space or a text's end, so that no word is cut
+        end = at + SEGMENT
+        if end < len(data):
+            gap = np.flatnonzero(~_INSIDE[data[end : end + SEGMENT]])
+            end = min(end + int(gap[0]) if len(gap) else len(data), int(bounds[np.searchsorted(bounds, end)]))
+        end = min(end, len(data))
+        inside = _INSIDE[data[at:end]]
+        edge = np.zeros(end - at + 1, bool)
+        edge[1:-1] = inside[1:] != inside[:-1]
+        edge[bounds[np.searchsorted(bounds, at) : np.searchsorted(bounds, end, side="right")] - at] = True
+        edge[[0, -1]] = True
+        place = np.flatnonzero(edge)
+        kept = inside[place[:-1]]
+        starts, ends = place[:-1][kept], place[1:][kept]
+        hashes.append(spans(prefixes(BYTES[data[at:end]]), starts, ends))
+        firsts.append(starts + at)
+        lasts.append(ends + at)
+        at = end
+    starts = np.concatenate(firsts)
+    return np.concatenate(hashes), starts, np.concatenate(lasts), np.searchsorted(starts, bounds)
 
 
 _INSIDE = np.ones(256, bool)
 _INSIDE[[0x20, *range(0x09, 0x0E)]] = False
 
 
-def runs(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
+def segments(bounds: np.ndarray, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """First text and offsets of stretches of at most SEGMENT tokens; longer texts are cut.
+
+    Parts of a cut text overlap by width - 1 tokens, so each window lies in exactly one.
+    """
+    text, last = 0, len(bounds) - 1
+    while text < last:
+        if bounds[text + 1] - bounds[text] > SEGMENT:
+            for at in range(int(bounds[text]), int(bounds[text + 1]) - width + 1, SEGMENT - width + 1):
+                yield text, np.array([at, min(at + SEGMENT, bounds[text + 1])])
+            text += 1
+        else:
+            end = int(np.searchsorted(bounds, bounds[text] + SEGMENT, side="right")) - 1
+            yield text, bounds[text : end + 1]
+            text = end
+
+
+def runs(data: np.ndarray, bounds: np.ndarray, width: int, gram: int, table: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The runs of texts that lie end to end, as in runs_of; with table, data indexes token hashes."""
+    found = []
+    for text, own in segments(bounds, width):
+        tokens = data[own[0] : own[-1]]
+        one = runs_of(tokens if table is None else table[tokens], own - own[0], width, gram)
+        found.append((*one[:2], one[2] + text, one[3] + (own[0] - bounds[text]), *one[4:]))
+    empty = runs_of(np.zeros(0, np.uint64), np.zeros(1, np.int64), width, gram)
+    return tuple(np.concatenate(x) for x in zip(*(found or [empty]), strict=True))
+
+
+def runs_of(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
     """anchor, content hash, text, start (in its text), count of windows, self of each run.
 
     tokens are hashes of texts' tokens end to end, bounds the texts' offsets in them.  A run's

@@ -35,7 +35,7 @@ def batch(keys: np.ndarray, found: tuple[np.ndarray, ...], by_key: bool) -> pa.R
     known = key > key[first]
     if not by_key:
         known |= (key == key[first]) & (start > start[first])
-    from_key, from_start = key[first], start[first]
+    from_key, from_start = np.where(known, key[first], 0), np.where(known, start[first], 0)
     anchor = np.where(known, anchors.mix(key.astype(np.uint64) * np.uint64(anchors.BASE) + start.astype(np.uint64)), anchor)
     content = np.where(known, np.uint64(0), content)
     columns = [anchor.view(np.int64), content.view(np.int64), key, start.astype(np.int32), count.astype(np.int32), known, from_key, from_start.astype(np.int32), own]
