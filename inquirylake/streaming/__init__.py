@@ -1 +1,46 @@
+"""Incremental runs: an upsert of each micro-batch into a versioned table."""
 
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.joins import keep_last
+from ..operators.keyed import upsert
+from ..sinks import save_version
+
+
+def latest(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
+    """The last complete version of a table and its number; an empty table before the first."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    root = fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return spark.createDataFrame([], schema), -1
+    done = [s.getPath() for s in files.listStatus(root) if files.exists(fs.Path(s.getPath(), "_SUCCESS"))]
+    numbers = sorted(int(p.getName().split("=")[1]) for p in done)
+    if not numbers:
+        return spark.createDataFrame([], schema), -1
+    return spark.read.schema(schema).parquet(f"{path}/version={numbers[-1]:08d}"), numbers[-1]
+
+
+def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str) -> StreamingQuery:
+    """Upserts a stream of new rows into a versioned table; each batch writes one version.
+
+    The version's number is the batch's, so a batch that is run again after a failure writes the
+    same version again.  Within a batch the last row of each key counts.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        current, have = latest(spark, path, schema)
+        if have >= number:
+            return
+        new = keep_last(batch, position, key)
+        run_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
+        save_version(upsert(current, new, key, mask, run_at), path, number, key)
+
+    return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
