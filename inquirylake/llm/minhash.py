@@ -28,13 +28,12 @@ _FIRST_OF_BITS = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
-def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
     """Each text's distinct shingles, as sorted 64-bit hashes of ``size`` words in a row.
 
-    Words are runs of bytes other than white space (0x20, 0x09 to 0x0D), with A-Z lower-cased.  A
+    data holds the texts' UTF-8 bytes end to end, bounds their offsets.  Words are runs of bytes other than white space (0x20, 0x09 to 0x0D), with A-Z lower-cased.  A
     text of fewer words has one shingle, all its words; one without words has none.
     """
-    data, bounds = anchors.flat(texts)
     tokens, _, _, first = anchors.words(_LOWER[data], bounds)
     prefix = anchors.prefixes(tokens)
     whole = anchors.grams(prefix, size)
@@ -93,7 +92,7 @@ def error(similarity: float) -> float:
 
 def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = shingle_sets(batch["text"], size)
+        sets = shingle_sets(*anchors.flat(batch["text"]), size)
         counts = np.array([len(s) for s in sets], np.int64)
         digests = np.zeros((len(sets), 2), np.uint64)
         packed, buckets = [], []
@@ -107,11 +106,19 @@ def _sketch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts), pa.array(digests[:, 0].view(np.int64)), pa.array(digests[:, 1].view(np.int64)), pa.array(packed, pa.binary()), lists], ["doc_id", "n_shingles", "d1", "d2", "packed", "buckets"])
 
 
+def _hopeful(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Of pairs with both packed signatures, those whose estimate may reach the threshold."""
+    for batch in batches:
+        if batch.num_rows:
+            one, two = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("packed", "packed_b"))
+            yield batch.select(["a", "b"]).filter(pa.array(estimate(one, two) >= least))
+
+
 def _confirm(group: pa.Table, size: int, percent: int) -> pa.Table:
     """Of one hub's documents, those whose sets are similar enough to the hub's."""
     ids = np.asarray(group["id"])
-    sets = shingle_sets(group["text"].combine_chunks(), size)
-    hub_at = int(np.flatnonzero(np.asarray(group["hub"]))[0])
+    sets = shingle_sets(*anchors.joined(common.bodies(group["body"])), size)
+    hub_at = int(np.flatnonzero(ids == group["a"][0].as_py())[0])
     hub, kept = sets[hub_at], []
     for i, s in enumerate(sets):
         if i != hub_at:
@@ -122,44 +129,71 @@ def _confirm(group: pa.Table, size: int, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(np.full(len(kept), ids[hub_at])), "b": pa.array(kept)})
 
 
-def _cross(group: pa.Table, least: float, most: int) -> pa.Table:
-    """Pairs of a bucket's blocks in unlike components whose estimate may reach the threshold.
+def _flag(group: pa.Table, least: float) -> pa.Table:
+    """Documents of a bucket's blocks that may be similar to one of another component.
 
-    For each document and each component, the ``most`` best estimates; more tells of a rest.
+    A pair counts only in the first band that both share.
     """
     visitor = np.asarray(group["visitor"])
     ids, part = np.asarray(group["id"]), np.asarray(group["component"])
     packed = np.frombuffer(b"".join(group["packed"].to_pylist()), np.uint64).reshape(len(ids), -1)
+    buckets = np.asarray(group["buckets"].combine_chunks().flatten()).reshape(len(ids), BANDS)
+    bucket = group["bucket"][0].as_py()
     members = np.flatnonzero(~visitor)
-    out_a, out_b, more = [], [], False
+    flagged = np.zeros(len(ids), bool)
     for row in np.flatnonzero(visitor):
-        other = members[part[members] < part[row]]
-        if not len(other):
-            continue
-        guess = estimate(packed[row], packed[other])
-        other, guess = other[guess >= least], guess[guess >= least]
-        order = np.lexsort((ids[other], -guess, part[other]))
-        other = other[order]
-        starts = np.flatnonzero(np.r_[True, part[other][1:] != part[other][:-1]]) if len(other) else np.zeros(0, np.int64)
-        place = np.arange(len(other)) - np.repeat(starts, np.diff(np.append(starts, len(other))))
-        more |= bool((place >= most).any())
-        out_a.append(ids[other[place < most]])
-        out_b.append(np.full((place < most).sum(), ids[row]))
-    none = [np.zeros(0, np.int64)]
-    a, b = np.concatenate(out_a or none), np.concatenate(out_b or none)
-    if more:
-        a, b = np.append(a, -1), np.append(b, -1)
-    return pa.table({"a": pa.array(a), "b": pa.array(b), "more": pa.array(a == -1) if more else pa.array(np.zeros(len(a), bool))})
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+        other = members[part[members] != part[row]]
+        other = other[estimate(packed[row], packed[other]) >= least]
+        shared = buckets[other] == buckets[row]
+        other = other[buckets[row][shared.argmax(1)] == bucket] if len(other) else other
+        if len(other):
+            flagged[row] = True
+            flagged[other] = True
+    kept = np.unique(ids[flagged])
+    return pa.table({"bucket": pa.array(np.full(len(kept), bucket, np.int64)), "id": pa.array(kept)})
+
+
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [s.tobytes() for s in shingle_sets(*anchors.joined(common.bodies(batch["body"])), size)]
+        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.binary())], ["id", "shingles"])
+
+
+def _links(group: pa.Table, percent: int) -> pa.Table:
+    """Links between a bucket's blocks that join unlike components, by whole sets."""
+    visitor = np.asarray(group["visitor"])
+    ids, part = np.asarray(group["id"]), np.asarray(group["component"])
+    sets = [np.frombuffer(s, np.uint64) for s in group["shingles"].to_pylist()]
+    members, visitors = np.flatnonzero(~visitor), np.flatnonzero(visitor)
+    out: list[tuple[int, int]] = []
+    if len(members) and len(visitors):
+        sizes = np.array([len(sets[i]) for i in members])
+        vocabulary, at = np.unique(np.concatenate([sets[i] for i in members]), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        marked = np.zeros(len(vocabulary) + 1, np.int64)
+        done: set[tuple[int, int]] = set()
+        for row in visitors:
+            own = np.searchsorted(vocabulary, sets[row])
+            own = own[vocabulary[np.minimum(own, len(vocabulary) - 1)] == sets[row]]
+            marked[own] = 1
+            both = np.add.reduceat(marked[at], starts)
+            marked[own] = 0
+            near = (100 * both >= percent * (len(sets[row]) + sizes - both)) & (part[members] != part[row])
+            for i in members[near]:
+                parts = (min(part[i], part[row]), max(part[i], part[row]))
+                if parts not in done:  # one link joins two components
+                    done.add(parts)
+                    out.append((ids[i], ids[row]))
+    a, b = (np.array(x, np.int64) for x in (zip(*out, strict=True) if out else ([], [])))
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough; a is compared with many b at once."""
     counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB).cast("int").alias("salts"))
     dealt = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    rows = dealt.select("a", "salt", F.col("b").alias("id")).join(texts, "id").select("a", "salt", "id", "text", F.lit(False).alias("hub"))
-    hubs = dealt.select("a", "salt", F.col("a").alias("id")).distinct().join(texts, "id").select("a", "salt", "id", "text", F.lit(True).alias("hub"))
-    return common.arrow_groups(rows.unionByName(hubs), ["a", "salt"], _confirm, "a long, b long", size, percent)
+    wanted = dealt.select("a", "salt", F.explode(F.array("a", "b")).alias("id")).distinct()
+    return common.arrow_groups(wanted.join(texts, "id"), ["a", "salt"], _confirm, "a long, b long", size, percent)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -171,46 +205,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     null doc_id links with nothing and is kept.  An empty table gives no rows; other columns are
     ignored.
 
-    Classes that share a band are first compared with the bucket's smallest one, so that a large
-    group costs one comparison a document.  Then pairs of a bucket that are still in unlike
-    components are compared too, best estimates first and in rounds until none is left, so no link
-    between components is lost.
+    Classes that share a band and whose b-bit estimates may reach the threshold are first confirmed
+    against the bucket's smallest one, so a large group costs one comparison a document.  Members of
+    a bucket that are still in unlike components are then compared with each other as well, if any
+    estimate asks for it, in blocks of bounded size; so no link between components is lost.
     """
     texts = common.with_text(docs)
     sketches = common.checkpoint(common.arrow_map(texts, _sketch, "doc_id long, n_shingles long, d1 long, d2 long, packed binary, buckets array<long>", shingle))
     usable = sketches.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "d1", "d2"]
+    # a class's signature is that of any of its documents, as their sets are equal
     classes = usable.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    # a class's packed minima and buckets are those of its smallest document
-    reps = usable.join(classes, key).where("doc_id = rep").dropDuplicates([*key, "rep"]).select("rep", "packed", "buckets")
+    reps = usable.join(classes, key).where("doc_id = rep").select("rep", "packed", "buckets").dropDuplicates(["rep"])
     banded = reps.select("rep", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("size")).where("hub < last").select("bucket", "hub", "size")
     members = common.checkpoint(banded.join(shared, "bucket"))
-    unique = texts.where("doc_id is not null")
+    signatures = common.checkpoint(members.select("rep").distinct().join(reps, "rep"))
+    least = percent / 100 - ERRORS * error(percent / 100)
     pairs = members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = common.checkpoint(confirm(pairs, unique, shingle, percent))
-    # the same document under two sets is linked with itself
-    least, most = percent / 100 - ERRORS * error(percent / 100), 4
-    signatures = common.checkpoint(members.select("rep").distinct().join(reps.select("rep", "packed"), "rep").dropDuplicates(["rep"]))
-    while True:
-        parts = components(links)
-        placed = signatures.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "packed", F.coalesce("component", "rep").alias("component"))
-        in_part = members.join(placed, "rep")
-        split = in_part.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        cross = common.checkpoint(_candidates(in_part.join(split, "bucket"), least, most))
-        more = cross.where("more").limit(1).count() > 0
-        found = cross.where(~F.col("more")).select("a", "b").distinct()
-        new = common.checkpoint(confirm(found, unique, shingle, percent))
-        if new.limit(1).count():
-            links = links.unionByName(new)
-        if not more:
-            break
-        most *= 8
+    both = pairs.join(signatures.select(F.col("rep").alias("a"), "packed"), "a").join(signatures.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
+    hopeful = common.checkpoint(common.arrow_map(both.select("a", "b", "packed", "packed_b"), _hopeful, "a long, b long", least))
+    bodies = common.packed(texts.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text"))
+    links = common.checkpoint(confirm(hopeful, bodies, shingle, percent))
+
     parts = components(links)
+    placed = signatures.select("rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    placed = common.checkpoint(placed)
+    in_part = members.join(placed, "rep")
+    low = in_part.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low")
+    split = in_part.join(low, "bucket").join(signatures, "rep").select("bucket", "size", F.col("rep").alias("id"), "component", "low", "packed", "buckets")
+    flagged = common.checkpoint(common.arrow_groups(_blocks(split, ["packed", "buckets"]), ["bucket", "m", "v"], _flag, "bucket long, id long", least).distinct())
+    wanted = flagged.select("id").distinct().join(bodies, "id")
+    sets = common.arrow_map(wanted, _sets, "id long, shingles binary", shingle).dropDuplicates(["id"])
+    sizes = flagged.groupBy("bucket").agg(F.count("*").alias("size"))
+    rest = flagged.join(sizes, "bucket").join(placed.withColumnRenamed("rep", "id"), "id").join(low, "bucket").join(sets, "id")
+    more = common.arrow_groups(_blocks(rest, ["shingles"]), ["bucket", "m", "v"], _links, "a long, b long", percent)
+    parts = components(links.unionByName(common.checkpoint(more)))
+
     classed = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     linked = usable.select("doc_id", *key).join(classed, key).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    rest = sketches.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    unlinked = sketches.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(unlinked).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -225,11 +260,13 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
     return rows.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
-def _candidates(rows: DataFrame, least: float, most: int) -> DataFrame:
-    """a, b, more over blocks of buckets: every pair of blocks of a bucket meets in one task."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+def _blocks(rows: DataFrame, more: list[str]) -> DataFrame:
+    """Members and visitors of buckets, dealt so that each pair of blocks meets in one group.
+
+    Pairs within the component that ``low`` names need no comparison, so its rows don't visit.
+    """
+    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    one = dealt.select("bucket", F.col("block").alias("m"), each.alias("v"), F.lit(False).alias("visitor"), F.col("rep").alias("id"), "component", "packed")
-    two = dealt.select("bucket", each.alias("m"), F.col("block").alias("v"), F.lit(True).alias("visitor"), F.col("rep").alias("id"), "component", "packed")
-    return common.arrow_groups(one.unionByName(two), ["bucket", "m", "v"], _cross, "a long, b long, more boolean", least, most)
+    one = dealt.select("bucket", F.col("block").alias("m"), each.alias("v"), F.lit(False).alias("visitor"), "id", "component", *more)
+    two = dealt.where("component <> low").select("bucket", each.alias("m"), F.col("block").alias("v"), F.lit(True).alias("visitor"), "id", "component", *more)
+    return one.unionByName(two)
