@@ -69,7 +69,7 @@ class Index:
 
     def _reach(self, x: np.ndarray, threshold: float, recall: float, seed: int) -> float:
         """How far traversal must go for neighbours just at the threshold, the farthest that count."""
-        noise = np.random.default_rng(seed).normal(size=x.shape)
+        noise = np.random.default_rng([seed, 77]).normal(size=x.shape)  # a stream of its own
         noise -= (noise * x).sum(1)[:, None] * x
         noise /= np.linalg.norm(noise, axis=1)[:, None] + 1e-12
         other = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * noise
