@@ -170,10 +170,10 @@ def p3(spark, sf_dir):
     return k.fetch_candidates(adapter.answered(spark, sf_dir), wp=18).select("ka_nr", "pk")
 
 
-@query("p10_adhoc_filters", "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de') AND n_chars >= 500 AND contains(text, 'license')")
+@query("p10_adhoc_filters", "SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de') AND n_chars >= 500 AND contains(text, 'reth')")
 def p10(spark, sf_dir):
     docs = adapter.read(spark, sf_dir, "documents")
-    return docs.where(F.col("lang").isin("en", "de") & (F.col("n_chars") >= 500) & F.coalesce(F.contains("text", F.lit("license")), F.lit(False))).select("doc_id", "lang")
+    return docs.where(F.col("lang").isin("en", "de") & (F.col("n_chars") >= 500) & F.coalesce(F.contains("text", F.lit("reth")), F.lit(False))).select("doc_id", "lang")
 
 
 @query("s1_key_sort_topn", f"WITH {INQUIRIES} SELECT q_nr FROM inq ORDER BY CAST(split_part(q_nr, '/', 1) AS INTEGER), CAST(split_part(q_nr, '/', 2) AS INTEGER) LIMIT 100")
