@@ -90,9 +90,8 @@ def easter(year: Column) -> Column:
     return F.date_add(F.make_date(year, F.lit(3), F.lit(28)), after)
 
 
-def holiday(day: Column) -> Column:
-    """Whether the day is a public holiday of the state (D-9)."""
-    sunday = easter(F.year(day))
+def holiday(day: Column, sunday: Column) -> Column:
+    """Whether the day is a public holiday of the state, by the Easter Sunday of its year (D-9)."""
     fixed = (F.month(day) * 100 + F.dayofmonth(day)).isin([m * 100 + d for m, d in FIXED_HOLIDAYS])
     return fixed | F.datediff(day, sunday).isin(EASTER_HOLIDAYS)
 
@@ -100,15 +99,19 @@ def holiday(day: Column) -> Column:
 def calendar(spark: SparkSession, first: int = FIRST_YEAR, last: int = LAST_YEAR) -> DataFrame:
     """day, free (holiday or weekend, D-10), workday (the first working day from it on).
 
-    No more than four free days follow each other in these years, so ten days always suffice.
+    No more than four free days follow each other in these years.  The days looked ahead may lie in
+    the next year, whose holidays so early are fixed dates, so one Easter Sunday a year will do.
     """
-    days_ = spark.range(1).select(F.explode(F.sequence(F.lit(f"{first}-01-01").cast("date"), F.lit(f"{last}-12-31").cast("date"))).alias("day"))
+    years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))
+    years = years.select("year", easter(F.col("year")).alias("sunday"))
+    one, twelve = F.lit(1), F.lit(12)
+    days_ = years.select("sunday", F.explode(F.sequence(F.make_date("year", one, one), F.make_date("year", twelve, F.lit(31)))).alias("day"))
 
     def free(day: Column) -> Column:
-        return holiday(day) | (F.weekday(day) >= 5)
+        return holiday(day, F.col("sunday")) | (F.weekday(day) >= 5)
 
-    ahead = F.sequence(F.col("day"), F.date_add("day", 9))
-    return days_.select("day", free(F.col("day")).alias("free"), F.get(F.filter(ahead, lambda d: ~free(d)), F.lit(0)).alias("workday"))
+    ahead = [F.date_add("day", n) for n in range(6)]
+    return days_.select("day", free(F.col("day")).alias("free"), F.coalesce(*(F.when(~free(d), d) for d in ahead)).alias("workday"))
 
 
 def with_lateness(df: DataFrame, asked: str = "question_date", answered: str = "answer_date") -> DataFrame:
