@@ -100,6 +100,11 @@ def locked(tags: str, tag: str, old: Column, new: Column) -> Column:
     return F.when(F.array_contains(F.split(F.coalesce(F.col(tags), F.lit("")), ","), tag), old).otherwise(new)
 
 
+def withdrawn(flag: str, status: str) -> Column:
+    """A withdrawn question's status, whatever is stored (U4)."""
+    return F.when(F.col(flag), "anfrage_zurueckgezogen").otherwise(F.col(status))
+
+
 def scan_status(status: str, parsed: str) -> Column:
     """A stored status that says more is kept when a file is scanned again."""
     failed = F.when(F.col(status).isNull() | (F.col(status) == ""), "extract_failed").otherwise(F.col(status))
