@@ -25,7 +25,7 @@ def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
 def _edges(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Single edges of the runs listed for each text, under two hashes."""
     for batch in batches:
-        tokens, _, _, bounds = anchors.words(*anchors.flat(batch["text"]))
+        tokens, _, _, bounds = anchors.words(*anchors.joined(common.bodies(batch["body"])))
         one, two = anchors.grams(anchors.prefixes(tokens), width), anchors.grams(anchors.prefixes(repeats.second(tokens)), width)
         text, at = repeats.listed(batch)
         place = bounds[text] + at
@@ -38,8 +38,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The digest of the words at each place that is listed."""
     for batch in batches:
         out: list[tuple] = []
-        for key, text, spans in zip(*(batch[c].to_pylist() for c in ("key", "text", "spans")), strict=True):
-            words = text.encode().split()
+        for key, body, spans in zip(batch["key"].to_pylist(), common.bodies(batch["body"]), batch["spans"].to_pylist(), strict=True):
+            words = body.split()
             out += [(key, s["start"], s["words"], hashlib.blake2b(b" ".join(words[s["start"] : s["start"] + s["words"]]), digest_size=16).digest()) for s in spans if s["start"] + s["words"] <= len(words)]
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["key", "start", "words", "digest"])
@@ -49,8 +49,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of each text, before it any carried columns; an untouched text stays as it is."""
     for batch in batches:
         counts, removed, texts = [], [], []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            words = text.encode().split()
+        for body, spans in zip(common.bodies(batch["body"]), batch["spans"].to_pylist(), strict=True):
+            words = body.split()
             counts.append(len(words))
             if spans:
                 starts = np.array([s["start"] for s in spans], np.int64)
@@ -58,7 +58,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for a, b in zip(starts[::-1].tolist(), ends[::-1].tolist(), strict=True):
                     del words[a:b]
             removed.append(counts[-1] - len(words))
-            texts.append(b" ".join(words).decode() if removed[-1] else text)
+            texts.append((b" ".join(words) if removed[-1] else body).decode())
         carried = [name for name in batch.schema.names if name.startswith("carried")]
         columns = [batch["key"], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()), *(batch[name] for name in carried)]
         yield pa.RecordBatch.from_arrays(columns, ["key", "n_words", "n_removed", "kept_text", *carried])
@@ -70,7 +70,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], digests], ["key", "n_words", "n_removed", "kept_sha256"])
 
 
-def paths(docs: DataFrame, width: int = 13) -> DataFrame:
+def paths(docs: DataFrame, bodies: DataFrame, width: int = 13) -> DataFrame:
     """key, start, words: verified passages whose every window also starts in an earlier document.
 
     Edges are windows of ``width`` words between nodes of one word less; runs of edges that share
@@ -81,7 +81,7 @@ def paths(docs: DataFrame, width: int = 13) -> DataFrame:
     """
     runs = common.arrow_map(docs, _runs, repeats.RUN, width)
     found = common.checkpoint(repeats.shared(runs, True))
-    single = common.arrow_map(repeats.at_places(docs, found.where("not removed").select("key", "start", "count")), _edges, repeats.RUN, width)
+    single = common.arrow_map(repeats.at_places(bodies, found.where("not removed").select("key", "start", "count")), _edges, repeats.RUN, width)
     columns = ["key", "start", "count", "from_key", "from_start"]
     edges = repeats.shared(single, True).where("removed").select(columns)
     repeated = common.checkpoint(found.where("removed").select(columns).unionByName(edges).groupBy("key", "start", "count").agg(F.min(F.struct("from_key", "from_start")).alias("f")).select("key", "start", "count", "f.*"))
@@ -93,7 +93,7 @@ def paths(docs: DataFrame, width: int = 13) -> DataFrame:
     spans = common.checkpoint(spans)
     sources = spans.select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), F.col("from_words").alias("words"))
     places = spans.select("key", "start", "words").unionByName(sources).distinct()
-    digests = common.arrow_map(repeats.at_places(docs, places), _digests, "key long, start int, words int, digest binary")
+    digests = common.arrow_map(repeats.at_places(bodies, places), _digests, "key long, start int, words int, digest binary")
     digests = digests.dropDuplicates(["key", "start", "words"])
     own = spans.join(digests, ["key", "start", "words"])
     source = digests.select(F.col("key").alias("from_key"), F.col("start").alias("from_start"), F.col("words").alias("from_words"), F.col("digest").alias("from_digest"))
@@ -112,8 +112,8 @@ def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequenc
     aren't carried are ignored; carried ones keep their names.
     """
     carried = {f"carried{i}": F.col(name) for i, name in enumerate(() if digest else carry)}
-    texts = repeats.keyed(docs)
-    rows = repeats.at_places(repeats.keyed(docs, carried), paths(texts, width), "left")
+    bodies = common.packed(repeats.keyed(docs, carried))
+    rows = repeats.at_places(bodies, paths(repeats.keyed(docs), bodies.select("key", "body"), width), "left")
     if digest:
         rows = common.arrow_map(rows, _digested, "key long, n_words long, n_removed long, kept_sha256 string")
     else:

@@ -76,15 +76,14 @@ def first_of_equal(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = anchors.flat(batch["text"])
-        yield repeats.batch(batch["key"].to_numpy(), anchors.runs(anchors.BYTES[data], bounds, width, min(GRAM, width)), False)
+        yield repeats.batch(batch["key"].to_numpy(), anchors.runs(data, bounds, width, min(GRAM, width), anchors.BYTES), False)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the runs listed for each text."""
     for batch in batches:
         out: list[tuple] = []
-        for key, text, spans in zip(*(batch[c].to_pylist() for c in ("key", "text", "spans")), strict=True):
-            body = text.encode()
+        for key, body, spans in zip(batch["key"].to_pylist(), common.bodies(batch["body"]), batch["spans"].to_pylist(), strict=True):
             for s in spans:
                 end = s["start"] + s["count"] + width - 1
                 if end <= len(body):
@@ -97,7 +96,7 @@ def _slices(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
 def _hashed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Single windows of the runs listed for each text, under two hashes."""
     for batch in batches:
-        data, bounds = anchors.flat(batch["text"])
+        data, bounds = anchors.joined(common.bodies(batch["body"]))
         tokens = anchors.BYTES[data]
         one, two = anchors.grams(anchors.prefixes(tokens), width), anchors.grams(anchors.prefixes(repeats.second(tokens)), width)
         text, at = repeats.listed(batch)
@@ -147,8 +146,7 @@ def _factors(batches: Iterator[pa.RecordBatch], width: int, chunk: int) -> Itera
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, removed, spans_left, bodies = [], [], [], []
-        for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist(), strict=True):
-            body = text.encode()
+        for body, spans in zip(common.bodies(batch["body"]), batch["spans"].to_pylist(), strict=True):
             starts = ends = np.zeros(0, np.int64)
             if spans:
                 starts = np.array([s["start"] for s in spans], np.int64)
@@ -168,7 +166,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], digests], ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def later_copies(docs: DataFrame, width: int = 100, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
+def later_copies(docs: DataFrame, texts: DataFrame, width: int = 100, hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
     """key, start, size of spans (not yet merged) that ``width``-byte strings cover which start earlier.
 
     Runs of windows with one anchor are met with equal runs whole.  Of runs that share an anchor
@@ -178,10 +176,10 @@ def later_copies(docs: DataFrame, width: int = 100, hot: int = HOT, chunk: int =
     """
     found = common.checkpoint(repeats.shared(common.arrow_map(docs, _runs, repeats.RUN, width), False))
     unlike = found.where("not removed")
-    slices = common.arrow_map(repeats.at_places(docs, unlike.where(F.col("kinds") < hot).select("key", "start", "count", "anchor")), _slices, SLICE, width)
+    slices = common.arrow_map(repeats.at_places(texts, unlike.where(F.col("kinds") < hot).select("key", "start", "count", "anchor")), _slices, SLICE, width)
     ordered = slices.repartition(common.partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor", "key", "start")
     factors = common.arrow_map(ordered, _factors, "key long, start int, count int", width, chunk)
-    single = common.arrow_map(repeats.at_places(docs, unlike.where(F.col("kinds") >= hot).select("key", "start", "count")), _hashed, repeats.RUN, width)
+    single = common.arrow_map(repeats.at_places(texts, unlike.where(F.col("kinds") >= hot).select("key", "start", "count")), _hashed, repeats.RUN, width)
     columns = ["key", "start", "count"]
     spans = found.where("removed").select(columns).unionByName(factors).unionByName(repeats.shared(single, False).where("removed").select(columns))
     return spans.select("key", "start", (F.col("count") + width - 1).alias("size"))
@@ -197,7 +195,8 @@ def dedup(docs: DataFrame, width: int = 100, digest: bool = False, hot: int = HO
     Rows that share a doc_id are one document: what is repeated in one text is taken from each as
     far as it reaches.  An empty table gives no rows; other columns are ignored.
     """
-    texts = repeats.keyed(docs)
+    keyed = repeats.keyed(docs)
+    texts = common.packed(keyed)
     function, last = (_digested, "kept_sha256 string") if digest else (_kept, "kept binary")
-    rows = common.arrow_map(repeats.at_places(texts, later_copies(texts, width, hot, chunk), "left"), function, f"key long, n_bytes long, n_removed long, n_spans long, {last}")
+    rows = common.arrow_map(repeats.at_places(texts, later_copies(keyed, texts, width, hot, chunk), "left"), function, f"key long, n_bytes long, n_removed long, n_spans long, {last}")
     return rows.select(F.when(F.col("key") != repeats.NO_ID, F.col("key")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", last.split()[0])
