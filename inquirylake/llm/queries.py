@@ -74,7 +74,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
+REACH = """reach AS (
+            SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )"""
+
 SQL: dict[str, str] = {
+    "op4_suffix": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        s AS (SELECT doc_id, i, substr(h, 2 * i - 1, 200) AS g FROM (SELECT doc_id, h, unnest(range(1, n - 98)) AS i FROM d WHERE n >= 100)),
+        later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM s) WHERE k > 1),
+        edges AS (SELECT doc_id, i, coalesce(lag(i) OVER w < i - 100, true) AS fresh FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        spans AS (
+            SELECT doc_id, min(i) AS a, max(i) + 100 AS b
+            FROM (SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM edges) GROUP BY doc_id, span
+        ),
+        kept AS (SELECT doc_id, a, coalesce(lag(b) OVER w, 1) AS f, b, lead(a) OVER w AS next FROM spans WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+        parts AS (
+            SELECT doc_id, string_agg(substr(h, 2 * f - 1, 2 * (a - f)), '' ORDER BY a) || max(CASE WHEN next IS NULL THEN substr(h, 2 * b - 1) ELSE '' END) AS rest,
+                CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans
+            FROM kept JOIN d USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, h))) AS kept_sha256
+        FROM d LEFT JOIN parts USING (doc_id)
+    """,
+    "op5_minhash": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM w WHERE len(w) > 0)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+        """ + REACH + """
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+        FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)
+    """,
+    "op7_substring": """
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ), s AS (
+            SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)
+        ), later AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS f FROM s) WHERE f < doc_id
+        ), gone AS (SELECT DISTINCT doc_id, i + o AS i FROM later, range(0, 13) t(o)),
+        kept AS (
+            SELECT d.doc_id, count(gone.i) AS n_removed, string_agg(x, ' ' ORDER BY d.i) FILTER (gone.i IS NULL) AS rest
+            FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) d LEFT JOIN gone USING (doc_id, i) GROUP BY d.doc_id
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)
+    """,
+    "op9_multiindex": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ),
+        """ + REACH + """
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(m, vec_id)) AS kept
+        FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id) LEFT JOIN (SELECT a AS vec_id, min(b) AS m FROM reach GROUP BY a) USING (vec_id)
+    """,
     "op6_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS t
