@@ -38,7 +38,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     if args.verb == "scan-archive":
         texts = sources.heads(spark, args.folder, 16000)
         found = texts.where(extract.is_answer(texts["head"]) & ~extract.is_large_inquiry(texts["head"]))
-        found.select("path", extract.page_fields(found["head"]).alias("f")).select("path", "f.*").write.mode("overwrite").parquet(args.out)
+        extract.page_fields(found, "head").drop("head").write.mode("overwrite").parquet(args.out)
         return 0
     rows = spark.read.parquet(args.table)
     findings = {"malformed": quality.malformed(rows, args.key), "negative_time": quality.negative_time(rows, "anfragedatum", "antwortdatum")}

@@ -15,20 +15,37 @@ FIRST_BLOCK, ALL_BLOCKS = 5000, 8000
 MASK = "\u0001"
 
 
-def page_fields(text: Column) -> Column:
-    """What the first pages of an answer state; '' or null for what they don't."""
-    role, portfolio = F.regexp_extract(text, p.MINISTRY, 1), squish(F.regexp_extract(text, p.MINISTRY, 2))
-    return F.struct(
-        F.regexp_extract(text, p.ANSWER_PAPER, 1).alias("drucksache_antwort_nr"),
-        part(text, p.QUESTION_NUMBER, 1).try_cast("int").alias("kleine_anfrage_nr"),
-        german_date(F.regexp_extract(text, p.QUESTION_NUMBER, 2)).alias("anfragedatum"),
-        squish(F.regexp_extract(text, p.ASKER, 1)).alias("anfrager"),
-        F.regexp_extract(text, p.ASKER, 2).alias("fraktion"),
-        F.regexp_extract(text, p.QUESTION_PAPER, 1).alias("drucksache_anfrage_nr"),
-        german_date(F.regexp_extract(text, p.ISSUED, 1)).alias("antwortdatum"),
-        squish(F.regexp_extract(text, p.TITLE, 1)).alias("anfragetitel"),
-        F.when(portfolio == "", role).otherwise(F.concat_ws(" ", role, portfolio)).alias("ministerium"),
+def page_fields(rows: DataFrame, text: str) -> DataFrame:
+    """Adds what the first pages of an answer state; '' or null for what they don't.
+
+    What the patterns find is taken out first, so that no pattern runs twice over a text.
+    """
+    t = F.col(text)
+    found = rows.withColumns(
+        {
+            "drucksache_antwort_nr": F.regexp_extract(t, p.ANSWER_PAPER, 1),
+            "_number": F.regexp_extract(t, p.QUESTION_NUMBER, 0),
+            "_asker": F.regexp_extract(t, p.ASKER, 0),
+            "drucksache_anfrage_nr": F.regexp_extract(t, p.QUESTION_PAPER, 1),
+            "_issued": F.regexp_extract(t, p.ISSUED, 1),
+            "_title": F.regexp_extract(t, p.TITLE, 1),
+            "_ministry": F.regexp_extract(t, p.MINISTRY, 0),
+        }
+    )
+    found = found.withColumns(
+        {
+            "kleine_anfrage_nr": F.nullif(F.regexp_extract("_number", r"(?U)^Kleine Anfrage\s+(\d+)", 1), F.lit("")).try_cast("int"),
+            "_asked": F.regexp_extract("_number", rf"(?U)vom\s+({p.WORDED})$", 1),
+            "anfrager": squish(F.regexp_extract("_asker", p.ASKER, 1)),
+            "fraktion": F.regexp_extract("_asker", p.ASKER, 2),
+            "anfragetitel": squish(F.col("_title")),
+            "_role": F.regexp_extract("_ministry", p.MINISTRY, 1),
+            "_portfolio": squish(F.regexp_extract("_ministry", p.MINISTRY, 2)),
+        }
     )
+    ministry = F.when(F.col("_portfolio") == "", F.col("_role")).otherwise(F.concat_ws(" ", "_role", "_portfolio"))
+    out = found.withColumns({"anfragedatum": german_date(F.col("_asked")), "antwortdatum": german_date(F.col("_issued")), "ministerium": ministry})
+    return out.drop("_number", "_asker", "_issued", "_title", "_ministry", "_asked", "_role", "_portfolio")
 
 
 def is_answer(text: Column) -> Column:
@@ -118,19 +135,25 @@ def all_blocks(text: Column) -> Column:
 def names_found(rows: DataFrame, lexicon: DataFrame, block: Column, keys: list[str]) -> DataFrame:
     """Adds anfrager_alle, anzahl_abgeordnete and rest by a lexicon of (keys, form, nach, vor).
 
-    The lexicon of each key is one array, longest forms first; it holds the members of a faction.
+    A form can only count if its last run of letters is a whole one of the block, so an equi join
+    on it finds the few forms that each distinct block is searched for, longest first.
     """
+    with_block = rows.withColumn("_block", block)
+    blocks = with_block.select(*keys, "_block").distinct()
+    runs = blocks.select(*keys, "_block", F.explode(F.array_distinct(F.regexp_extract_all("_block", F.lit(r"(\p{L}+)"), F.lit(1)))).alias("_run"))
+    forms = lexicon.select(*keys, "form", "nach", "vor", F.element_at(F.regexp_extract_all("form", F.lit(r"(\p{L}+)"), F.lit(1)), -1).alias("_run"))
     order = F.sort_array(F.collect_list(F.struct((-F.length("form")).alias("size"), "form", "nach", "vor")))
-    arrays = lexicon.groupBy(*keys).agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_lexicon"))
-    none = F.array().cast("array<struct<form:string,nach:string,vor:string>>")
-    found = rows.join(arrays, keys, "left").withColumn("_block", block).withColumn("_found", find_names(F.col("_block"), F.coalesce("_lexicon", none)))
-    return found.withColumns(
+    listed = runs.join(forms, [*keys, "_run"]).groupBy(*keys, "_block").agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_forms"))
+    found = listed.select(*keys, "_block", find_names(F.col("_block"), F.col("_forms")).alias("_found"))
+    joined = with_block.join(found, [*keys, "_block"], "left")
+    hits = F.coalesce("_found.hits", F.array().cast("array<struct<at:int,nach:string,vor:string>>"))
+    return joined.withColumns(
         {
-            "anfrager_alle": F.array_join(F.transform("_found.hits", lambda h: F.concat_ws(", ", h["nach"], h["vor"])), "; "),
-            "anzahl_abgeordnete": F.size("_found.hits"),
-            "rest": residue(F.translate("_found.text", MASK, " ")),
+            "anfrager_alle": F.array_join(F.transform(hits, lambda h: F.concat_ws(", ", h["nach"], h["vor"])), "; "),
+            "anzahl_abgeordnete": F.size(hits),
+            "rest": residue(F.translate(F.coalesce("_found.text", "_block"), MASK, " ")),
         }
-    ).drop("_lexicon", "_block", "_found")
+    ).drop("_block", "_found")
 
 
 def lexicon(rows: DataFrame, keys: list[str], asked: list[str]) -> DataFrame:

@@ -42,7 +42,8 @@ def _page():
     {SQL_FACTION} AS fraktion, q_nr AS drucksache_anfrage_nr, strftime(question_date + 20, '%Y-%m-%d') AS antwortdatum, 'Titel der Frage Nummer ' || ka_nr AS anfragetitel, 'Minister ' || ministry || ' und Kultur' AS ministerium, true AS answer, false AS large FROM inq""")
 def x1(spark, sf_dir):
     pages = _rows(spark, sf_dir).select(_page().alias("page"))
-    return pages.select(x.page_fields(F.col("page")).alias("f"), x.is_answer(F.col("page")).alias("answer"), x.is_large_inquiry(F.col("page")).alias("large")).select("f.*", "answer", "large")
+    flagged = pages.withColumns({"answer": x.is_answer(F.col("page")), "large": x.is_large_inquiry(F.col("page"))})
+    return x.page_fields(flagged, "page").drop("page")
 
 
 @query("x2_header_fields", f"""WITH {INQUIRIES} SELECT ka_nr, strftime(question_date + 20, '%Y-%m-%d') AS antwortdatum, strftime(question_date, '%Y-%m-%d') AS anfragedatum, q_nr AS drucksache_anfrage_nr,

@@ -108,7 +108,8 @@ def test_identifiers(spark):
 
 
 def test_page_fields_reject_cited_papers(spark):
-    assert value(spark, extract.page_fields(F.lit("Kleine Anfrage 18/9829 vom 1. Mai 2022")))["kleine_anfrage_nr"] is None
+    pages = spark.createDataFrame([("Kleine Anfrage 18/9829 vom 1. Mai 2022",), ("Kleine Anfrage 7 vom 1. Mai 2022",), ("Kleine Anfrage 7 zu",)], "page string")
+    assert [(r["kleine_anfrage_nr"], r["anfragedatum"]) for r in extract.page_fields(pages, "page").collect()] == [(None, ""), (7, "2022-05-01"), (7, "")]
     assert tuple(extract.letter_date(spark.createDataFrame([("Datum des Originals: 21.09.2022/Ausgegeben: 28.09.2022",)], "page string"), "page").select("status", "original", "issued").first()) == ("ok", "2022-09-21", "2022-09-28")
 
 
