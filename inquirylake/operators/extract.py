@@ -61,22 +61,28 @@ def minister_sentence(text: Column) -> Column:
     return F.regexp_extract(squish(text), p.BOUNDARY, 1)
 
 
-def minister_forms(sentence: Column) -> Column:
-    """'Minister Innern', ... in order; the connective is left out."""
-    clean = undo_hyphenation(sentence)
-    roles, names = (F.regexp_extract_all(clean, F.lit(p.MINISTER), F.lit(group)) for group in (1, 3))
-    return F.zip_with(roles, names, lambda role, name: F.concat_ws(" ", role, F.trim(name)))
-
-
-def header_fields(head: Column) -> Column:
-    """Dates, question paper and faction of an answer's header, however it was set."""
-    plain = dedouble(head)
-    return F.struct(
-        german_date(F.regexp_extract(minister_sentence(plain), p.LETTER_DATE, 1)).alias("antwortdatum"),
-        german_date(F.regexp_extract(plain, p.ASKED_ON, 1)).alias("anfragedatum"),
-        F.regexp_extract(plain, p.FACTION_AND_PAPER, 2).alias("drucksache_anfrage_nr"),
-        F.coalesce(faction(part(plain, p.FACTION_AND_PAPER, 1)), F.lit("")).alias("fraktion"),
+def minister_forms(rows: DataFrame, text: str, out: str = "forms") -> DataFrame:
+    """Adds 'Minister Innern', ... in order; the connective is left out."""
+    found = rows.withColumn("_clean", undo_hyphenation(minister_sentence(F.col(text))))
+    found = found.withColumn("_matches", F.regexp_extract_all("_clean", F.lit(p.MINISTER), F.lit(0)))
+    one = r"(?U)^\S+\s+(\S+)\s+(?:für|der|des)\s+(.+)$"
+    forms = F.transform("_matches", lambda m: F.concat_ws(" ", F.regexp_extract(m, one, 1), F.trim(F.regexp_extract(m, one, 2))))
+    return found.withColumn(out, forms).drop("_clean", "_matches")
+
+
+def header_fields(rows: DataFrame, head: str) -> DataFrame:
+    """Adds dates, question paper and faction of an answer's header, however it was set."""
+    found = rows.withColumn("_plain", dedouble(F.col(head)))
+    found = found.withColumns(
+        {
+            "_letter": F.regexp_extract(minister_sentence(F.col("_plain")), p.LETTER_DATE, 1),
+            "_asked": F.regexp_extract("_plain", p.ASKED_ON, 1),
+            "_both": F.regexp_extract("_plain", p.FACTION_AND_PAPER, 0),
+        }
     )
+    found = found.withColumns({"drucksache_anfrage_nr": F.regexp_extract("_both", p.FACTION_AND_PAPER, 2), "_faction": part(F.col("_both"), p.FACTION_AND_PAPER, 1)})
+    out = found.withColumns({"antwortdatum": german_date(F.col("_letter")), "anfragedatum": german_date(F.col("_asked")), "fraktion": F.coalesce(faction(F.col("_faction")), F.lit(""))})
+    return out.drop("_plain", "_letter", "_asked", "_both", "_faction")
 
 
 def letter_date(rows: DataFrame, page: str) -> DataFrame:

@@ -58,12 +58,12 @@ def x2(spark, sf_dir):
         F.lit("\nDrucksache"), lost, "q_nr", F.lit("\nDie Ministerin der Justiz hat die Kleine Anfrage "), k_, F.lit(" mit Schreiben vom "), _worded(F.col("issued")), F.lit(" beantwortet."),
     )
     shown = F.when(k_ % 4 == 3, F.regexp_replace(head, r"(\S)", "$1$1")).otherwise(head)
-    return _rows(spark, sf_dir).select("ka_nr", x.header_fields(shown).alias("f")).select("ka_nr", "f.*")
+    return x.header_fields(_rows(spark, sf_dir).select("ka_nr", shown.alias("head")), "head").drop("head")
 
 
 @query("x3_x4_minister_forms", f"""WITH {INQUIRIES} SELECT ka_nr, 'Minister ' || ministry || ' und Kultur' AS first, 'Minister Innern' AS second, 'Ministerin Finanzen' AS third, CAST(3 AS INTEGER) AS n FROM inq""")
 def x3(spark, sf_dir):
-    forms = _rows(spark, sf_dir).select("ka_nr", x.minister_forms(x.minister_sentence(_page())).alias("f"))
+    forms = x.minister_forms(_rows(spark, sf_dir).select("ka_nr", _page().alias("page")), "page", "f")
     return forms.select("ka_nr", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("first", "second", "third"))), F.size("f").alias("n"))
 
 
@@ -83,7 +83,7 @@ def x16(spark, sf_dir):
 def x6(spark, sf_dir):
     """The lead's code first, mapped if it is an alias, then each form's; unknown forms stay out."""
     rows = _rows(spark, sf_dir).withColumn("lead", F.when(F.col("ka_nr") % 4 == 0, "MI").otherwise("LEAD"))
-    forms = rows.select("ka_nr", F.posexplode(x.minister_forms(x.minister_sentence(_page()))).alias("at", "form"))
+    forms = x.minister_forms(rows.select("ka_nr", _page().alias("page")), "page").select("ka_nr", F.posexplode("forms").alias("at", "form"))
     names = spark.createDataFrame([("FM", "Ministerium der Finanzen", 1), ("IM", "Ministerium des Innern", 2)], "code string, name string, position int")
     resolved = j.subset_match(forms, "form", names).where("code is not null")
     listed = resolved.groupBy("ka_nr").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "code"))), lambda r: r["code"]).alias("c"))
