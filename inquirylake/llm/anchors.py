@@ -159,7 +159,7 @@ def runs_of(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tu
 
     tokens are hashes of texts' tokens end to end, bounds the texts' offsets in them.  A run's
     content is the tokens of all its windows: count + width - 1 of them.  self tells that the least
-    gram stands in some window more than once, so that windows of the run may equal each other.
+    gram stands in the run more than once, so that windows of the run may equal each other.
     """
     none = np.zeros(0, np.int64)
     n = len(tokens) - width + 1
@@ -179,7 +179,8 @@ def runs_of(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tu
     # a gram is least in some window if the greatest of its windows' least grams is itself
     edge = np.zeros(reach - 1, np.uint64)
     chosen = np.flatnonzero(~least(~np.concatenate([edge, anchor, edge]), reach) == gram_hash)
-    again = (gram_hash[chosen[1:]] == gram_hash[chosen[:-1]]) & (chosen[1:] - chosen[:-1] < reach)
+    # a run goes on from one to the next up to reach apart; at reach itself no window holds both
+    again = (gram_hash[chosen[1:]] == gram_hash[chosen[:-1]]) & (chosen[1:] - chosen[:-1] <= reach)
     repeated[(np.cumsum(new) - 1)[np.clip(chosen[1:][again] - reach + 1, 0, n - 1)]] = True
     repeated[(np.cumsum(new) - 1)[np.clip(chosen[:-1][again], 0, n - 1)]] = True
     keep = whole[first]

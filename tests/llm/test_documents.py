@@ -180,6 +180,18 @@ def test_suffix_rows(request, name, width, hot, chunk):
     assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == expected
 
 
+def test_suffix_every_period(spark):
+    """Texts of one period stand alone, or have only equal copies, so nothing else brings them up."""
+    dice = random.Random(12)
+    rows = []
+    for period in range(1, 101):
+        unit = "".join(dice.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(period))
+        text = (unit * 500)[: dice.randint(100 + period, 500)]
+        rows += [(period, text)] + [(1000 + period, text)] * (period % 3 == 0)
+    got = by_id(suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), digest=True))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == brute_bytes(rows, 100)
+
+
 def test_suffix_odd_rows(odd):
     rows = suffix.dedup(odd, 20).collect()
     assert len(rows) == 6
