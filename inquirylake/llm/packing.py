@@ -97,33 +97,39 @@ def pack(documents: Iterator[tuple[int, np.ndarray]], width: int) -> Iterator[li
 
 
 @lru_cache(maxsize=2)
-def encoding(path: str, pattern: str) -> tiktoken.Encoding:
+def encoding(path: str, pattern: str, added: bool = False) -> tiktoken.Encoding:
     """The byte-level vocabulary of a tokenizers file; its ids are in the order of its merges.
 
-    tiktoken gives the ids that the tokenizers library gives, several times faster.
+    tiktoken gives the ids that the tokenizers library gives, several times faster; with added also
+    those of the file's added tokens, as the library does unless encode_special_tokens is set.
     """
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        whole = json.load(file)
+    model, special = whole["model"], {}
+    for token in whole["added_tokens"] if added else ():
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"] or any(token["content"].startswith(x) or x.startswith(token["content"]) for x in special):
+            raise ValueError(f"added token {token['content']!r} isn't matched as plain text")
+        special[token["content"]] = token["id"]
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [byte for byte in range(256) if byte not in set(printable)]
     byte = {chr(x): x for x in printable} | {chr(256 + i): x for i, x in enumerate(others)}
     ranks = {bytes(byte[c] for c in token): rank for token, rank in model["vocab"].items() if all(c in byte for c in token)}
     merged = {a + b for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])}
     ranks = {token: rank for token, rank in ranks.items() if len(token) == 1} | {bytes(byte[c] for c in token): model["vocab"][token] for token in merged}
-    return tiktoken.Encoding("packed", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packed", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
-def _documents(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int) -> Iterator[tuple[int, np.ndarray]]:
-    encode, end = encoding(path, pattern).encode_to_numpy, np.array([end_id], "<u4")
+def _documents(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int, added: bool) -> Iterator[tuple[int, np.ndarray]]:
+    encode, end = encoding(path, pattern, added).encode_to_numpy, np.array([end_id], "<u4")
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            yield doc_id, np.concatenate([encode(text, disallowed_special=()).astype("<u4", copy=False), end])
+            yield doc_id, np.concatenate([encode(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False), end])
 
 
-def _rows(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int, width: int, keep_ids: bool) -> Iterator[pa.RecordBatch]:
+def _rows(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int, width: int, keep_ids: bool, added: bool) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([(name, pa.int64()) for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())] * keep_ids)
     sequence, rows = TaskContext.get().partitionId() << TASK_BITS, []
-    for window in pack(_documents(batches, path, pattern, end_id), width):
+    for window in pack(_documents(batches, path, pattern, end_id, added), width):
         offset = 0
         for doc_id, ids, start, end in window:
             cut = ids[start:end].tobytes()
@@ -137,8 +143,9 @@ def _rows(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: in
         yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, width: int = 2048, keep_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, width: int = 2048, keep_ids: bool = True, added: bool = False) -> DataFrame:
     """One row per piece of a document, with its place; with keep_ids also its ids (packed u32).
+    Added tokens of the file are plain text, or with added have their own ids.
 
     Each task packs its own rows and leaves no window that is neither full nor of a power of two,
     so tasks needn't meet and no padding is left; sequence_id holds the task and a running number.
@@ -146,4 +153,4 @@ def pack_documents(docs: DataFrame, path: str, pattern: str, end_id: int = 1, wi
     into whole windows and a rest.  Repeated rows are packed each; an empty table gives no rows;
     other columns are ignored.  A null doc_id stays null.
     """
-    return common.arrow_map(common.with_text(docs), _rows, PIECE + ", ids binary" * keep_ids, path, pattern, end_id, width, keep_ids)
+    return common.arrow_map(common.with_text(docs), _rows, PIECE + ", ids binary" * keep_ids, path, pattern, end_id, width, keep_ids, added)

@@ -50,7 +50,7 @@ def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=False)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN, keep_ids=False, added=True)
 
 
 def op9_multiindex(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -363,6 +363,30 @@ def test_packing_rows(request, name, width):
     check_packing(packing.pack_documents(df, MODEL, PATTERN, width=width).collect(), texts_of(df), width)
 
 
+def test_packing_query_and_stage_read_added_tokens(spark, tmp_path):
+    """As the library reads the file by default: a marker in a text has its own id."""
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from inquirylake.llm import queries
+
+    tokenizer = Tokenizer.from_file(MODEL)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n y", "<|endoftext", "<|<|endoftext|>|>", "it's  plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    expected = {}
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        expected[i] = (len(ids), ids.tobytes())
+    assert expected[0][1] == np.array([64, 220, 50256, 275, 1], "<u4").tobytes()
+    for rows in (queries.op8_packing(spark, str(tmp_path)).collect(), corpus_pipeline.packing_stage(spark, docs, str(tmp_path)).collect()):
+        assert {r["doc_id"] for r in rows} == set(expected)
+        for r in rows:
+            n, ids = expected[r["doc_id"]]
+            assert r["doc_tokens"] == n
+            assert r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])])
+
+
 def test_packing_places_by_sum_of_squares():
     dice = random.Random(6)
     levels, plain = packing.Levels(32), {}
