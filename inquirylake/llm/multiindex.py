@@ -120,13 +120,23 @@ def blocks(linked: np.ndarray) -> np.ndarray:
 
 
 def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
-    """Visitors against members: counts of links, and an edge to each component that is linked."""
+    """Visitors against members: counts of links, and an edge to each component that is linked.
+
+    A member that doesn't visit the visitor's own cell has its links counted here too.
+    """
     member = np.asarray(group["member"])
     ids, copies = np.asarray(group["rep"]), np.asarray(group["copies"])
     vectors = unit(_matrix(group["embedding"].combine_chunks(), dims))
     order = np.flatnonzero(member)[np.argsort(ids[member], kind="stable")]
     m, q = vectors[order], vectors[~member]
     m_ids, q_ids = ids[order], ids[~member]
+    cells = group["cells"].combine_chunks()
+    sizes, listed = np.asarray(cells.value_lengths(), np.int64), np.asarray(cells.flatten())
+    own, own_at = np.unique(listed[np.cumsum(sizes) - sizes][~member], return_inverse=True)
+    seen = np.isin(listed, own)
+    visited = np.zeros((len(ids), len(own)), bool)
+    visited[np.repeat(np.arange(len(ids)), sizes)[seen], np.searchsorted(own, listed[seen])] = True
+    visited, q_copies = visited[order], copies[~member]
     part = blocks(m @ m.T >= threshold)
     by_part = np.argsort(part, kind="stable")
     part_ids, starts = np.unique(part[by_part], return_index=True)
@@ -141,6 +151,11 @@ def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
             out["rep"].append(q_ids[at : at + 1024][rows])
             out["links"].append(np.where(first, links[rows], 0))
             out["to"].append(m_ids[part_ids[parts]])
+            unseen = near & ~visited[:, own_at[at : at + 1024]].T
+            back = np.flatnonzero(unseen.any(0))
+            out["rep"].append(m_ids[back])
+            out["links"].append(q_copies[at : at + 1024] @ unseen[:, back])
+            out["to"].append(q_ids[at : at + 1024][unseen[:, back].argmax(0)])
     none = [np.zeros(0, np.int64)]
     return pa.table({k: pa.array(np.concatenate(v or none).astype(np.int64)) for k, v in out.items()})
 
@@ -183,13 +198,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = S
 
 
 def _links(classes: DataFrame, index: Index, dims: int, threshold: float) -> DataFrame:
-    """rep, links, to: links in a cell (once for each cell), and one node of each linked part."""
+    """rep, links, to: links in a cell (each pair once for either end), and one node of each linked part."""
     visits = common.arrow_map(classes.select("rep", "label", "copies", "embedding"), _visits, "rep long, label string, copies long, embedding array<double>, cells array<int>", index, dims)
-    visits = common.checkpoint(visits).select("rep", "label", "copies", "embedding", F.posexplode("cells").alias("at", "cell"))
+    visits = common.checkpoint(visits).select("rep", "label", "copies", "embedding", "cells", F.posexplode("cells").alias("at", "cell"))
     sizes = visits.groupBy("label", "cell").agg(F.count_if(F.col("at") == 0).alias("members"), F.count("*").alias("visitors"))
     sizes = sizes.where("members > 0").select("label", "cell", F.ceil(F.col("members") / MEMBERS).cast("int").alias("mb"), F.ceil(F.col("visitors") / VISITORS).cast("int").alias("qb"))
     dealt = visits.join(sizes, ["label", "cell"])
     members = dealt.where("at = 0").withColumns({"m": F.pmod(F.xxhash64("rep"), F.col("mb")).cast("int"), "q": F.explode(F.sequence(F.lit(0), F.col("qb") - 1)), "member": F.lit(True)})
-    visitors = dealt.withColumns({"q": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("qb")).cast("int"), "m": F.explode(F.sequence(F.lit(0), F.col("mb") - 1)), "member": F.lit(False)})
-    kept = ["label", "cell", "m", "q", "member", "rep", "copies", "embedding"]
+    visitors = dealt.withColumns({"q": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("qb")).cast("int"), "m": F.explode(F.sequence(F.lit(0), F.col("mb") - 1)), "member": F.lit(False), "cells": F.slice("cells", 1, 1)})
+    kept = ["label", "cell", "m", "q", "member", "rep", "copies", "embedding", "cells"]
     return common.arrow_groups(members.select(kept).unionByName(visitors.select(kept)), ["label", "cell", "m", "q"], _compare, "rep long, links long, to long", dims, threshold)

@@ -106,3 +106,21 @@ def test_empty_tables(spark, vectors):
     assert multiindex.near_duplicates(none).count() == 0
     assert topk.top_k(none).count() == 0
     assert topk.top_k(vectors.where("vec_id = 50")).count() == 0
+
+
+def test_multiindex_counts_found_pairs_for_both_ends(spark, monkeypatch):
+    """With a short reach one of two neighbours often visits the other's cell, but not the reverse."""
+    made, links = [], multiindex._links
+    monkeypatch.setattr(multiindex.Index, "_reach", lambda *_: 0.02)
+    monkeypatch.setattr(multiindex, "_links", lambda c, index, *more: (made.append(index), links(c, index, *more))[1])
+    noise = np.random.default_rng(4)
+    x = np.repeat(noise.normal(size=(20, 8)), 15, 0) + 0.2 * noise.normal(size=(300, 8))
+    rows = [(i, v.tolist(), "a") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: r["n_links"] for r in multiindex.near_duplicates(df).collect()}
+    x = multiindex.unit(x)
+    cells = list(made[0].cells(x))
+    visits = np.array([[b[0] in a for b in cells] for a in cells])
+    near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    assert (near & visits & ~visits.T).any()
+    assert got == dict(enumerate((near & (visits | visits.T)).sum(1).tolist()))
