@@ -44,13 +44,15 @@ NOTICES = {
 #: Identifier tags; what follows on the line is an expression.
 TAGS = ("spdx-license-identifier:", "license-identifier:", "license:")
 
-#: Starts of identifiers and the family label of each, longest first.
+#: Families of identifiers, longest first; each one is a label.
 FAMILIES = ("lgpl", "agpl", "gpl", "apache", "mit", "bsd", "mpl", "epl", "isc", "bsl", "cc0", "cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nc", "cc-by-nd", "cc-by-sa", "cc-by", "unlicense")
+#: A known identifier: a family, then perhaps a version and words that licence lists put behind it.
+_KNOWN = re.compile(rf"({'|'.join(FAMILIES)})(?:[-v]?v?\d+(?:\.\d+)*)?(?:-(?:only|or|later|clause|patent|clear|lbnl|attribution|modern|variant|no|nuclear|license|international|igo|universal|[a-z]{{2}}))*\+?")
 PERMISSIVE = {"apache", "mit", "bsd", "isc", "bsl", "cc0", "cc-by", "unlicense", "public-domain"}
 
 #: Bytes to those of normal words: A-Z to a-z, anything that is in no word to a space.
 _WORD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-_TOKEN = re.compile(r"\(|\)|[a-z0-9][a-z0-9.+\-]*")
+_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+\-]*")
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -58,56 +60,72 @@ class Malformed(ValueError):
     """Not a licence expression."""
 
 
-def postfix(expression: str) -> list[str]:
-    """The expression's tokens in postfix order: with binds closest, then and, then or."""
+def postfix(expression: str, start: int = 0, end: int | None = None) -> list[str]:
+    """The tokens of expression[start:end] in postfix order: with binds closest, then and, then or.
+
+    Tokens are read one by one, so a text that is no expression costs only as far as its first fault.
+    """
     out, stack, operand = [], [], True
-    for token in _TOKEN.findall(expression.lower()):
+    for found in _TOKEN.finditer(expression, start, len(expression) if end is None else end):
+        token = found.group().lower()
         if token == "(":
             if not operand:
-                raise Malformed(expression)
+                raise Malformed
             stack.append(token)
         elif token == ")":
             if operand:
-                raise Malformed(expression)
+                raise Malformed
             while stack and stack[-1] != "(":
                 out.append(stack.pop())
             if not stack:
-                raise Malformed(expression)
+                raise Malformed
             stack.pop()
         elif token in _OPERATORS:
             if operand:
-                raise Malformed(expression)
+                raise Malformed
             while stack and stack[-1] != "(" and _OPERATORS[stack[-1]] >= _OPERATORS[token]:
                 out.append(stack.pop())
             stack.append(token)
             operand = True
         else:
             if not operand:
-                raise Malformed(expression)
+                raise Malformed
             out.append(token)
             operand = False
     if operand or "(" in stack:
-        raise Malformed(expression)
+        raise Malformed
     return out + stack[::-1]
 
 
-def family(identifier: str) -> str:
-    return next((f for f in FAMILIES if identifier.startswith(f)), identifier.rstrip("+"))
+def family(identifier: str) -> str | None:
+    """The family of a known identifier, else None."""
+    found = _KNOWN.fullmatch(identifier.rstrip("."))
+    return found and found[1]
 
 
 def evaluate(tokens: list[str]) -> tuple[set[str], bool]:
-    """Families that a postfix expression names, and whether permissive terms alone meet it."""
-    stack: list[tuple[set[str], bool]] = []
+    """Families that a postfix expression names, and whether permissive terms alone meet it.
+
+    Unknown identifiers name no family and are not permissive; so are exceptions, behind with.
+    """
+    named, _, permissive = _evaluate(tokens)
+    return named, permissive
+
+
+def _evaluate(tokens: list[str]) -> tuple[set[str], list[str], bool]:
+    stack: list[tuple[set[str], list[str], bool]] = []
     for token in tokens:
         if token in _OPERATORS:
             right, left = stack.pop(), stack.pop()
             if token == "with":
                 stack.append(left)  # an exception adds rights to the licence before it
             else:
-                stack.append((left[0] | right[0], (left[1] and right[1]) if token == "and" else (left[1] or right[1])))
+                long, short = (left[1], right[1]) if len(left[1]) >= len(right[1]) else (right[1], left[1])
+                long.extend(short)  # the shorter one, so that deep expressions stay cheap
+                stack.append((left[0] | right[0], long, (left[2] and right[2]) if token == "and" else (left[2] or right[2])))
         else:
             name = family(token)
-            stack.append(({name}, name in PERMISSIVE))
+            stack.append(({name} if name else set(), [] if name else [token], name in PERMISSIVE))
     return stack[0]
 
 
@@ -140,6 +158,7 @@ class Scan:
     expressions: list[str] = field(default_factory=list)
     permissive: bool | None = None
     named: set[str] = field(default_factory=set)
+    unknown: set[str] = field(default_factory=set)
 
     @property
     def base_labels(self) -> set[str]:
@@ -176,16 +195,27 @@ def scan(text: str) -> Scan:
             out.notices.append((at, label))
     if ":" in text:
         lower = text.translate(_LOWER)
-        for end in sorted({end for end, _ in tags().iter(lower)}):
-            line = lower[end + 1 :].split("\n", 1)[0]
+        longest: dict[int, int] = {}
+        for end, size in tags().iter(lower):
+            longest[end] = max(size, longest.get(end, 0))
+        line_end = -1
+        for end, size in longest.items():  # in the order of the text
+            before = lower[end - size] if end >= size else " "
+            if before.isalnum() or before in "_-":  # the end of a longer word
+                continue
+            if line_end <= end:
+                line_end = lower.find("\n", end)
+                line_end = len(lower) if line_end < 0 else line_end
             try:
-                tokens = postfix(line)
+                tokens = postfix(lower, end + 1, line_end)
             except Malformed:
                 continue
-            named, permissive = evaluate(tokens)
-            out.expressions.append(" ".join(tokens))
-            out.named |= named
-            out.permissive = permissive if out.permissive is None else out.permissive and permissive
+            named, unknown, permissive = _evaluate(tokens)
+            out.unknown.update(unknown)
+            if named:
+                out.expressions.append(" ".join(tokens))
+                out.named |= named
+                out.permissive = permissive if out.permissive is None else out.permissive and permissive
     return out
 
 
@@ -193,7 +223,7 @@ _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions", "permissive", "places"]
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "expressions", "permissive", "places", "unknown"]
     for batch in batches:
         found = [scan(text) for text in batch["text"].to_pylist()]
         starts = [[start for start, _ in x.base] for x in found]
@@ -210,6 +240,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([x.expressions for x in found], pa.list_(pa.string())),
                 pa.array([x.permissive for x in found], pa.bool_()),
                 pa.array([sorted(x.base + x.notices) for x in found], pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))),
+                pa.array([sorted(x.unknown) for x in found], pa.list_(pa.string())),
             ],
             names,
         )
@@ -219,9 +250,11 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     """One row per row: counts, places, labels, expressions (postfix) and a score from 0 to 1.
 
     Null or empty text, or one without words: zero counts, null first_word and last_word, empty
-    labels, score 0.  A malformed expression adds nothing.  Places overlap freely.  Repeated rows
-    give equal rows; long texts take time in proportion; other columns are ignored.  A word is a
+    labels, score 0.  An expression runs from a tag that begins a word to the end of its line; a
+    malformed one adds nothing, nor does one without any known identifier.  Unknown identifiers are
+    no labels but stand in a column of their own.  Places overlap freely.  Repeated rows give equal
+    rows; long texts and many tags take time in proportion; other columns are ignored.  A word is a
     run of 0-9, a-z (A-Z lower-cased) and non-ASCII characters.
     """
-    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, expressions array<string>, permissive boolean, places array<struct<word:long,label:string>>"
+    schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, expressions array<string>, permissive boolean, places array<struct<word:long,label:string>>, unknown array<string>"
     return common.arrow_map(common.with_text(docs), _rows, schema)

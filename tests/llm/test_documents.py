@@ -143,6 +143,29 @@ def test_license_expressions(odd):
     assert licenses.scan_documents(odd).count() == 6
 
 
+def test_license_labels_only_what_is_known():
+    found = licenses.scan("My driving license: expired\nSee the sublicense: MIT\nlicense: Foo-1.0 OR MIT-0\nLicense: BSD-3-Clause.")
+    assert found.labels == {"mit", "bsd"} and found.unknown == {"expired", "foo-1.0"}
+    assert licenses.scan("license: mitten").labels == set() and licenses.scan("license: expired").score == 0.0
+    known = ["gpl-2.0-or-later", "gplv3", "lgpl-2.1+", "apache-2.0", "cc-by-nc-sa-4.0", "cc0-1.0", "mit", "bsd-2-clause-patent", "agpl-3.0-only"]
+    assert [licenses.family(x) for x in known] == ["gpl", "gpl", "lgpl", "apache", "cc-by-nc-sa", "cc0", "mit", "bsd", "agpl"]
+
+
+@pytest.mark.parametrize("line", ["some prose words here license: mit and then more ", "license: mit or license: and ", "license: (", "x license: mit\n", "license: mit or "])
+def test_license_scans_take_time_in_proportion(line):
+    """One line of 4 MB with 10^5 tags and more; a scan that grows with the square takes hours."""
+    import time
+
+    took = []
+    for size in (1 << 20, 1 << 22):
+        text = (line * (size // len(line) + 1))[:size]
+        began = time.process_time()
+        found = licenses.scan(text)
+        took.append(time.process_time() - began)
+        assert found.n_words > 0
+    assert took[1] < 30 and took[1] < 12 * max(took[0], 0.2)
+
+
 # -- op 4
 
 
