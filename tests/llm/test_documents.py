@@ -110,6 +110,31 @@ def test_quality_edges(spark, edge, odd, empty):
     assert quality.keep(edge, labels).columns == edge.columns
 
 
+def test_quality_scores_by_brute_force(spark, small):
+    """Learns from the pairs with plain gradient steps, then scores each text by hand."""
+    import math
+
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.train(small, labels)
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    texts = dict(texts_of(small))
+    taught = [(np.float32(quality.features(texts[i])).astype(float), y) for i, y in sorted(known.items()) if i in texts]
+    x = np.array([v for v, _ in taught])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, x.std(0) + 1e-6)
+    # at the optimum the mean gradient over all pairs of unlike labels is about that of the ridge
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    good, bad = z[[y == 1 for _, y in taught]], z[[y == 0 for _, y in taught]]
+    dice = np.random.default_rng(1)
+    diff = good[dice.integers(0, len(good), 200_000)] - bad[dice.integers(0, len(bad), 200_000)]
+    gradient = -(diff / (1 + np.exp(diff @ model.weights))[:, None]).mean(0) + 1e-3 * model.weights
+    assert np.abs(gradient).max() < 5e-3
+    for r in quality.score(small, labels).collect():
+        plain = np.float32(quality.features(texts[r["doc_id"]])).astype(float)
+        raw = sum((v - m) / s * w for v, m, s, w in zip(plain, model.mean, model.spread, model.weights, strict=True))
+        score = 1 / (1 + math.exp(-max(-30, min(30, raw - model.cut + math.log(0.3 / 0.7)))))
+        assert r["score"] == pytest.approx(score, abs=1e-9) and r["predicted"] == int(r["score"] >= 0.3)
+
+
 # -- op 3
 
 
@@ -435,6 +460,23 @@ def test_packing_places_by_sum_of_squares():
             plain[got + size] = plain.get(got + size, 0) + 1
 
 
+def test_packing_stays_online():
+    """Of what isn't cut off as whole windows, at most a tenth is moved at the end of a task of 1,000 rows."""
+    dice = np.random.default_rng(3)
+    for sizes in (dice.integers(1, 2048, 1000), np.minimum(20000, dice.lognormal(5.5, 1.2, 1000).astype(int) + 1), dice.integers(60, 200, 1000)):
+        tokens = {"whole": 0, "online": 0, "moved": 0}
+        pieces = 0
+        for window in packing.pack(((i, np.zeros(n, "<u4")) for i, n in enumerate(sizes)), 2048):
+            total = sum(end - start for _, _, start, end, _ in window)
+            assert total == 2048 or total & (total - 1) == 0
+            for _, _, start, end, how in window:
+                tokens[how] += end - start
+                pieces += how == "online"
+        assert sum(tokens.values()) == sizes.sum()
+        assert tokens["moved"] < 0.1 * (tokens["online"] + tokens["moved"]), tokens
+        assert pieces < 1.6 * len(sizes)
+
+
 def test_packing_odd_rows(odd):
     rows = packing.pack_documents(odd, MODEL, PATTERN).collect()
     assert len({r["sequence_id"] for r in rows}) >= 1 and sum(r["start"] == 0 for r in rows) == 6
