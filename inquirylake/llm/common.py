@@ -37,12 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
 
-    The session's setting wins; a temporary folder is used only where none is set.
+    The session's setting wins.  Where none is set, a local master takes a temporary folder, as its
+    executor is the driver; on a cluster the folder lies in the warehouse, which all machines share.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.startswith("local["):
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df.checkpoint(eager=True)
 
 
