@@ -11,105 +11,187 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Rows of a query block, and about how many rows a shard of postings has.
-QUERIES, SHARD = 1024, 2000
-#: Components beyond this leave exact double arithmetic, so such shards use 64-bit integers.
-EXACT = 1 << 20
+#: Rows of a query block, of a shard of postings that is bounded and searched at once, and of a salt.
+QUERIES, SHARD, SALT = 1024, 8192, 1 << 19
+#: Terms that are taken at once; survivors' share above which their postings are traversed whole.
+STEP, DENSE = 8, 1 / 16
+PACKED = "dims int, peak double, ids binary, weights binary"
 
 
 def quantize(vectors: DataFrame) -> DataFrame:
-    """vec_id and components floor(256 x) as array<long>; unusable vectors are left out."""
+    """vec_id and finite components as array<double>; unusable vectors are left out."""
     x = F.col("embedding").cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~F.coalesce(bad, F.lit(True)))
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v * 256.0).cast("long")).alias("terms"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("terms"))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each number of dimensions and slice of a batch: ids and term-major weights."""
+    """One row for each number of dimensions and slice of a batch: ids and term-major weights.
+
+    Weights are floor(256 x), as 16-bit integers if all are small enough, else x itself.
+    """
     for batch in batches:
         sizes = np.asarray(batch["terms"].value_lengths())
         for dims in np.unique(sizes):
-            at = np.flatnonzero(sizes == dims)
-            part = batch.take(pa.array(at))
+            part = batch.take(pa.array(np.flatnonzero(sizes == dims)))
             ids = part["vec_id"].to_numpy().astype("<i8")
-            terms = np.asarray(part["terms"].flatten()).astype("<i8").reshape(-1, dims)
+            x = np.asarray(part["terms"].flatten()).astype("<f8").reshape(-1, dims)
             for i in range(0, len(ids), QUERIES):
-                own = terms[i : i + QUERIES]
-                small = np.abs(own).max() < 1 << 15
-                yield pa.RecordBatch.from_arrays([pa.array([int(dims)], pa.int32()), pa.array([bool(small)]), pa.array([ids[i : i + QUERIES].tobytes()]), pa.array([own.astype("<i2" if small else "<i8").T.tobytes()])], ["dims", "small", "ids", "weights"])
+                own = x[i : i + QUERIES]
+                with np.errstate(over="ignore"):
+                    terms = np.floor(own * 256)
+                peak = float(np.abs(terms).max())
+                weights = terms.astype("<i2") if peak < 1 << 15 else own
+                yield pa.RecordBatch.from_arrays([pa.array([int(dims)], pa.int32()), pa.array([peak]), pa.array([ids[i : i + QUERIES].tobytes()]), pa.array([weights.T.tobytes()])], ["dims", "peak", "ids", "weights"])
 
 
-def _postings(ids: bytes, weights: bytes, small: bool, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    terms = np.frombuffer(weights, "<i2" if small else "<i8").reshape(dims, -1)
-    exact = np.float64 if small or np.abs(terms).max(initial=0) < EXACT else np.int64
-    return np.frombuffer(ids, "<i8"), terms.astype(exact)
+def _postings(row: dict) -> tuple[np.ndarray, np.ndarray, float]:
+    """ids, term-major weights (16-bit integers, or components that are not yet scaled), peak."""
+    small = row["peak"] < 1 << 15
+    return np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["weights"], "<i2" if small else "<f8").reshape(row["dims"], -1), row["peak"]
 
 
-def search(query: np.ndarray, own: int, ids: np.ndarray, postings: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
-    """The k best (-score, id) of what was best before and this shard's rows, by MaxScore.
+def _whole(weights: np.ndarray) -> np.ndarray:
+    """floor(256 x) as Python integers, for weights that leave exact double arithmetic."""
+    if weights.dtype != np.float64:
+        return weights.astype(object)
+    return np.array([[int(x) * 256 if abs(x) > 2.0**53 else int(np.floor(x * 256)) for x in row] for row in weights.tolist()], object).reshape(weights.shape)
+
+
+def _doubles(weights: np.ndarray) -> np.ndarray:
+    return np.floor(weights * 256) if weights.dtype == np.float64 else weights.astype(np.float64)
+
+
+class Best:
+    """The k best scores and ids of each query of a block, best first, ties by the smaller id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.scores, self.ids = np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
 
-    A term's contribution lies between bounds that its weights in the shard give.  Terms are taken
-    by the width of their bounds.  While the k-th score stands below what the remaining terms could
-    still add to any row, terms are essential: their postings are traversed for all rows.  From
-    then on only rows whose partial score and remaining bound still compete are probed.
+    def floors(self) -> np.ndarray:
+        """What a row must reach to count: each query's k-th score so far."""
+        return self.scores[:, -1] if self.k else np.full(len(self.scores), np.inf)
+
+    def add(self, query: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
+        old = np.isfinite(self.scores)
+        q = np.concatenate([np.nonzero(old)[0], query])
+        s = np.concatenate([self.scores[old], score])
+        i = np.concatenate([self.ids[old], ids])
+        order = np.lexsort((i, -s, q))
+        q, s, i = q[order], s[order], i[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        kept = rank < self.k
+        self.scores[:] = -np.inf
+        self.scores[q[kept], rank[kept]], self.ids[q[kept], rank[kept]] = s[kept], i[kept]
+
+
+def search_block(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, postings: np.ndarray, best: Best) -> None:
+    """Adds one shard's rows to what is best for each query, by MaxScore.
+
+    A term's contribution lies between bounds that its weights in the shard give; terms are taken
+    by the width of their bounds.  A query's terms are essential up to where a row that has no more
+    than the least of them could still reach the k-th score with all of the others; so the split
+    follows the threshold, which rises from shard to shard.  Essential postings are traversed for
+    all rows, as a product over the queries that have equally many; the other terms are probed for
+    those rows that still compete, a few terms at a time.
     """
+    terms, n = postings.shape
     low, high = postings.min(1), postings.max(1)
-    ends = np.stack([query * low, query * high])
-    least, most = ends.min(0), ends.max(0)
-    order = np.argsort(least - most, kind="stable")
-    left = np.append(np.cumsum(most[order][::-1])[::-1], 0)  # what the terms from here on can add
-    rest = np.append(np.cumsum((most - least)[order][::-1])[::-1], 0)
-    floor = -best[k - 1][0] if len(best) >= k else None
-    # the widest terms are essential: the others can't lift an average row over the threshold
-    essential = int(np.searchsorted(-rest, -rest[0] / 4)) if len(order) > 8 else len(order)
-    partial = query[order[:essential]] @ postings[order[:essential]]
-    rows = np.arange(len(ids))
-    if own is not None:
-        keep = ids != own
-        rows, partial = rows[keep], partial[keep]
-    for at in range(essential, len(order) + 1, 8):
-        if len(rows) > k:
-            # each row is sure of its partial score and the least that the rest can add
-            sure = partial + least[order[at:]].sum()
-            bar = np.partition(sure, len(sure) - k)[len(sure) - k]
-            bar = bar if floor is None else max(bar, floor)
-            keep = partial + left[min(at, len(order))] >= bar
-            rows, partial = rows[keep], partial[keep]
-        step = order[at : at + 8]
-        if len(step):
-            partial = partial + query[step] @ postings[np.ix_(step, rows)]
-    if len(rows) > 4 * k:
-        bar = np.partition(partial, len(partial) - k)[len(partial) - k]
-        rows, partial = rows[partial >= bar], partial[partial >= bar]
-    found = [(-int(s), int(i)) for s, i in zip(partial, ids[rows], strict=True)]
-    return sorted(best + found)[:k]
+    least, most = np.minimum(queries * low, queries * high), np.maximum(queries * low, queries * high)
+    order = np.argsort(-(most - least).sum(0), kind="stable")
+    queries, postings, least, most = queries[:, order], postings[order], least[:, order], most[:, order]
+    nothing = np.zeros((len(queries), 1))
+    upper = np.hstack([np.cumsum(most[:, ::-1], axis=1)[:, ::-1], nothing])  # what the terms from here on can add
+    lower = np.hstack([nothing, np.cumsum(least, axis=1)])  # what the terms up to here add at least
+    floors = best.floors()
+    open_ = lower + upper >= floors[:, None]  # falls with the number of essential terms
+    essential = np.minimum(terms, -(-open_.sum(1) // STEP) * STEP)
+    for at in np.unique(essential).tolist():
+        group = np.flatnonzero(essential == at)
+        if not at:  # no row of the shard can compete
+            continue
+        own_queries, floor = queries[group], floors[group]
+        partial = own_queries[:, :at] @ postings[:at]
+        partial[own[group][:, None] == ids[None]] = -np.inf
+        while True:
+            if at == terms and n > best.k:
+                floor = np.maximum(floor, np.partition(partial, n - best.k, axis=1)[:, n - best.k])
+            alive = (partial + upper[group, at][:, None] >= floor[:, None]) & (partial > -np.inf)
+            found = int(alive.sum())
+            if at == terms or found < DENSE * alive.size:
+                break
+            step = slice(at, min(terms, at + STEP))
+            partial += own_queries[:, step] @ postings[step]
+            at = step.stop
+        q, rows = np.nonzero(alive)
+        score = partial[q, rows]
+        while at < terms and len(q):
+            step = slice(at, min(terms, at + STEP))
+            score = score + np.einsum("ij,ji->i", own_queries[q, step], postings[step, rows])
+            at = step.stop
+            kept = score + upper[group[q], at] >= floor[q]
+            q, rows, score = q[kept], rows[kept], score[kept]
+        best.add(group[q], score, ids[rows])
 
 
-def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Joined rows of a query block and a shard, ordered by block; results of a block's shards."""
-    best, block, queries = {}, None, None
+def search(query: np.ndarray, own: int, ids: np.ndarray, postings: np.ndarray, best: list[tuple[int, int]], k: int) -> list[tuple[int, int]]:
+    """The k best (-score, id) of what was best before and this shard's rows, for a single query."""
+    state = Best(1, k)
+    state.add(np.zeros(len(best), np.int64), np.array([-s for s, _ in best], np.float64), np.array([i for _, i in best], np.int64))
+    search_block(np.asarray(query, np.float64)[None], np.array([own]), np.asarray(ids), np.asarray(postings, np.float64), state)
+    return [(-int(s), int(i)) for s, i in zip(state.scores[0], state.ids[0], strict=True) if np.isfinite(s)]
 
-    def out() -> pa.RecordBatch:
-        rows = [(q, i, -s) for (q, _), found in best.items() for s, i in found]
-        columns = list(zip(*rows, strict=True)) or [[], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
+def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Packed rows ordered by salt, dims and kind: a salt's postings, then each query block once."""
+    at, shards, held = None, [], []
     for batch in batches:
         for row in batch.to_pylist():
-            if (row["q"], row["salt"]) != block:
-                if best:
-                    yield out()
-                block, best = (row["q"], row["salt"]), {}
-                queries = _postings(row["q_ids"], row["q_weights"], row["q_small"], row["dims"])
-            ids, postings = _postings(row["ids"], row["weights"], row["small"], row["dims"])
-            for n, query in enumerate(queries[1].T):
-                own = int(queries[0][n])
-                if postings.dtype != query.dtype:
-                    query, postings = query.astype(np.int64), postings.astype(np.int64)
-                best[own, n] = search(query, own, ids, postings, best.get((own, n), []), k)
-    if best:
-        yield out()
+            if (row["salt"], row["dims"]) != at:
+                at, shards, held = (row["salt"], row["dims"]), [], []
+            if not row["asked"]:
+                held.append(_postings(row))
+                continue
+            if held:
+                shards, held = list(_shards(held)), []
+            if shards:
+                yield _answer(*_postings(row), shards, k)
+
+
+def _shards(held: list[tuple[np.ndarray, np.ndarray, float]]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """Packed postings of like precision put together, so that a shard has about SHARD rows."""
+    for small in (True, False):
+        some = [x for x in held if (x[1].dtype != np.float64) == small]
+        each = max(1, SHARD // QUERIES)
+        for i in range(0, len(some), each):
+            part = some[i : i + each]
+            yield np.concatenate([x[0] for x in part]), np.concatenate([x[1] for x in part], axis=1), max(x[2] for x in part)
+
+
+def _answer(own: np.ndarray, weights: np.ndarray, peak: float, shards: list, k: int) -> pa.RecordBatch:
+    dims = len(weights)
+    exact = [dims * (peak + 1) * (x[2] + 1) < 2.0**53 for x in shards]
+    state = Best(len(own), k)
+    if any(exact):
+        queries = np.ascontiguousarray(_doubles(weights).T)
+        for (ids, postings, _), fine in zip(shards, exact, strict=True):
+            if fine:
+                search_block(queries, own, ids, _doubles(postings), state)
+    fine = np.isfinite(state.scores)
+    rows = [(int(own[q]), int(i), int(s)) for q, i, s in zip(np.nonzero(fine)[0], state.ids[fine], state.scores[fine], strict=True)]
+    if not all(exact):
+        queries = _whole(weights).T
+        for (ids, postings, _), fine in zip(shards, exact, strict=True):
+            if not fine:
+                whole = _whole(postings)
+                for n, query in enumerate(queries):
+                    scores = query @ whole
+                    best = sorted(((-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True) if i != own[n]))[:k]
+                    rows += [(int(own[n]), i, max(-(1 << 63), min((1 << 63) - 1, -s))) for s, i in best]
+    columns = list(zip(*rows, strict=True)) or [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
@@ -118,22 +200,23 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     Queries are the rows whose vec_id is divisible by ``every``; candidates are all rows of as many
     components but those with the query's own vec_id.  Ties go to the smaller vec_id.  Left out are
     rows with a null vec_id, and null or empty vectors and those with null or non-finite
-    components.  Repeated vec_ids: one query, of the least vector, and each row a candidate.  With
-    fewer candidates than k all are returned; an empty table gives no rows; other columns are
-    ignored.  Query blocks of bounded size meet all shards; both sides are packed, so a block and a
-    shard are one joined row, and each shard gives k rows a query at most.
+    components.  Scores that leave exact doubles are computed in whole numbers; one beyond 64 bits
+    is given (and ranked) as the nearest 64-bit number.  Repeated vec_ids: one query, of the least
+    vector, and each row a candidate.  With fewer candidates than k all are returned; an empty table
+    gives no rows; other columns are ignored.
+
+    Postings are dealt once, by salt, and stay there; each salt reads the packed query blocks once
+    and gives out k rows a query at most.  The number of salts bounds the postings that a task holds.
     """
     spark = vectors.sparkSession
     rows = quantize(vectors)
-    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("terms").alias("terms"))
-    asked = common.checkpoint(asked)
+    asked = common.checkpoint(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("terms").alias("terms")))
     n = max(1, -(-asked.count() // QUERIES))
-    packed = "dims int, small boolean, ids binary, weights binary"
-    blocks = common.checkpoint(common.arrow_map(asked.repartition(n), _pack, packed).withColumn("q", F.monotonically_increasing_id()))
-    salts = common.partitions(spark)
-    shards = common.arrow_map(rows, _pack, packed).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"))
-    asked_at = blocks.select("q", "dims", F.col("small").alias("q_small"), F.col("ids").alias("q_ids"), F.col("weights").alias("q_weights"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    joined = shards.join(asked_at, ["dims", "salt"]).repartition(salts, "q", "salt").sortWithinPartitions("q", "salt")
-    found = common.arrow_map(joined.select("q", "salt", "dims", "q_small", "q_ids", "q_weights", "small", "ids", "weights"), _search, "query_id long, vec_id long, score long", k)
+    salts = max(common.partitions(spark), -(-vectors.count() // SALT))
+    kept = ["salt", "dims", "asked", "peak", "ids", "weights"]
+    shards = common.arrow_map(rows, _pack, PACKED).withColumns({"salt": F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"), "asked": F.lit(False)})
+    blocks = common.arrow_map(asked.repartition(n), _pack, PACKED).withColumns({"salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), "asked": F.lit(True)})
+    dealt = shards.select(kept).unionByName(blocks.select(kept)).repartition(salts, "salt").sortWithinPartitions("salt", "dims", "asked")
+    found = common.arrow_map(dealt, _search, "query_id long, vec_id long, score long", k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -101,6 +101,36 @@ def test_max_score_prunes_and_stays_exact():
         assert best == sorted((-int(s), int(i)) for s, i in zip(query @ postings, ids, strict=True) if i != 3)[:5]
 
 
+def test_essential_terms_follow_the_threshold(monkeypatch):
+    """The higher the k-th score already stands, the fewer postings are traversed."""
+    dice = np.random.default_rng(8)
+    postings, queries = np.floor(dice.normal(size=(64, 4000)) * 30), np.floor(dice.normal(size=(20, 64)) * 30)
+    exact = np.sort(queries @ postings, axis=1)[:, ::-1]
+    widths = []
+    for rank in (4000, 2000, 5):
+        best = topk.Best(20, 5)
+        best.scores[:] = exact[:, rank - 1][:, None]
+        best.ids[:] = 10**9
+        traversed = []
+        monkeypatch.setattr(topk.np, "unique", lambda x, f=np.unique, t=traversed: (t.append(x.mean()), f(x))[1])
+        topk.search_block(queries, np.full(20, -1), np.arange(4000), postings, best)
+        monkeypatch.undo()
+        widths.append(traversed[0])
+        assert (best.scores[:, 0] == exact[:, 0]).all()
+    assert widths[0] > widths[1] > widths[2]
+
+
+def test_top_k_beyond_exact_doubles(spark):
+    rows = [(0, [1.0, 0.0]), (1, [-1e300, 1.0]), (2, [1e9 + 0.123, 3.0]), (3, [1e9 + 0.127, 3.0]), (50, [1e9, 1.0]), (100, [1.7e308, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(x) * 256 if abs(x) > 2**60 else int(np.floor(x * 256)) for x in v] for i, v in rows}
+    expected = {}
+    for q in (0, 50, 100):
+        found = sorted((max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[q], whole[i], strict=True)))) * -1, i) for i in whole if i != q)
+        expected |= {(q, n + 1): (i, -s) for n, (s, i) in enumerate(found[:5])}
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(df).collect()} == expected
+
+
 def test_empty_tables(spark, vectors):
     none = vectors.limit(0)
     assert multiindex.near_duplicates(none).count() == 0
