@@ -12,15 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: An odd multiplier of the polynomial hash modulo 2^64, its inverse, and two mixers.
-BASE = 0x9E3779B97F4A7C15 | 1
+#: Odd multipliers of two polynomial hashes modulo 2^64, and their inverses.
+BASE, SECOND = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 INVERSE = pow(BASE, -1, 1 << 64)
+_INVERSES = {BASE: INVERSE, SECOND: pow(SECOND, -1, 1 << 64)}
 #: Tokens that are hashed at once.
 SEGMENT = 1 << 20
 #: Windows of one run at most, so that a long monotone text doesn't make one long run.
 LONGEST = 1 << 12
 
-_powers = {BASE: np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
+_powers = {base: np.ones(1, np.uint64) for pair in _INVERSES.items() for base in pair}
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -47,10 +48,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def prefixes(tokens: np.ndarray) -> np.ndarray:
-    """p[i] = sum of tokens[j] * BASE^j for j < i, modulo 2^64."""
+def prefixes(tokens: np.ndarray, base: int = BASE) -> np.ndarray:
+    """p[i] = sum of tokens[j] * base^j for j < i, modulo 2^64."""
     out = np.zeros(len(tokens) + 1, np.uint64)
-    np.cumsum(tokens * powers(BASE, len(tokens)), out=out[1:])
+    np.cumsum(tokens * powers(base, len(tokens)), out=out[1:])
     return out
 
 
@@ -59,12 +60,17 @@ def spans(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((prefix[end] - prefix[start]) * powers(INVERSE, len(prefix))[start] + (end - start).astype(np.uint64))
 
 
-def grams(prefix: np.ndarray, size: int) -> np.ndarray:
+def grams(prefix: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
     """The hash of each run of ``size`` tokens."""
     n = len(prefix) - size
     if n <= 0:
         return np.zeros(0, np.uint64)
-    return mix((prefix[size:] - prefix[:-size]) * powers(INVERSE, n) + np.uint64(size))
+    return mix((prefix[size:] - prefix[:-size]) * powers(_INVERSES[base], n) + np.uint64(size))
+
+
+def both_grams(tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each run of ``size`` tokens, of unlike token values and multipliers."""
+    return grams(prefixes(tokens), size), grams(prefixes(mix(tokens ^ np.uint64(0xA5A5F00DD00DF5A5)), SECOND), size, SECOND)
 
 
 def least(x: np.ndarray, width: int) -> np.ndarray:

@@ -16,17 +16,21 @@ from . import anchors, common, repeats
 GRAM = 5
 
 
-def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch], width: int, hot: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         tokens, _, _, bounds = anchors.words(*anchors.flat(batch["text"]))
-        yield repeats.batch(batch["key"].to_numpy(), anchors.runs(tokens, bounds, width, min(GRAM, width)), True)
+        yield repeats.batch(batch["key"].to_numpy(), anchors.runs(tokens, bounds, width, min(GRAM, width)), True, hot)
+
+
+def _counts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    return repeats.count_anchors(_runs(batches, width))
 
 
 def _edges(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Single edges of the runs listed for each text, under two hashes."""
     for batch in batches:
         tokens, _, _, bounds = anchors.words(*anchors.joined(common.bodies(batch["body"])))
-        one, two = anchors.grams(anchors.prefixes(tokens), width), anchors.grams(anchors.prefixes(repeats.second(tokens)), width)
+        one, two = anchors.both_grams(tokens, width)
         text, at = repeats.listed(batch)
         place = bounds[text] + at
         keep = place < bounds[text + 1] - width + 1  # another text of the same doc_id may be shorter
@@ -70,7 +74,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], digests], ["key", "n_words", "n_removed", "kept_sha256"])
 
 
-def paths(docs: DataFrame, bodies: DataFrame, width: int = 13) -> DataFrame:
+def paths(docs: DataFrame, bodies: DataFrame, width: int = 13, hot: int = repeats.HOT) -> DataFrame:
     """key, start, words: verified passages whose every window also starts in an earlier document.
 
     Edges are windows of ``width`` words between nodes of one word less; runs of edges that share
@@ -79,7 +83,7 @@ def paths(docs: DataFrame, bodies: DataFrame, width: int = 13) -> DataFrame:
     Runs without a predecessor head a path; each path is one span with one source.  Last, the
     words at both coordinates of each path are compared by a 128-bit digest of the words.
     """
-    runs = common.arrow_map(docs, _runs, repeats.RUN, width)
+    runs = common.arrow_map(docs, _runs, repeats.RUN, width, repeats.hot_anchors(docs, _counts, hot, width))
     found = common.checkpoint(repeats.shared(runs, True))
     single = common.arrow_map(repeats.at_places(bodies, found.where("not removed").select("key", "start", "count")), _edges, repeats.RUN, width)
     columns = ["key", "start", "count", "from_key", "from_start"]
@@ -100,7 +104,7 @@ def paths(docs: DataFrame, bodies: DataFrame, width: int = 13) -> DataFrame:
     return own.join(source, ["from_key", "from_start", "from_words"]).where("digest = from_digest").select("key", "start", "words")
 
 
-def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequence[str] = (), hot: int = repeats.HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (or with digest kept_sha256), and ``carry``, for each row.
 
     Removes each word that a window of ``width`` words covers whose words also start in a document
@@ -113,7 +117,7 @@ def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequenc
     """
     carried = {f"carried{i}": F.col(name) for i, name in enumerate(() if digest else carry)}
     bodies = common.packed(repeats.keyed(docs, carried))
-    rows = repeats.at_places(bodies, paths(repeats.keyed(docs), bodies.select("key", "body"), width), "left")
+    rows = repeats.at_places(bodies, paths(repeats.keyed(docs), bodies.select("key", "body"), width, hot), "left")
     if digest:
         rows = common.arrow_map(rows, _digested, "key long, n_words long, n_removed long, kept_sha256 string")
     else:
