@@ -126,6 +126,31 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of a key from which it may be hot, and keys that may be hot at once.
+HOT, MOST_HOT = 512, 4096
+
+
+def split_join(rows: DataFrame, other: DataFrame, key: list[str], weights: DataFrame) -> DataFrame:
+    """rows joined with other on key, where a key of rows that is hot is dealt over all tasks.
+
+    weights holds key and n, about how many rows have it.  Hot is a key with more than a quarter of a
+    task's share; as those are at most MOST_HOT, they may be broadcast.  Only their rows in other
+    are repeated, once for each task, so other should have few rows a key.
+    """
+    spark = rows.sparkSession
+    tasks = partitions(spark)
+    total = weights.agg(F.sum("n")).first()[0] or 0
+    least = max(HOT, total // min(4 * tasks, MOST_HOT))
+    hot = weights.where(F.col("n") > least).select(*key).limit(MOST_HOT).collect()
+    if not hot:
+        return rows.join(other, key)
+    hot = F.broadcast(spark.createDataFrame(hot, weights.select(*key).schema).distinct().withColumn("hot_", F.lit(True)))
+    dealt = rows.join(hot, key, "left").withColumn("salt_", F.when(F.col("hot_"), F.pmod(F.xxhash64(*rows.columns), F.lit(tasks))).otherwise(0).cast("int")).drop("hot_")
+    each = F.when(F.col("hot_"), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
+    copies = other.join(hot, key, "left").withColumn("salt_", F.explode(each)).drop("hot_")
+    return dealt.join(copies, [*key, "salt_"]).drop("salt_")
+
+
 def with_text(docs: DataFrame) -> DataFrame:
     """doc_id and text (null: empty), whatever other columns there are."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

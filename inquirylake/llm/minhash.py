@@ -111,22 +111,25 @@ def _hopeful(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
     for batch in batches:
         if batch.num_rows:
             one, two = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("packed", "packed_b"))
-            yield batch.select(["a", "b"]).filter(pa.array(estimate(one, two) >= least))
+            yield batch.select(["a", "b", "n"]).filter(pa.array(estimate(one, two) >= least))
 
 
 def _confirm(group: pa.Table, size: int, percent: int) -> pa.Table:
-    """Of one hub's documents, those whose sets are similar enough to the hub's."""
+    """Of one hub's documents, those whose sets are similar enough to the hub's (any of its texts)."""
     ids = np.asarray(group["id"])
     sets = shingle_sets(*anchors.joined(common.bodies(group["body"])), size)
-    hub_at = int(np.flatnonzero(ids == group["a"][0].as_py())[0])
-    hub, kept = sets[hub_at], []
+    hub_id = group["a"][0].as_py()
+    hubs = list({sets[i].tobytes(): sets[i] for i in np.flatnonzero(ids == hub_id)}.values())
+    kept = []
     for i, s in enumerate(sets):
-        if i != hub_at:
-            both = len(np.intersect1d(hub, s, assume_unique=True))
-            if 100 * both >= percent * (len(hub) + len(s) - both):
-                kept.append(ids[i])
-    kept = np.array(kept, np.int64)
-    return pa.table({"a": pa.array(np.full(len(kept), ids[hub_at])), "b": pa.array(kept)})
+        if ids[i] != hub_id:
+            for hub in hubs:
+                both = len(np.intersect1d(hub, s, assume_unique=True))
+                if both and 100 * both >= percent * (len(hub) + len(s) - both):
+                    kept.append(ids[i])
+                    break
+    kept = np.unique(np.array(kept, np.int64))
+    return pa.table({"a": pa.array(np.full(len(kept), hub_id, np.int64)), "b": pa.array(kept)})
 
 
 def _flag(group: pa.Table, least: float) -> pa.Table:
@@ -188,12 +191,15 @@ def _links(group: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough; a is compared with many b at once."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB).cast("int").alias("salts"))
-    dealt = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
+def confirm(pairs: DataFrame, counts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough; a is compared with many b at once.
+
+    pairs has a, b and n, about how many pairs a has; counts has a and n.
+    """
+    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / HUB)).cast("int"))
     wanted = dealt.select("a", "salt", F.explode(F.array("a", "b")).alias("id")).distinct()
-    return common.arrow_groups(wanted.join(texts, "id"), ["a", "salt"], _confirm, "a long, b long", size, percent)
+    with_text = common.split_join(wanted, texts, ["id"], counts.select(F.col("a").alias("id"), F.ceil(F.col("n") / HUB).alias("n")))
+    return common.arrow_groups(with_text, ["a", "salt"], _confirm, "a long, b long", size, percent)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -214,59 +220,76 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     sketches = common.checkpoint(common.arrow_map(texts, _sketch, "doc_id long, n_shingles long, d1 long, d2 long, packed binary, buckets array<long>", shingle))
     usable = sketches.where("n_shingles > 0 and doc_id is not null")
     key = ["n_shingles", "d1", "d2"]
-    # a class's signature is that of any of its documents, as their sets are equal
-    classes = usable.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    reps = usable.join(classes, key).where("doc_id = rep").select("rep", "packed", "buckets").dropDuplicates(["rep"])
-    banded = reps.select("rep", F.explode("buckets").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("size")).where("hub < last").select("bucket", "hub", "size")
-    members = common.checkpoint(banded.join(shared, "bucket"))
-    signatures = common.checkpoint(members.select("rep").distinct().join(reps, "rep"))
+    # equal sets have equal signatures, so these may stand among the keys
+    classes = common.checkpoint(usable.groupBy(*key, "packed", "buckets").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
+    signatures = classes.select("rep", "packed")
+    banded = classes.select("rep", F.explode("buckets").alias("bucket"))
+    shared = common.checkpoint(banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("n")).where("hub < last"))
+    members = common.checkpoint(common.split_join(banded, shared.select("bucket", "hub"), ["bucket"], shared))
     least = percent / 100 - ERRORS * error(percent / 100)
-    pairs = members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    both = pairs.join(signatures.select(F.col("rep").alias("a"), "packed"), "a").join(signatures.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
-    hopeful = common.checkpoint(common.arrow_map(both.select("a", "b", "packed", "packed_b"), _hopeful, "a long, b long", least))
+    pairs = common.checkpoint(members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
+    counts = common.checkpoint(pairs.groupBy("a").agg(F.count("*").alias("n")))
+    hubs = counts.join(signatures.withColumnRenamed("rep", "a"), "a")
+    both = common.split_join(pairs, hubs, ["a"], counts).join(signatures.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
+    hopeful = common.checkpoint(common.arrow_map(both.select("a", "b", "n", "packed", "packed_b"), _hopeful, "a long, b long, n long", least))
     bodies = common.packed(texts.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text"))
-    links = common.checkpoint(confirm(hopeful, bodies, shingle, percent))
+    links = common.checkpoint(confirm(hopeful, counts, bodies, shingle, percent).unionByName(_same_ids(usable, classes, key)))
 
     parts = components(links)
-    placed = signatures.select("rep").join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.select("rep").distinct().join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
     placed = common.checkpoint(placed)
-    in_part = members.join(placed, "rep")
-    low = in_part.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket", "low")
-    split = in_part.join(low, "bucket").join(signatures, "rep").select("bucket", "size", F.col("rep").alias("id"), "component", "low", "packed", "buckets")
-    flagged = common.checkpoint(common.arrow_groups(_blocks(split, ["packed", "buckets"]), ["bucket", "m", "v"], _flag, "bucket long, id long", least).distinct())
+    split = _blocks(members.select("bucket", "rep").join(placed, "rep").withColumnRenamed("rep", "id"))
+    split = split.join(classes.select(F.col("rep").alias("id"), "packed", "buckets"), "id")
+    flagged = common.checkpoint(common.arrow_groups(split, ["bucket", "m", "v"], _flag, "bucket long, id long", least).distinct())
     wanted = flagged.select("id").distinct().join(bodies, "id")
-    sets = common.arrow_map(wanted, _sets, "id long, shingles binary", shingle).dropDuplicates(["id"])
-    sizes = flagged.groupBy("bucket").agg(F.count("*").alias("size"))
-    rest = flagged.join(sizes, "bucket").join(placed.withColumnRenamed("rep", "id"), "id").join(low, "bucket").join(sets, "id")
-    more = common.arrow_groups(_blocks(rest, ["shingles"]), ["bucket", "m", "v"], _links, "a long, b long", percent)
+    sets = common.arrow_map(wanted, _sets, "id long, shingles binary", shingle).distinct()
+    rest = _blocks(flagged.join(placed.withColumnRenamed("rep", "id"), "id")).join(sets, "id")
+    more = common.arrow_groups(rest, ["bucket", "m", "v"], _links, "a long, b long", percent)
     parts = components(links.unionByName(common.checkpoint(more)))
 
     classed = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
-    linked = usable.select("doc_id", *key).join(classed, key).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    linked = common.split_join(usable.select("doc_id", *key), classed, key, classes).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     unlinked = sketches.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(unlinked).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _same_ids(usable: DataFrame, classes: DataFrame, key: list[str]) -> DataFrame:
+    """Links between a repeated doc_id and the classes that its rows belong to."""
+    repeated = usable.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high")).where("low < high").select("doc_id")
+    rows = usable.join(repeated, "doc_id").select("doc_id", *key).distinct()
+    return rows.join(classes.select(*key, "rep"), key).where("rep <> doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+
+
 def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows, with all their columns, of each group's smallest doc_id; one row a doc_id.
+    """The rows, with all their columns, of each group's smallest doc_id, once for each of its texts.
 
-    Rows of a null doc_id all stay; other cases as in near_duplicates.
+    So rows that repeat doc_id and text of another go; rows of a null doc_id all stay; other cases
+    as in near_duplicates.  Columns of any names pass through.
     """
-    kept = near_duplicates(docs, shingle, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["kept_id"]).select(*(docs[c] for c in docs.columns))
-    once = Window.partitionBy("doc_id").orderBy("doc_id")  # the join has left the rows in this order
-    rows = rows.withColumn("_row", F.row_number().over(once)).where("_row = 1").drop("_row")
+    fresh = "kept_"
+    while fresh in docs.columns:
+        fresh += "_"
+    kept = near_duplicates(docs, shingle, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias(fresh)).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept[fresh]).select(*(docs[c] for c in docs.columns))
+    once = Window.partitionBy("doc_id", F.xxhash64("text"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))).orderBy("doc_id")
+    rows = rows.withColumn(fresh, F.row_number().over(once)).where(F.col(fresh) == 1).drop(fresh)
     return rows.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
-def _blocks(rows: DataFrame, more: list[str]) -> DataFrame:
-    """Members and visitors of buckets, dealt so that each pair of blocks meets in one group.
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Members and visitors of buckets that hold several components, dealt so that each pair of
+    blocks meets in one group: bucket, m, v, visitor, id, component.
 
-    Pairs within the component that ``low`` names need no comparison, so its rows don't visit.
+    rows has bucket, id and component.  Pairs within a bucket's largest component need no
+    comparison, so its rows don't visit; both sides are cut by their own numbers.
     """
-    dealt = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    one = dealt.select("bucket", F.col("block").alias("m"), each.alias("v"), F.lit(False).alias("visitor"), "id", "component", *more)
-    two = dealt.where("component <> low").select("bucket", each.alias("m"), F.col("block").alias("v"), F.lit(True).alias("visitor"), "id", "component", *more)
+    rows = common.checkpoint(rows)
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    largest = parts.groupBy("bucket").agg(F.sum("k").alias("n"), F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    plan = common.checkpoint(largest.select("bucket", "n", F.col("top.component").alias("base"), F.ceil(F.col("n") / BLOCK).cast("int").alias("mb"), F.ceil((F.col("n") - F.col("top.k")) / BLOCK).cast("int").alias("vb")))
+    dealt = common.split_join(rows, plan.drop("n"), ["bucket"], plan)
+    block = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
+    each = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    one = dealt.select("bucket", block("mb").alias("m"), each("vb").alias("v"), F.lit(False).alias("visitor"), "id", "component")
+    two = dealt.where("component <> base").select("bucket", each("mb").alias("m"), block("vb").alias("v"), F.lit(True).alias("visitor"), "id", "component")
     return one.unionByName(two)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -119,10 +119,19 @@ def blocks(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
+def _listed(cells: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each row's list of cells holds each of the wanted ones (sorted)."""
+    seen = np.isin(cells, wanted)
+    out = np.zeros((len(sizes), len(wanted)), bool)
+    out[np.repeat(np.arange(len(sizes)), sizes)[seen], np.searchsorted(wanted, cells[seen])] = True
+    return out
+
+
 def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
     """Visitors against members: counts of links, and an edge to each component that is linked.
 
-    A member that doesn't visit the visitor's own cell has its links counted here too.
+    Only members whose own cell the visitor visits count.  A member that doesn't visit the visitor's
+    own cell has its links counted here too.
     """
     member = np.asarray(group["member"])
     ids, copies = np.asarray(group["rep"]), np.asarray(group["copies"])
@@ -132,11 +141,11 @@ def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
     m_ids, q_ids = ids[order], ids[~member]
     cells = group["cells"].combine_chunks()
     sizes, listed = np.asarray(cells.value_lengths(), np.int64), np.asarray(cells.flatten())
-    own, own_at = np.unique(listed[np.cumsum(sizes) - sizes][~member], return_inverse=True)
-    seen = np.isin(listed, own)
-    visited = np.zeros((len(ids), len(own)), bool)
-    visited[np.repeat(np.arange(len(ids)), sizes)[seen], np.searchsorted(own, listed[seen])] = True
-    visited, q_copies = visited[order], copies[~member]
+    owns = listed[np.cumsum(sizes) - sizes]
+    own, own_at = np.unique(owns[~member], return_inverse=True)
+    visited, q_copies = _listed(listed, sizes, own)[order], copies[~member]
+    held, held_at = np.unique(owns[order], return_inverse=True)
+    visits = _listed(listed, sizes, held)[~member]
     part = blocks(m @ m.T >= threshold)
     by_part = np.argsort(part, kind="stable")
     part_ids, starts = np.unique(part[by_part], return_index=True)
@@ -144,7 +153,7 @@ def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
     if len(m_ids):
         for at in range(0, len(q_ids), 1024):
             near = q[at : at + 1024] @ m.T >= threshold
-            near &= q_ids[at : at + 1024, None] != m_ids[None]
+            near &= (q_ids[at : at + 1024, None] != m_ids[None]) & visits[at : at + 1024, held_at]
             links = near @ copies[order]
             rows, parts = np.nonzero(np.logical_or.reduceat(near[:, by_part], starts, axis=1))
             first = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
@@ -169,15 +178,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = S
     all its rows link with each other and have the same other links.  An empty table gives no rows;
     other columns are ignored.
 
-    The codebooks are fitted on at most ``sample`` classes; all classes are indexed.  Large cells
-    are compared in blocks of members and visitors, so no task holds a whole cell.
+    The codebooks are fitted on at most ``sample`` classes; all classes are indexed.  Cells are
+    compared in blocks of members and visitors, so no task holds a large cell whole.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("string").alias("label"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("embedding", lambda x: x != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
-    classes = common.checkpoint(rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")))
+    digest = [F.xxhash64("embedding").alias("d1"), F.xxhash64(F.lit(1), "embedding").alias("d2")]
+    classes = rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    classes = common.checkpoint(classes.select("*", *digest))
     results = None
     for dims, n in sorted((r[0], r[1]) for r in classes.groupBy(F.size("embedding")).count().collect()):
         some = classes.where(F.size("embedding") == dims)
@@ -191,20 +202,33 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = S
     linked = results.groupBy(F.col("rep")).agg(F.sum("links").alias("links"))
     parts = components(results.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     known = classes.join(linked, "rep", "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("label", "embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    usable_rows = rows.where("usable").join(known, ["label", "embedding"]).select("vec_id", "n_links", F.col("component").alias("component_id"))
+    known = known.select("label", "d1", "d2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    asked = rows.where("usable").select("vec_id", "label", *digest)
+    usable_rows = common.split_join(asked, known, ["label", "d1", "d2"], classes.withColumnRenamed("copies", "n")).select("vec_id", "n_links", F.col("component").alias("component_id"))
     rest = rows.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return usable_rows.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
 def _links(classes: DataFrame, index: Index, dims: int, threshold: float) -> DataFrame:
-    """rep, links, to: links in a cell (each pair once for either end), and one node of each linked part."""
-    visits = common.arrow_map(classes.select("rep", "label", "copies", "embedding"), _visits, "rep long, label string, copies long, embedding array<double>, cells array<int>", index, dims)
-    visits = common.checkpoint(visits).select("rep", "label", "copies", "embedding", "cells", F.posexplode("cells").alias("at", "cell"))
-    sizes = visits.groupBy("label", "cell").agg(F.count_if(F.col("at") == 0).alias("members"), F.count("*").alias("visitors"))
-    sizes = sizes.where("members > 0").select("label", "cell", F.ceil(F.col("members") / MEMBERS).cast("int").alias("mb"), F.ceil(F.col("visitors") / VISITORS).cast("int").alias("qb"))
-    dealt = visits.join(sizes, ["label", "cell"])
-    members = dealt.where("at = 0").withColumns({"m": F.pmod(F.xxhash64("rep"), F.col("mb")).cast("int"), "q": F.explode(F.sequence(F.lit(0), F.col("qb") - 1)), "member": F.lit(True)})
-    visitors = dealt.withColumns({"q": F.pmod(F.xxhash64("rep", F.lit(1)), F.col("qb")).cast("int"), "m": F.explode(F.sequence(F.lit(0), F.col("mb") - 1)), "member": F.lit(False), "cells": F.slice("cells", 1, 1)})
-    kept = ["label", "cell", "m", "q", "member", "rep", "copies", "embedding", "cells"]
-    return common.arrow_groups(members.select(kept).unionByName(visitors.select(kept)), ["label", "cell", "m", "q"], _compare, "rep long, links long, to long", dims, threshold)
+    """rep, links, to: links in a block (each pair once for either end), and one node of each linked part.
+
+    A label's cells are put together in their order, or cut, to blocks of about MEMBERS rows.  What
+    is dealt are numbers; a vector crosses the shuffle once for each block that it visits.
+    """
+    numbered = classes.select(F.monotonically_increasing_id().alias("number"), "rep", "label", "copies", "embedding")
+    vectors = common.checkpoint(common.arrow_map(numbered, _visits, "number long, rep long, label string, copies long, embedding array<double>, cells array<int>", index, dims))
+    visits = vectors.select("number", "label", F.posexplode("cells").alias("at", "cell"))
+    sizes = common.checkpoint(visits.groupBy("label", "cell").agg(F.count_if(F.col("at") == 0).alias("members"), F.count("*").alias("n")))
+    before = Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as the grid has cells at most
+    first = F.floor(F.coalesce(F.sum("members").over(before), F.lit(0)) / MEMBERS).cast("int")
+    cells = sizes.where("members > 0").select("label", "cell", first.alias("first"), F.ceil(F.col("members") / MEMBERS).cast("int").alias("blocks"))
+    placed = common.split_join(visits, cells, ["label", "cell"], sizes)
+    own = F.max(F.when(F.col("at") == 0, F.col("first") + F.pmod(F.xxhash64("number"), F.col("blocks")).cast("int")))
+    lists = placed.groupBy("number", "label").agg(F.flatten(F.collect_set(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1))).alias("to"), own.alias("own"))
+    lists = common.checkpoint(lists.select("number", "label", "own", F.explode(F.array_distinct("to")).alias("block")))
+    asked = common.checkpoint(lists.groupBy("label", "block").agg(F.count("*").alias("n"))).withColumn("qb", F.ceil(F.col("n") / VISITORS).cast("int"))
+    members = lists.where("block = own").withColumn("member", F.lit(True))
+    dealt = common.split_join(lists.withColumn("member", F.lit(False)).unionByName(members).drop("own"), asked.drop("n"), ["label", "block"], asked)
+    q = F.when(F.col("member"), F.sequence(F.lit(0), F.col("qb") - 1)).otherwise(F.array(F.pmod(F.xxhash64("number", F.lit(1)), F.col("qb")).cast("int")))
+    rows = dealt.select("number", "block", "member", F.explode(q).alias("q")).join(vectors, "number")
+    return common.arrow_groups(rows.select("label", "block", "q", "member", "rep", "copies", "embedding", "cells"), ["label", "block", "q"], _compare, "rep long, links long, to long", dims, threshold)

@@ -214,9 +214,12 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     n = max(1, -(-asked.count() // QUERIES))
     salts = max(common.partitions(spark), -(-vectors.count() // SALT))
     kept = ["salt", "dims", "asked", "peak", "ids", "weights"]
-    shards = common.arrow_map(rows, _pack, PACKED).withColumns({"salt": F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int"), "asked": F.lit(False)})
+    # packed rows are dealt in turn, so that each salt gets about as many
+    number = F.monotonically_increasing_id()
+    turn = F.pmod(F.shiftright(number, 33) + number.bitwiseAND(F.lit((1 << 33) - 1)), F.lit(salts))
+    shards = common.arrow_map(rows, _pack, PACKED).withColumns({"salt": turn.cast("int"), "asked": F.lit(False)})
     blocks = common.arrow_map(asked.repartition(n), _pack, PACKED).withColumns({"salt": F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), "asked": F.lit(True)})
-    dealt = shards.select(kept).unionByName(blocks.select(kept)).repartition(salts, "salt").sortWithinPartitions("salt", "dims", "asked")
+    dealt = shards.select(kept).unionByName(blocks.select(kept)).repartitionById(salts, F.col("salt")).sortWithinPartitions("salt", "dims", "asked")
     found = common.arrow_map(dealt, _search, "query_id long, vec_id long, score long", k)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
