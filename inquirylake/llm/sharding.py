@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Keys of one block, and blocks that rows of one key block are dealt over by their content.
-BLOCK_KEYS, CONTENT_BLOCKS = 1 << 18, 16
+#: Blocks that keys are dealt over by their hash, and blocks of each by content.
+BLOCK_KEYS, CONTENT_BLOCKS = 1024, 16
 
 
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """The shard whose -ln(u)/weight is least, u being a uniform hash of key and shard.
 
+    The hash is the 64-bit xxHash of the shard's number (32 bits), seeded by that of the key's text.
     Adding a shard adds one candidate and changes no other, so records move only into it; raising
     a weight moves records only towards that shard.  Ties go to the smaller shard.  A null key is
     hashed as the text 'null'.
@@ -23,8 +24,8 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     for shard, weight in enumerate(weights):
         if not weight > 0:
             raise ValueError("weights must be positive")
-        digits = F.substring(F.md5(F.concat(text, F.lit(f":{shard}"))), 1, 12)
-        uniform = (F.conv(digits, 16, 10).cast("double") + 1.0) / float(2**48 + 1)
+        bits = F.shiftrightunsigned(F.xxhash64(text, F.lit(shard)), 11)
+        uniform = (bits.cast("double") + 0.5) / float(2**53)
         tries.append(F.struct((-F.ln(uniform) / float(weight)).alias("cost"), F.lit(shard).alias("shard")))
     return F.array_min(F.array(*tries))["shard"]
 
@@ -33,7 +34,9 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", weights: Seque
     """One row per input row: key, size, text_crc32, law 'key', shard, slot, grown_shard.
 
     slot numbers a shard's rows without gaps from 0, in the order of (key block, content block,
-    key, checksum, size); the key and the number of shards alone decide the shard.  grown_shard is
+    key, checksum, size); the key and the number of shards alone decide the shard.  Keys may be of
+    any type that casts to text, as sparse as they like: blocks are by hash, and their number is
+    fixed.  grown_shard is
     the shard with one more of weight 1.
 
     Null key: one key of its own.  Null or empty text: size 1, checksum 0.  Repeated rows: each
@@ -51,7 +54,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", weights: Seque
         "*",
         rendezvous(F.col("doc_id"), weights).alias("shard"),
         rendezvous(F.col("doc_id"), [*weights, 1.0]).alias("grown_shard"),
-        F.coalesce(F.floor(F.col("doc_id") / F.lit(BLOCK_KEYS)), F.lit(-1 << 62)).alias("key_block"),
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(BLOCK_KEYS)).cast("int").alias("key_block"),
         (F.col("text_crc32") % CONTENT_BLOCKS).alias("content_block"),
     )
     block = ["shard", "key_block", "content_block"]

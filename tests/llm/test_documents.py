@@ -26,6 +26,27 @@ def by_id(df):
     return out
 
 
+def test_long_texts(spark):
+    """Texts of several hundred thousand characters, one of them one line and one of one word."""
+    dice = random.Random(21)
+    line = " ".join(f"w{dice.randint(0, 5000)}" for _ in range(60_000))
+    rows = [(1, line), (2, "x" * 400_000), (3, line[:200_000]), (4, "license: mit " * 20_000), (5, "ab " * 100_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = by_id(suffix.dedup(df, digest=True))
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in got.items()} == brute_bytes(rows, 100)
+    got = by_id(substring.dedup(df, digest=True))
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == brute_words(rows, 13)
+    got = by_id(minhash.near_duplicates(df, 4))
+    assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == brute_near(rows, 4, 80)
+    check_packing(packing.pack_documents(df, MODEL, PATTERN).collect(), rows, 2048)
+    encoding = __import__("tiktoken").Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe.encoder(RANKS).ranks, special_tokens={})
+    for i, r in by_id(bpe.token_digests(df, RANKS, PATTERN)).items():
+        if i != 2:  # the library takes a word's square
+            assert r["n_tokens"] == len(encoding.encode_ordinary(dict(rows)[i]))
+    assert {i: r["n_words"] for i, r in by_id(licenses.scan_documents(df)).items()} == {1: 60_000, 2: 1, 3: len(line[:200_000].split()), 4: 40_000, 5: 100_000}
+    assert sharding.shard(df).count() == 5
+
+
 # -- op 1
 
 
@@ -220,6 +241,28 @@ def test_longest_previous_factors():
         assert (first != at).tolist() == [n >= width for n in suffix.longest_previous_factors(text)[: len(at)]]
 
 
+def test_spans_are_decided_by_factors():
+    """Factors of places in any order against brute force, and the spans of a chunk that they give."""
+    dice = np.random.default_rng(9)
+    text = dice.integers(0, 3, 3000).astype(np.uint8)
+    at = np.sort(dice.choice(2900, 900, replace=False))
+    place = dice.permutation(5000)[:900]
+    got = suffix.factors(text, at, place, 40)
+    body = text.tobytes()
+    for n, (p, x) in enumerate(zip(at, place, strict=True)):
+        longest = 0
+        for q in at[place < x]:
+            size = 0
+            while size < 64 and body[p + size : p + size + 1] and body[p + size : p + size + 1] == body[q + size : q + size + 1]:
+                size += 1
+            longest = max(longest, size)
+        assert got[n] == longest
+    column = __import__("pyarrow").array
+    rows = suffix.pa.table({"key": column([1, 2, 2]), "start": column([0, 0, 300]), "count": column([101, 101, 101]), "body": column([body[:200], body[100:200] + body[:100], body[50:200] + body[:50]])})
+    found = suffix._chunk(rows, np.array([True, True, True]), 100).to_pylist()
+    assert [(r["key"], r["start"], r["size"]) for r in found if not r["left"]] == [(2, 0, 100), (2, 100, 100), (2, 300, 200)]
+
+
 @pytest.mark.parametrize(("name", "width", "hot", "chunk"), [("edge", 100, suffix.HOT, suffix.CHUNK), ("small", 100, 3, 2000), ("edge", 40, 1, 100), ("empty", 100, suffix.HOT, suffix.CHUNK)])
 def test_suffix_rows(request, name, width, hot, chunk):
     df = request.getfixturevalue(name)
@@ -310,6 +353,38 @@ def test_minhash_odd_rows(odd):
     assert len(minhash.keep_first(odd).where("doc_id = 1").collect()) == 1
 
 
+def test_minhash_links_by_any_text_of_an_id(spark):
+    """Classes that share a doc_id are one document, also where it isn't the smallest of either."""
+    dice = random.Random(17)
+    say = lambda n: " ".join(dice.choice("abcdefgh") + str(dice.randint(0, 99)) for _ in range(n))
+    a, b = say(40), say(40)
+    rows = [(3, a), (7, a), (7, b), (9, b), (11, say(40))]
+    got = sorted((r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(3, 3), (7, 3), (7, 3), (9, 3), (11, 11)]
+
+
+def test_keep_first_keeps_unlike_texts_and_columns_of_any_name(spark, edge):
+    rows = [(1, "one two three four five six", 5), (1, "one two three four five six", 5), (1, "seven eight nine ten eleven twelve", 6), (None, None, 7)]
+    kept = minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, _row int").withColumn("kept_", __import__("pyspark").sql.functions.lit(1)))
+    assert kept.columns == ["doc_id", "text", "_row", "kept_"]
+    assert sorted(r["_row"] for r in kept.collect()) == [5, 6, 7]
+    assert minhash.keep_first(edge).columns == edge.columns
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_hot_keys_change_nothing(monkeypatch, small, least):
+    """Every repeated key counts as hot, and buckets are cut small."""
+    from inquirylake.llm import common
+
+    monkeypatch.setattr(common, "HOT", least)
+    monkeypatch.setattr(common, "MOST_HOT", 10**6)
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    got = by_id(minhash.near_duplicates(small, 4))
+    assert {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()} == brute_near(texts_of(small), 4, 80)
+    got = by_id(substring.dedup(small, digest=True, hot=least))
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == brute_words(texts_of(small), 13)
+
+
 @pytest.mark.parametrize("few", [0, 1 << 20])
 def test_components(spark, few):
     dice = random.Random(8)
@@ -499,6 +574,33 @@ def test_sharding_rows(request, monkeypatch, name):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_sharding_by_brute_force(spark):
+    """Shards of sparse numbers and of text keys, computed by another library."""
+    import math
+    import struct
+
+    import xxhash
+
+    def best(key, shards):
+        def cost(shard):
+            bits = xxhash.xxh64(struct.pack("<i", shard), seed=xxhash.xxh64(str(key), seed=42).intdigest()).intdigest() >> 11
+            return -math.log((bits + 0.5) / 2**53)
+
+        return min(range(shards), key=cost)
+
+    dice = random.Random(5)
+    numbers = [dice.randint(-(1 << 62), 1 << 62) for _ in range(300)]
+    for kind, keys in (("long", numbers), ("string", [f"doc/{n}" for n in numbers])):
+        df = spark.createDataFrame([(k, "x") for k in keys] + [(None, "y")], f"doc_id {kind}, text string")
+        rows = sharding.shard(df).collect()
+        assert len(rows) == 301
+        for r in rows:
+            key = "null" if r["doc_id"] is None else r["doc_id"]
+            assert (r["shard"], r["grown_shard"]) == (best(key, 8), best(key, 9))
+        for n in range(8):
+            assert sorted(r["slot"] for r in rows if r["shard"] == n) == list(range(sum(r["shard"] == n for r in rows)))
+
+
 def test_sharding_weights_and_growth(spark):
     keys = spark.range(20000).select("id")
     weights = [1.0, 2.0, 1.0]

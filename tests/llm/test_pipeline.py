@@ -55,6 +55,24 @@ def test_stages(request, spark, tmp_path, name):
         before = after
 
 
+def test_stages_on_odd_rows(odd, spark, tmp_path):
+    """Rows that repeat, share a doc_id or have none; also clashing and missing columns' values."""
+    from pyspark.sql import functions as F
+
+    before = odd.select("*", F.lit(None).cast("string").alias("lang"), F.lit("s").alias("source"), F.lit(None).cast("long").alias("n_chars"), F.lit(1).alias("kept_"), F.lit(2).alias("_row"))
+    counts = []
+    for step, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path / step)
+        stage(spark, before, FOLDER).write.parquet(path)
+        before = spark.read.parquet(path)
+        counts.append(before.count())
+        if step != "packing":
+            assert before.columns == corpus_pipeline.COLUMNS
+    assert counts[1] <= counts[0] <= 6 and counts[2] == counts[1]
+    if counts[2]:
+        assert counts[3] >= counts[2]
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.count() > 0 and "ids" in rows.columns
