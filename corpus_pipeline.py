@@ -12,19 +12,34 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose score reaches the cut; labels teach, they don't decide."""
+    """Keeps the documents whose score reaches the cut; labels teach, they don't decide.
+
+    Null and empty texts are scored from zero features; a null doc_id, repeated rows and nulls in
+    other columns change no score; equal texts share their fate.  An empty table gives no rows;
+    columns that documents doesn't have are left out.
+    """
     prepare(spark)
     return quality.keep(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates (five words, 0.8)."""
+    """Keeps the smallest doc_id of each group of near duplicates (five words, 0.8).
+
+    Null, empty and wordless texts are near to nothing and stay, as do all rows of a null doc_id.
+    Of rows that repeat both doc_id and text one stays; unlike texts of one doc_id count as one
+    document and all stay or go.  An empty table gives no rows; other columns are left out.
+    """
     prepare(spark)
     return minhash.keep_first(docs.select(COLUMNS))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out passages that stand in an earlier document; every document stays."""
+    """Takes out passages that stand in an earlier document; every document stays.
+
+    A null text becomes empty; texts that lose nothing keep their white space and n_chars.  A null
+    doc_id comes before all others; rows that share a doc_id are one document.  Repeated rows each
+    stay.  An empty table gives no rows; other columns are left out.
+    """
     prepare(spark)
     cut = substring.dedup(docs, carry=["lang", "source", "n_chars"])
     touched = F.col("n_removed") > 0
@@ -38,7 +53,11 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences of 2048 tokens; one row per piece, with its ids."""
+    """Packs all documents into sequences of 2048 tokens; one row per piece, with its ids.
+
+    A null or empty text is packed as its end id; repeated rows are packed each; a null doc_id stays
+    null.  An empty table gives no rows; columns other than doc_id and text are left out.
+    """
     import public_tokenizers
 
     prepare(spark)
