@@ -34,11 +34,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
     """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
 
     The session's setting wins.  Where none is set, a local master takes a temporary folder, as its
     executor is the driver; on a cluster the folder lies in the warehouse, which all machines share.
+    With release the shuffle files of earlier, finished steps go first.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -47,9 +48,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
         if not folder and context.master.startswith("local["):
             folder = tempfile.mkdtemp(prefix="checkpoint-")
         context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+    if release:
+        drop_shuffles(spark)
     return df.checkpoint(eager=True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Executors drop shuffle files when the driver collects what refers to them: now, not some time later."""
+    spark._jvm.System.gc()
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: str | StructType, *args) -> DataFrame:
     """``mapInArrow`` with a module's function, found by name so that workers keep its caches."""
     module, name, root, packed = function.__module__, function.__qualname__, ROOT, pickle.dumps(args)

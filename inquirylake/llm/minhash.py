@@ -18,7 +18,7 @@ BANDS = MINIMA // ROWS
 #: Estimates this many standard errors below the threshold are still confirmed.
 ERRORS = 6.0
 #: Documents of a comparison against one hub, and of one block of a bucket.
-HUB, BLOCK = 256, 1024
+HUB, BLOCK = 256, 512
 
 _dice = np.random.default_rng(20240917)
 _MULTIPLY = _dice.integers(1, 1 << 63, MINIMA, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     signatures = classes.select("rep", "packed")
     banded = classes.select("rep", F.explode("buckets").alias("bucket"))
     shared = common.checkpoint(banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("n")).where("hub < last"))
-    members = common.checkpoint(common.split_join(banded, shared.select("bucket", "hub"), ["bucket"], shared))
+    members = common.checkpoint(common.split_join(banded, shared.select("bucket", "hub"), ["bucket"], shared), release=True)
     least = percent / 100 - ERRORS * error(percent / 100)
     pairs = common.checkpoint(members.where("rep > hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
     counts = common.checkpoint(pairs.groupBy("a").agg(F.count("*").alias("n")))
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     both = common.split_join(pairs, hubs, ["a"], counts).join(signatures.select(F.col("rep").alias("b"), F.col("packed").alias("packed_b")), "b")
     hopeful = common.checkpoint(common.arrow_map(both.select("a", "b", "n", "packed", "packed_b"), _hopeful, "a long, b long, n long", least))
     bodies = common.packed(texts.where("doc_id is not null").select(F.col("doc_id").alias("id"), "text"))
-    links = common.checkpoint(confirm(hopeful, counts, bodies, shingle, percent).unionByName(_same_ids(usable, classes, key)))
+    links = common.checkpoint(confirm(hopeful, counts, bodies, shingle, percent).unionByName(_same_ids(usable, classes, key)), release=True)
 
     parts = components(links)
     placed = members.select("rep").distinct().join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
@@ -247,6 +247,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     more = common.arrow_groups(rest, ["bucket", "m", "v"], _links, "a long, b long", percent)
     parts = components(links.unionByName(common.checkpoint(more)))
 
+    common.drop_shuffles(docs.sparkSession)
     classed = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))
     linked = common.split_join(usable.select("doc_id", *key), classed, key, classes).select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     unlinked = sketches.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

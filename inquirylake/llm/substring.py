@@ -84,17 +84,17 @@ def paths(docs: DataFrame, bodies: DataFrame, width: int = 13, hot: int = repeat
     words at both coordinates of each path are compared by a 128-bit digest of the words.
     """
     runs = common.arrow_map(docs, _runs, repeats.RUN, width, repeats.hot_anchors(docs, _counts, hot, width))
-    found = common.checkpoint(repeats.shared(runs, True))
+    found = common.checkpoint(repeats.shared(runs, True).drop("anchor", "hot"))
     single = common.arrow_map(repeats.at_places(bodies, found.where("not removed").select("key", "start", "count")), _edges, repeats.RUN, width)
     columns = ["key", "start", "count", "from_key", "from_start"]
     edges = repeats.shared(single, True).where("removed").select(columns)
-    repeated = common.checkpoint(found.where("removed").select(columns).unionByName(edges).groupBy("key", "start", "count").agg(F.min(F.struct("from_key", "from_start")).alias("f")).select("key", "start", "count", "f.*"))
+    repeated = common.checkpoint(found.where("removed").select(columns).unionByName(edges).groupBy("key", "start", "count").agg(F.min(F.struct("from_key", "from_start")).alias("f")).select("key", "start", "count", "f.*"), release=True)
     before = repeated.select("key", (F.col("start") + F.col("count")).alias("start"), "from_key", (F.col("from_start") + F.col("count")).alias("from_start"), F.lit(False).alias("head")).distinct()
     linked = repeated.join(before, ["key", "start", "from_key", "from_start"], "left").withColumn("head", F.coalesce("head", F.lit(True)))
     order = Window.partitionBy("key", "from_key").orderBy("start", "from_start")
     path = linked.withColumn("path", F.sum(F.col("head").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = path.groupBy("key", "from_key", "path").agg(F.min("start").alias("start"), F.min("from_start").alias("from_start"), (F.max(F.col("start") + F.col("count")) - F.min("start") + width - 1).cast("int").alias("words"), (F.max(F.col("from_start") + F.col("count")) - F.min("from_start") + width - 1).cast("int").alias("from_words"))
-    spans = common.checkpoint(spans)
+    spans = common.checkpoint(spans.drop("path"), release=True)
     sources = spans.select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), F.col("from_words").alias("words"))
     places = spans.select("key", "start", "words").unionByName(sources).distinct()
     digests = common.arrow_map(repeats.at_places(bodies, places), _digests, "key long, start int, words int, digest binary")
@@ -117,7 +117,9 @@ def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequenc
     """
     carried = {f"carried{i}": F.col(name) for i, name in enumerate(() if digest else carry)}
     bodies = common.packed(repeats.keyed(docs, carried))
-    rows = repeats.at_places(bodies, paths(repeats.keyed(docs), bodies.select("key", "body"), width, hot), "left")
+    found = paths(repeats.keyed(docs), bodies.select("key", "body"), width, hot)
+    common.drop_shuffles(docs.sparkSession)
+    rows = repeats.at_places(bodies, found, "left")
     if digest:
         rows = common.arrow_map(rows, _digested, "key long, n_words long, n_removed long, kept_sha256 string")
     else:

@@ -238,7 +238,8 @@ def later_copies(docs: DataFrame, texts: DataFrame, width: int = 100, hot: int =
     unlike = found.where("not removed").select("key", "start", "count", "anchor", "hot", salt)
     slices = common.arrow_map(repeats.at_places(texts, unlike), _slices, SLICE, width)
     ordered = slices.repartition(tasks, "anchor", "salt").sortWithinPartitions("anchor", "salt", "key", "start")
-    searched = common.checkpoint(common.arrow_map(ordered, _factors, "key long, start int, size int, left boolean", width, chunk))
+    searched = common.checkpoint(common.arrow_map(ordered, _factors, "key long, start int, size int, left boolean", width, chunk), release=True)
+    common.drop_shuffles(docs.sparkSession)
     left = searched.where("left").select("key", "start", F.col("size").alias("count"))
     single = common.arrow_map(repeats.at_places(texts, left), _hashed, repeats.RUN, width)
     whole = found.where("removed").unionByName(repeats.shared(single, False).where("removed"))
