@@ -55,3 +55,13 @@ SITE = "https://www.landtag.nrw.de"
 # Log lines
 NOVELTY_LINE = r'^\S+\s\|\s(\S+)\s\|\sministerium_form\s\|\sscraped="(.+)"$'
 MISMATCH_LINE = r'\| (\S+) \| (\S+) \| MISMATCH parsed=(\d+) db_min=(\d+) \| db_anfrager="([^"]*)" \| block="([^"]*)"'
+
+# Words that lines have cut: patterns and what they become, in order
+HYPHENATION = [
+    (r"(?U)(\w)-([a-zäöüß])", "$1$2"),
+    (r"(?U)(\w)-\s+(?!(?:und|oder|sowie|noch)\b)([a-zäöüß])", "$1$2"),
+    (r"(?U)\bBundesund\b", "Bundes und"),
+    (r"(?U)([a-zäöüß])namens\b", "$1 namens"),
+]
+# Endings that a ministry's word loses
+MINISTRY_SUFFIX = r"^(.+?)(ministeriums|ministerium|ministerinnen|ministerin|ministers|minister)$"

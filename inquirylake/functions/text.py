@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .patterns import HYPHENATION, MINISTRY_SUFFIX
+
 # Spellings of factions in documents and what they are called in the table.
 FACTIONS = {"BÜNDNIS 90/DIE GRÜNEN": "GRÜNE", "BÜNDNIS90/DIEGRÜNEN": "GRÜNE", "FRAKTIONSLOS": "fraktionslos", "AFD": "AfD", "AfD": "AfD", "SPD": "SPD", "CDU": "CDU", "FDP": "FDP", "DIE LINKE": "DIE LINKE"}
 # The canonical factions.
@@ -17,8 +22,9 @@ MINISTRY_STOP_WORDS = [
 ]
 #: Numbers in one archive folder.
 BUCKET = 2000
-#: HTML entities of the finite map; the general decoder is a pandas function.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&copy;": "©", "&middot;": "·", "&nbsp;": " ", "&amp;": "&"}
+#: All named HTML entities, and what the numbers 128 to 159 stand for, as name -> characters.
+ENTITIES = dict(html.entities.html5) | {f"#{n}": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});?"
 
 
 def squish(text: Column) -> Column:
@@ -31,18 +37,41 @@ def split_list(text: Column, tolerant: bool = True) -> Column:
     return F.split(text, r"\s*;\s*" if tolerant else "; ")
 
 
-def remove_first(text: Column, literal: str) -> Column:
-    """The text without the first occurrence of a literal (FN-4)."""
+def trimmed_parts(text: Column) -> Column:
+    """Parts of a comma list without white space around them; empty ones are dropped."""
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda part: F.trim(part)), lambda part: part != "")
+
+
+def remove_first(text: Column, literal: str, by: str = "") -> Column:
+    """The text with the first occurrence of a literal taken out or replaced (FN-4)."""
     at = F.locate(literal, text)
-    return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + len(literal), F.length(text)))).otherwise(text)
+    return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), F.lit(by), F.substring(text, at + len(literal), F.length(text)))).otherwise(text)
+
+
+def clean_members(text: Column) -> Column:
+    """A member list with a wrong separator mended and a faction that slipped in taken out."""
+    return remove_first(remove_first(text, " , ", "; "), " SPD")
 
 
 def decode_entities(text: Column) -> Column:
-    """The common HTML entities decoded and tags dropped (FN-5); '&amp;' last, so nothing is decoded twice."""
-    out = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, character in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(character))
-    return out
+    """Tags dropped and all HTML entities decoded, named, decimal or hexadecimal (FN-5).
+
+    The text is cut at its entities, so that nothing is decoded twice.  What is no entity stays.
+    """
+    plain = F.regexp_replace(text, r"<[^>]*>", "")
+    parts = F.zip_with(F.split(plain, ENTITY, -1), F.regexp_extract_all(plain, F.lit(ENTITY), F.lit(0)), lambda part, entity: F.concat(part, F.coalesce(_entity(entity), F.lit(""))))
+    return F.when(F.contains(plain, F.lit("&")), F.array_join(parts, "")).otherwise(plain)
+
+
+def _entity(entity: Column) -> Column:
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    name = F.substring(entity, 2, 40)
+    digits = F.regexp_extract(entity, r"^&#([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(entity, r"^&#[xX]([0-9A-Fa-f]+)", 1)
+    number = F.when(digits != "", digits.try_cast("long")).when(hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("long"))
+    broken = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    character = F.when(broken, F.lit("\ufffd")).when(number.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    return F.coalesce(F.try_element_at(names, F.when(number.isNotNull(), F.concat(F.lit("#"), number)).otherwise(name)), character, entity)
 
 
 def paper(text: Column) -> Column:
@@ -79,10 +108,9 @@ def dedouble(head: Column) -> Column:
 
 def undo_hyphenation(text: Column) -> Column:
     """Joins words that lines or soft hyphens have cut; '... - und' stays (FN-11)."""
-    t = F.regexp_replace(text, r"(?U)(\w)-([a-zäöüß])", "$1$2")
-    t = F.regexp_replace(t, r"(?U)(\w)-\s+(?!(?:und|oder|sowie|noch)\b)([a-zäöüß])", "$1$2")
-    t = F.regexp_replace(t, r"(?U)\bBundesund\b", "Bundes und")
-    return F.regexp_replace(t, r"(?U)([a-zäöüß])namens\b", "$1 namens")
+    for pattern, by in HYPHENATION:
+        text = F.regexp_replace(text, pattern, by)
+    return text
 
 
 def open_camel(text: Column) -> Column:
@@ -106,7 +134,7 @@ def fold(text: Column) -> Column:
 def ministry_tokens(text: Column) -> Column:
     """The set of words that name a ministry (FN-14)."""
     words = F.regexp_extract_all(fold(text), F.lit("([a-z]+)"), 1)
-    bare = F.transform(words, lambda w: F.regexp_replace(w, r"^(.+?)(ministeriums|ministerium|ministerinnen|ministerin|ministers|minister)$", "$1"))
+    bare = F.transform(words, lambda w: F.regexp_replace(w, MINISTRY_SUFFIX, "$1"))
     return F.array_distinct(F.filter(bare, lambda w: (F.length(w) >= 4) & ~w.isin(MINISTRY_STOP_WORDS)))
 
 

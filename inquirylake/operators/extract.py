@@ -181,13 +181,15 @@ def lexicon(rows: DataFrame, keys: list[str], asked: list[str]) -> DataFrame:
     return forms.select(*keys, "nach", "vor", "form", (F.col("_i") > 0).cast("int").alias("is_alias"), "frueher_fraktion", "n_treffer")
 
 
-def remediate(hits: Column, cross: Column, least: Column, listed: Column, n_listed: Column, withdrawn: Column, tags: Column, text_there: Column) -> Column:
+def remediate(hits: Column, cross: Column, logged: Column, least: Column, listed: Column, n_listed: Column, withdrawn: Column, tags: Column, text_there: Column) -> Column:
     """names and tag of a second try at a row whose askers were too few.
 
     hits and cross are arrays of names of the own faction and of all; listed are the table's names.
+    The log's minimum decides whether all factions are tried, the table's whether it was enough;
+    without any name a row stays unverified.
     """
     done = F.array_contains(tags, "anfrager_manual") | F.array_contains(tags, "anfrager_unverified")
-    few = F.size(hits) < least
+    few = F.size(hits) < logged
     wider = few & (F.size(cross) > F.size(hits))
     best = F.when(wider, cross).otherwise(hits)
 
@@ -200,8 +202,8 @@ def remediate(hits: Column, cross: Column, least: Column, listed: Column, n_list
         F.when(done, out(none))
         .when(~text_there, out(none, "anfrager_unverified"))
         .when(withdrawn, out(none, "anfrager_manual"))
-        .when(F.size(best) >= least, out(best, "anfrager_manual", F.when(wider, F.lit("anfrager_cross_fraktion"))))
-        .when(~F.coalesce(F.contains(listed, F.lit("u.a.")), F.lit(False)) & (n_listed >= least), out(F.array(listed), "anfrager_manual", "anfrager_from_db"))
+        .when((F.size(best) > 0) & (F.size(best) >= least), out(best, "anfrager_manual", F.when(wider, F.lit("anfrager_cross_fraktion"))))
+        .when(~F.coalesce(F.contains(listed, F.lit("u.a.")), F.lit(False)) & (n_listed > 0) & (n_listed >= least), out(F.array(listed), "anfrager_manual", "anfrager_from_db"))
         .otherwise(out(best, "anfrager_unverified"))
     )
 
@@ -230,9 +232,9 @@ def search_hits(pages: DataFrame, html: str = "html") -> DataFrame:
         squish(decode_entities(F.regexp_extract("_a", r"(?s)<(?:strong|b)>(.*?)</(?:strong|b)>", 1))).alias("anfragetitel"),
         part(F.get(papers, F.lit(0)), r"^(\d+)/", 1).cast("int").alias("wp"),
         F.get(papers, F.lit(0)).alias("drucksache_anfrage_nr"),
-        F.get(urls, F.lit(0)).alias("link_anfrage"),
+        F.get(urls, F.lit(0)).alias("link_drucksache_anfrage"),
         F.get(papers, F.lit(1)).alias("drucksache_antwort_nr"),
-        F.get(urls, F.lit(1)).alias("link_antwort"),
+        F.get(urls, F.lit(1)).alias("link_drucksache_antwort"),
         number.try_cast("int").alias("kleine_anfrage_nr"),
         F.trim(F.regexp_extract(after, p.HIT_ASKER, 1)).alias("anfrager"),
         F.regexp_extract(after, p.HIT_ASKER, 2).alias("fraktion"),

@@ -75,7 +75,13 @@ def subset_match(rows: DataFrame, value: str, names: DataFrame) -> DataFrame:
 
     Ties: the fewest tokens, then the longer name, then the smaller position of the name.
     """
-    fits = _candidates(rows, value, names.drop("position")).where("common = v").join(names.select("code", "position"), "code")
+    v = rows.select(value).distinct().withColumn("_v", ministry_tokens(F.col(value))).where(F.size("_v") > 0)
+    c = names.withColumn("_c", ministry_tokens(F.col("name")))
+    tokens = c.select("code", "name", "position", "_c", F.explode("_c").alias("_token"))
+    often = tokens.groupBy("_token").agg(F.count("*").alias("_n"))
+    # a name with all of a value's tokens has its rarest one, so only names with that one are met
+    rarest = v.select(value, "_v", F.explode("_v").alias("_token")).join(often, "_token", "left").groupBy(value, "_v").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_token")).alias("_r")).select(value, "_v", "_r._token")
+    fits = rarest.join(tokens, "_token").where(F.size(F.array_except("_v", "_c")) == 0).withColumn("c", F.size("_c"))
     best = fits.groupBy(value).agg(F.min_by(F.struct("code", "name"), F.struct("c", -F.length("name"), "position")).alias("m")).select(value, "m.*")
     return rows.join(best, value, "left")
 

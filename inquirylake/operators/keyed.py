@@ -19,7 +19,7 @@ def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], ru
     """The next version of a table (U1): masked columns of new rows, only where they say something.
 
     Columns outside the mask stay; rows of neither side vanish; added_at is set once, updated_at for
-    each row that new touches.  New rows without a key are dropped; the last of equal keys counts.
+    each row that new touches.  New rows without a key take no part: see rejects.
     """
     new = new.where(F.col(key).isNotNull() & (F.col(key) != ""))
     old, inserted = F.col(f"c.{key}").isNotNull(), F.col(f"c.{key}").isNull()
@@ -41,6 +41,11 @@ def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], ru
     return current.alias("c").join(new.alias("n"), F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer").select(*columns)
 
 
+def rejects(new: DataFrame, key: str) -> DataFrame:
+    """New rows that an upsert can't take, as they have no key; a run that has any should stop or log them."""
+    return new.where(F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == "")
+
+
 def identity(hits: DataFrame, table: DataFrame) -> DataFrame:
     """Adds disposition of each search hit (J10, U2): which stored row it is and what happens.
 

@@ -14,6 +14,8 @@ from .reconcile import blank, number_in
 REQUIRED = ["drucksache_anfrage_nr", "anfrager", "fraktion", "anfragetitel", "ministerium", "anfragedatum"]
 #: Findings of each check that a report lists.
 LISTED = 10
+# Fixed value: bytes that an answer's text has at least.
+LEAST_TEXT = 200
 
 
 def row_flags(factions: list[str] = CANONICAL_FACTIONS) -> Column:
@@ -67,8 +69,10 @@ def gaps(rows: DataFrame, group: str, number: str) -> DataFrame:
 
 
 def missing_numbers(rows: DataFrame, group: str, number: str) -> DataFrame:
-    """The missing numbers one by one (SET-3)."""
-    return gaps(rows, group, number).select(group, F.explode(F.sequence("from", "to")).alias(number))
+    """The missing numbers one by one (SET-3); long gaps are cut first, so no row holds a whole one."""
+    block = F.lit(1 << 16)
+    cut = gaps(rows, group, number).select(group, "to", F.explode(F.sequence("from", "to", block)).alias("low"))
+    return cut.select(group, F.explode(F.sequence("low", F.least("to", F.col("low") + block - 1))).alias(number))
 
 
 def duplicates(rows: DataFrame, keys: list[str], pk: str, listed: int = LISTED) -> DataFrame:
@@ -80,7 +84,8 @@ def duplicates(rows: DataFrame, keys: list[str], pk: str, listed: int = LISTED)
 
 
 def malformed(rows: DataFrame, pk: str) -> DataFrame:
-    return rows.where(~F.coalesce(F.col(pk), F.lit("")).rlike(r"^\d+/\d+$"))
+    """Rows whose paper is set but is none (Q11)."""
+    return rows.where(~blank(F.col(pk)) & ~F.col(pk).rlike(r"(?U)^\d+/\d+$"))
 
 
 def negative_time(rows: DataFrame, asked: str, answered: str) -> DataFrame:
@@ -88,26 +93,55 @@ def negative_time(rows: DataFrame, asked: str, answered: str) -> DataFrame:
     return rows.where(F.coalesce(as_date(F.col(answered)) < as_date(F.col(asked)), F.lit(False)))
 
 
-def short_texts(rows: DataFrame, texts: DataFrame, key: str, least: int = 200) -> DataFrame:
+def short_texts(rows: DataFrame, texts: DataFrame, key: str, least: int = LEAST_TEXT) -> DataFrame:
     """Rows without a text or with one of fewer bytes (Q13)."""
     joined = rows.join(texts.select(key, F.octet_length("text").alias("n_bytes")), key, "left")
     return joined.where(F.coalesce(F.col("n_bytes") < least, F.lit(True)))
 
 
-def lacks_number(rows: DataFrame, text: str, number: str) -> DataFrame:
-    """Rows whose text doesn't name their number (Q14)."""
-    return rows.where(~number_in(F.col(text), F.col(number)))
+def lacks_number(rows: DataFrame, text: str, number: str, least: int = LEAST_TEXT) -> DataFrame:
+    """Rows whose text is there and not too short, but doesn't name their number (Q14)."""
+    return rows.where((F.octet_length(text) >= least) & ~number_in(F.col(text), F.col(number)))
+
+
+#: Checks that make verification fail, in the order of a report.
+FAILING = ["text_missing", "text_short", "number", "malformed", "duplicates", "negative_time"]
+
+
+def verify(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", status: str = "antworttext_status", asked: str = "anfragedatum", answered: str = "antwortdatum", group: str = "wp", number: str = "kleine_anfrage_nr") -> dict[str, DataFrame]:
+    """The findings of each failing check, each with the key of its rows (Q10 to Q14, Q17).
+
+    texts has the key and text.  Texts are judged for extracted rows only; a key that several rows
+    share is one finding, and its pks are listed.
+    """
+    sized = rows.where(F.col(status) == "extracted").join(texts.select(key, F.col("text").alias("_text")), key, "left").withColumn("_size", F.octet_length("_text"))
+    numbered = rows.where((F.coalesce(group, F.lit(0)) != 0) & (F.coalesce(number, F.lit(0)) != 0))
+    twice = duplicates(numbered, [group, number], key)
+    return {
+        "text_missing": sized.where("_size is null").select(key),
+        "text_short": sized.where(F.col("_size") < LEAST_TEXT).select(key),
+        "number": lacks_number(sized, "_text", number).select(key),
+        "malformed": malformed(rows, key).select(key),
+        "duplicates": twice.select(F.col("pks").alias(key)),
+        "negative_time": negative_time(rows, asked, answered).select(key),
+    }
 
 
 def report(findings: dict[str, DataFrame], key: str, listed: int = LISTED) -> DataFrame:
-    """check, total, listed: each check's number of findings and its first keys (SNK-9, L2)."""
+    """check, total, listed: each check's number of findings and its first keys (SNK-9, L2).
+
+    Findings are numbered within tasks first, so only a few rows of a check leave each task; checks
+    without findings have no keys.
+    """
     out = None
     for check, rows in findings.items():
-        keys = rows.select(F.col(key).cast("string").alias("key"))
-        first = keys.orderBy("key").limit(listed).agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("listed"))
-        one = keys.agg(F.count("*").alias("total")).crossJoin(first).select(F.lit(check).alias("check"), "total", "listed")  # one row each
+        one = rows.select(F.lit(check).alias("check"), F.col(key).cast("string").alias("key"), F.spark_partition_id().alias("_task"))
         out = one if out is None else out.unionByName(one)
-    return out
+    order = Window.partitionBy("check", "_task").orderBy("key")
+    counted = out.withColumn("_k", F.row_number().over(order)).groupBy("check", "_task").agg(F.count("*").alias("n"), F.collect_list(F.when(F.col("_k") <= listed, F.col("key"))).alias("keys"))
+    summed = counted.groupBy("check").agg(F.sum("n").alias("total"), F.slice(F.array_sort(F.flatten(F.collect_list("keys"))), 1, listed).alias("keys"))
+    names = out.sparkSession.createDataFrame([(c,) for c in findings], "check string")
+    return F.broadcast(names).join(summed, "check", "left").select("check", F.coalesce("total", F.lit(0)).alias("total"), F.array_join(F.coalesce("keys", F.array().cast("array<string>")), ",").alias("listed"))
 
 
 def exit_code(summary: DataFrame, failing: list[str], rows: int) -> int:

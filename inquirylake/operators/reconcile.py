@@ -6,11 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, days, year_of
-from ..functions.text import FACTIONS
+from ..functions.text import FACTIONS, dedouble, trimmed_parts
 
 # Years that a date may have, days that a stored date may lie before and after a
 # document's, days of the narrow corridor, and tags of rows corrected by hand.
 YEARS, BEFORE, AFTER, NARROW = (2015, 2030), -14, 122, 14
+# Fixed value: characters of a text's head.
+HEAD = 16000
 MANUAL_TAGS = ["anfrager_manual", "anfrager_pdf_typo", "anfrager_from_db", "anfrager_cross_fraktion", "pdf_database_mismatch", "anfragedatum_manual", "antwortdatum_manual"]
 
 
@@ -37,8 +39,9 @@ def reconcile(pdf: Column, db: Column, kind: str) -> Column:
 
 
 def mismatch(pdf: Column, db: Column) -> Column:
-    """Whether both dates are readable and lie outside the corridor (Q4)."""
-    return F.coalesce(~blank(pdf) & ~blank(db) & (pdf != db) & ~days(db, pdf).between(BEFORE, AFTER), F.lit(False))
+    """Whether two readable dates contradict: outside the corridor, or the document's year can't be (Q4)."""
+    apart = days(db, pdf)
+    return F.coalesce((pdf != db) & apart.isNotNull() & (~year_of(pdf).between(*YEARS) | ~apart.between(BEFORE, AFTER)), F.lit(False))
 
 
 def cross_flags(body: Column, footer: Column, locked: Column, name: str) -> Column:
@@ -60,17 +63,21 @@ def header_flags(parsed_nr: Column, nr: Column, parsed_faction: Column, faction:
 
 
 def number_in(text: Column, number: Column) -> Column:
-    """Whether the text names the question's number, spaces lost or not (Q5, Q14)."""
+    """Whether a text's head names the question's number, spaces lost or not (Q5, Q14).
+
+    Doubled characters are repaired first.  Without a number there is nothing to miss.
+    """
     n = number.cast("string")
     rx = F.concat(F.lit(r"(?U)Kleine\s+Anfrage\s*"), n, F.lit(r"\s*(?:vom|\b)|Anfrage\s*"), n, F.lit(r"\s*vom"))
-    return F.coalesce(F.regexp_like(text, rx), F.lit(False))
+    found = F.coalesce(F.regexp_like(dedouble(F.substring(text, 1, HEAD)), rx), F.lit(False))
+    return F.coalesce(number.cast("long"), F.lit(0)).eqNullSafe(0) | found
 
 
 def quality(status: Column, flags: Column, note: Column, tags: Column, before: Column) -> Column:
     """The verdict on a merged row (Q7)."""
     none = F.size(flags) == 0
-    noted = ~blank(note)
-    manual = F.arrays_overlap(F.split(F.coalesce(tags, F.lit("")), ","), F.array(*map(F.lit, MANUAL_TAGS)))
+    noted = ~blank(F.trim(note))
+    manual = F.arrays_overlap(trimmed_parts(tags), F.array(*map(F.lit, MANUAL_TAGS)))
     return (
         F.when((status != "extracted") & none, "")
         .when(before == "review", "review")

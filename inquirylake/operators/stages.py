@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .reconcile import blank, classify, header_flags, mismatch
+from ..functions.text import trimmed_parts
+from .extract import header_fields
+from .reconcile import HEAD, answer_before_question, blank, classify, cross_flags, header_flags, mismatch, number_in, quality, reconcile
 
 # Columns that a scan may write of a row that is already known.
 ENRICH_MASK = ["anfragetitel", "ministerium", "antworttext_quelle"]
@@ -38,7 +40,7 @@ def rescue_candidates(rows: DataFrame, texts: DataFrame, key: str, wp: int | Non
 
 def review_pending(rows: DataFrame) -> DataFrame:
     """Rows that wait for a verdict and have no note."""
-    return rows.where((F.col("quality") == "ask_review") & blank(F.col("note")))
+    return rows.where((F.col("quality") == "ask_review") & blank(F.trim("note")))
 
 
 def without_tag(rows: DataFrame, flags: str, tag: str) -> DataFrame:
@@ -51,8 +53,8 @@ def resolve(rows: DataFrame, flags: str, row: dict[str, Column]) -> DataFrame:
 
     Dates that a flag has set count even if a later flag stays unexplained.
     """
-    waits = (F.col("quality") == "ask_review") & blank(F.col("note"))
-    out = rows.withColumn("_c", classify(F.filter(F.split(F.coalesce(F.col(flags), F.lit("")), ","), lambda f: f != ""), row))
+    waits = (F.col("quality") == "ask_review") & blank(F.trim("note"))
+    out = rows.withColumn("_c", classify(trimmed_parts(F.col(flags)), row))
     done = waits & F.col("_c.resolved")
     return out.withColumns(
         {
@@ -73,3 +75,48 @@ def source_findings(asked_pdf: Column, asked_db: Column, answered_pdf: Column, a
 def counters(rows: DataFrame, disposition: str) -> DataFrame:
     """How often each disposition of a run came up."""
     return rows.groupBy(disposition).agg(F.count("*").alias("n"))
+
+
+#: Columns that merging reads or writes beside the keys.
+DATES = {"anfragedatum": ("drucksache_anfrage_nr", "Anfrage"), "antwortdatum": ("drucksache_antwort_nr", "Antwort")}
+
+
+def merge(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """The verdict of documents and table on every row, as one plan.
+
+    letters has paper, kind and date; texts the key and text.  The table's dates are kept once in
+    *_db; then the document's date counts (for a question that of the answer's body, else its own
+    foot) as far as reconciling allows, but not where a manual tag locks it.  mismatch_flags lists
+    what contradicts, datenqualitaet is the verdict; outcome_* tell how each date came about and
+    disposition what the run counts the row as.
+    """
+    head = F.substring("text", 1, HEAD)
+    parsed = header_fields(texts.select(key, head.alias("head")), "head")
+    parsed = parsed.select(key, "head", *(F.col(c).alias(f"_h_{c}") for c in ("anfragedatum", "antwortdatum", "drucksache_anfrage_nr", "fraktion")))
+    extracted = F.col("antworttext_status") == "extracted"
+    out = rows.join(parsed, key, "left")
+    out = out.withColumns({c: F.when(extracted, F.col(c)).otherwise("") for c in parsed.columns if c != key})
+    tags = trimmed_parts(F.col("extract_flags"))
+    for name, (paper, kind) in DATES.items():
+        letter = letters.where(F.col("kind") == kind).select(F.col("paper").alias(paper), F.col("date").alias(f"_foot_{name}"))
+        out = out.join(letter, paper, "left").withColumn(f"{name}_db", F.when(blank(F.col(f"{name}_db")), F.col(name)).otherwise(F.col(f"{name}_db")))
+    body = {name: F.col(f"_h_{name}") for name in DATES}
+    foot = {name: F.coalesce(f"_foot_{name}", F.lit("")) for name in DATES}
+    locked = {name: F.array_contains(tags, f"{name}_manual") for name in DATES}
+    document = {"anfragedatum": F.when(blank(body["anfragedatum"]), foot["anfragedatum"]).otherwise(body["anfragedatum"]), "antwortdatum": foot["antwortdatum"]}
+    for name in DATES:
+        kept = F.struct(F.coalesce(name, F.lit("")).alias("chosen"), F.lit("").alias("flag"))
+        out = out.withColumns({f"_pdf_{name}": document[name], f"_r_{name}": F.when(locked[name], kept).otherwise(reconcile(document[name], F.col(f"{name}_db"), name))})
+    flags = [F.nullif(F.col(f"_r_{name}.flag"), F.lit("")) for name in DATES]
+    flags += [cross_flags(body[name], foot[name], locked[name], f"{name}_pdf_kreuz") for name in DATES]
+    flags.append(answer_before_question(F.col("_r_anfragedatum.chosen"), F.col("_r_antwortdatum.chosen")))
+    header = header_flags(F.col("_h_drucksache_anfrage_nr"), F.col("drucksache_anfrage_nr"), F.col("_h_fraktion"), F.col("fraktion"), blank(F.col("head")) | number_in(F.col("head"), F.col("kleine_anfrage_nr")))
+    out = out.withColumn("_flags", F.concat(F.array_compact(F.array(*flags)), header))
+    verdict = quality(F.col("antworttext_status"), F.col("_flags"), F.col("notizen"), F.col("extract_flags"), F.col("datenqualitaet"))
+    columns = {"mismatch_flags": F.array_join("_flags", ","), "datenqualitaet": verdict, "disposition": F.when(verdict == "", "skipped").otherwise(verdict)}
+    for name in DATES:
+        pdf, db = F.col(f"_pdf_{name}"), F.col(f"{name}_db")
+        columns[f"outcome_{name}"] = F.when(F.col(f"_r_{name}.flag") != "", "flagged").when(~blank(pdf) & ~blank(db) & (pdf != db), "silent").when(blank(pdf) & ~blank(db), "missing").otherwise("")
+    out = out.withColumns(columns).withColumns({name: F.col(f"_r_{name}.chosen") for name in DATES})
+    added = ["disposition", *(f"outcome_{name}" for name in DATES)]
+    return out.select(*rows.columns, *[c for c in ["mismatch_flags", "datenqualitaet", *added] if c not in rows.columns])

@@ -49,11 +49,14 @@ def d11(spark, sf_dir):
     return d.with_lateness(adapter.inquiries(spark, sf_dir)).select("ka_nr", "deadline", "late")
 
 
-@query("d12_year_heal", f"WITH {INQUIRIES} SELECT ka_nr, strftime(CASE WHEN ka_nr % 2 = 0 AND month(question_date) = 2 AND day(question_date) = 29 THEN CAST(question_date - INTERVAL 1 YEAR AS DATE) ELSE question_date END, '%Y-%m-%d') AS original FROM inq WHERE NOT (month(question_date) = 2 AND day(question_date) >= 28)")
+@query("d12_year_heal", f"WITH {INQUIRIES} SELECT ka_nr, strftime(CASE WHEN ka_nr % 2 = 0 AND month(question_date) = 2 AND day(question_date) = 29 THEN question_date - 1 ELSE question_date END, '%Y-%m-%d') AS original FROM inq")
 def d12(spark, sf_dir):
-    """Letters whose year is one too small are healed by the issue date a few days later."""
+    """Letters whose year is one too small are healed by the issue date a few days later.
+
+    A 29 February has no such day the year before; its letter says the 28th, and keeps to it.
+    """
     q = F.col("question_date")
-    rows = adapter.inquiries(spark, sf_dir).where(~((F.month(q) == 2) & (F.dayofmonth(q) >= 28)))
+    rows = adapter.inquiries(spark, sf_dir)
     written = F.when(F.col("ka_nr") % 2 == 0, F.add_months(q, -12)).otherwise(q)
     issued = F.date_add(q, (F.col("ka_nr") % 20).cast("int"))
     return rows.select("ka_nr", d.heal_year(F.date_format(written, "yyyy-MM-dd"), F.date_format(issued, "yyyy-MM-dd")).alias("original"))

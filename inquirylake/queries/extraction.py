@@ -67,12 +67,12 @@ def x3(spark, sf_dir):
     return forms.select("ka_nr", *(F.get("f", F.lit(i)).alias(n) for i, n in enumerate(("first", "second", "third"))), F.size("f").alias("n"))
 
 
-@query("x16_letter_date", f"""WITH {INQUIRIES} SELECT ka_nr, CASE WHEN ka_nr % 5 = 4 THEN 'no_match' ELSE 'ok' END AS status, CASE WHEN ka_nr % 5 = 4 THEN '' ELSE strftime(question_date, '%Y-%m-%d') END AS original,
-    CASE WHEN ka_nr % 5 IN (3, 4) THEN '' ELSE strftime(question_date + 7, '%Y-%m-%d') END AS issued FROM inq WHERE NOT (month(question_date) = 2 AND day(question_date) >= 28)""")
+@query("x16_letter_date", f"""WITH {INQUIRIES} SELECT ka_nr, CASE WHEN ka_nr % 5 = 4 THEN 'no_match' ELSE 'ok' END AS status, CASE WHEN ka_nr % 5 = 4 THEN '' WHEN ka_nr % 5 = 2 AND month(question_date) = 2 AND day(question_date) = 29 THEN strftime(question_date - 1, '%Y-%m-%d') ELSE strftime(question_date, '%Y-%m-%d') END AS original,
+    CASE WHEN ka_nr % 5 IN (3, 4) THEN '' ELSE strftime(question_date + 7, '%Y-%m-%d') END AS issued FROM inq""")
 def x16(spark, sf_dir):
     """Plain, with a space for a dot, a year too small, without issue date, and without any date."""
     q, k_ = F.col("question_date"), F.col("ka_nr") % 5
-    rows = adapter.inquiries(spark, sf_dir).where(~((F.month(q) == 2) & (F.dayofmonth(q) >= 28)))
+    rows = adapter.inquiries(spark, sf_dir)
     original = F.when(k_ == 1, F.date_format(q, "dd MM.yyyy")).when(k_ == 2, F.date_format(F.add_months(q, -12), "dd.MM.yyyy")).otherwise(F.date_format(q, "dd.MM.yyyy"))
     issued = F.when(k_ == 3, "").otherwise(F.concat(F.lit("/Ausgegeben: "), F.date_format(F.date_add(q, 7), "dd.MM.yyyy")))
     page = F.when(k_ == 4, "Datum unbekannt").otherwise(F.concat(F.lit("Kopf\nDatum des Originals: "), original, issued))
@@ -94,7 +94,7 @@ def x6(spark, sf_dir):
 
 
 @query("x7_x12_search_hits", f"""WITH {INQUIRIES} SELECT ka_nr, CAST(0 AS INTEGER) AS hit, 'Frage zur Kleinen Anfrage 941 & AfD' AS anfragetitel, wp, q_nr AS drucksache_anfrage_nr,
-    'https://www.landtag.nrw.de/MMD' || replace(q_nr, '/', '-') || '.pdf' AS link_anfrage, a_nr AS drucksache_antwort_nr, 'https://other.example/MMD' || replace(a_nr, '/', '-') || '.pdf' AS link_antwort,
+    'https://www.landtag.nrw.de/MMD' || replace(q_nr, '/', '-') || '.pdf' AS link_drucksache_anfrage, a_nr AS drucksache_antwort_nr, 'https://other.example/MMD' || replace(a_nr, '/', '-') || '.pdf' AS link_drucksache_antwort,
     CAST(ka_nr AS INTEGER) AS kleine_anfrage_nr, 'Muster, Eva u.a.' AS anfrager, {SQL_FACTION} AS fraktion, strftime(question_date, '%Y-%m-%d') AS anfragedatum, strftime(question_date + 20, '%Y-%m-%d') AS antwortdatum,
     CASE WHEN ka_nr % 3 = 0 THEN '' ELSE 'MBEIM' END AS ministerium_kuerzel, CASE WHEN ka_nr % 3 = 0 THEN 'anfrage_zurueckgezogen' ELSE '' END AS antworttext_status, 'Schule; Kultur' AS systematik,
     'Lehrer; Mangel' || CASE WHEN ka_nr % 3 = 0 THEN ' Unterrichtung Präs Drucksache ' || a_nr || ' ' || strftime(question_date + 20, '%d.%m.%Y') || ' 5 S.' ELSE '' END AS schlagworte FROM inq""")
@@ -131,21 +131,29 @@ def x13(spark, sf_dir):
     return found.select("ka_nr", "anfrager_alle", "anzahl_abgeordnete", "rest")
 
 
-@query("x14_remediate", f"""WITH {INQUIRIES} SELECT ka_nr, CASE ka_nr % 6 WHEN 0 THEN 'Vogel, Nic' WHEN 1 THEN 'Vogel, Nic; Neppe, Frank' WHEN 2 THEN '' WHEN 3 THEN 'Vogel, Nic; Neppe, Frank' WHEN 4 THEN 'Vogel, Nic' ELSE '' END AS names,
-    CASE ka_nr % 6 WHEN 0 THEN 'anfrager_manual' WHEN 1 THEN 'anfrager_manual,anfrager_cross_fraktion' WHEN 2 THEN 'anfrager_manual' WHEN 3 THEN 'anfrager_manual,anfrager_from_db' WHEN 4 THEN 'anfrager_unverified' ELSE '' END AS tag FROM inq""")
+@query("x14_remediate", f"""WITH {INQUIRIES} SELECT ka_nr, CASE ka_nr % 8 WHEN 0 THEN 'Vogel, Nic' WHEN 1 THEN 'Vogel, Nic; Neppe, Frank' WHEN 2 THEN '' WHEN 3 THEN 'Vogel, Nic; Neppe, Frank' WHEN 4 THEN 'Vogel, Nic' WHEN 7 THEN 'Vogel, Nic; Neppe, Frank' ELSE '' END AS names,
+    CASE ka_nr % 8 WHEN 0 THEN 'anfrager_manual' WHEN 1 THEN 'anfrager_manual,anfrager_cross_fraktion' WHEN 2 THEN 'anfrager_manual' WHEN 3 THEN 'anfrager_manual,anfrager_from_db' WHEN 4 THEN 'anfrager_unverified'
+        WHEN 6 THEN 'anfrager_unverified' WHEN 7 THEN 'anfrager_manual,anfrager_cross_fraktion' ELSE '' END AS tag FROM inq""")
 def x14(spark, sf_dir):
-    """0: enough; 1: enough across factions; 2: withdrawn; 3: the table's names; 4: too few; 5: done before."""
-    c = F.col("ka_nr") % 6
-    text = F.when(c == 1, "der Abgeordneten Nic Vogel AfD und Frank Neppe FRAKTIONSLOS\nDrucksache").otherwise("des Abgeordneten Nic Vogel AfD\nDrucksache")
-    people = F.array(*(F.struct(F.lit(f"{v} {n}").alias("form"), F.lit(n).alias("nach"), F.lit(v).alias("vor")) for n, v in (("Neppe", "Frank"), ("Vogel", "Nic"))))
-    own = F.filter(people, lambda p: p["nach"] == "Vogel")
-    named = lambda lexicon: F.transform(x.find_names(x.all_blocks(text), lexicon)["hits"], lambda h: F.concat_ws(", ", h["nach"], h["vor"]))
-    rows = adapter.inquiries(spark, sf_dir).select("ka_nr", named(own).alias("own"), named(people).alias("all"))
-    c = F.col("ka_nr") % 6
-    least = F.when(c.isin(1, 3, 4), 2).otherwise(1)
-    listed = F.when(c == 3, "Vogel, Nic; Neppe, Frank").otherwise("Vogel, Nic; Neppe, Frank u.a.")
+    """0: enough; 1: enough across factions; 2: withdrawn; 3: the table's names; 4: too few; 5: done before;
+    6: no name and none asked for; 7: enough for the table, but the log asks for more."""
+    c = F.col("ka_nr") % 8
+    text = (
+        F.when(c.isin(1, 7), "der Abgeordneten Nic Vogel AfD und Frank Neppe FRAKTIONSLOS\nDrucksache")
+        .when(c == 6, "des Abgeordneten Niemand AfD\nDrucksache")
+        .otherwise("des Abgeordneten Nic Vogel AfD\nDrucksache")
+    )
+    lexicon = spark.createDataFrame([(wp, faction, f"{v} {n}", n, v) for wp in (17, 18) for faction, n, v in (("AfD", "Vogel", "Nic"), ("fraktionslos", "Neppe", "Frank"))], "wp int, fraktion string, form string, nach string, vor string")
+    names = lambda: F.filter(F.split("anfrager_alle", "; "), lambda n: n != "")
+    rows = adapter.inquiries(spark, sf_dir).select("ka_nr", "wp", F.lit("AfD").alias("fraktion"), x.all_blocks(text).alias("block"))
+    own = x.names_found(rows, lexicon, F.col("block"), ["wp", "fraktion"]).select("ka_nr", "wp", "block", names().alias("own"))
+    both = x.names_found(own, lexicon.drop("fraktion").distinct(), F.col("block"), ["wp"]).withColumn("all", names())
+    logged = F.when(c.isin(1, 3, 4, 7), 2).when(c == 6, 0).otherwise(1)
+    least = F.when(c == 7, 1).otherwise(logged)
+    listed = F.when(c == 3, "Vogel, Nic; Neppe, Frank").when(c == 6, "").otherwise("Vogel, Nic; Neppe, Frank u.a.")
     tags = F.when(c == 5, F.array(F.lit("anfrager_manual"))).otherwise(F.array().cast("array<string>"))
-    return rows.select("ka_nr", x.remediate(F.col("own"), F.col("all"), least, listed, F.lit(2), c == 2, tags, F.lit(True)).alias("r")).select("ka_nr", "r.*")
+    tried = x.remediate(F.col("own"), F.col("all"), logged, least, listed, F.when(c == 6, 0).otherwise(2), c == 2, tags, F.lit(True))
+    return both.select("ka_nr", tried.alias("r")).select("ka_nr", "r.*")
 
 
 @query("x15_lexicon", f"""WITH {INQUIRIES}, {MEMBERS}, n AS (SELECT wp, fraktion, {SQL_NAME} AS nach, count(*) AS n_treffer FROM inq JOIN members USING (ka_nr) GROUP BY ALL),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import adapter
+from ..functions.text import clean_members, remove_first
 from ..plans import reports as r
 from .common import BASE, BLOCK, MEMBERS, TOPICS
 from .registry import registry
@@ -30,11 +31,16 @@ SELECT wp, member, {BLOCK}, (SELECT string_agg(f, '/' ORDER BY p) FROM (SELECT f
     WHERE m2.member = m.member AND b2.wp = base.wp GROUP BY 1)) AS fraktionen
 FROM base JOIN members m USING (ka_nr) GROUP BY wp, member""")
 def a12(spark, sf_dir):
-    rows = adapter.base(spark, sf_dir).join(adapter.members(spark, sf_dir), "ka_nr")
-    rows = r.separate(rows, "members", "member")
+    """Lists with wrong separators, a faction that slipped in and 'u.a.' by rule, cleaned again."""
+    n, listed = F.col("ka_nr"), F.col("members")
+    listed = F.when(n % 5 == 0, remove_first(listed, "; ", " , ")).otherwise(listed)
+    listed = F.when(n % 3 == 0, F.concat(listed, F.lit(" SPD"))).otherwise(listed)
+    listed = F.when(n % 7 == 0, F.concat(listed, F.lit(" u.a."))).otherwise(listed)
+    rows = adapter.base(spark, sf_dir).join(adapter.members(spark, sf_dir), "ka_nr").withColumn("members", listed)
+    rows = r.separate(rows.withColumn("members", clean_members(F.col("members"))), "members", "member").withColumn("member", remove_first(F.col("member"), " u.a."))
     # the earliest question of each faction, so that what is collected is as small as the factions
     first = rows.groupBy("wp", "member", "fraktion").agg(F.min("ka_nr").alias("p")).groupBy("wp", "member").agg(r.first_seen("fraktion", "p").alias("fraktionen"))
-    return r.sla(rows, "wp", "member").join(first, ["wp", "member"])
+    return r.sla(rows, "wp", "member").join(first, ["wp", "member"]).orderBy("wp", F.desc("anzahl"), "member")
 
 
 @query("a13_topics_by_month", f"WITH {BASE}, {TOPICS} SELECT wp, periode, topic, {BLOCK} FROM base JOIN topics USING (ka_nr) GROUP BY ALL")

@@ -55,18 +55,18 @@ def q8a(spark, sf_dir):
     rows = _pairs(spark, sf_dir).withColumns(
         {
             "quality": F.when(F.col("l_partkey") % 5 == 0, "ok").otherwise("ask_review"),
-            "note": F.lit(""),
+            "note": F.when(F.col("l_partkey") % 2 == 0, " ").otherwise(""),
             "question_date": F.col("pdf"),
             "answer_date": F.lit(""),
-            "flags": F.when(F.col("l_partkey") % 3 == 0, "anfragedatum,antwort_vor_anfrage").otherwise("anfragedatum"),
+            "flags": F.when(F.col("l_partkey") % 3 == 0, "anfragedatum, antwort_vor_anfrage").otherwise(" anfragedatum"),
         }
     )
     empty = {f: F.lit("") for f in FIELDS} | {"question": F.lit(1), "wp": F.lit(18), "number_found": F.lit(False), "header_doubled": F.lit(False), "text_there": F.lit(False)}
     out = s.resolve(rows, "flags", empty | {"question_body": F.col("pdf"), "question_db": F.col("db")})
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", "quality", "question_date", "note")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "quality", "question_date", F.trim("note").alias("note"))
 
 
-@query("q15_source_findings", f"""WITH {PAIRS} SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', CASE WHEN gap NOT BETWEEN -14 AND 122 THEN 'anfragedatum' END,
+@query("q15_source_findings", f"""WITH {PAIRS} SELECT l_orderkey, l_linenumber, l_partkey, concat_ws(',', CASE WHEN pdf <> db AND gap IS NOT NULL AND (y NOT BETWEEN 2015 AND 2030 OR gap NOT BETWEEN -14 AND 122) THEN 'anfragedatum' END,
     CASE WHEN l_partkey % 3 = 0 THEN 'drucksache_anfrage_nr' END, CASE WHEN l_partkey % 4 = 0 THEN 'fraktion' END) AS findings, CAST(gap AS INTEGER) AS gap FROM judged""")
 def q15(spark, sf_dir):
     pdf, db, n = F.col("pdf"), F.col("db"), F.col("l_partkey")
@@ -121,3 +121,76 @@ def snk2(spark, sf_dir):
 
     rows = adapter.inquiries(spark, sf_dir).select("wp", F.col("ka_nr").cast("int").alias("kleine_anfrage_nr"), F.col("q_nr").alias("drucksache_anfrage_nr"), "fraktion", "ministry")
     return rows.select(*[c for c in SNAPSHOT if c in rows.columns])
+
+
+MERGED = INQUIRIES + """,
+m AS (
+    SELECT *, question_date AS q, ka_nr % 9 <> 0 AS ext, ka_nr % 17 = 0 AS kept, question_date + CAST(CASE WHEN ka_nr % 13 = 0 THEN 150 ELSE ka_nr % 3 * 10 END AS INTEGER) AS db_q, question_date + 25 AS db_a,
+        CASE WHEN ka_nr % 9 <> 0 THEN question_date END AS body_q, CASE WHEN ka_nr % 9 <> 0 THEN question_date + 20 END AS body_a,
+        CASE WHEN ka_nr % 4 <> 0 AND ka_nr % 7 <> 0 THEN question_date - CASE WHEN ka_nr % 8 = 3 THEN 30 ELSE 2 END END AS foot_q,
+        CASE WHEN ka_nr % 5 <> 4 THEN question_date + CAST(CASE WHEN ka_nr % 10 = 1 THEN -5 ELSE 20 - ka_nr % 2 END AS INTEGER) END AS foot_a FROM inq
+),
+n AS (SELECT *, coalesce(body_q, foot_q) AS pdf_q, foot_a AS pdf_a FROM m),
+o AS (
+    SELECT *, CASE WHEN kept OR pdf_q IS NULL OR pdf_q = db_q THEN false WHEN year(pdf_q) NOT BETWEEN 2015 AND 2030 THEN true ELSE db_q - pdf_q NOT BETWEEN -14 AND 122 END AS flag_q,
+        CASE WHEN kept OR pdf_q IS NULL OR year(pdf_q) NOT BETWEEN 2015 AND 2030 THEN db_q ELSE pdf_q END AS new_q,
+        CASE WHEN pdf_a IS NULL OR pdf_a = db_a THEN false WHEN year(pdf_a) NOT BETWEEN 2015 AND 2030 THEN true ELSE db_a - pdf_a NOT BETWEEN -14 AND 122 END AS flag_a,
+        CASE WHEN pdf_a IS NULL OR year(pdf_a) NOT BETWEEN 2015 AND 2030 THEN db_a ELSE pdf_a END AS new_a FROM n
+),
+p AS (
+    SELECT *, concat_ws(',', CASE WHEN flag_q THEN 'anfragedatum' END, CASE WHEN flag_a THEN 'antwortdatum' END, CASE WHEN NOT kept AND abs(body_q - foot_q) > 14 THEN 'anfragedatum_pdf_kreuz' END,
+        CASE WHEN abs(body_a - foot_a) > 14 THEN 'antwortdatum_pdf_kreuz' END, CASE WHEN new_a < new_q THEN 'antwort_vor_anfrage' END, CASE WHEN ext AND ka_nr % 7 = 0 THEN 'drucksache_anfrage_nr' END,
+        CASE WHEN ext AND ka_nr % 6 = 5 THEN 'fraktion' END, CASE WHEN ext AND ka_nr % 11 = 0 THEN 'md_kanr' END) AS flags FROM o
+),
+r AS (
+    SELECT *, CASE WHEN NOT ext AND flags = '' THEN '' WHEN ka_nr % 23 = 0 THEN 'review' WHEN flags <> '' THEN CASE WHEN ka_nr % 19 = 0 THEN 'korrigiert' ELSE 'ask_review' END
+        WHEN ka_nr % 19 = 0 OR kept THEN 'korrigiert' ELSE 'ok' END AS verdict FROM p
+)"""
+
+
+def merged(spark, sf_dir):
+    """The table with dates, papers, factions and numbers altered by rule, merged with its letters and rendered answers."""
+    from .extraction import _worded
+
+    n, q = F.col("ka_nr"), F.col("question_date")
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd")
+    pk = F.concat_ws("/", "wp", n + 10_000_000)
+    rows = adapter.inquiries(spark, sf_dir)
+    token = F.when(n % 3 == 0, "BÜNDNIS 90/DIE GRÜNEN").when(n % 3 == 1, "FRAKTIONSLOS").otherwise("AFD")
+    lost = F.when(n % 2 == 0, "").otherwise(" ")
+    head = F.concat(
+        F.lit("LANDTAG NORDRHEIN-WESTFALEN Wahlperiode Antwort der Landesregierung auf die Kleine Anfrage "), n, lost, F.lit("vom "), _worded(q), F.lit(" der Abgeordneten Eva Muster "), token,
+        F.lit("\nDrucksache"), lost, "q_nr", F.lit("\nDie Ministerin der Justiz hat die Kleine Anfrage "), n, F.lit(" mit Schreiben vom "), _worded(F.date_add(q, 20)), F.lit(" beantwortet."),
+    )
+    texts = rows.select(pk.alias("drucksache_antwort_nr"), F.when(n % 4 == 3, F.regexp_replace(head, r"(\S)", "$1$1")).otherwise(head).alias("text"))
+    asked = rows.where("ka_nr % 4 <> 0").select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), iso(F.date_sub(q, F.when(n % 8 == 3, 30).otherwise(2))).alias("date"))
+    told = rows.where("ka_nr % 5 <> 4").select(pk.alias("paper"), F.lit("Antwort").alias("kind"), iso(F.date_add(q, F.when(n % 10 == 1, -5).otherwise(20 - n % 2).cast("int"))).alias("date"))
+    faction = F.when(n % 6 == 5, "SPD").when(n % 3 == 0, "GRÜNE").when(n % 3 == 1, "fraktionslos").otherwise("AfD")
+    table = rows.select(
+        F.col("ka_nr").alias("id"),
+        pk.alias("drucksache_antwort_nr"),
+        F.when(n % 7 == 0, "18/0").otherwise(F.col("q_nr")).alias("drucksache_anfrage_nr"),
+        F.when(n % 11 == 0, n + 1).otherwise(n).alias("kleine_anfrage_nr"),
+        faction.alias("fraktion"),
+        iso(F.date_add(q, F.when(n % 13 == 0, 150).otherwise(n % 3 * 10).cast("int"))).alias("anfragedatum"),
+        iso(F.date_add(q, 25)).alias("antwortdatum"),
+        F.lit("").alias("anfragedatum_db"),
+        F.lit(None).cast("string").alias("antwortdatum_db"),
+        F.when(n % 9 == 0, "pending").otherwise("extracted").alias("antworttext_status"),
+        F.when(n % 17 == 0, "x, anfragedatum_manual").otherwise("").alias("extract_flags"),
+        F.when(n % 19 == 0, "seen").otherwise(" ").alias("notizen"),
+        F.when(n % 23 == 0, "review").otherwise("ok").alias("datenqualitaet"),
+    )
+    return s.merge(table, asked.unionByName(told), texts)
+
+
+@query("m1_merge", f"""WITH {MERGED} SELECT ka_nr AS id, strftime(new_q, '%Y-%m-%d') AS anfragedatum, strftime(new_a, '%Y-%m-%d') AS antwortdatum, strftime(db_q, '%Y-%m-%d') AS anfragedatum_db, flags AS mismatch_flags, verdict AS datenqualitaet,
+    CASE WHEN flag_q THEN 'flagged' WHEN pdf_q <> db_q THEN 'silent' WHEN pdf_q IS NULL THEN 'missing' ELSE '' END AS outcome_anfragedatum,
+    CASE WHEN flag_a THEN 'flagged' WHEN pdf_a <> db_a THEN 'silent' WHEN pdf_a IS NULL THEN 'missing' ELSE '' END AS outcome_antwortdatum FROM r""")
+def m1(spark, sf_dir):
+    return merged(spark, sf_dir).select("id", "anfragedatum", "antwortdatum", "anfragedatum_db", "mismatch_flags", "datenqualitaet", "outcome_anfragedatum", "outcome_antwortdatum")
+
+
+@query("m1_merge_counters", f"WITH {MERGED} SELECT CASE WHEN verdict = '' THEN 'skipped' ELSE verdict END AS disposition, count(*) AS n FROM r GROUP BY 1")
+def m1_counters(spark, sf_dir):
+    return s.counters(merged(spark, sf_dir), "disposition")

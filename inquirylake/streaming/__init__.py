@@ -20,27 +20,51 @@ def latest(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(root):
         return spark.createDataFrame([], schema), -1
-    done = [s.getPath() for s in files.listStatus(root) if files.exists(fs.Path(s.getPath(), "_SUCCESS"))]
+    done = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("version=") and files.exists(fs.Path(s.getPath(), "_SUCCESS"))]
     numbers = sorted(int(p.getName().split("=")[1]) for p in done)
     if not numbers:
         return spark.createDataFrame([], schema), -1
     return spark.read.schema(schema).parquet(f"{path}/version={numbers[-1]:08d}"), numbers[-1]
 
 
+def _claimed(spark: SparkSession, path: str, batch: str, have: int) -> tuple[int, bool]:
+    """The version that a batch writes, and whether it is complete.
+
+    A batch claims the next version by a small file named after it, before it writes.  If it is run
+    again, it finds its claim and writes, or has written, the same version.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    claim = fs.Path(f"{path}/_batches/{batch}")
+    files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(claim):
+        stream = files.open(claim)
+        version = stream.readInt()
+        stream.close()
+        return version, files.exists(fs.Path(f"{path}/version={version:08d}/_SUCCESS"))
+    stream = files.create(claim, True)
+    stream.writeInt(have + 1)
+    stream.close()
+    return have + 1, False
+
+
 def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str) -> StreamingQuery:
     """Upserts a stream of new rows into a versioned table; each batch writes one version.
 
-    The version's number is the batch's, so a batch that is run again after a failure writes the
-    same version again.  Within a batch the last row of each key counts.
+    Versions are numbered by the table, so a stream with a new checkpoint goes on where another
+    one has stopped; a batch that is run again after a failure writes the same version again.  Within
+    a batch the last row of each key counts.  Times are UTC.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        query = F.get_json_object("value", "$.id")
+        identity = spark.read.text(f"{checkpoint}/metadata").select(query.alias("id")).first()["id"]
         current, have = latest(spark, path, schema)
-        if have >= number:
+        version, complete = _claimed(spark, path, f"{identity}-{number}", have)
+        if complete:
             return
         new = keep_last(batch, position, key)
-        run_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")
-        save_version(upsert(current, new, key, mask, run_at), path, number, key)
+        run_at = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
+        save_version(upsert(current, new, key, mask, run_at), path, version, key)
 
     return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -195,3 +195,120 @@ def test_verify_exit_code(spark):
 def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["run", "/root/testdata/sf0.001", "a17_sla_by_month", "--out", str(tmp_path / "o")]) == 0
     assert spark.read.option("header", True).csv(str(tmp_path / "o" / "a17_sla_by_month")).count() > 0
+
+
+# Rows of the decision table: flags, question dates (body, footer, stored), answer dates (body,
+# footer, stored), paper numbers (document, stored), question number, factions (document, stored),
+# term, number found, header doubled, text there; and what comes out by that table, worked by hand.
+CASES = [
+    ("anfragedatum", "2205-01-01", "", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:ocr_year", "", "", True),
+    ("anfragedatum", "2022-01-10", "", "", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:incomplete", "", "", True),
+    ("anfragedatum", "", "", "", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "", "", "", False),
+    ("anfragedatum", "2021-01-10", "", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:year_typo", "2022-01-10", "", True),
+    ("anfragedatum", "2022-06-10", "2022-01-12", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:body_typo", "2022-01-12", "", True),
+    ("anfragedatum", "2022-06-10", "2022-06-10", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:pdf_kept", "", "", True),
+    ("antwortdatum", "", "", "", "", "2021-03-01", "2022-03-01", "", "", 1, "", "", 18, 0, 0, 0, "antwortdatum:year_typo", "", "2022-03-01", True),
+    ("antwortdatum", "", "", "", "", "2022-09-01", "2022-03-01", "", "", 1, "", "", 18, 0, 0, 0, "antwortdatum:pdf_kept", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "17/675", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:wrong_term", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/366", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:question_number", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/18", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:term_header", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/676", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:typo +1", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/6755", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:doubled_digit", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/67", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:dropped_digit", "", "", True),
+    ("drucksache_anfrage_nr", "", "", "", "", "", "", "18/657", "18/675", 366, "", "", 18, 0, 0, 0, "drucksache_anfrage_nr:digit_error -18", "", "", True),
+    ("fraktion", "", "", "", "", "", "", "", "", 1, "BÜNDNIS 90/DIE GRÜNEN", "GRÜNE", 18, 0, 0, 0, "fraktion:same_faction", "", "", True),
+    ("fraktion", "", "", "", "", "", "", "", "", 1, "fraktionslos", "AfD", 17, 0, 0, 0, "fraktion:left_faction", "", "", True),
+    ("fraktion", "", "", "", "", "", "", "", "", 1, "SPD", "CDU", 18, 0, 0, 0, "fraktion:header_or_several", "", "", True),
+    ("fraktion", "", "", "", "", "", "", "", "", 1, "", "CDU", 18, 0, 0, 0, "", "", "", False),
+    ("md_kanr", "", "", "", "", "", "", "", "", 1, "", "", 18, 1, 0, 1, "md_kanr:spacing", "", "", True),
+    ("md_kanr", "", "", "", "", "", "", "", "", 1, "", "", 18, 0, 1, 1, "md_kanr:doubled_header", "", "", True),
+    ("md_kanr", "", "", "", "", "", "", "", "", 1, "SPD", "", 18, 0, 0, 1, "md_kanr:other_number", "", "", True),
+    ("md_kanr", "", "", "", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "", "", "", False),
+    ("anfragedatum_pdf_kreuz", "2021-01-10", "2022-01-10", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum_pdf_kreuz:year_typo", "2022-01-10", "", True),
+    ("anfragedatum_pdf_kreuz", "2026-01-10", "2023-01-10", "2023-01-12", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum_pdf_kreuz:years_typo", "2023-01-12", "", True),
+    ("anfragedatum_pdf_kreuz", "2022-01-10", "2022-03-10", "2022-01-12", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum_pdf_kreuz:footer_typo", "", "", True),
+    ("anfragedatum_pdf_kreuz", "2022-03-10", "2022-01-10", "2022-01-12", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum_pdf_kreuz:body_typo", "2022-01-10", "", True),
+    ("anfragedatum_pdf_kreuz", "2022-03-10", "2022-06-10", "2022-01-12", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "", "", "", False),
+    ("antwortdatum_pdf_kreuz", "", "", "", "2022-01-10", "2022-03-10", "2022-01-12", "", "", 1, "", "", 18, 0, 0, 0, "antwortdatum_pdf_kreuz:footer_typo", "", "2022-01-10", True),
+    ("antwortdatum_pdf_kreuz", "", "", "", "2022-03-10", "2022-01-10", "2022-01-12", "", "", 1, "", "", 18, 0, 0, 0, "antwortdatum_pdf_kreuz:body_typo", "", "", True),
+    ("antwort_vor_anfrage", "", "", "", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "", "", "", False),
+    ("anfragedatum,antwort_vor_anfrage", "2021-01-10", "", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:year_typo", "2022-01-10", "", False),
+    ("anfragedatum,anfragedatum_pdf_kreuz", "2022-06-10", "2022-08-10", "2022-01-10", "", "", "", "", "", 1, "", "", 18, 0, 0, 0, "anfragedatum:see_cross", "", "", False),
+]
+
+
+def test_decision_table(spark):
+    fields = ["question_body", "question_footer", "question_db", "answer_body", "answer_footer", "answer_db", "pdf_nr", "db_nr", "question", "pdf_faction", "faction", "wp", "number_found", "header_doubled", "text_there"]
+    rows = spark.createDataFrame([(i, *case[:16]) for i, case in enumerate(CASES)], ["id", "flags", *fields])
+    row = {f: F.col(f) == 1 if f in ("number_found", "header_doubled", "text_there") else F.col(f) for f in fields}
+    out = rows.select("id", reconcile.classify(F.split("flags", ","), row).alias("c")).select("id", F.array_join("c.notes", ";").alias("notes"), F.coalesce("c.question_date", F.lit("")), F.coalesce("c.answer_date", F.lit("")), "c.resolved")
+    assert [tuple(r)[1:] for r in out.orderBy("id").collect()] == [case[16:] for case in CASES]
+
+
+@pytest.mark.parametrize(("pdf", "db", "differ"), [("2014-12-25", "2015-01-05", True), ("2022-02-31", "2022-01-05", False), ("2022-01-10", "2022-05-12", False), ("2022-01-10", "2022-05-13", True), ("2031-01-01", "2031-01-01", False), ("", "2022-01-01", False)])
+def test_mismatch(spark, pdf, db, differ):
+    assert value(spark, reconcile.mismatch(F.lit(pdf), F.lit(db))) is differ
+
+
+def test_number_in_head(spark):
+    head = "Antwort der Landesregierung in der Sache auf die Kleine Anfrage 5 vom 1. Mai 2022"
+    doubled = "".join(c if c.isspace() else 2 * c for c in head)
+    for text_, number, found in ((head, 5, True), (doubled, 5, True), (head, 6, False), (head, None, True), ("x" * 16000 + head, 5, False), (None, 5, False)):
+        assert value(spark, reconcile.number_in(F.lit(text_).cast("string"), F.lit(number).cast("int"))) is found
+    long = head + " Text." * 40
+    rows = spark.createDataFrame([(1, head, 6), (2, long, 6), (3, long, 5), (4, long, None), (5, None, 6)], "id int, text string, n int")
+    assert [r["id"] for r in quality.lacks_number(rows, "text", "n").collect()] == [2]
+
+
+def test_malformed_papers_must_be_set(spark):
+    rows = spark.createDataFrame([("18/1",), ("18-1",), ("",), (None,), ("18/1x",)], "pk string")
+    assert sorted(r["pk"] for r in quality.malformed(rows, "pk").collect()) == ["18-1", "18/1x"]
+
+
+def test_second_try_needs_names(spark):
+    none, one, two = F.array().cast("array<string>"), F.array(F.lit("a")), F.array(F.lit("a"), F.lit("b"))
+    no = F.lit(False)
+
+    def tried(hits, cross, logged, least, listed="", n=0):
+        r = value(spark, extract.remediate(hits, cross, F.lit(logged), F.lit(least), F.lit(listed), F.lit(n), no, none, F.lit(True)))
+        return r["names"], r["tag"]
+
+    assert tried(none, none, 0, 0) == ("", "anfrager_unverified")
+    assert tried(one, two, 2, 1) == ("a; b", "anfrager_manual,anfrager_cross_fraktion")
+    assert tried(one, two, 1, 1) == ("a", "anfrager_manual")
+    assert tried(none, none, 1, 1, "A, B", 1) == ("A, B", "anfrager_manual,anfrager_from_db")
+
+
+@pytest.mark.parametrize("text_", ["K&ouml;ln &#228; &szlig;", "&amp;lt; &lt;", "&#x1F600;&#128512;", "a & b &foo; &", "&copy &#0; &#150;", "&hellip;&NotEqualTilde;", "no entity", "", "&Auml;&amp;&uuml"])
+def test_entities(spark, text_):
+    import html
+
+    assert value(spark, text.decode_entities(F.lit(text_))) == html.unescape(text_)
+
+
+def test_members_are_cleaned(spark):
+    assert value(spark, text.clean_members(F.lit("A, B , C, D SPD; E, F"))) == "A, B; C, D; E, F"
+
+
+def test_long_gaps_are_cut(spark):
+    rows = spark.createDataFrame([(1, 200_000), (1, 1)], "wp int, n long")
+    assert quality.missing_numbers(rows, "wp", "n").agg(F.count("*"), F.min("n"), F.max("n")).first()[:] == (199_998, 2, 199_999)
+
+
+def test_rejects(spark):
+    assert keyed.rejects(spark.createDataFrame([("1/1",), ("",), (None,), (" ",)], "pk string"), "pk").count() == 3
+
+
+def test_a_new_stream_goes_on_after_another(spark, tmp_path):
+    schema, read = "pk string, name string, added_at string, updated_at string", "pk string, name string, at int"
+    for n in (1, 2):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([(f"18/{n}", "x", 1)], read).write.parquet(source)
+        for _ in range(2):  # a restart without news writes nothing
+            streaming.stream_upserts(spark.readStream.schema(read).parquet(source), str(tmp_path / "t"), str(tmp_path / f"check{n}"), schema, "pk", ["name"], "at").awaitTermination()
+    rows, number = streaming.latest(spark, str(tmp_path / "t"), schema)
+    assert number == 1 and {r["pk"] for r in rows.collect()} == {"18/1", "18/2"}
+
+
+def test_snapshot_order():
+    assert sinks.SNAPSHOT[9:14] == ["systematik", "schlagworte", "link_drucksache_anfrage", "link_drucksache_antwort", "ministerium_kuerzel"]
