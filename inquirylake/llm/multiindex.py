@@ -15,7 +15,7 @@ from .components import components
 
 #: Rows that the codebooks are fitted on at most, those with the least hash; members and visitors
 #: of one comparison; the share of neighbours at the threshold that traversal is to reach.
-SAMPLE, MEMBERS, VISITORS, RECALL = 8192, 2048, 4096, 0.999
+SAMPLE, MEMBERS, VISITORS, RECALL = 8192, 2048, 8192, 0.999
 
 
 def codewords(rows: int) -> int:
