@@ -1,14 +1,24 @@
-"""Command line: the verbs that make sense without a network."""
+"""Command line: the verbs that make sense without a network, over stored tables."""
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from . import queries, sinks, sources
-from .operators import extract, quality
+from . import queries, sinks, sources, streaming
+from .operators import extract, joins, quality, stages
+
+#: Verbs that read a table and write its next version, with what else each one reads.
+VERBS = {
+    "normalize": ("canonical factions and ministries, and flags", ["ministries", "aliases", "overrides"]),
+    "merge": ("what documents and table say of each other", ["letters", "texts"]),
+    "resolve": ("explain flags automatically", ["letters", "texts"]),
+    "build-abgeordnete-index": ("the lexicon of members", []),
+    "extract-all-anfrager": ("all members that texts name", ["texts", "lexicon"]),
+    "extract-multi-ministerium": ("all ministries that texts name", ["texts", "ministries", "aliases"]),
+}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -21,12 +31,40 @@ def parser() -> argparse.ArgumentParser:
     scan = verbs.add_parser("scan-archive", help="fields of all document texts below a folder")
     scan.add_argument("folder")
     scan.add_argument("--out", required=True)
+    scan.add_argument("--wahlperiode", type=int)
+    scan.add_argument("--limit", type=int)
     verify = verbs.add_parser("verify", help="check a table; exit code 1 on findings")
     verify.add_argument("table")
+    verify.add_argument("--texts", help="table of key and text")
     verify.add_argument("--key", default="drucksache_antwort_nr")
+    for verb, (text, inputs) in VERBS.items():
+        one = verbs.add_parser(verb, help=text)
+        one.add_argument("table")
+        one.add_argument("--out", required=True, help="folder of versions")
+        one.add_argument("--key", default="drucksache_antwort_nr")
+        one.add_argument("--wahlperiode", type=int)
+        one.add_argument("--dry-run", action="store_true", help="show counters, write nothing")
+        for name in inputs:
+            one.add_argument(f"--{name}", required=True, help="a parquet table")
     return out
 
 
+def _change(verb: str, rows: DataFrame, more: dict[str, DataFrame], key: str) -> DataFrame:
+    if verb == "normalize":
+        names = more["ministries"]
+        return quality.normalise(rows, names.select("code", "name", "position"), more["aliases"], more["overrides"])
+    if verb == "merge":
+        return stages.merge(rows, more["letters"], more["texts"], key)
+    if verb == "resolve":
+        return stages.resolve_auto(rows, more["letters"], more["texts"], key)
+    if verb == "build-abgeordnete-index":
+        listed = [c for c in ("anfrager", "anfrager_alle") if c in rows.columns]
+        return extract.lexicon(rows.where("wp is not null and fraktion <> ''"), ["wp", "fraktion"], listed)
+    if verb == "extract-all-anfrager":
+        return stages.extract_members(rows, more["texts"], more["lexicon"], key)
+    return stages.involve_ministries(rows, more["texts"], more["ministries"].select("code", "name", "position"), more["aliases"], key)
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("inquirylake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -37,14 +75,31 @@ def main(argv: Sequence[str] | None = None) -> int:
         return 0
     if args.verb == "scan-archive":
         texts = sources.heads(spark, args.folder, 16000)
-        found = texts.where(extract.is_answer(texts["head"]) & ~extract.is_large_inquiry(texts["head"]))
-        extract.page_fields(found, "head").drop("head").write.mode("overwrite").parquet(args.out)
+        found = extract.page_fields(texts.where(extract.is_answer(texts["head"]) & ~extract.is_large_inquiry(texts["head"])), "head").drop("head")
+        if args.wahlperiode is not None:
+            found = found.where(found["drucksache_antwort_nr"].startswith(f"{args.wahlperiode}/"))
+        (found.limit(args.limit) if args.limit is not None else found).write.mode("overwrite").parquet(args.out)
         return 0
     rows = spark.read.parquet(args.table)
-    findings = {"malformed": quality.malformed(rows, args.key), "negative_time": quality.negative_time(rows, "anfragedatum", "antwortdatum")}
-    summary = quality.report(findings, args.key)
-    summary.show(truncate=120)
-    return quality.exit_code(summary, list(findings), rows.count())
+    if args.verb == "verify":
+        texts = spark.read.parquet(args.texts) if args.texts else spark.createDataFrame([], f"{args.key} string, text string")
+        findings = quality.verify(rows if args.texts else rows.withColumn("antworttext_status", rows["antworttext_status"].substr(1, 0)), texts, args.key)
+        summary = quality.report(findings, args.key)
+        summary.show(truncate=120)
+        return quality.exit_code(summary, quality.FAILING, rows.count())
+    more = {name: spark.read.parquet(getattr(args, name)) for name in VERBS[args.verb][1]}
+    chosen = rows if args.wahlperiode is None else rows.where(rows["wp"] == args.wahlperiode)
+    changed = _change(args.verb, chosen, more, args.key)
+    if args.verb != "build-abgeordnete-index" and args.wahlperiode is not None:
+        changed = changed.unionByName(joins.orphans(rows, chosen, args.key), allowMissingColumns=True)
+    for column in ("disposition", "datenqualitaet"):
+        if column in changed.columns:
+            stages.counters(changed, column).show()
+            break
+    if not args.dry_run:
+        number = streaming.latest(spark, args.out, changed.schema.simpleString()[7:-1].replace(":", " "))[1] + 1
+        sinks.save_version(changed.drop("disposition", "outcome_anfragedatum", "outcome_antwortdatum"), args.out, number, args.key if args.key in changed.columns else "form")
+    return 0
 
 
 if __name__ == "__main__":

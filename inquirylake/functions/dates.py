@@ -67,6 +67,11 @@ def year_of(text: Column) -> Column:
     return part(text, r"^(\d{4})-", 1).cast("int")
 
 
+def years_apart(gap: Column) -> Column:
+    """About how many years a number of days is (D-14)."""
+    return F.bround(F.abs(gap) / 365, 0).cast("int")
+
+
 def heal_year(original: Column, issued: Column) -> Column:
     """Adds a year to a letter date that lies over 60 days before the issue, if that fits (D-12)."""
     a, b = as_date(original), as_date(issued)

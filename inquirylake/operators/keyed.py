@@ -81,6 +81,17 @@ def purge_placeholders(table: DataFrame) -> DataFrame:
     return table.join(real, "pk", "left_anti")
 
 
+def targeted(table: DataFrame, hits: DataFrame, numbers: DataFrame, mask: Sequence[str], run_at: Column) -> DataFrame:
+    """The table after a new search for some questions only.
+
+    numbers has wp and ka_nr; other hits are left aside.  Placeholders move to the answers that were
+    found, then hits update or add their rows; a hit without an answer is its question's placeholder.
+    """
+    wanted = hits.join(numbers.select("wp", "ka_nr"), ["wp", "ka_nr"], "left_semi")
+    moved = migrate(table, wanted)
+    return upsert(moved, wanted.withColumn("pk", F.coalesce(filled(F.col("pk")), "q_nr")), "pk", mask, run_at)
+
+
 def stale(rows: DataFrame, keys: Sequence[str], pk: str) -> DataFrame:
     """Rows whose key also stands under another pk.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date, days, year_of
+from ..functions.dates import as_date, days, year_of, years_apart
 from ..functions.text import FACTIONS, dedouble, trimmed_parts
 
 # Years that a date may have, days that a stored date may lie before and after a
@@ -151,7 +151,7 @@ def classify(flags: Column, row: dict[str, Column]) -> Column:
     question_cross = (
         F.when(out_of_years(body), _state("ocr_year"))
         .when(a_year(bf) & a_year(bd), _state("year_typo", db))
-        .when(F.coalesce(years_off, F.lit(False)), _state("years_typo", db))
+        .when(F.coalesce(years_off, F.lit(False)), F.struct(F.concat(F.lit("years_typo "), years_apart(bd)).alias("note"), db.cast("string").alias("date")))
         .when(near(bd), _state("footer_typo"))
         .when(near(fd) & F.coalesce(F.abs(bd) > NARROW, F.lit(False)), _state("body_typo", foot))
         .otherwise(_state())

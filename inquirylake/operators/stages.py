@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import trimmed_parts
-from .extract import header_fields
+from ..functions.text import dedouble, least_askers, trimmed_parts
+from .extract import first_block, header_fields, lexicon, minister_forms, names_found
+from .joins import subset_match
 from .reconcile import HEAD, answer_before_question, blank, classify, cross_flags, header_flags, mismatch, number_in, quality, reconcile
 
 # Columns that a scan may write of a row that is already known.
@@ -81,27 +82,36 @@ def counters(rows: DataFrame, disposition: str) -> DataFrame:
 DATES = {"anfragedatum": ("drucksache_anfrage_nr", "Anfrage"), "antwortdatum": ("drucksache_antwort_nr", "Antwort")}
 
 
-def merge(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
-    """The verdict of documents and table on every row, as one plan.
+def evidence(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """Adds head and what it states (_h_*), and the dates of the letters' feet (_foot_*).
 
-    letters has paper, kind and date; texts the key and text.  The table's dates are kept once in
-    *_db; then the document's date counts (for a question that of the answer's body, else its own
-    foot) as far as reconciling allows, but not where a manual tag locks it.  mismatch_flags lists
-    what contradicts, datenqualitaet is the verdict; outcome_* tell how each date came about and
-    disposition what the run counts the row as.
+    letters has paper, kind and date; texts the key and text, which are read of extracted rows only.
     """
-    head = F.substring("text", 1, HEAD)
-    parsed = header_fields(texts.select(key, head.alias("head")), "head")
+    parsed = header_fields(texts.select(key, F.substring("text", 1, HEAD).alias("head")), "head")
     parsed = parsed.select(key, "head", *(F.col(c).alias(f"_h_{c}") for c in ("anfragedatum", "antwortdatum", "drucksache_anfrage_nr", "fraktion")))
     extracted = F.col("antworttext_status") == "extracted"
     out = rows.join(parsed, key, "left")
-    out = out.withColumns({c: F.when(extracted, F.col(c)).otherwise("") for c in parsed.columns if c != key})
-    tags = trimmed_parts(F.col("extract_flags"))
+    out = out.withColumns({c: F.coalesce(F.when(extracted, F.col(c)), F.lit("")) for c in parsed.columns if c != key})
     for name, (paper, kind) in DATES.items():
         letter = letters.where(F.col("kind") == kind).select(F.col("paper").alias(paper), F.col("date").alias(f"_foot_{name}"))
-        out = out.join(letter, paper, "left").withColumn(f"{name}_db", F.when(blank(F.col(f"{name}_db")), F.col(name)).otherwise(F.col(f"{name}_db")))
+        out = out.join(letter, paper, "left").withColumn(f"_foot_{name}", F.coalesce(f"_foot_{name}", F.lit("")))
+    return out
+
+
+def merge(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """The verdict of documents and table on every row, as one plan.
+
+    The table's dates are kept once in *_db; then the document's date counts (for a question that of
+    the answer's body, else its own foot) as far as reconciling allows, but not where a manual tag
+    locks it.  mismatch_flags lists what contradicts, datenqualitaet is the verdict; outcome_* tell
+    how each date came about and disposition what the run counts the row as.
+    """
+    out = evidence(rows, letters, texts, key)
+    for name in DATES:
+        out = out.withColumn(f"{name}_db", F.when(blank(F.col(f"{name}_db")), F.col(name)).otherwise(F.col(f"{name}_db")))
+    tags = trimmed_parts(F.col("extract_flags"))
     body = {name: F.col(f"_h_{name}") for name in DATES}
-    foot = {name: F.coalesce(f"_foot_{name}", F.lit("")) for name in DATES}
+    foot = {name: F.col(f"_foot_{name}") for name in DATES}
     locked = {name: F.array_contains(tags, f"{name}_manual") for name in DATES}
     document = {"anfragedatum": F.when(blank(body["anfragedatum"]), foot["anfragedatum"]).otherwise(body["anfragedatum"]), "antwortdatum": foot["antwortdatum"]}
     for name in DATES:
@@ -120,3 +130,79 @@ def merge(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "dru
     out = out.withColumns(columns).withColumns({name: F.col(f"_r_{name}.chosen") for name in DATES})
     added = ["disposition", *(f"outcome_{name}" for name in DATES)]
     return out.select(*rows.columns, *[c for c in ["mismatch_flags", "datenqualitaet", *added] if c not in rows.columns])
+
+
+def resolve_auto(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """Explains the flags of rows that wait for a verdict from their documents (Q8a over a stored table)."""
+    seen = evidence(rows, letters, texts, key)
+    renamed = {"anfragedatum": "question_date", "antwortdatum": "answer_date", "notizen": "note", "datenqualitaet": "quality"}
+    head = F.col("head")
+    row = {
+        "question_body": F.col("_h_anfragedatum"),
+        "question_footer": F.col("_foot_anfragedatum"),
+        "question_db": F.coalesce("anfragedatum_db", F.lit("")),
+        "answer_body": F.col("_h_antwortdatum"),
+        "answer_footer": F.col("_foot_antwortdatum"),
+        "answer_db": F.coalesce("antwortdatum_db", F.lit("")),
+        "pdf_nr": F.col("_h_drucksache_anfrage_nr"),
+        "db_nr": F.coalesce("drucksache_anfrage_nr", F.lit("")),
+        "question": F.col("kleine_anfrage_nr"),
+        "pdf_faction": F.col("_h_fraktion"),
+        "faction": F.coalesce("fraktion", F.lit("")),
+        "wp": F.col("wp"),
+        "number_found": number_in(head, F.col("kleine_anfrage_nr")),
+        "header_doubled": dedouble(head) != head,
+        "text_there": head != "",
+    }
+    done = resolve(seen.withColumnsRenamed(renamed), "mismatch_flags", row)
+    return done.withColumnsRenamed({b: a for a, b in renamed.items()}).select(*rows.columns)
+
+
+def extract_members(rows: DataFrame, texts: DataFrame, lexicon: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """Fills anfrager_alle and anzahl_abgeordnete of extracted rows from their texts (X13 over a table).
+
+    Rows with a manual tag stay.  Adds rest, what no name explains, and too_few where fewer were
+    found than the table's own list tells of.
+    """
+    mine = (F.col("antworttext_status") == "extracted") & ~F.array_contains(trimmed_parts(F.col("extract_flags")), "anfrager_manual")
+    old = {c: F.col(c) for c in ("anfrager_alle", "anzahl_abgeordnete") if c in rows.columns}
+    kept = rows.withColumnsRenamed({c: f"_old_{c}" for c in old}).join(texts.select(key, F.col("text").alias("_text")), key, "left")
+    names = lexicon.select("wp", "fraktion", "form", "nach", "vor")
+    found = names_found(kept, names, F.coalesce(first_block(F.col("_text")), F.lit("")), ["wp", "fraktion"])
+    fresh = mine & F.col("_text").isNotNull()
+    out = found.withColumns({c: F.when(fresh, F.col(c)).otherwise(F.col(f"_old_{c}")) if c in old else F.when(fresh, F.col(c)) for c in ("anfrager_alle", "anzahl_abgeordnete")})
+    out = out.withColumns({"rest": F.when(fresh, F.col("rest")).otherwise(""), "too_few": fresh & (F.coalesce("anzahl_abgeordnete", F.lit(0)) < least_askers(F.col("anfrager")))})
+    return out.drop("_text", *(f"_old_{c}" for c in old))
+
+
+def members_to_fixed_point(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", passes: int = 2) -> DataFrame:
+    """Lexicon and extraction in turn: names that a pass finds are known to the next one (STR-5)."""
+    columns = rows.columns
+    for _ in range(passes):
+        known = rows.where("wp is not null and fraktion <> ''")
+        listed = [c for c in ("anfrager", "anfrager_alle") if c in rows.columns]
+        rows = extract_members(rows, texts, lexicon(known, ["wp", "fraktion"], listed), key)
+        rows = rows.select(*columns, *[c for c in ("anfrager_alle", "anzahl_abgeordnete") if c not in columns])
+    return rows
+
+
+def involve_ministries(rows: DataFrame, texts: DataFrame, names: DataFrame, aliases: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:
+    """Codes of all ministries that an answer names, the lead's first (X6 over a table).
+
+    names has code, name and position; aliases alias and primary.  Forms that no name fits stay out;
+    rows without a text or form keep what they have.
+    """
+    forms = minister_forms(texts.select(key, "text"), "text").select(key, F.posexplode("forms").alias("at", "form"))
+    resolved = subset_match(forms, "form", names).where("code is not null")
+    listed = resolved.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "code"))), lambda r: r["code"]).alias("_codes"))
+    lead = aliases.select(F.col("alias").alias("ministerium_kuerzel"), F.col("primary").alias("_primary"))
+    out = rows.join(lead, "ministerium_kuerzel", "left").join(listed, key, "left")
+    first = F.coalesce("_primary", "ministerium_kuerzel", F.lit(""))
+    codes = F.array_distinct(F.filter(F.concat(F.array(first), "_codes"), lambda c: c != ""))
+    changed = F.col("_codes").isNotNull()
+    return out.withColumns(
+        {
+            "beteiligte_ministerien_kuerzel": F.when(changed, F.array_join(codes, ",")).otherwise(F.col("beteiligte_ministerien_kuerzel")),
+            "beteiligte_ministerien": F.when(changed, F.size(codes)).otherwise(F.col("beteiligte_ministerien")),
+        }
+    ).select(*rows.columns)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.patterns import MISMATCH_LINE, NOVELTY_LINE
-from ..functions.text import file_paper, ministry_tokens
+from ..functions.text import bucket, file_paper, ministry_tokens
+from .spreadsheet import sheet
 
 #: Columns of the working table that are numbers; a value that is none reads as null.
 NUMBERS = ["wp", "kleine_anfrage_nr", "beteiligte_ministerien", "anzahl_abgeordnete"]
@@ -24,7 +27,9 @@ def clean_index(rows: DataFrame, columns: list[str], key: str, position: str) ->
 
 
 def read_index(spark: SparkSession, path: str, columns: list[str], key: str, form: str = "parquet") -> DataFrame:
-    """A stored table; the order of its lines is their position."""
+    """A stored table (also form 'xlsx'); the order of its lines is their position."""
+    if form == "xlsx":
+        return clean_index(sheet(spark, path), columns, key, "_line")
     reader = spark.read.format(form)
     rows = (reader.option("header", True) if form == "csv" else reader).load(path)
     return clean_index(rows.withColumn("_line", F.monotonically_increasing_id()), columns, key, "_line")
@@ -66,6 +71,37 @@ def archive(spark: SparkSession, path: str, wp: int | None = None) -> DataFrame:
     return files.select("path", "length", paper.alias("p")).select("path", "length", "p.wp", "p.nr").where("nr is not null")
 
 
+def lookup(spark: SparkSession, path: str, papers: DataFrame) -> DataFrame:
+    """Adds path, the document of each (wp, n): in its own bucket, else wherever it lies (SRC-11)."""
+    listed = archive(spark, path).select("nr", F.col("path").alias("_path"))
+    asked = papers.withColumns({"_nr": F.concat_ws("/", "wp", "n"), "_bucket": F.concat(F.lit("/"), bucket(F.col("n")), F.lit("/"))})
+    found = asked.select("_nr", "_bucket").distinct().join(listed, F.col("_nr") == F.col("nr"))
+    best = found.groupBy("_nr").agg(F.min_by("_path", F.struct(~F.contains("_path", F.col("_bucket")), F.col("_path"))).alias("path"))
+    return asked.join(best, "_nr", "left").drop("_nr", "_bucket")
+
+
+def documents(spark: SparkSession, path: str, extractor: Callable[[bytes], str] | None = None) -> DataFrame:
+    """path, wp, nr and text of each PDF below a folder, by an extractor of the caller's (SRC-12, SRC-13).
+
+    The extractor gets a file's bytes and gives its text, page by page as far as it likes; without
+    one, or where it fails or the file is no PDF, text is null.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "MMD*.pdf").load(path)
+    paper = file_paper(F.element_at(F.split("path", "/"), -1))
+
+    def texts(batches):
+        for batch in batches:
+            out = []
+            for content in batch["content"]:
+                try:
+                    out.append(extractor(content) if extractor and content[:4] == b"%PDF" else None)
+                except Exception:  # noqa: BLE001  an unreadable file is a finding, not the run's end
+                    out.append(None)
+            yield batch.drop(columns="content").assign(text=out)
+
+    return files.select("path", paper.alias("p"), "content").select("path", "p.wp", "p.nr", "content").where("nr is not null").mapInPandas(texts, "path string, wp int, nr string, text string")
+
+
 def heads(spark: SparkSession, path: str, characters: int) -> DataFrame:
     """path and the first characters of each text below a folder (SRC-14)."""
     texts = spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
