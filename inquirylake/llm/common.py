@@ -7,10 +7,12 @@ import os
 import pickle
 import tempfile
 from collections.abc import Callable, Iterator
+from importlib import import_module
 
+import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
@@ -96,6 +98,42 @@ def arrow_groups(df: DataFrame, keys: list, function: Callable, schema: str, *ar
     return df.groupBy(*keys).applyInArrow(run, schema)
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], module: str, name: str, args: tuple) -> Iterator[pa.RecordBatch]:
+    """Calls a function for each group of rows that come ordered by keys; a group is held whole."""
+    function, held, last = getattr(import_module(module), name), [], None
+
+    def out() -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        yield from function(rows, *args).to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [np.asarray(batch[key]) for key in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        first = tuple(column[0] for column in columns)
+        new[0] = bool(held) and first != last
+        at = 0
+        for cut in np.flatnonzero(new).tolist():
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            yield from out()
+            held, at = [], cut
+        held.append(batch.slice(at))
+        last = tuple(column[-1] for column in columns)
+    if held:
+        yield from out()
+
+
+def dealt_groups(df: DataFrame, keys: list[str], slot: Column, function: Callable, schema: str, *args) -> DataFrame:
+    """As arrow_groups, but groups go to the tasks that slot numbers, so that a few large groups don't meet in one."""
+    tasks = partitions(df.sparkSession)
+    dealt = df.repartitionById(tasks, F.pmod(slot, F.lit(tasks)).cast("int")).sortWithinPartitions(*keys)
+    return arrow_map(dealt, _groups, schema, keys, function.__module__, function.__qualname__, args)
+
+
 def release() -> None:
     """Give freed memory back to the system, as workers live on and share a machine's memory."""
     pa.default_memory_pool().release_unused()

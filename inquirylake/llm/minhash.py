@@ -240,11 +240,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     placed = common.checkpoint(placed)
     split = _blocks(members.select("bucket", "rep").join(placed, "rep").withColumnRenamed("rep", "id"))
     split = split.join(classes.select(F.col("rep").alias("id"), "packed", "buckets"), "id")
-    flagged = common.checkpoint(common.arrow_groups(split, ["bucket", "m", "v"], _flag, "bucket long, id long", least).distinct())
+    flagged = common.checkpoint(common.dealt_groups(split, ["bucket", "m", "v"], F.col("slot"), _flag, "bucket long, id long", least).distinct())
     wanted = flagged.select("id").distinct().join(bodies, "id")
     sets = common.arrow_map(wanted, _sets, "id long, shingles binary", shingle).distinct()
     rest = _blocks(flagged.join(placed.withColumnRenamed("rep", "id"), "id")).join(sets, "id")
-    more = common.arrow_groups(rest, ["bucket", "m", "v"], _links, "a long, b long", percent)
+    more = common.dealt_groups(rest, ["bucket", "m", "v"], F.col("slot"), _links, "a long, b long", percent)
     parts = components(links.unionByName(common.checkpoint(more)))
 
     common.drop_shuffles(docs.sparkSession)
@@ -279,7 +279,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """Members and visitors of buckets that hold several components, dealt so that each pair of
-    blocks meets in one group: bucket, m, v, visitor, id, component.
+    blocks meets in one group: bucket, m, v, slot, visitor, id, component.
 
     rows has bucket, id and component.  Pairs within a bucket's largest component need no
     comparison, so its rows don't visit; both sides are cut by their own numbers.
@@ -291,6 +291,8 @@ def _blocks(rows: DataFrame) -> DataFrame:
     dealt = common.split_join(rows, plan.drop("n"), ["bucket"], plan)
     block = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
-    one = dealt.select("bucket", block("mb").alias("m"), each("vb").alias("v"), F.lit(False).alias("visitor"), "id", "component")
-    two = dealt.where("component <> base").select("bucket", each("mb").alias("m"), block("vb").alias("v"), F.lit(True).alias("visitor"), "id", "component")
-    return one.unionByName(two)
+    one = dealt.select("bucket", "vb", block("mb").alias("m"), each("vb").alias("v"), F.lit(False).alias("visitor"), "id", "component")
+    two = dealt.where("component <> base").select("bucket", "vb", each("mb").alias("m"), block("vb").alias("v"), F.lit(True).alias("visitor"), "id", "component")
+    # a bucket's groups follow one another over the tasks, from a place of its own
+    slot = F.shiftrightunsigned(F.xxhash64("bucket"), 8) + F.col("m").cast("long") * F.col("vb") + F.col("v")
+    return one.unionByName(two).withColumn("slot", slot).drop("vb")

@@ -38,6 +38,21 @@ def _edges(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
         yield repeats.windows(batch["key"].to_numpy()[text], at, one[place], two[place], True)
 
 
+def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The nodes that each listed run of edges leaves and enters: hashes of width - 1 words."""
+    for batch in batches:
+        tokens, _, _, bounds = anchors.words(*anchors.joined(common.bodies(batch["body"])))
+        nodes = anchors.grams(anchors.prefixes(tokens), width - 1) if width > 1 else np.zeros(len(tokens) + 1, np.uint64)
+        spans = batch["spans"]
+        text = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths().fill_null(0), np.int64))
+        start, count = (np.asarray(spans.flatten().field(i), np.int64) for i in (0, 1))
+        place = bounds[text] + start
+        fits = place + count + width - 1 <= bounds[text + 1]
+        text, start, count, place = text[fits], start[fits], count[fits], place[fits]
+        columns = [batch["key"].to_numpy()[text], start.astype(np.int32), count.astype(np.int32), nodes[place].view(np.int64), nodes[place + count].view(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "start", "count", "tail", "head"])
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The digest of the words at each place that is listed."""
     for batch in batches:
@@ -74,23 +89,42 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], digests], ["key", "n_words", "n_removed", "kept_sha256"])
 
 
+def branching(repeated: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
+    """key, start of repeated runs whose path can't go on from the run before: the node between them branches.
+
+    The graph's edges are the distinct repeated ones, each at its source.  A node branches if more
+    than one of them enters it, or more than one leaves it.
+    """
+    sources = repeated.select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), "count").distinct()
+    edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, sources), _nodes, "key long, start int, count int, tail long, head long", width), release=True)
+    ends = edges.select(F.explode(F.array(F.struct(F.col("tail").alias("node"), F.lit(1).alias("out")), F.struct(F.col("head").alias("node"), F.lit(0).alias("out")))).alias("e")).select("e.*")
+    degrees = ends.groupBy("node").agg(F.sum("out").alias("leave"), F.sum(1 - F.col("out")).alias("enter")).where("leave > 1 or enter > 1")
+    nodes = common.checkpoint(degrees.select(F.col("node").alias("tail"), F.col("leave").alias("n")))
+    cut = common.split_join(edges.select("key", "start", "tail"), nodes.select("tail"), ["tail"], nodes).select(F.col("key").alias("from_key"), F.col("start").alias("from_start")).distinct()
+    counts = common.checkpoint(repeated.groupBy("from_key", "from_start").agg(F.count("*").alias("n")))
+    return common.split_join(repeated.select("key", "start", "from_key", "from_start"), cut, ["from_key", "from_start"], counts).select("key", "start").distinct()
+
+
 def paths(docs: DataFrame, bodies: DataFrame, width: int = 13, hot: int = repeats.HOT) -> DataFrame:
     """key, start, words: verified passages whose every window also starts in an earlier document.
 
-    Edges are windows of ``width`` words between nodes of one word less; runs of edges that share
-    an anchor are met with equal runs whole, and edge by edge where runs of an anchor differ.  A
-    join finds each repeated run's successor: the run that follows it both here and at its source.
-    Runs without a predecessor head a path; each path is one span with one source.  Last, the
-    words at both coordinates of each path are compared by a 128-bit digest of the words.
+    Windows of ``width`` words are edges between nodes of one word less.  Runs of edges that share an
+    anchor are met with equal runs whole, and edge by edge where runs of an anchor differ; what also
+    stands in an earlier document is a repeated edge, with a source.  Paths compact by joins: a run
+    goes on from the one before if that one ends where it begins, both here and at the source, and
+    the node between them does not branch; else it heads a path.  Each path is one span with one
+    source, and last the words at both coordinates are compared by a 128-bit digest of the words.
     """
     runs = common.arrow_map(docs, _runs, repeats.RUN, width, repeats.hot_anchors(docs, _counts, hot, width))
     found = common.checkpoint(repeats.shared(runs, True).drop("anchor", "hot"))
     single = common.arrow_map(repeats.at_places(bodies, found.where("not removed").select("key", "start", "count")), _edges, repeats.RUN, width)
     columns = ["key", "start", "count", "from_key", "from_start"]
-    edges = repeats.shared(single, True).where("removed").select(columns)
-    repeated = common.checkpoint(found.where("removed").select(columns).unionByName(edges).groupBy("key", "start", "count").agg(F.min(F.struct("from_key", "from_start")).alias("f")).select("key", "start", "count", "f.*"), release=True)
-    before = repeated.select("key", (F.col("start") + F.col("count")).alias("start"), "from_key", (F.col("from_start") + F.col("count")).alias("from_start"), F.lit(False).alias("head")).distinct()
-    linked = repeated.join(before, ["key", "start", "from_key", "from_start"], "left").withColumn("head", F.coalesce("head", F.lit(True)))
+    alone = repeats.shared(single, True).where("removed").select(columns)
+    repeated = common.checkpoint(found.where("removed").select(columns).unionByName(alone).groupBy("key", "start", "count").agg(F.min(F.struct("from_key", "from_start")).alias("f")).select("key", "start", "count", "f.*"), release=True)
+    cut = branching(repeated, bodies, width).withColumn("cut", F.lit(True))
+    before = repeated.select("key", (F.col("start") + F.col("count")).alias("start"), "from_key", (F.col("from_start") + F.col("count")).alias("from_start"), F.lit(True).alias("goes_on")).distinct()
+    linked = repeated.join(before, ["key", "start", "from_key", "from_start"], "left").join(cut, ["key", "start"], "left")
+    linked = linked.withColumn("head", F.col("goes_on").isNull() | F.col("cut").isNotNull())
     order = Window.partitionBy("key", "from_key").orderBy("start", "from_start")
     path = linked.withColumn("path", F.sum(F.col("head").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = path.groupBy("key", "from_key", "path").agg(F.min("start").alias("start"), F.min("from_start").alias("from_start"), (F.max(F.col("start") + F.col("count")) - F.min("start") + width - 1).cast("int").alias("words"), (F.max(F.col("from_start") + F.col("count")) - F.min("from_start") + width - 1).cast("int").alias("from_words"))
@@ -101,7 +135,9 @@ def paths(docs: DataFrame, bodies: DataFrame, width: int = 13, hot: int = repeat
     digests = digests.dropDuplicates(["key", "start", "words"])
     own = spans.join(digests, ["key", "start", "words"])
     source = digests.select(F.col("key").alias("from_key"), F.col("start").alias("from_start"), F.col("words").alias("from_words"), F.col("digest").alias("from_digest"))
-    return own.join(source, ["from_key", "from_start", "from_words"]).where("digest = from_digest").select("key", "start", "words")
+    at = ["from_key", "from_start", "from_words"]
+    counts = common.checkpoint(spans.groupBy(*at).agg(F.count("*").alias("n")))  # a passage of a third of all texts has one source
+    return common.split_join(own, source, at, counts).where("digest = from_digest").select("key", "start", "words")
 
 
 def dedup(docs: DataFrame, width: int = 13, digest: bool = False, carry: Sequence[str] = (), hot: int = repeats.HOT) -> DataFrame:

@@ -436,6 +436,24 @@ def test_substring_keeps_columns_and_odd_rows(edge, odd):
     assert substring.dedup(odd).count() == 6
 
 
+def test_paths_end_where_the_graph_branches(spark):
+    """Two passages that share their middle meet and part in it, so there the compacted paths are cut."""
+    a, b, c, d, middle = (" ".join(f"{x}{i}" for i in range(20)) for x in "abcdm")
+    texts = [(1, f"{a} {middle} {b}"), (2, f"{c} {middle} {d}"), (3, f"{a} {middle} {b}"), (4, f"{c} {middle} {d}"), (5, f"{a} {middle} {d}")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    keyed = substring.repeats.keyed(docs)
+    bodies = substring.common.packed(keyed)
+    found = sorted((r["key"], r["start"], r["words"]) for r in substring.paths(keyed, bodies.select("key", "body"), 5).collect())
+    whole = {}
+    for key, start, words in found:
+        whole.setdefault(key, []).append((start, start + words))
+    assert set(whole) == {2, 3, 4, 5} and whole[2] == [(20, 40)]
+    # text 3 is all of text 1, but its windows at the middle's ends have neighbours in 2 and 5 too
+    assert len(whole[3]) > 1 and whole[3][0][0] == 0 and whole[3][-1][1] == 60
+    got = by_id(substring.dedup(docs, 5, digest=True))
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == brute_words(texts, 5)
+
+
 @pytest.mark.parametrize("segment", [40, 64, 1 << 20])
 def test_runs_cover_each_window_once(monkeypatch, segment):
     monkeypatch.setattr(anchors, "SEGMENT", segment)
