@@ -39,18 +39,20 @@ def _edges(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """The nodes that each listed run of edges leaves and enters: hashes of width - 1 words."""
+    """The nodes that each listed run of edges leaves and enters, hashes of width - 1 words, and its first and last edge."""
     for batch in batches:
         tokens, _, _, bounds = anchors.words(*anchors.joined(common.bodies(batch["body"])))
-        nodes = anchors.grams(anchors.prefixes(tokens), width - 1) if width > 1 else np.zeros(len(tokens) + 1, np.uint64)
+        prefix = anchors.prefixes(tokens)
+        nodes = anchors.grams(prefix, width - 1) if width > 1 else np.zeros(len(tokens) + 1, np.uint64)
+        edges = anchors.grams(prefix, width)
         spans = batch["spans"]
         text = np.repeat(np.arange(len(spans)), np.asarray(spans.value_lengths().fill_null(0), np.int64))
         start, count = (np.asarray(spans.flatten().field(i), np.int64) for i in (0, 1))
         place = bounds[text] + start
         fits = place + count + width - 1 <= bounds[text + 1]
         text, start, count, place = text[fits], start[fits], count[fits], place[fits]
-        columns = [batch["key"].to_numpy()[text], start.astype(np.int32), count.astype(np.int32), nodes[place].view(np.int64), nodes[place + count].view(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "start", "count", "tail", "head"])
+        columns = [batch["key"].to_numpy()[text], start.astype(np.int32), *(x.view(np.int64) for x in (nodes[place], nodes[place + count], edges[place], edges[place + count - 1]))]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "start", "tail", "head", "first", "last"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,12 +94,14 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def branching(repeated: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     """key, start of repeated runs whose path can't go on from the run before: the node between them branches.
 
-    The graph's edges are the distinct repeated ones, each at its source.  A node branches if more
-    than one of them enters it, or more than one leaves it.
+    The graph's edges are the repeated ones, taken from their sources.  A node branches if unlike edges
+    enter it, or unlike ones leave it.
     """
     sources = repeated.select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), "count").distinct()
-    edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, sources), _nodes, "key long, start int, count int, tail long, head long", width), release=True)
-    ends = edges.select(F.explode(F.array(F.struct(F.col("tail").alias("node"), F.lit(1).alias("out")), F.struct(F.col("head").alias("node"), F.lit(0).alias("out")))).alias("e")).select("e.*")
+    edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, sources), _nodes, "key long, start int, tail long, head long, first long, last long", width), release=True)
+    leaving = F.struct(F.col("tail").alias("node"), F.col("first").alias("edge"), F.lit(1).alias("out"))
+    entering = F.struct(F.col("head").alias("node"), F.col("last").alias("edge"), F.lit(0).alias("out"))
+    ends = edges.select(F.explode(F.array(leaving, entering)).alias("e")).select("e.*").distinct()
     degrees = ends.groupBy("node").agg(F.sum("out").alias("leave"), F.sum(1 - F.col("out")).alias("enter")).where("leave > 1 or enter > 1")
     nodes = common.checkpoint(degrees.select(F.col("node").alias("tail"), F.col("leave").alias("n")))
     cut = common.split_join(edges.select("key", "start", "tail"), nodes.select("tail"), ["tail"], nodes).select(F.col("key").alias("from_key"), F.col("start").alias("from_start")).distinct()
