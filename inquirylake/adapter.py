@@ -10,9 +10,23 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def inquiries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order as a question: keys, dates, status, faction and ministry."""
+def spread(df: DataFrame) -> DataFrame:
+    """A table that is scanned by fewer tasks than there are cores, dealt over all of them.
+
+    For plans that compute much for each row without any shuffle.  A large table has tasks enough, so
+    nothing is moved there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def inquiries(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
+    """One row per order as a question: keys, dates, status, faction and ministry.
+
+    costly tells that much is computed for each row.
+    """
     o, c, n = (read(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    o = spread(o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")) if costly else o
     key = F.col("o_orderkey")
     wp = (key % 2 + 17).cast("int")
     asked = F.add_months(F.col("o_orderdate").cast("date"), 252)

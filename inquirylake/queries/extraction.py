@@ -24,7 +24,7 @@ def _worded(date):
 
 def _rows(spark, sf_dir):
     k_ = F.col("ka_nr")
-    rows = adapter.inquiries(spark, sf_dir)
+    rows = adapter.inquiries(spark, sf_dir, costly=True)
     return rows.withColumns({"party": F.array(*map(F.lit, FACTIONS))[(k_ % 5).cast("int")], "issued": F.date_add("question_date", 20)})
 
 

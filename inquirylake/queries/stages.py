@@ -155,7 +155,7 @@ def merged(spark, sf_dir):
     n, q = F.col("ka_nr"), F.col("question_date")
     iso = lambda c: F.date_format(c, "yyyy-MM-dd")
     pk = F.concat_ws("/", "wp", n + 10_000_000)
-    rows = adapter.inquiries(spark, sf_dir)
+    rows = adapter.inquiries(spark, sf_dir, costly=True)
     token = F.when(n % 3 == 0, "BÜNDNIS 90/DIE GRÜNEN").when(n % 3 == 1, "FRAKTIONSLOS").otherwise("AFD")
     lost = F.when(n % 2 == 0, "").otherwise(" ")
     head = F.concat(
