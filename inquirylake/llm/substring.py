@@ -101,9 +101,11 @@ def branching(repeated: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, sources), _nodes, "key long, start int, tail long, head long, first long, last long", width), release=True)
     leaving = F.struct(F.col("tail").alias("node"), F.col("first").alias("edge"), F.lit(1).alias("out"))
     entering = F.struct(F.col("head").alias("node"), F.col("last").alias("edge"), F.lit(0).alias("out"))
-    ends = edges.select(F.explode(F.array(leaving, entering)).alias("e")).select("e.*").distinct()
-    degrees = ends.groupBy("node").agg(F.sum("out").alias("leave"), F.sum(1 - F.col("out")).alias("enter")).where("leave > 1 or enter > 1")
-    nodes = common.checkpoint(degrees.select(F.col("node").alias("tail"), F.col("leave").alias("n")))
+    ends = edges.select(F.explode(F.array(leaving, entering)).alias("e")).select("e.*")
+    # unlike edges on one side of a node: the least and the greatest differ
+    sides = [side(F.when(F.col("out") == out, F.col("edge"))).alias(f"{name}_{out}") for out in (0, 1) for name, side in (("low", F.min), ("high", F.max))]
+    degrees = ends.groupBy("node").agg(*sides, F.sum("out").alias("n")).where("low_0 < high_0 or low_1 < high_1")
+    nodes = common.checkpoint(degrees.select(F.col("node").alias("tail"), "n"))
     cut = common.split_join(edges.select("key", "start", "tail"), nodes.select("tail"), ["tail"], nodes).select(F.col("key").alias("from_key"), F.col("start").alias("from_start")).distinct()
     counts = common.checkpoint(repeated.groupBy("from_key", "from_start").agg(F.count("*").alias("n")))
     return common.split_join(repeated.select("key", "start", "from_key", "from_start"), cut, ["from_key", "from_start"], counts).select("key", "start").distinct()
