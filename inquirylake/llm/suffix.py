@@ -65,23 +65,28 @@ def previous_smaller(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def factors(data: np.ndarray, at: np.ndarray, place: np.ndarray, reach: int) -> np.ndarray:
+def factors(data: np.ndarray, at: np.ndarray, place: np.ndarray, reach: int, until: np.ndarray | None = None) -> np.ndarray:
     """The longest previous factor of each position in ``at``: the longest string, measured as far as
     ``reach`` at least, that starts both there and at one of ``at`` with a smaller ``place``.
 
     In suffix order the previous and the next position with a smaller place are the nearest
-    earlier suffixes; one of both shares the longest prefix.
+    earlier suffixes; one of both shares the longest prefix.  ``until`` tells where the text of each
+    position ends, if data holds several; no factor goes on behind that, here or at its source.
     """
     if not len(at):
         return np.zeros(0, np.int64)
     suffixes = Suffixes(data, reach)
     order = suffixes.order(at)
-    ordered, value = at[order], place[order]
+    value = place[order]
     out = np.zeros(len(at), np.int64)
     back = len(order) - 1 - previous_smaller(value[::-1])[::-1]
     for near in (previous_smaller(value), np.where(back < len(order), back, -1)):
         has = np.flatnonzero(near >= 0)
-        out[order[has]] = np.maximum(out[order[has]], suffixes.common(ordered[has], ordered[near[has]]))
+        own, source = order[has], order[near[has]]
+        shared = suffixes.common(at[own], at[source])
+        if until is not None:
+            shared = np.minimum(shared, np.minimum(until[own] - at[own], until[source] - at[source]))
+        out[own] = np.maximum(out[own], shared)
     return out
 
 
@@ -151,7 +156,7 @@ def _chunk(rows: pa.Table, split: np.ndarray, width: int) -> pa.RecordBatch:
     step = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     at = (ends - sizes)[owner] + step
     place = (np.unique(key, return_inverse=True)[1] << 32)[owner] + start[owner] + step
-    length = np.minimum(factors(data, at, place, width), ends[owner] - at)
+    length = factors(data, at, place, width, ends[owner])
     covered = length >= width
     fresh = np.r_[True, owner[1:] != owner[:-1]] if len(owner) else np.zeros(0, bool)
 

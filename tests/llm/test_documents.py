@@ -263,6 +263,16 @@ def test_spans_are_decided_by_factors():
     assert [(r["key"], r["start"], r["size"]) for r in found if not r["left"]] == [(2, 0, 100), (2, 100, 100), (2, 300, 200)]
 
 
+def test_factors_end_with_their_source():
+    """Bytes that follow a source only because another slice lies behind it are no part of a factor."""
+    x = np.random.default_rng(2).integers(0, 256, 150).astype(np.uint8).tobytes()
+    other = b"q" + bytes(range(200))
+    column = suffix.pa.array
+    bodies = [x, other, x + b"q" + x[::-1]]
+    rows = suffix.pa.table({"key": column([1, 2, 3]), "start": column([0, 0, 0]), "count": column([len(b) - 99 for b in bodies]), "body": column(bodies)})
+    assert [(r["key"], r["start"], r["size"]) for r in suffix._chunk(rows, np.zeros(3, bool), 100).to_pylist()] == [(3, 0, 150)]
+
+
 @pytest.mark.parametrize(("name", "width", "hot", "chunk"), [("edge", 100, suffix.HOT, suffix.CHUNK), ("small", 100, 3, 2000), ("edge", 40, 1, 100), ("empty", 100, suffix.HOT, suffix.CHUNK)])
 def test_suffix_rows(request, name, width, hot, chunk):
     df = request.getfixturevalue(name)
