@@ -52,7 +52,7 @@ def a20(spark, sf_dir):
         WHEN abs(gap) BETWEEN 360 AND 370 THEN 'anfragedatum:year_typo' ELSE 'anfragedatum:pdf_kept' END AS note FROM judged""")
 def q8a(spark, sf_dir):
     """Question dates that were flagged; every third row has another flag that nothing explains."""
-    rows = _pairs(spark, sf_dir).withColumns(
+    rows = _pairs(spark, sf_dir, costly=True).withColumns(
         {
             "quality": F.when(F.col("l_partkey") % 5 == 0, "ok").otherwise("ask_review"),
             "note": F.when(F.col("l_partkey") % 2 == 0, " ").otherwise(""),
