@@ -170,11 +170,12 @@ def q1(spark, sf_dir):
 
 
 # Nations by n_nationkey % 4 -- 0: has a name of its own; 1: its code is an alias of the one before;
-# 2: its prose is overridden to its code, which has a name; 3: neither.
+# 2: its prose is overridden to its code, which has a name; 3: nothing, so the name with its tokens counts,
+# which is that of nation 10, as names here differ in digits alone and longer ones win.
 @query("q2_normalize", f"""WITH {TABLE}, m AS (
     SELECT *, CASE WHEN code <> '' THEN CASE WHEN nation % 4 IN (0, 2) THEN 'NATION_' || nation WHEN nation % 4 = 1 THEN 'NATION_' || (nation - 1) ELSE '' END
-        WHEN prose <> '' AND nation % 4 = 2 THEN 'NATION_' || nation ELSE '' END AS name,
-        CASE WHEN code <> '' THEN code WHEN prose <> '' AND nation % 4 = 2 THEN 'N' || nation ELSE '' END AS kz FROM tab)
+        WHEN prose <> '' AND nation % 4 = 2 THEN 'NATION_' || nation WHEN prose <> '' AND nation % 4 = 3 THEN 'NATION_10' ELSE '' END AS name,
+        CASE WHEN code <> '' THEN code WHEN prose <> '' AND nation % 4 = 2 THEN 'N' || nation WHEN prose <> '' AND nation % 4 = 3 THEN 'N10' ELSE '' END AS kz FROM tab)
 SELECT ka_nr, kz AS ministerium_kuerzel, name AS ministerium_canonical, CASE WHEN no_faction THEN 'keep' WHEN fraktion IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') THEN fraktion ELSE '' END AS fraktion_canonical,
     kz AS beteiligte_ministerien_kuerzel, CAST(kz <> '' AS INTEGER) AS beteiligte_ministerien,
     concat_ws(',', 'kept', {FLAGS.format(code="kz", name="name")}, CASE WHEN prose <> '' AND name = '' THEN 'novel_ministerium' END, CASE WHEN kz <> '' AND name = '' THEN 'unknown_ministerium_kuerzel' END) AS extract_flags FROM m""")
@@ -184,7 +185,7 @@ def q2(spark, sf_dir):
     names = nations.where("n_nationkey % 4 in (0, 2)").select(code.alias("code"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("position"))
     aliases = nations.where("n_nationkey % 4 = 1").select(code.alias("alias"), F.concat(F.lit("N"), F.col("n_nationkey") - 1).alias("primary"))
     overrides = nations.where("n_nationkey % 4 = 2").select(F.col("n_name").alias("raw"), code.alias("code"))
-    blocked = nations.where("n_nationkey % 4 <> 2").select(F.col("n_name").alias("raw"), F.lit("unknown").alias("code"))
+    blocked = nations.where("n_nationkey % 4 < 2").select(F.col("n_name").alias("raw"), F.lit("unknown").alias("code"))
     out = q.normalise(_table(spark, sf_dir), names, aliases, overrides.unionByName(blocked), FACTIONS)
     return out.select("ka_nr", "ministerium_kuerzel", "ministerium_canonical", "fraktion_canonical", "beteiligte_ministerien_kuerzel", "beteiligte_ministerien", "extract_flags")
 
