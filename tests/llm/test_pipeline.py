@@ -51,7 +51,7 @@ def test_stages(request, spark, tmp_path, name):
             import public_tokenizers
 
             assert public_tokenizers
-            check_packing(after.collect(), texts_of(before), 2048)
+            check_packing(after.collect(), texts_of(before), 2048, added=True)
         before = after
 
 
