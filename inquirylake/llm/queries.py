@@ -78,7 +78,23 @@ REACH = """reach AS (
             SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
         )"""
 
+#: u of a key and a shard, greatest at the shard that wins where weights are equal.
+DRAWN = "list_transform(range({0}), lambda s: CAST('0x' || substr(md5(doc_id || ':' || s), 1, 12) AS BIGINT))"
+
 SQL: dict[str, str] = {
+    # the CRC is computed byte by byte from its polynomial's table
+    "op10_sharding": f"""
+        WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc),
+        d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h, {DRAWN.format(8)} AS u8, {DRAWN.format(9)} AS u9 FROM documents),
+        c AS (
+            SELECT doc_id, n + 1 AS size, list_position(u8, list_max(u8)) - 1 AS shard, list_position(u9, list_max(u9)) - 1 AS grown_shard,
+                xor(list_reduce(list_transform(range(n), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+            FROM d, t
+        )
+        SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(grown_shard AS INTEGER) AS grown_shard,
+            row_number() OVER (PARTITION BY shard ORDER BY CAST('0x' || substr(md5(doc_id || ''), 1, 12) AS BIGINT) % 1024, text_crc32 % 16, doc_id, text_crc32, size) - 1 AS slot
+        FROM c
+    """,
     "op4_suffix": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
         s AS (SELECT doc_id, i, substr(h, 2 * i - 1, 200) AS g FROM (SELECT doc_id, h, unnest(range(1, n - 98)) AS i FROM d WHERE n >= 100)),

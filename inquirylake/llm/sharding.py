@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 BLOCK_KEYS, CONTENT_BLOCKS = 1024, 16
 
 
+def _bits(text: Column) -> Column:
+    """The first 48 bits of a text's MD5 digest, as a long."""
+    return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+
+
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """The shard whose -ln(u)/weight is least, u being a uniform hash of key and shard.
 
-    The hash is the 64-bit xxHash of the shard's number (32 bits), seeded by that of the key's text.
+    The hash is the first 48 bits of the MD5 digest of 'key:shard'.
     Adding a shard adds one candidate and changes no other, so records move only into it; raising
     a weight moves records only towards that shard.  Ties go to the smaller shard.  A null key is
     hashed as the text 'null'.
@@ -24,8 +29,7 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     for shard, weight in enumerate(weights):
         if not weight > 0:
             raise ValueError("weights must be positive")
-        bits = F.shiftrightunsigned(F.xxhash64(text, F.lit(shard)), 11)
-        uniform = (bits.cast("double") + 0.5) / float(2**53)
+        uniform = (_bits(F.concat(text, F.lit(f":{shard}"))).cast("double") + 0.5) / float(2**48)
         tries.append(F.struct((-F.ln(uniform) / float(weight)).alias("cost"), F.lit(shard).alias("shard")))
     return F.array_min(F.array(*tries))["shard"]
 
@@ -54,7 +58,7 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", weights: Seque
         "*",
         rendezvous(F.col("doc_id"), weights).alias("shard"),
         rendezvous(F.col("doc_id"), [*weights, 1.0]).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(BLOCK_KEYS)).cast("int").alias("key_block"),
+        F.pmod(_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(BLOCK_KEYS)).cast("int").alias("key_block"),
         (F.col("text_crc32") % CONTENT_BLOCKS).alias("content_block"),
     )
     block = ["shard", "key_block", "content_block"]
