@@ -174,7 +174,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = S
 
     Only rows of equal, non-null labels are compared.  Null or zero vectors, those with null or
     non-finite components or of no components, and rows with a null label or vec_id link with
-    nothing; vectors of unlike lengths don't link either.  Equal vectors of a label are one class:
+    nothing; vectors of unlike lengths don't link either, and each length, of which a table has few, gets
+    an index of its own.  Equal vectors of a label are one class:
     all its rows link with each other and have the same other links.  An empty table gives no rows;
     other columns are ignored.
 
