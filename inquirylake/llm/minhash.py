@@ -199,7 +199,8 @@ def confirm(pairs: DataFrame, counts: DataFrame, texts: DataFrame, size: int, pe
     dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / HUB)).cast("int"))
     wanted = dealt.select("a", "salt", F.explode(F.array("a", "b")).alias("id")).distinct()
     with_text = common.split_join(wanted, texts, ["id"], counts.select(F.col("a").alias("id"), F.ceil(F.col("n") / HUB).alias("n")))
-    return common.arrow_groups(with_text, ["a", "salt"], _confirm, "a long, b long", size, percent)
+    slot = F.shiftrightunsigned(F.xxhash64("a"), 8) + F.col("salt")
+    return common.dealt_groups(with_text, ["a", "salt"], slot, _confirm, "a long, b long", size, percent)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
