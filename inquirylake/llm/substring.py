@@ -94,11 +94,10 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def branching(repeated: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     """key, start of repeated runs whose path can't go on from the run before: the node between them branches.
 
-    The graph's edges are the repeated ones, taken from their sources.  A node branches if unlike edges
-    enter it, or unlike ones leave it.
+    The graph's edges are the repeated ones.  A node branches if unlike edges enter it, or unlike ones
+    leave it; edges are told by their hash, so it doesn't matter at which of their places they are read.
     """
-    sources = repeated.select(F.col("from_key").alias("key"), F.col("from_start").alias("start"), "count").distinct()
-    edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, sources), _nodes, "key long, start int, tail long, head long, first long, last long", width), release=True)
+    edges = common.checkpoint(common.arrow_map(repeats.at_places(bodies, repeated.select("key", "start", "count")), _nodes, "key long, start int, tail long, head long, first long, last long", width), release=True)
     leaving = F.struct(F.col("tail").alias("node"), F.col("first").alias("edge"), F.lit(1).alias("out"))
     entering = F.struct(F.col("head").alias("node"), F.col("last").alias("edge"), F.lit(0).alias("out"))
     ends = edges.select(F.explode(F.array(leaving, entering)).alias("e")).select("e.*")
@@ -106,9 +105,7 @@ def branching(repeated: DataFrame, bodies: DataFrame, width: int) -> DataFrame:
     sides = [side(F.when(F.col("out") == out, F.col("edge"))).alias(f"{name}_{out}") for out in (0, 1) for name, side in (("low", F.min), ("high", F.max))]
     degrees = ends.groupBy("node").agg(*sides, F.sum("out").alias("n")).where("low_0 < high_0 or low_1 < high_1")
     nodes = common.checkpoint(degrees.select(F.col("node").alias("tail"), "n"))
-    cut = common.split_join(edges.select("key", "start", "tail"), nodes.select("tail"), ["tail"], nodes).select(F.col("key").alias("from_key"), F.col("start").alias("from_start")).distinct()
-    counts = common.checkpoint(repeated.groupBy("from_key", "from_start").agg(F.count("*").alias("n")))
-    return common.split_join(repeated.select("key", "start", "from_key", "from_start"), cut, ["from_key", "from_start"], counts).select("key", "start").distinct()
+    return common.split_join(edges.select("key", "start", "tail"), nodes.select("tail"), ["tail"], nodes).select("key", "start").distinct()
 
 
 def paths(docs: DataFrame, bodies: DataFrame, width: int = 13, hot: int = repeats.HOT) -> DataFrame:
