@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import pickle
 import tempfile
@@ -56,7 +57,12 @@ def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
 
 
 def drop_shuffles(spark: SparkSession) -> None:
-    """Executors drop shuffle files when the driver collects what refers to them: now, not some time later."""
+    """Executors drop shuffle files when the driver collects what refers to them: now, not some time later.
+
+    The last query stays referred to until another one has run, so an empty one runs first.
+    """
+    gc.collect()
+    spark.range(0).count()
     spark._jvm.System.gc()
 
 
