@@ -59,10 +59,21 @@ def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
 def drop_shuffles(spark: SparkSession) -> None:
     """Executors drop shuffle files when the driver collects what refers to them: now, not some time later.
 
-    The last query stays referred to until another one has run, so an empty one runs first.
+    The last query stays referred to until another one has run, so an empty one runs first; and what
+    Python has given up waits in a queue for up to a second, which is emptied here.
     """
     gc.collect()
     spark.range(0).count()
+    given_up = getattr(spark._jvm._gateway_client, "finalizer_deque", None)
+    while given_up:
+        try:
+            task = given_up.pop()
+        except IndexError:  # the queue's own worker was faster
+            break
+        if not isinstance(task, tuple):  # the mark that tells the worker to end
+            given_up.append(task)
+            break
+        task[0].garbage_collect_object(task[1], False)
     spark._jvm.System.gc()
 
 
