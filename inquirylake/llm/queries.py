@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, minhash, multiindex, packing, quality, sharding, substring, suffix, topk
+from . import bpe, licenses, lloyd, minhash, multiindex, packing, periods, quality, sharding, substring, suffix, topk
 from .common import table
 
 
@@ -61,6 +62,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.detect(periods.planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = lloyd.encode(table(spark, sf_dir, "embeddings"))
+    digest = F.lit(lloyd.codebooks_digest(books)).alias("codebooks_sha256")
+    return lloyd.with_label_error(coded).select("vec_id", "code", "error", "label_error", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_quality": op2_quality,
@@ -72,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_multiindex": op9_multiindex,
     "op10_sharding": op10_sharding,
+    "op12_runs": op12_runs,
+    "op13_lloyd": op13_lloyd,
 }
 
 REACH = """reach AS (
@@ -81,14 +94,68 @@ REACH = """reach AS (
 #: u of a key and a shard, greatest at the shard that wins where weights are equal.
 DRAWN = "list_transform(range({0}), lambda s: CAST('0x' || substr(md5(doc_id || ':' || s), 1, 12) AS BIGINT))"
 
+#: The CRC-32, byte by byte from its polynomial's table: of a text's hexadecimal digits and length in bytes.
+CRC = "t AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc)"
+CRC_OF = "xor(list_reduce(list_transform(range({1}), lambda i: CAST('0x' || substr({0}, 2 * i + 1, 2) AS BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+#: A round of Lloyd's: entries nearest to parts, and entries moved.
+ROUND = """e{1} AS MATERIALIZED (
+            SELECT vec_id, label, k, p, least_of[2] AS e, least_of[1] AS far
+            FROM (SELECT v.vec_id, v.label, v.k, v.p, min([list_sum(list_transform(list_zip(v.p, b.p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.e]) AS least_of FROM parts v JOIN b{1} b USING (k) GROUP BY ALL)
+        )"""
+
+MOVED = """b{1} AS MATERIALIZED (
+            SELECT k, e, coalesce(m.p, b.p) AS p FROM b{0} b LEFT JOIN (
+                SELECT k, e, list(CAST(floor(s / n) AS HUGEINT) ORDER BY i) AS p
+                FROM (SELECT k, e, i, sum(x) AS s, count(*) AS n FROM (SELECT k, e, unnest(p) AS x, unnest(range(len(p))) AS i FROM e{0}) GROUP BY k, e, i) GROUP BY k, e
+            ) m USING (k, e)
+        )"""
+
 SQL: dict[str, str] = {
-    # the CRC is computed byte by byte from its polynomial's table
+    # twelve words of period q <= 6, or two periods, hold six words that stand q words further on as well
+    "op12_runs": f"""
+        WITH {CRC},
+        d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w, hex(encode(CAST(doc_id AS VARCHAR))) AS k FROM documents),
+        h AS (SELECT doc_id, w, len(w) AS n, {CRC_OF.format("k", "len(k) // 2")} AS h FROM d, t),
+        p AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN h // 10 % n END AS a, h // 10 % 8 + 3 AS parts FROM h),
+        x AS MATERIALIZED (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_concat(w[1 : a], list_transform(range(n - a), lambda i: w[a + i % (1 + (n - a) // parts) + 1])) END AS w FROM p),
+        g AS (SELECT doc_id, n, i, array_to_string(w[i + 1 : i + 6], ' ') AS g FROM (SELECT doc_id, n, w, unnest(range(n - 5)) AS i FROM x WHERE n >= 12)),
+        same AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.g = b.g AND a.i < b.i AND 2 * (b.i - a.i) <= a.n),
+        found AS (
+            SELECT doc_id, q, min(i) AS s, count(*) + 5 + q AS l FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+            GROUP BY doc_id, q, island HAVING count(*) + 5 + q >= greatest(12, 2 * q)
+        ),
+        runs AS MATERIALIZED (SELECT doc_id, s, l, min(q) AS q FROM found GROUP BY doc_id, s, l),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+        kept AS (
+            SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) FILTER (gone.i IS NULL) AS rest
+            FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM x) x LEFT JOIN gone USING (doc_id, i) GROUP BY x.doc_id
+        ),
+        best AS (
+            SELECT doc_id, count(*) AS n_runs, min({{'l': -l, 's': s, 'q': q}}) AS b, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, -b.l AS length, b.q AS period, 1000 * -b.l // b.q AS exponent_milli,
+            sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+        FROM x LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    "op13_lloyd": f"""
+        WITH v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS HUGEINT)) AS c FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS MATERIALIZED (SELECT vec_id, label, k, c[k * len(c) // 8 + 1 : (k + 1) * len(c) // 8] AS p FROM v, range(8) r(k)),
+        b0 AS MATERIALIZED (SELECT k, CAST(e AS HUGEINT) AS e, p FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 16) USING (vec_id)),
+        {", ".join(f"{ROUND.format('', n)}, {MOVED.format(n, n + 1)}" for n in range(6))}, {ROUND.format('', 6)},
+        coded AS (SELECT vec_id, label, string_agg(lpad(lower(hex(CAST(e AS INTEGER))), 2, '0'), '' ORDER BY k) AS code, CAST(sum(far) AS BIGINT) AS error FROM e6 GROUP BY vec_id, label)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(p, ','), ',' ORDER BY k, e)) FROM b6) AS codebooks_sha256
+        FROM coded
+    """,
     "op10_sharding": f"""
-        WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS crc),
+        WITH {CRC},
         d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h, {DRAWN.format(8)} AS u8, {DRAWN.format(9)} AS u9 FROM documents),
         c AS (
             SELECT doc_id, n + 1 AS size, list_position(u8, list_max(u8)) - 1 AS shard, list_position(u9, list_max(u9)) - 1 AS grown_shard,
-                xor(list_reduce(list_transform(range(n), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
+                {CRC_OF.format("h", "n")} AS text_crc32
             FROM d, t
         )
         SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard, CAST(grown_shard AS INTEGER) AS grown_shard,

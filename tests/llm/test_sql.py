@@ -26,4 +26,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert [n.split("_")[0] for n in queries.QUERIES] and {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
