@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, lloyd, minhash, multiindex, packing, periods, quality, sharding, substring, suffix, topk
+from . import bootstrap, bpe, licenses, lloyd, minhash, multiindex, packing, periods, quality, sharding, substring, suffix, topk
 from .common import table
 
 
@@ -62,6 +62,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bootstrap.digests(bootstrap.extract(table(spark, sf_dir, "documents")))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.detect(periods.planted(table(spark, sf_dir, "documents"))))
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_multiindex": op9_multiindex,
     "op10_sharding": op10_sharding,
+    "op11_bootstrap": op11_bootstrap,
     "op12_runs": op12_runs,
     "op13_lloyd": op13_lloyd,
 }
@@ -111,7 +116,65 @@ MOVED = """b{1} AS MATERIALIZED (
             ) m USING (k, e)
         )"""
 
+#: Matches of a pattern with what stands around them: kind, its order, the pattern, which matches count.
+LOCATED = """{0} AS MATERIALIZED (
+            SELECT doc_id, x, before, after, CAST(stop - length(x) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop
+            FROM (
+                SELECT *, sum(length(before) + length(x)) OVER (PARTITION BY doc_id ORDER BY i) AS stop
+                FROM (
+                    SELECT doc_id, unnest(m) AS x, unnest(p[1 : len(m)]) AS before, unnest(p[2 :]) AS after, unnest(range(len(m))) AS i
+                    FROM (SELECT doc_id, regexp_extract_all(t, '{1}') AS m, string_split_regex(t, '{1}') AS p FROM d)
+                )
+            )
+        )"""
+DIGITS = "regexp_replace(x, '[^0-9]', '', 'g')"
+OCTETS = "len(list_filter(string_split(x, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || right(p, 3) AS INTEGER) > 255)) = 0"
+LUHN = f"length({DIGITS}) BETWEEN 16 AND 19 AND list_sum(list_transform(range(length({DIGITS})), lambda i: [[0, 1, 2, 3, 4, 5, 6, 7, 8, 9], [0, 2, 4, 6, 8, 1, 3, 5, 7, 9]][i % 2 + 1][CAST(substr({DIGITS}, length({DIGITS}) - i, 1) AS INTEGER) + 1])) % 10 = 0"
+PHONE = f"length({DIGITS}) BETWEEN 8 AND 15"
+NEAR_WORDS = "list_filter(string_split_regex(translate({0}({1}, 40), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+#: A round of scoring patterns by instances and instances by patterns.
+SCORED = """p{1} AS MATERIALIZED (
+            SELECT pattern, kind, score // total AS confidence
+            FROM (SELECT pattern, kind, sum(score) AS score, count(*) AS n FROM (SELECT pattern, coalesce(seed, kind) AS kind, CASE WHEN seed IS NULL THEN coalesce(score, 0) ELSE 1000 END AS score FROM edges LEFT JOIN i{0} USING (x)) GROUP BY pattern, kind)
+            JOIN (SELECT pattern, count(*) AS total FROM edges GROUP BY pattern) USING (pattern)
+            WHERE n >= 3 AND score // total >= 800 AND kind IN (SELECT kind FROM kinds WHERE sort = pattern[1])
+        ), i{1} AS MATERIALIZED (
+            SELECT x, arg_max(kind, 10 * confidence - o) AS kind, max(confidence) AS score FROM edges JOIN p{1} USING (pattern) JOIN kinds USING (kind) WHERE seed IS NULL GROUP BY x
+        )"""
+
 SQL: dict[str, str] = {
+    "op11_bootstrap": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        kinds(kind, o, sort) AS (VALUES ('email', 0, 'a'), ('ip', 1, 'd'), ('card', 2, 'n'), ('phone', 3, 'n')),
+        {LOCATED.format("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+")}, {LOCATED.format("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)")},
+        {LOCATED.format("card", "[0-9]([ -]?[0-9])+")}, {LOCATED.format("phone", "\\+[0-9][ ().0-9-]+[0-9]")},
+        {LOCATED.format("mention", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)*|[0-9]+(?:\\.[0-9]+){{3,}}|[+(]?[0-9](?:[ ().-]{{0,2}}[0-9]){{5,}}")},
+        base AS MATERIALIZED (
+            SELECT 'email' AS kind, doc_id, start, stop FROM email UNION ALL SELECT 'ip', doc_id, start, stop FROM ip WHERE {OCTETS}
+            UNION ALL SELECT 'card', doc_id, start, stop FROM card WHERE {LUHN} UNION ALL SELECT 'phone', doc_id, start, stop FROM phone WHERE {PHONE}
+        ),
+        m AS (
+            SELECT *, {NEAR_WORDS.format("right", "before")} AS b, {NEAR_WORDS.format("left", "after")} AS a,
+                CASE WHEN contains(x, '@') THEN 'a' WHEN regexp_full_match(x, '[0-9]+(\\.[0-9]+){{3,}}') THEN 'd' ELSE 'n' END AS sort,
+                CASE WHEN contains(x, '@') THEN CASE WHEN regexp_matches(x, '@[A-Za-z0-9-]+\\.') THEN 'email' END
+                    WHEN regexp_full_match(x, '[0-9]+(\\.[0-9]+){{3}}') THEN CASE WHEN {OCTETS} THEN 'ip' END
+                    WHEN regexp_full_match(x, '\\+[0-9][ ().0-9-]+[0-9]') THEN CASE WHEN {PHONE} THEN 'phone' END
+                    WHEN regexp_full_match(x, '[0-9]([ -]?[0-9])+') THEN CASE WHEN {LUHN} THEN 'card' END END AS seed
+            FROM mention
+        ),
+        edges AS MATERIALIZED (
+            SELECT DISTINCT sort || ' ' || b[-2] || ' ' || b[-1] || ' _' AS pattern, x, seed FROM m WHERE len(b) >= 2
+            UNION SELECT DISTINCT sort || ' ' || b[-1] || ' _ ' || a[1], x, seed FROM m WHERE len(b) >= 1 AND len(a) >= 1
+        ),
+        i0 AS (SELECT '' AS x, '' AS kind, 0 AS score WHERE false), {SCORED.format(0, 1)}, {SCORED.format(1, 2)}, {SCORED.format(2, 3)},
+        more AS (SELECT i3.kind, doc_id, start, stop FROM m JOIN i3 USING (x) WHERE seed IS NULL AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = m.doc_id AND base.start < m.stop AND m.start < base.stop)),
+        both_kinds AS (SELECT *, true AS first FROM base UNION ALL SELECT *, false FROM more)
+        SELECT doc_id, count(*) FILTER (first AND kind = 'email') AS n_email, count(*) FILTER (first AND kind = 'ip') AS n_ip, count(*) FILTER (first AND kind = 'card') AS n_card,
+            count(*) FILTER (first AND kind = 'phone') AS n_phone, sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY o, start) FILTER (first), '')) AS base_sha256,
+            coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY o, start), '') AS spans
+        FROM d LEFT JOIN both_kinds USING (doc_id) LEFT JOIN kinds USING (kind) GROUP BY doc_id
+    """,
     # twelve words of period q <= 6, or two periods, hold six words that stand q words further on as well
     "op12_runs": f"""
         WITH {CRC},
