@@ -8,6 +8,29 @@ from pyspark.sql import functions as F
 from ..functions.text import ministry_tokens
 
 
+def unique(rows: DataFrame, *keys: str) -> DataFrame:
+    """A look-up table with one row a key: the last one by column position, which is then dropped.
+
+    Without that column, rows of a key that say the same count once, and rows that contradict each
+    other raise an error, as nothing tells which one holds.  A partial aggregate on the keys that
+    the look-up joins on anyway, so it adds no shuffle.
+    """
+    columns = [c for c in rows.columns if c not in keys and c != "position"]
+    if not columns:
+        return rows.select(*keys).distinct()
+    values = F.struct(*columns)
+    if "position" in rows.columns:
+        one = F.max_by(values, "position")
+    else:
+        one = F.when(F.min(values).eqNullSafe(F.max(values)), F.min(values)).otherwise(F.raise_error(F.lit(f"contradicting rows of one key ({', '.join(keys)}), and no column position")))
+    return rows.groupBy(*keys).agg(one.alias("_r")).select(*keys, "_r.*")
+
+
+def at(rows: DataFrame, *columns: str) -> list[str]:
+    """The columns, and position if the table has it."""
+    return [*columns, *(c for c in ("position",) if c in rows.columns)]
+
+
 def known(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Rows whose key the table has."""
     return rows.join(table.select(key), key, "left_semi")
@@ -21,8 +44,11 @@ def orphans(rows: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
 def alias_name(rows: DataFrame, code: str, names: DataFrame, aliases: DataFrame) -> DataFrame:
     """Adds name: of the code itself, else of the code that it is an alias of.
 
-    names has code and name; aliases has alias and primary.
+    names has code and name; aliases has alias and primary; of repeated codes and aliases the last
+    by position counts.
     """
+    names = unique(names.select(*at(names, "code", "name")), "code")
+    aliases = unique(aliases.select(*at(aliases, "alias", "primary")), "alias")
     direct = names.select(F.col("code").alias(code), F.col("name").alias("_direct"))
     other = aliases.join(names, F.col("primary") == F.col("code")).select(F.col("alias").alias(code), F.col("name").alias("_other"))
     joined = rows.join(direct, code, "left").join(other, code, "left")
@@ -30,19 +56,29 @@ def alias_name(rows: DataFrame, code: str, names: DataFrame, aliases: DataFrame)
 
 
 def explode_aliases(names: DataFrame, code: str, listed: str) -> DataFrame:
-    """alias, primary from a comma list (SRC-6)."""
+    """alias, primary from a comma list (SRC-6), and position if names has it; lines without a code have none."""
     alias = F.explode(F.transform(F.split(listed, ","), lambda x: F.trim(x)))
-    return names.select(alias.alias("alias"), F.col(code).alias("primary")).where("alias <> ''")
+    rows = names.where(F.col(code) != "").select(alias.alias("alias"), F.col(code).alias("primary"), *at(names))
+    return rows.where("alias <> ''")
 
 
 def override(rows: DataFrame, raw: str, overrides: DataFrame, names: DataFrame) -> DataFrame:
-    """Adds code and name by a raw spelling; a code without name blanks both."""
+    """Adds code and name by a raw spelling; a code without name blanks both.
+
+    Of repeated spellings and codes the last by position counts.
+    """
+    names = unique(names.select(*at(names, "code", "name")), "code")
+    overrides = unique(overrides.select(*at(overrides, "raw", "code")), "raw")
     both = overrides.join(names, "code", "left").select(F.col("raw").alias(raw), F.when(F.col("name").isNotNull(), F.col("code")).otherwise("").alias("code"), F.coalesce("name", F.lit("")).alias("name"))
     return rows.join(both, raw, "left")
 
 
 def letter_dates(index: DataFrame, dates: DataFrame) -> DataFrame:
-    """Adds question_letter and answer_letter from (paper, kind, date) rows, one look-up each."""
+    """Adds question_letter and answer_letter from (paper, kind, date) rows, one look-up each.
+
+    Of several letters of a paper and kind the last by position counts.
+    """
+    dates = unique(dates.select(*at(dates, "paper", "kind", "date")), "paper", "kind")
     for kind, paper, out in (("Anfrage", "q_nr", "question_letter"), ("Antwort", "pk", "answer_letter")):
         side = dates.where(F.col("kind") == kind).select(F.col("paper").alias(paper), F.col("date").alias(out))
         index = index.join(side, paper, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
 from ..functions.text import CANONICAL_FACTIONS, count_listed, merge_flags
-from .joins import alias_name, override, subset_match
+from .joins import alias_name, at, override, subset_match, unique
 from .reconcile import blank, number_in
 
 # Fields that a complete row has.
@@ -37,8 +37,8 @@ def normalise(rows: DataFrame, names: DataFrame, aliases: DataFrame, overrides:
     A row's own code wins, by itself or as an alias, and stays as it is; else an override of the
     prose name, else a name that has all its tokens.  names has code, name and position.
     """
-    coded = alias_name(rows, "ministerium_kuerzel", names.select("code", "name"), aliases).withColumnRenamed("name", "_coded")
-    by_prose = override(coded, "ministerium", overrides, names.select("code", "name")).withColumnsRenamed({"code": "_o_code", "name": "_o_name"})
+    coded = alias_name(rows, "ministerium_kuerzel", names.select("code", "name", "position"), aliases).withColumnRenamed("name", "_coded")
+    by_prose = override(coded, "ministerium", overrides, names.select("code", "name", "position")).withColumnsRenamed({"code": "_o_code", "name": "_o_name"})
     matched = subset_match(by_prose, "ministerium", names).withColumnsRenamed({"code": "_s_code", "name": "_s_name"})
     has_code, has_prose, overridden = ~blank(F.col("ministerium_kuerzel")), ~blank(F.col("ministerium")), F.col("_o_code").isNotNull()
     code = F.when(has_code, F.col("ministerium_kuerzel")).when(has_prose & overridden, F.col("_o_code")).when(has_prose, F.coalesce("_s_code", F.lit(""))).otherwise(F.coalesce("ministerium_kuerzel", F.lit("")))
@@ -111,10 +111,10 @@ FAILING = ["text_missing", "text_short", "number", "malformed", "duplicates", "n
 def verify(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", status: str = "antworttext_status", asked: str = "anfragedatum", answered: str = "antwortdatum", group: str = "wp", number: str = "kleine_anfrage_nr") -> dict[str, DataFrame]:
     """The findings of each failing check, each with the key of its rows (Q10 to Q14, Q17).
 
-    texts has the key and text.  Texts are judged for extracted rows only; a key that several rows
+    texts has the key and text; of several the last by position counts.  Texts are judged for extracted rows only; a key that several rows
     share is one finding, and its pks are listed.
     """
-    sized = rows.where(F.col(status) == "extracted").join(texts.select(key, F.col("text").alias("_text")), key, "left").withColumn("_size", F.octet_length("_text"))
+    sized = rows.where(F.col(status) == "extracted").join(unique(texts.select(*at(texts, key, "text")), key).withColumnRenamed("text", "_text"), key, "left").withColumn("_size", F.octet_length("_text"))
     numbered = rows.where((F.coalesce(group, F.lit(0)) != 0) & (F.coalesce(number, F.lit(0)) != 0))
     twice = duplicates(numbered, [group, number], key)
     return {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import dedouble, least_askers, trimmed_parts
 from .extract import first_block, header_fields, lexicon, minister_forms, names_found
-from .joins import subset_match
+from .joins import at, subset_match, unique
 from .reconcile import HEAD, answer_before_question, blank, classify, cross_flags, header_flags, mismatch, number_in, quality, reconcile
 
 # Columns that a scan may write of a row that is already known.
@@ -86,8 +86,11 @@ def evidence(rows: DataFrame, letters: DataFrame, texts: DataFrame, key: str = "
     """Adds head and what it states (_h_*), and the dates of the letters' feet (_foot_*).
 
     letters has paper, kind and date; texts the key and text, which are read of extracted rows only.
+    Of several letters or texts of a key the last by position counts, so rows stay as many.
     """
-    parsed = header_fields(texts.select(key, F.substring("text", 1, HEAD).alias("head")), "head")
+    heads = unique(texts.select(key, F.substring("text", 1, HEAD).alias("head"), *at(texts)), key)
+    letters = unique(letters.select(*at(letters, "paper", "kind", "date")), "paper", "kind")
+    parsed = header_fields(heads, "head")
     parsed = parsed.select(key, "head", *(F.col(c).alias(f"_h_{c}") for c in ("anfragedatum", "antwortdatum", "drucksache_anfrage_nr", "fraktion")))
     extracted = F.col("antworttext_status") == "extracted"
     out = rows.join(parsed, key, "left")
@@ -162,17 +165,18 @@ def extract_members(rows: DataFrame, texts: DataFrame, lexicon: DataFrame, key:
     """Fills anfrager_alle and anzahl_abgeordnete of extracted rows from their texts (X13 over a table).
 
     Rows with a manual tag stay.  Adds rest, what no name explains, and too_few where fewer were
-    found than the table's own list tells of.
+    found than the table's own list tells of.  Only the blocks of askers are joined, not the texts.
     """
     mine = (F.col("antworttext_status") == "extracted") & ~F.array_contains(trimmed_parts(F.col("extract_flags")), "anfrager_manual")
     old = {c: F.col(c) for c in ("anfrager_alle", "anzahl_abgeordnete") if c in rows.columns}
-    kept = rows.withColumnsRenamed({c: f"_old_{c}" for c in old}).join(texts.select(key, F.col("text").alias("_text")), key, "left")
+    blocks = texts.where("text is not null").select(key, F.coalesce(first_block(F.col("text")), F.lit("")).alias("_asked"), *at(texts))
+    kept = rows.withColumnsRenamed({c: f"_old_{c}" for c in old}).join(unique(blocks, key), key, "left")
     names = lexicon.select("wp", "fraktion", "form", "nach", "vor")
-    found = names_found(kept, names, F.coalesce(first_block(F.col("_text")), F.lit("")), ["wp", "fraktion"])
-    fresh = mine & F.col("_text").isNotNull()
+    found = names_found(kept, names, F.coalesce("_asked", F.lit("")), ["wp", "fraktion"])
+    fresh = mine & F.col("_asked").isNotNull()
     out = found.withColumns({c: F.when(fresh, F.col(c)).otherwise(F.col(f"_old_{c}")) if c in old else F.when(fresh, F.col(c)) for c in ("anfrager_alle", "anzahl_abgeordnete")})
     out = out.withColumns({"rest": F.when(fresh, F.col("rest")).otherwise(""), "too_few": fresh & (F.coalesce("anzahl_abgeordnete", F.lit(0)) < least_askers(F.col("anfrager")))})
-    return out.drop("_text", *(f"_old_{c}" for c in old))
+    return out.drop("_asked", *(f"_old_{c}" for c in old))
 
 
 def members_to_fixed_point(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", passes: int = 2) -> DataFrame:
@@ -192,10 +196,11 @@ def involve_ministries(rows: DataFrame, texts: DataFrame, names: DataFrame, alia
     names has code, name and position; aliases alias and primary.  Forms that no name fits stay out;
     rows without a text or form keep what they have.
     """
-    forms = minister_forms(texts.select(key, "text"), "text").select(key, F.posexplode("forms").alias("at", "form"))
+    named = unique(minister_forms(texts.select(*at(texts, key, "text")), "text").drop("text"), key)
+    forms = named.select(key, F.posexplode("forms").alias("at", "form"))
     resolved = subset_match(forms, "form", names).where("code is not null")
     listed = resolved.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "code"))), lambda r: r["code"]).alias("_codes"))
-    lead = aliases.select(F.col("alias").alias("ministerium_kuerzel"), F.col("primary").alias("_primary"))
+    lead = unique(aliases.select(*at(aliases, "alias", "primary")), "alias").select(F.col("alias").alias("ministerium_kuerzel"), F.col("primary").alias("_primary"))
     out = rows.join(lead, "ministerium_kuerzel", "left").join(listed, key, "left")
     first = F.coalesce("_primary", "ministerium_kuerzel", F.lit(""))
     codes = F.array_distinct(F.filter(F.concat(F.array(first), "_codes"), lambda c: c != ""))

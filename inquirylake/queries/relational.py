@@ -30,22 +30,29 @@ NATIONS = "n AS (SELECT n_nationkey, 'N' || n_nationkey AS code, n_name AS name
 
 
 @query("j3_alias_fallback", """SELECT c_custkey, 'N' || c_nationkey AS code,
-    CASE WHEN c_nationkey % 3 <> 2 THEN 'NATION_' || c_nationkey WHEN c_nationkey >= 2 THEN 'NATION_' || (c_nationkey - 1) END AS name FROM customer""")
+    CASE WHEN c_nationkey % 3 <> 2 THEN 'NATION_' || c_nationkey WHEN c_nationkey % 2 = 1 THEN 'NATION_0' ELSE 'NATION_' || (c_nationkey - 1) END AS name FROM customer""")
 def j3(spark, sf_dir):
+    """Each alias stands in an early line of the first nation's and in one of its own; every other one in a third."""
     nations = adapter.read(spark, sf_dir, "nation")
     names = nations.where("n_nationkey % 3 <> 2").select(F.concat(F.lit("N"), "n_nationkey").alias("code"), F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey") + 1, F.lit(", ")).alias("aliases"))
-    aliases = j.explode_aliases(names.where("cast(substring(code, 2) as int) % 3 = 1"), "code", "aliases")
+    listed = names.where("cast(substring(code, 2) as int) % 3 = 1").withColumn("position", F.lit(1))
+    early, late = listed.withColumns({"code": F.lit("N3"), "position": F.lit(0)}), listed.where("cast(substring(code, 2) as int) % 2 = 0").withColumns({"code": F.lit("N0"), "position": F.lit(2)})
+    aliases = j.explode_aliases(listed.unionByName(early).unionByName(late), "code", "aliases")
     rows = adapter.read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("N"), "c_nationkey").alias("code"))
     return j.alias_name(rows, "code", names.select("code", "name"), aliases).select("c_custkey", "code", "name")
 
 
 @query("j4_letter_dates_twice", f"""WITH {ANSWERED} SELECT ka_nr, CASE WHEN ka_nr % 4 <> 0 THEN strftime(question_date, '%Y-%m-%d') END AS question_letter,
-    CASE WHEN ka_nr % 5 <> 0 AND answer_date IS NOT NULL THEN strftime(answer_date, '%Y-%m-%d') END AS answer_letter FROM ans""")
+    CASE WHEN ka_nr % 5 <> 0 AND answer_date IS NOT NULL THEN strftime(answer_date + CAST(CASE WHEN ka_nr % 2 = 0 THEN 1 ELSE 0 END AS INTEGER), '%Y-%m-%d') END AS answer_letter FROM ans""")
 def j4(spark, sf_dir):
+    """Every third question letter is preceded by another one, every other answer letter followed by one of the day after."""
     index = adapter.answered(spark, sf_dir)
     q = index.where("ka_nr % 4 <> 0").select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.date_format("question_date", "yyyy-MM-dd").alias("date"))
     a = index.where("ka_nr % 5 <> 0 and answer_date is not null").select(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format("answer_date", "yyyy-MM-dd").alias("date"))
-    return j.letter_dates(index.select("ka_nr", "q_nr", "pk"), q.unionByName(a)).select("ka_nr", "question_letter", "answer_letter")
+    letters = q.unionByName(a).withColumn("position", F.lit(1))
+    before = index.where("ka_nr % 3 = 0 and ka_nr % 4 <> 0").select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.lit("1999-01-01").alias("date"), F.lit(0).alias("position"))
+    after = index.where("ka_nr % 5 <> 0 and answer_date is not null and ka_nr % 2 = 0").select(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format(F.date_add("answer_date", 1), "yyyy-MM-dd").alias("date"), F.lit(2).alias("position"))
+    return j.letter_dates(index.select("ka_nr", "q_nr", "pk"), letters.unionByName(before).unionByName(after)).select("ka_nr", "question_letter", "answer_letter")
 
 
 TOKENS = "SELECT p_name, list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z]+'), lambda w: len(w) >= 4)) AS v FROM (SELECT DISTINCT p_name FROM part)"
@@ -106,7 +113,8 @@ def j18(spark, sf_dir):
 def j19(spark, sf_dir):
     nations = adapter.read(spark, sf_dir, "nation")
     code = F.concat(F.lit("N"), "n_nationkey").alias("code")
-    overrides = nations.where("n_nationkey % 4 < 2").select(F.concat(F.lit("raw "), "n_nationkey").alias("raw"), code)
+    lines = nations.where("n_nationkey % 4 < 2").select(F.concat(F.lit("raw "), "n_nationkey").alias("raw"), code, F.col("n_nationkey").alias("position"))
+    overrides = lines.unionByName(lines.withColumns({"code": F.lit("N4"), "position": F.lit(-1)}))  # an earlier line of each says something else
     names = nations.where("n_nationkey % 4 = 0").select(code, F.col("n_name").alias("name"))
     rows = adapter.read(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("raw "), "c_nationkey").alias("spelling"))
     return j.override(rows, "spelling", overrides, names).select("c_custkey", "code", "name")

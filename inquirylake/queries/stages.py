@@ -181,7 +181,10 @@ def merged(spark, sf_dir):
         F.when(n % 19 == 0, "seen").otherwise(" ").alias("notizen"),
         F.when(n % 23 == 0, "review").otherwise("ok").alias("datenqualitaet"),
     )
-    return s.merge(table, asked.unionByName(told), texts)
+    letters = asked.unionByName(told).withColumn("position", F.lit(1))
+    earlier = letters.withColumns({"date": F.lit("1999-01-01"), "position": F.lit(0)})
+    older = texts.withColumn("text", F.lit("an earlier text")).withColumn("position", F.lit(0))
+    return s.merge(table, letters.unionByName(earlier), texts.withColumn("position", F.lit(1)).unionByName(older))
 
 
 @query("m1_merge", f"""WITH {MERGED} SELECT ka_nr AS id, strftime(new_q, '%Y-%m-%d') AS anfragedatum, strftime(new_a, '%Y-%m-%d') AS antwortdatum, strftime(db_q, '%Y-%m-%d') AS anfragedatum_db, flags AS mismatch_flags, verdict AS datenqualitaet,

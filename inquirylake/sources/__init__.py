@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..functions.patterns import MISMATCH_LINE, NOVELTY_LINE
 from ..functions.text import bucket, file_paper, ministry_tokens
+from ..operators.joins import explode_aliases, unique
 from .spreadsheet import sheet
 
 #: Columns of the working table that are numbers; a value that is none reads as null.
@@ -44,9 +45,21 @@ def ministries(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("Kürzel").alias("code"), F.col("Ministerium").alias("name"), ministry_tokens(F.col("Ministerium")).alias("tokens"), F.col("Aliases").alias("aliases")).where("code is not null and name is not null")
 
 
+def _line(rows: DataFrame) -> Column:
+    """The place of a line: its number if the reader gives one, else the order of reading."""
+    return (F.col("_line") if "_line" in rows.columns else F.monotonically_increasing_id()).alias("position")
+
+
 def overrides(rows: DataFrame) -> DataFrame:
-    """raw, code where both are set (SRC-7)."""
-    return rows.select(F.trim("Raw").alias("raw"), F.trim("Kuerzel").alias("code")).where("raw <> '' and code <> ''")
+    """raw, code where both are set (SRC-7); the last line of a spelling counts."""
+    return unique(rows.select(F.trim("Raw").alias("raw"), F.trim("Kuerzel").alias("code"), _line(rows)).where("raw <> '' and code <> ''"), "raw")
+
+
+def aliases(rows: DataFrame) -> DataFrame:
+    """alias, primary from the comma lists of the ministries' sheet (SRC-6); the last line of an alias counts."""
+    if "Aliases" not in rows.columns:
+        return rows.sparkSession.createDataFrame([], "alias string, primary string")
+    return unique(explode_aliases(rows.select(F.col("Kürzel").alias("code"), F.col("Aliases").alias("aliases"), _line(rows)), "code", "aliases"), "alias")
 
 
 def members(rows: DataFrame) -> DataFrame:
@@ -56,10 +69,11 @@ def members(rows: DataFrame) -> DataFrame:
 
 
 def letter_dates(rows: DataFrame) -> DataFrame:
-    """paper, kind, date of letters that were read well (SRC-9); a table without these columns is empty."""
+    """paper, kind, date of letters that were read well (SRC-9), the last line of each; a table without these columns is empty."""
     if not {f.name for f in LETTERS} <= {c.lower() for c in rows.columns}:
         return rows.sparkSession.createDataFrame([], "paper string, kind string, date string")
-    return rows.where("lower(status) = 'ok' and datum_original <> ''").select(F.col("drucksache_nr").alias("paper"), F.col("anfrage_oder_antwort").alias("kind"), F.col("datum_original").alias("date"))
+    read = rows.select(F.col("drucksache_nr").alias("paper"), F.col("anfrage_oder_antwort").alias("kind"), F.col("datum_original").alias("date"), "status", _line(rows))
+    return unique(read.where("status = 'ok' and date <> '' and paper is not null and kind is not null").drop("status"), "paper", "kind")
 
 
 def archive(spark: SparkSession, path: str, wp: int | None = None) -> DataFrame:

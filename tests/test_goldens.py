@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inquirylake import cli, sinks, sources, streaming
 from inquirylake.functions import dates, text
-from inquirylake.operators import extract, keyed, quality, reconcile, stages
+from inquirylake.operators import extract, joins, keyed, quality, reconcile, stages
 
 ONE = "SELECT 1 AS one"
 
@@ -408,3 +408,21 @@ def test_a_new_stream_goes_on_after_another(spark, tmp_path):
 
 def test_snapshot_order():
     assert sinks.SNAPSHOT[9:14] == ["systematik", "schlagworte", "link_drucksache_anfrage", "link_drucksache_antwort", "ministerium_kuerzel"]
+
+
+def test_look_ups_have_one_row_a_key(spark):
+    """Repeated letters, texts, aliases and spellings: the last line counts, and no row is multiplied."""
+    lines = spark.createDataFrame([("18/1", "Anfrage", "2020-01-01", "ok"), ("18/1", "Anfrage", "2020-02-02", "ok"), ("18/1", "Anfrage", "2020-03-03", "OK"), ("18/1", "Antwort", "", "ok")], "Drucksache_Nr string, Anfrage_oder_Antwort string, Datum_Original string, Status string").coalesce(1)
+    assert [tuple(r) for r in sources.letter_dates(lines).collect()] == [("18/1", "Anfrage", "2020-02-02")]
+    sheet = spark.createDataFrame([(2, "b", "B"), (1, "b", "A"), (3, "c", "")], "_line int, Raw string, Kuerzel string")
+    assert [tuple(r) for r in sources.overrides(sheet).collect()] == [("b", "B")]
+    assert sources.aliases(sheet).count() == 0
+    twice = spark.createDataFrame([("x", "A"), ("x", "B")], "alias string, primary string")
+    with pytest.raises(Exception, match="contradicting rows"):
+        joins.unique(twice, "alias").collect()
+    assert joins.unique(twice.withColumn("primary", F.lit("A")), "alias").count() == 1
+    names = spark.createDataFrame([("A", "name of A"), ("B", "name of B")], "code string, name string")
+    rows = spark.createDataFrame([("x",)], "code string")
+    placed = twice.withColumn("position", F.when(F.col("primary") == "A", 2).otherwise(1))
+    assert [r["name"] for r in joins.alias_name(rows, "code", names, placed).collect()] == ["name of A"]
+    assert [r["name"] for r in joins.override(rows.withColumnRenamed("code", "raw"), "raw", placed.withColumnsRenamed({"alias": "raw", "primary": "code"}), names).collect()] == ["name of A"]
