@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries, sinks, sources, streaming
+from . import queries, sinks, sources
 from .operators import extract, joins, quality, stages
+from .streaming import versions
 
 #: Verbs that read a table and write its next version, with what else each one reads.
 VERBS = {
@@ -80,25 +81,24 @@ def main(argv: Sequence[str] | None = None) -> int:
             found = found.where(found["drucksache_antwort_nr"].startswith(f"{args.wahlperiode}/"))
         (found.limit(args.limit) if args.limit is not None else found).write.mode("overwrite").parquet(args.out)
         return 0
-    rows = spark.read.parquet(args.table)
+    rows = versions.load(spark, args.table)
     if args.verb == "verify":
         texts = spark.read.parquet(args.texts) if args.texts else spark.createDataFrame([], f"{args.key} string, text string")
         findings = quality.verify(rows if args.texts else rows.withColumn("antworttext_status", rows["antworttext_status"].substr(1, 0)), texts, args.key)
         summary = quality.report(findings, args.key)
         summary.show(truncate=120)
         return quality.exit_code(summary, quality.FAILING, rows.count())
-    more = {name: spark.read.parquet(getattr(args, name)) for name in VERBS[args.verb][1]}
+    more = {name: versions.load(spark, getattr(args, name)) for name in VERBS[args.verb][1]}
     chosen = rows if args.wahlperiode is None else rows.where(rows["wp"] == args.wahlperiode)
     changed = _change(args.verb, chosen, more, args.key)
     if args.verb != "build-abgeordnete-index" and args.wahlperiode is not None:
         changed = changed.unionByName(joins.orphans(rows, chosen, args.key), allowMissingColumns=True)
-    for column in ("disposition", "datenqualitaet"):
-        if column in changed.columns:
-            stages.counters(changed, column).show()
-            break
-    if not args.dry_run:
-        number = streaming.latest(spark, args.out, changed.schema.simpleString()[7:-1].replace(":", " "))[1] + 1
-        sinks.save_version(changed.drop("disposition", "outcome_anfragedatum", "outcome_antwortdatum"), args.out, number, args.key if args.key in changed.columns else "form")
+    counted, counts = stages.observed(changed, next((c for c in ("disposition", "datenqualitaet") if c in changed.columns), None))
+    if args.dry_run:
+        counted.write.format("noop").mode("overwrite").save()
+    else:
+        versions.replace(counted.drop("disposition", "outcome_anfragedatum", "outcome_antwortdatum"), args.out, args.key if args.key in changed.columns else "form")
+    print(" ".join(f"{name}={n}" for name, n in counts.get.items() if n or name == "rows"))
     return 0
 
 

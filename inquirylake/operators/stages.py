@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import dedouble, least_askers, trimmed_parts
@@ -78,6 +80,21 @@ def counters(rows: DataFrame, disposition: str) -> DataFrame:
     return rows.groupBy(disposition).agg(F.count("*").alias("n"))
 
 
+#: What rows can be counted as by the verdict of a merge.
+VERDICTS = ["ok", "korrigiert", "ask_review", "review", "skipped"]
+
+
+def observed(rows: DataFrame, disposition: str | None, values: Sequence[str] = VERDICTS) -> tuple[DataFrame, Observation]:
+    """The rows, and counters that are there once an action has run over them: no run of their own.
+
+    Counts all rows, each of the values, and other ones together.
+    """
+    counts = Observation()
+    each = [F.count_if(F.col(disposition) == v).alias(v) for v in values] if disposition else []
+    rest = [F.count_if(~F.col(disposition).isin(*values) & (F.col(disposition) != "")).alias("other")] if disposition else []
+    return rows.observe(counts, F.count(F.lit(1)).alias("rows"), *each, *rest), counts
+
+
 #: Columns that merging reads or writes beside the keys.
 DATES = {"anfragedatum": ("drucksache_anfrage_nr", "Anfrage"), "antwortdatum": ("drucksache_antwort_nr", "Antwort")}
 

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import adapter
+from .. import adapter, streaming
 from ..operators import keyed as k
+from ..streaming import versions
 from .common import ANSWERED, INQUIRIES
 from .registry import registry
 
 QUERIES, SQL, query = registry()
 
 RUN_AT = "2026-01-01T00:00:00"
+#: Numbers of a key range, where tables are written in versions.
+WIDE = 200_000
 
 
 def _current(spark, sf_dir):
@@ -45,6 +48,26 @@ def u1(spark, sf_dir):
     return k.upsert(_current(spark, sf_dir), _new(spark, sf_dir), "pk", ["q_nr", "ministry"], F.lit(RUN_AT))
 
 
+@query("str1_two_streams", f"""WITH {ANSWERED},
+c AS (SELECT pk, q_nr, CASE WHEN ka_nr % 7 <> 0 THEN ministry END AS ministry FROM ans WHERE ka_nr % 3 <> 0),
+n AS (SELECT pk, q_nr, CASE WHEN ka_nr % 4 = 0 THEN '' ELSE 'new ' || ministry END AS ministry FROM ans WHERE ka_nr % 2 = 0)
+SELECT coalesce(c.pk, n.pk) AS pk, CASE WHEN c.pk IS NULL THEN n.q_nr ELSE c.q_nr END AS q_nr, CASE WHEN c.pk IS NULL THEN nullif(n.ministry, '') ELSE coalesce(nullif(n.ministry, ''), c.ministry) END AS ministry
+FROM c FULL OUTER JOIN n ON c.pk = n.pk""")
+def str1(spark, sf_dir):
+    """The stored rows as a first version; two streams at once, of two batches each, upsert the incoming ones into it."""
+    folder, schema = streaming.scratch(spark), "pk string, q_nr string, ministry string, added_at string, updated_at string"
+    versions.replace(_current(spark, sf_dir).select("pk", "q_nr", "ministry", "added_at", "updated_at"), f"{folder}/table", "pk", WIDE)
+    new = _new(spark, sf_dir).select("pk", "q_nr", "ministry", F.lit(1).alias("at"))
+    runs = []
+    for k in (0, 1):
+        new.where(F.pmod(F.crc32(F.encode("pk", "UTF-8")), F.lit(2)) == k).repartition(2).write.parquet(f"{folder}/new{k}")
+        source = spark.readStream.schema(new.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/new{k}")
+        runs.append(streaming.stream_upserts(source, f"{folder}/table", f"{folder}/stream{k}", schema, "pk", ["q_nr", "ministry"], "at", WIDE))
+    for run in runs:
+        run.awaitTermination()
+    return versions.read(spark, f"{folder}/table", schema).select("pk", "q_nr", "ministry")
+
+
 def _hits(spark, sf_dir):
     """Search hits: all questions; those stored as placeholders may have got an answer."""
     rows = adapter.inquiries(spark, sf_dir)

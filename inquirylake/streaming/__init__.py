@@ -1,70 +1,62 @@
-"""Incremental runs: an upsert of each micro-batch into a versioned table."""
+"""Incremental runs: an upsert of each micro-batch into a table in versions."""
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.joins import keep_last
 from ..operators.keyed import upsert
-from ..sinks import save_version
+from . import versions
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder for what a run writes in between, where all machines of a cluster reach it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="inquirylake-")
+    return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def latest(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
-    """The last complete version of a table and its number; an empty table before the first."""
-    fs = spark._jvm.org.apache.hadoop.fs
-    root = fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return spark.createDataFrame([], schema), -1
-    done = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("version=") and files.exists(fs.Path(s.getPath(), "_SUCCESS"))]
-    numbers = sorted(int(p.getName().split("=")[1]) for p in done)
-    if not numbers:
-        return spark.createDataFrame([], schema), -1
-    return spark.read.schema(schema).parquet(f"{path}/version={numbers[-1]:08d}"), numbers[-1]
-
-
-def _claimed(spark: SparkSession, path: str, batch: str, have: int) -> tuple[int, bool]:
-    """The version that a batch writes, and whether it is complete.
-
-    A batch claims the next version by a small file named after it, before it writes.  If it is run
-    again, it finds its claim and writes, or has written, the same version.
-    """
-    fs = spark._jvm.org.apache.hadoop.fs
-    claim = fs.Path(f"{path}/_batches/{batch}")
-    files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(claim):
-        stream = files.open(claim)
-        version = stream.readInt()
-        stream.close()
-        return version, files.exists(fs.Path(f"{path}/version={version:08d}/_SUCCESS"))
-    stream = files.create(claim, True)
-    stream.writeInt(have + 1)
-    stream.close()
-    return have + 1, False
-
-
-def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str) -> StreamingQuery:
-    """Upserts a stream of new rows into a versioned table; each batch writes one version.
-
-    Versions are numbered by the table, so a stream with a new checkpoint goes on where another
-    one has stopped; a batch that is run again after a failure writes the same version again.  Within
-    a batch the last row of each key counts.  Times are UTC.
+    """The last version of a table and its number; an empty table before the first."""
+    return versions.read(spark, path, schema), versions.head(spark, path)[0]
+
+
+def identity(spark: SparkSession, checkpoint: str) -> str:
+    """The name that a stream's checkpoint gives it."""
+    return spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id").alias("id")).first()["id"]
+
+
+def now() -> Column:
+    """The time in UTC, to the second (D-3)."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str, width: int = versions.WIDTH) -> StreamingQuery:
+    """Upserts a stream of new rows into a table in versions; each batch commits one.
+
+    Any number of streams may write one table: a batch that another one overtakes is applied to the
+    new version, and one that is run again after a failure finds itself committed.  Only the key
+    ranges that a batch touches are rewritten.  Within a batch the last row of each key counts.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        query = F.get_json_object("value", "$.id")
-        identity = spark.read.text(f"{checkpoint}/metadata").select(query.alias("id")).first()["id"]
-        current, have = latest(spark, path, schema)
-        version, complete = _claimed(spark, path, f"{identity}-{number}", have)
-        if complete:
-            return
-        new = keep_last(batch, position, key)
-        run_at = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
-        save_version(upsert(current, new, key, mask, run_at), path, version, key)
+        rows = batch.where(F.col(key).isNotNull() & (F.col(key) != ""))
+        new = keep_last(rows, position, key).persist()
+        try:
+            if not new.isEmpty():
+                versions.change(new, path, schema, key, lambda stored: upsert(stored, new, key, mask, now()), (identity(spark, checkpoint), number), width)
+        finally:
+            new.unpersist()
 
     return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
