@@ -27,7 +27,9 @@ NOTICES = {
     "eclipse public license": "epl",
     "isc license": "isc",
     "boost software license": "bsl",
-    "creative commons": "cc",
+    "creative commons license": "cc",
+    "creative commons attribution": "cc-by",
+    "creative commons zero": "cc0",
     "cc by": "cc-by",
     "cc by sa": "cc-by-sa",
     "cc by nc": "cc-by-nc",
@@ -35,7 +37,9 @@ NOTICES = {
     "cc by nc sa": "cc-by-nc-sa",
     "cc by nc nd": "cc-by-nc-nd",
     "cc0": "cc0",
-    "public domain": "public-domain",
+    "in the public domain": "public-domain",
+    "into the public domain": "public-domain",
+    "to the public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
     "released under the": "notice",
     "licensed under": "notice",
@@ -44,15 +48,25 @@ NOTICES = {
 #: Identifier tags; what follows on the line is an expression.
 TAGS = ("spdx-license-identifier:", "license-identifier:", "license:")
 
-#: Families of identifiers, longest first; each one is a label.
-FAMILIES = ("lgpl", "agpl", "gpl", "apache", "mit", "bsd", "mpl", "epl", "isc", "bsl", "cc0", "cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nc", "cc-by-nd", "cc-by-sa", "cc-by", "unlicense")
+# Families of the public list of licence identifiers, each one a label; versions and
+# variants follow from a rule.
+FAMILIES = (
+    "0bsd", "aal", "afl", "agpl", "apache", "apsl", "artistic", "beerware", "blueoak", "bsd", "bsl", "busl", "bzip2", "caldera", "catosl", "cc-by", "cc-by-nc", "cc-by-nc-nd", "cc-by-nc-sa",
+    "cc-by-nd", "cc-by-sa", "cc0", "cddl", "cecill", "cern-ohl-p", "cern-ohl-s", "cern-ohl-w", "cnri-python", "cpal", "cpl", "cua-opl", "curl", "ecl", "efl", "entessa", "epl", "eudatagrid", "eupl",
+    "fair", "frameworx", "freeimage", "fsfap", "ftl", "gfdl", "gpl", "hpnd", "icu", "ijg", "imagemagick", "intel", "ipa", "ipl", "isc", "jasper", "json", "lal", "lgpl", "libpng", "liliq-p",
+    "linux-openib", "lpl", "lppl", "miros", "mit", "motosoto", "mpl", "ms-pl", "ms-rl", "mulanpsl", "multics", "naumen", "nasa", "ncsa", "ngpl", "nokia", "npl", "ntp", "oclc", "odbl", "odc-by", "ofl",
+    "ogl-uk", "ogtsl", "oldap", "openssl", "osl", "pddl", "php", "postgresql", "psf", "python", "qpl", "rpl", "rpsl", "rscpl", "ruby", "simpl", "sissl", "sleepycat", "spl", "sspl", "tcl", "unicode",
+    "unicode-dfs", "unlicense", "upl", "vim", "vsl", "w3c", "watcom", "wtfpl", "x11", "xnet", "zend", "zlib", "zlib-acknowledgement", "zpl",
+)
 #: A known identifier: a family, then perhaps a version and words that licence lists put behind it.
-_KNOWN = re.compile(rf"({'|'.join(FAMILIES)})(?:[-v]?v?\d+(?:\.\d+)*)?(?:-(?:only|or|later|clause|patent|clear|lbnl|attribution|modern|variant|no|nuclear|license|international|igo|universal|[a-z]{{2}}))*\+?")
-PERMISSIVE = {"apache", "mit", "bsd", "isc", "bsl", "cc0", "cc-by", "unlicense", "public-domain"}
+_KNOWN = re.compile(rf"({'|'.join(sorted(FAMILIES, key=len, reverse=True))})(?:[-v]?v?\d+(?:\.\d+)*)?(?:-(?:only|or|later|clause|patent|clear|lbnl|attribution|modern|variant|no|nuclear|license|international|igo|universal|[a-z]{{2}}))*\+?")
+PERMISSIVE = {"0bsd", "apache", "artistic", "blueoak", "bsd", "bsl", "cc-by", "cc0", "curl", "hpnd", "isc", "mit", "ncsa", "openssl", "php", "postgresql", "psf", "public-domain", "python", "unlicense", "upl", "w3c", "wtfpl", "x11", "zlib"}
 
 #: Bytes to those of normal words: A-Z to a-z, anything that is in no word to a space.
 _WORD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+\-]*")
+_TOKEN = re.compile(r"\(|\)|/|[A-Za-z0-9][A-Za-z0-9.+\-]*")
+#: Words behind an identifier that belong to it: GPL v3, BSD 3-Clause, Apache version 2.0.
+_VERSION = re.compile(r"v?(\d+(?:\.\d+)*\+?(?:-clause)?)")
 _OPERATORS = {"or": 1, "and": 2, "with": 3}
 
 
@@ -97,6 +111,59 @@ def postfix(expression: str, start: int = 0, end: int | None = None) -> list[str
     return out + stack[::-1]
 
 
+def prefix(line: str, start: int = 0, end: int | None = None) -> list[str]:
+    """The tokens, in postfix order, of the longest expression that line[start:end] begins with; [] if there is none.
+
+    What has been read is an expression whenever an identifier or a closing parenthesis ends it with
+    none open; then at most one operator of each kind waits, so the state is cheap to keep.  Reading
+    stops at the first fault, at any sign between tokens and behind a token that ends a sentence; an
+    operator where an identifier should be, as in 'MIT OR OR', spoils the whole.
+    """
+    out, stack, kept = [], [], (0, [])
+    operand, version, last, open_ = True, False, start, 0
+    end = len(line) if end is None else end
+    for found in _TOKEN.finditer(line, start, end):
+        if line[last : found.start()].strip():
+            break
+        last, token = found.end(), found.group().lower()
+        full, token = token.endswith("."), token.rstrip(".")
+        token = "or" if token == "/" else token
+        if token == "(" and operand:
+            stack.append(token)
+            open_ += 1
+        elif token == ")" and not operand and open_:
+            while stack[-1] != "(":
+                out.append(stack.pop())
+            stack.pop()
+            open_ -= 1
+            version = False
+        elif token in _OPERATORS and not operand:
+            while stack and stack[-1] != "(" and _OPERATORS[stack[-1]] >= _OPERATORS[token]:
+                out.append(stack.pop())
+            stack.append(token)
+            operand, version = True, False
+        elif operand and token not in _OPERATORS and token not in "()":
+            out.append(token)
+            operand = False
+            version = True
+        elif version and token in ("v", "version") and not full:
+            continue
+        elif version and (number := _VERSION.fullmatch(token)):
+            out[-1] += f"-{number[1]}"
+            version = False
+        elif operand and found.group().lower() in _OPERATORS:
+            return []
+        else:
+            break
+        if not operand and not open_:
+            kept = (len(out), [*stack], out[-1])
+        if full:
+            break
+    if not kept[0]:
+        return []
+    return [*out[: kept[0] - 1], kept[2], *reversed(kept[1])]
+
+
 def family(identifier: str) -> str | None:
     """The family of a known identifier, else None."""
     found = _KNOWN.fullmatch(identifier.rstrip("."))
@@ -206,9 +273,8 @@ def scan(text: str) -> Scan:
             if line_end <= end:
                 line_end = lower.find("\n", end)
                 line_end = len(lower) if line_end < 0 else line_end
-            try:
-                tokens = postfix(lower, end + 1, line_end)
-            except Malformed:
+            tokens = prefix(lower, end + 1, line_end)
+            if not tokens:
                 continue
             named, unknown, permissive = _evaluate(tokens)
             out.unknown.update(unknown)
@@ -250,8 +316,8 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     """One row per row: counts, places, labels, expressions (postfix) and a score from 0 to 1.
 
     Null or empty text, or one without words: zero counts, null first_word and last_word, empty
-    labels, score 0.  An expression runs from a tag that begins a word to the end of its line; a
-    malformed one adds nothing, nor does one without any known identifier.  Unknown identifiers are
+    labels, score 0.  An expression is the longest one that follows a tag that begins a word, on its
+    line: prose behind it, or a fault, ends it.  One without any known identifier adds nothing.  Unknown identifiers are
     no labels but stand in a column of their own.  Places overlap freely.  Repeated rows give equal
     rows; long texts and many tags take time in proportion; other columns are ignored.  A word is a
     run of 0-9, a-z (A-Z lower-cased) and non-ASCII characters.
