@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ BANDS = MINIMA // ROWS
 ERRORS = 6.0
 #: Documents of a comparison against one hub, and of one block of a bucket.
 HUB, BLOCK = 256, 512
+#: Shingles of the sets that a block holds at once, eight bytes each.
+SHINGLES = 1 << 22
 
 _dice = np.random.default_rng(20240917)
 _MULTIPLY = _dice.integers(1, 1 << 63, MINIMA, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -114,22 +117,41 @@ def _hopeful(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Rec
             yield batch.select(["a", "b", "n"]).filter(pa.array(estimate(one, two) >= least))
 
 
-def _confirm(group: pa.Table, size: int, percent: int) -> pa.Table:
-    """Of one hub's documents, those whose sets are similar enough to the hub's (any of its texts)."""
-    ids = np.asarray(group["id"])
-    sets = shingle_sets(*anchors.joined(common.bodies(group["body"])), size)
-    hub_id = group["a"][0].as_py()
-    hubs = list({sets[i].tobytes(): sets[i] for i in np.flatnonzero(ids == hub_id)}.values())
-    kept = []
-    for i, s in enumerate(sets):
-        if ids[i] != hub_id:
-            for hub in hubs:
-                both = len(np.intersect1d(hub, s, assume_unique=True))
-                if both and 100 * both >= percent * (len(hub) + len(s) - both):
-                    kept.append(ids[i])
-                    break
-    kept = np.unique(np.array(kept, np.int64))
-    return pa.table({"a": pa.array(np.full(len(kept), hub_id, np.int64)), "b": pa.array(kept)})
+def _confirm(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of each hub's documents, those whose sets are similar enough to the hub's (any of its texts).
+
+    A hub's own rows come before its documents, so only its sets are held; the others pass by, a few
+    megabytes at a time.
+    """
+    hub, hubs = None, {}
+    for batch in batches:
+        a, ids, bodies = np.asarray(batch["a"]), np.asarray(batch["id"]), batch["body"]
+        kept = []
+        for at, end in _slices(bodies):
+            for i, s in enumerate(shingle_sets(*anchors.joined(common.bodies(bodies.slice(at, end - at))), size), at):
+                if ids[i] == a[i]:
+                    if hub != a[i]:
+                        hub, hubs = a[i], {}
+                    hubs[s.tobytes()] = s
+                    continue
+                for own in hubs.values() if hub == a[i] else ():
+                    both = len(np.intersect1d(own, s, assume_unique=True))
+                    if both and 100 * both >= percent * (len(own) + len(s) - both):
+                        kept.append(i)
+                        break
+        yield pa.RecordBatch.from_arrays([batch["a"].take(pa.array(kept, pa.int64())), batch["id"].take(pa.array(kept, pa.int64()))], ["a", "b"])
+
+
+def _slices(bodies: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of texts of a megabyte each, compressed, or of a single longer one."""
+    at, held = 0, 0
+    for i, n in enumerate(pc.binary_length(bodies).to_pylist()):
+        if held and held + n > most:
+            yield at, i
+            at, held = i, 0
+        held += n
+    if at < len(bodies):
+        yield at, len(bodies)
 
 
 def _flag(group: pa.Table, least: float) -> pa.Table:
@@ -200,7 +222,9 @@ def confirm(pairs: DataFrame, counts: DataFrame, texts: DataFrame, size: int, pe
     wanted = dealt.select("a", "salt", F.explode(F.array("a", "b")).alias("id")).distinct()
     with_text = common.split_join(wanted, texts, ["id"], counts.select(F.col("a").alias("id"), F.ceil(F.col("n") / HUB).alias("n")))
     slot = F.shiftrightunsigned(F.xxhash64("a"), 8) + F.col("salt")
-    return common.dealt_groups(with_text, ["a", "salt"], slot, _confirm, "a long, b long", size, percent)
+    tasks = common.partitions(pairs.sparkSession)
+    dealt = with_text.repartitionById(tasks, F.pmod(slot, F.lit(tasks)).cast("int")).sortWithinPartitions("a", "salt", F.col("id") != F.col("a"))
+    return common.arrow_map(dealt.select("a", "id", "body"), _confirm, "a long, b long", size, percent).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -224,7 +248,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     # equal sets have equal signatures, so these may stand among the keys
     classes = common.checkpoint(usable.groupBy(*key, "packed", "buckets").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")))
     signatures = classes.select("rep", "packed")
-    banded = classes.select("rep", F.explode("buckets").alias("bucket"))
+    banded = classes.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
     shared = common.checkpoint(banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("last"), F.count("*").alias("n")).where("hub < last"))
     members = common.checkpoint(common.split_join(banded, shared.select("bucket", "hub"), ["bucket"], shared), release=True)
     least = percent / 100 - ERRORS * error(percent / 100)
@@ -237,14 +261,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     links = common.checkpoint(confirm(hopeful, counts, bodies, shingle, percent).unionByName(_same_ids(usable, classes, key)), release=True)
 
     parts = components(links)
-    placed = members.select("rep").distinct().join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component"))
+    placed = members.groupBy("rep").agg(F.max("n_shingles").alias("shingles")).join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "shingles", F.coalesce("component", "rep").alias("component"))
     placed = common.checkpoint(placed)
-    split = _blocks(members.select("bucket", "rep").join(placed, "rep").withColumnRenamed("rep", "id"))
+    split = _blocks(members.select("bucket", "rep").join(placed.drop("shingles"), "rep").withColumnRenamed("rep", "id"))
     split = split.join(classes.select(F.col("rep").alias("id"), "packed", "buckets"), "id")
     flagged = common.checkpoint(common.dealt_groups(split, ["bucket", "m", "v"], F.col("slot"), _flag, "bucket long, id long", least).distinct())
     wanted = flagged.select("id").distinct().join(bodies, "id")
     sets = common.arrow_map(wanted, _sets, "id long, shingles binary", shingle).distinct()
-    rest = _blocks(flagged.join(placed.withColumnRenamed("rep", "id"), "id")).join(sets, "id")
+    rest = _blocks(flagged.join(placed.withColumnRenamed("rep", "id"), "id"), "shingles").join(sets, "id")
     more = common.dealt_groups(rest, ["bucket", "m", "v"], F.col("slot"), _links, "a long, b long", percent)
     parts = components(links.unionByName(common.checkpoint(more)))
 
@@ -278,17 +302,19 @@ def keep_first(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFram
     return rows.unionByName(docs.where(docs["doc_id"].isNull()))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
+def _blocks(rows: DataFrame, weight: str | None = None) -> DataFrame:
     """Members and visitors of buckets that hold several components, dealt so that each pair of
     blocks meets in one group: bucket, m, v, slot, visitor, id, component.
 
     rows has bucket, id and component.  Pairs within a bucket's largest component need no
-    comparison, so its rows don't visit; both sides are cut by their own numbers.
+    comparison, so its rows don't visit; both sides are cut by their own numbers.  With weight, a
+    column of set sizes, blocks are bounded by the sum of those as well.
     """
     rows = common.checkpoint(rows)
-    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    largest = parts.groupBy("bucket").agg(F.sum("k").alias("n"), F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    plan = common.checkpoint(largest.select("bucket", "n", F.col("top.component").alias("base"), F.ceil(F.col("n") / BLOCK).cast("int").alias("mb"), F.ceil((F.col("n") - F.col("top.k")) / BLOCK).cast("int").alias("vb")))
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("k"), (F.sum(weight) if weight else F.lit(0).cast("long")).alias("w"))
+    largest = parts.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum("w").alias("w"), F.max(F.struct("k", "component", "w")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    cut = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / SHINGLES)).cast("int")
+    plan = common.checkpoint(largest.select("bucket", "n", F.col("top.component").alias("base"), cut(F.col("n"), F.col("w")).alias("mb"), cut(F.col("n") - F.col("top.k"), F.col("w") - F.col("top.w")).alias("vb")))
     dealt = common.split_join(rows, plan.drop("n"), ["bucket"], plan)
     block = lambda blocks: F.pmod(F.xxhash64("id"), F.col(blocks)).cast("int")
     each = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))

@@ -635,3 +635,29 @@ def test_sharding_weights_and_growth(spark):
     assert all(r["a"] == r["b"] or r["b"] == 1 for r in rows)
     with pytest.raises(ValueError):
         sharding.rendezvous(keys["id"], [1.0, 0.0])
+
+
+def test_confirming_long_near_copies_holds_one_set():
+    """Copies of a megabyte each pass by the hub: what is held doesn't grow with their number."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import zstandard
+
+    dice = random.Random(8)
+    words = [f"w{dice.randint(0, 50_000)}" for _ in range(160_000)]
+
+    def batches(count):
+        for i in range(count):
+            words[i * 7] = f"changed{i}"
+            body = zstandard.ZstdCompressor(level=1).compress(" ".join(words).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1 + i]), pa.array([body], pa.binary())], ["a", "id", "body"])
+
+    peaks = []
+    for count in (3, 24):
+        tracemalloc.start()
+        found = sum(b.num_rows for b in minhash._confirm(batches(count), 5, 80))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found == count - 1
+    assert peaks[1] < 1.3 * peaks[0] and peaks[1] < 200 << 20
