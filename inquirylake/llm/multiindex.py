@@ -169,13 +169,29 @@ def _compare(group: pa.Table, dims: int, threshold: float) -> pa.Table:
     return pa.table({k: pa.array(np.concatenate(v or none).astype(np.int64)) for k, v in out.items()})
 
 
+def _compare_all(group: pa.Table, threshold: float) -> pa.Table:
+    """As _compare, for the few classes of one label and length: each with all others."""
+    ids, copies = np.asarray(group["rep"]), np.asarray(group["copies"])
+    near = _near(group["embedding"].combine_chunks(), threshold)
+    part = blocks(near)
+    np.fill_diagonal(near, False)
+    linked = np.flatnonzero(near.any(1))
+    return pa.table({"rep": pa.array(ids[linked]), "links": pa.array((near @ copies)[linked]), "to": pa.array(ids[part[linked]])})
+
+
+def _near(vectors: pa.Array, threshold: float) -> np.ndarray:
+    units = unit(_matrix(vectors, len(vectors[0])))
+    return units @ units.T >= threshold
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of (vec_id, embedding, label).
 
     Only rows of equal, non-null labels are compared.  Null or zero vectors, those with null or
     non-finite components or of no components, and rows with a null label or vec_id link with
-    nothing; vectors of unlike lengths don't link either, and each length, of which a table has few, gets
-    an index of its own.  Equal vectors of a label are one class:
+    nothing; vectors of unlike lengths don't link either.  The most common length and each that has
+    more than a block's classes get an index of their own; what there is of other lengths is
+    compared whole, all lengths in one job.  Equal vectors of a label are one class:
     all its rows link with each other and have the same other links.  An empty table gives no rows;
     other columns are ignored.
 
@@ -190,13 +206,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample: int = S
     digest = [F.xxhash64("embedding").alias("d1"), F.xxhash64(F.lit(1), "embedding").alias("d2")]
     classes = rows.where("usable").groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     classes = common.checkpoint(classes.select("*", *digest))
+    lengths = common.checkpoint(classes.groupBy(F.size("embedding").alias("dims")).agg(F.count("*").alias("n")))
+    indexed = {r["dims"]: r["n"] for r in [*lengths.where(F.col("n") > MEMBERS).collect(), *lengths.orderBy(F.desc("n"), "dims").limit(1).collect()]}
     results = None
-    for dims, n in sorted((r[0], r[1]) for r in classes.groupBy(F.size("embedding")).count().collect()):
+    if indexed:
+        few = classes.where(~F.size("embedding").isin(*indexed)).select("label", F.size("embedding").alias("dims"), "rep", "copies", "embedding")
+        results = common.arrow_groups(few, ["label", "dims"], _compare_all, "rep long, links long, to long", threshold)
+    for dims, n in sorted(indexed.items()):
         some = classes.where(F.size("embedding") == dims)
         taken = some.orderBy(F.xxhash64("rep", "label"), "rep").limit(sample).select("embedding").toArrow()["embedding"]
         index = Index(unit(_matrix(taken.combine_chunks(), dims)), n, threshold)
         found = _links(some, index, dims, threshold)
-        results = found if results is None else results.unionByName(found)
+        results = results.unionByName(found)
     if results is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     results = common.checkpoint(results)

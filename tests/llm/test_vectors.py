@@ -154,3 +154,41 @@ def test_multiindex_counts_found_pairs_for_both_ends(spark, monkeypatch):
     near = (x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool)
     assert (near & visits & ~visits.T).any()
     assert got == dict(enumerate((near & (visits | visits.T)).sum(1).tolist()))
+
+
+def test_recall_at_the_threshold(spark):
+    """Planted pairs just above the threshold among eight thousand vectors of several labels, from end to end."""
+    dice = np.random.default_rng(12)
+    base = dice.normal(size=(6000, 32))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    noise = dice.normal(size=(2000, 32))
+    noise -= (noise * base[:2000]).sum(1)[:, None] * base[:2000]
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    cosine = dice.uniform(0.932, 0.97, size=(2000, 1))
+    every = np.concatenate([base, cosine * base[:2000] + np.sqrt(1 - cosine**2) * noise, base[:100]])
+    labels = np.concatenate([np.arange(6000) % 3, np.arange(2000) % 3, np.arange(100) % 3])
+    rows = [(i, v.tolist(), int(label)) for i, (v, label) in enumerate(zip(every, labels, strict=True))]
+    got = {r["vec_id"]: r["n_links"] for r in multiindex.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    units = every / np.linalg.norm(every, axis=1)[:, None]
+    near = (units @ units.T >= 0.93) & (labels[:, None] == labels[None]) & ~np.eye(len(units), dtype=bool)
+    wanted = near.sum(1)
+    found = np.array([got[i] for i in range(len(every))])
+    assert (found <= wanted).all() and wanted.sum() >= 4000
+    print("links found at cosine 0.93 to 0.97:", found.sum() / wanted.sum())
+    assert found.sum() / wanted.sum() >= 0.99
+
+
+def test_hundreds_of_lengths(spark):
+    """Vectors of hundreds of lengths: all but the most common one are compared in one job."""
+    dice = np.random.default_rng(5)
+    rows = []
+    for dims in range(1, 401):
+        v = dice.normal(size=dims)
+        rows += [(3 * dims, v.tolist(), 1), (3 * dims + 1, (v * 2 + (0.01 if dims > 1 else 0)).tolist(), 1), (3 * dims + 2, v.tolist(), 2)]
+    rows += [(5000 + i, dice.normal(size=16).tolist(), 1) for i in range(50)]
+    got = {r["vec_id"]: r for r in multiindex.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    vectors = {i: (np.array(v) / np.linalg.norm(v), label) for i, v, label in rows}
+    for i, (v, label) in vectors.items():
+        links = [j for j, (w, other) in vectors.items() if j != i and other == label and len(w) == len(v) and v @ w >= 0.93]
+        assert got[i]["n_links"] == len(links), i
+        assert got[i]["component_id"] <= min([i, *links])
