@@ -41,16 +41,19 @@ def checkpoint(df: DataFrame, release: bool = False) -> DataFrame:
     """Cut lineage through the shared folder of ``spark.checkpoint.dir``.
 
     The session's setting wins.  Where none is set, a local master takes a temporary folder, as its
-    executor is the driver; on a cluster the folder lies in the warehouse, which all machines share.
-    With release the shuffle files of earlier, finished steps go first.
+    executor is the driver; on a cluster the folder lies in the warehouse, if that is in a store that
+    all machines share, and else there is an error.  With release the shuffle files of earlier, finished steps go first.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and context.master.startswith("local["):
+        if not folder and (context.master == "local" or context.master.startswith("local[")):
             folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if not folder and (":" not in warehouse or warehouse.startswith("file:")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(folder or f"{warehouse}/_checkpoints")
     if release:
         drop_shuffles(spark)
     return df.checkpoint(eager=True)
@@ -194,23 +197,25 @@ HOT, MOST_HOT = 512, 4096
 
 
 def split_join(rows: DataFrame, other: DataFrame, key: list[str], weights: DataFrame) -> DataFrame:
-    """rows joined with other on key, where a key of rows that is hot is dealt over all tasks.
+    """rows joined with other on key, where a key of rows that is hot is dealt over several tasks.
 
     weights holds key and n, about how many rows have it.  Hot is a key with more than a quarter of a
     task's share; as those are at most MOST_HOT, they may be broadcast.  Only their rows in other
-    are repeated, once for each task, so other should have few rows a key.
+    are repeated, once for each such share, so other should have few rows a key.
     """
     spark = rows.sparkSession
     tasks = partitions(spark)
     total = weights.agg(F.sum("n")).first()[0] or 0
     least = max(HOT, total // min(4 * tasks, MOST_HOT))
-    hot = weights.where(F.col("n") > least).select(*key).limit(MOST_HOT).collect()
-    if not hot:
+    salts = F.least(F.lit(tasks), F.ceil(F.col("n") / least)).cast("int")
+    hot = weights.where(F.col("n") > least).select(*key, salts.alias("salts_")).limit(MOST_HOT)
+    found = hot.collect()
+    if not found:
         return rows.join(other, key)
-    hot = F.broadcast(spark.createDataFrame(hot, weights.select(*key).schema).distinct().withColumn("hot_", F.lit(True)))
-    dealt = rows.join(hot, key, "left").withColumn("salt_", F.when(F.col("hot_"), F.pmod(F.xxhash64(*rows.columns), F.lit(tasks))).otherwise(0).cast("int")).drop("hot_")
-    each = F.when(F.col("hot_"), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(F.array(F.lit(0)))
-    copies = other.join(hot, key, "left").withColumn("salt_", F.explode(each)).drop("hot_")
+    hot = F.broadcast(spark.createDataFrame(found, hot.schema).groupBy(*key).agg(F.max("salts_").alias("salts_")))
+    dealt = rows.join(hot, key, "left").withColumn("salt_", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("salts_")), F.lit(0)).cast("int")).drop("salts_")
+    each = F.sequence(F.lit(0), F.coalesce("salts_", F.lit(1)) - 1)
+    copies = other.join(hot, key, "left").withColumn("salt_", F.explode(each)).drop("salts_")
     return dealt.join(copies, [*key, "salt_"]).drop("salt_")
 
 
