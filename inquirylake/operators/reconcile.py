@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ HEAD = 16000
 MANUAL_TAGS = ["anfrager_manual", "anfrager_pdf_typo", "anfrager_from_db", "anfrager_cross_fraktion", "pdf_database_mismatch", "anfragedatum_manual", "antwortdatum_manual"]
 
 
+def let(body: Callable[[Column], Column], /, **values: Column) -> Column:
+    """body over a struct of values, each computed once however often body uses it."""
+    return F.get(F.transform(F.array(F.struct(*(v.alias(k) for k, v in values.items()))), body), F.lit(0))
+
+
 def blank(column: Column) -> Column:
     return F.coalesce(column, F.lit("")) == ""
 
@@ -95,17 +102,22 @@ def number_reason(pdf: Column, db: Column, question: Column) -> Column:
     """Why a document's question number differs from the table's: the first reason that fits (Q8)."""
     wp_db, n_db = F.substring_index(db, "/", 1), F.substring_index(db, "/", -1)
     wp_pdf, n_pdf = F.substring_index(pdf, "/", 1), F.substring_index(pdf, "/", -1)
-    gap = n_pdf.try_cast("int") - n_db.try_cast("int")
-    return (
-        F.when(~(pdf.rlike(r"^\d+/\d+$") & db.rlike(r"^\d+/\d+$")), F.when(~blank(pdf), "unparseable"))
-        .when(wp_db != wp_pdf, "wrong_term")
-        .when(n_pdf.try_cast("int") == question, "question_number")
-        .when(n_pdf == wp_db, "term_header")
-        .when(F.abs(gap).isin(1, 10, 100, 1000), F.concat(F.lit("typo "), F.when(gap > 0, "+").otherwise(""), gap))
-        .when(F.length(n_pdf) > F.length(n_db), "doubled_digit")
-        .when(F.length(n_pdf) < F.length(n_db), "dropped_digit")
-        .otherwise(F.concat(F.lit("digit_error "), F.when(gap > 0, "+").otherwise(""), gap))
-    )
+    number = n_pdf.try_cast("int")
+
+    def compared(s: Column) -> Column:
+        gap = s["gap"]
+        return (
+            F.when(wp_db != wp_pdf, "wrong_term")
+            .when(s["number"] == question, "question_number")
+            .when(n_pdf == wp_db, "term_header")
+            .when(F.abs(gap).isin(1, 10, 100, 1000), F.concat(F.lit("typo "), F.when(gap > 0, "+").otherwise(""), gap))
+            .when(F.length(n_pdf) > F.length(n_db), "doubled_digit")
+            .when(F.length(n_pdf) < F.length(n_db), "dropped_digit")
+            .otherwise(F.concat(F.lit("digit_error "), F.when(gap > 0, "+").otherwise(""), gap))
+        )
+
+    both = pdf.rlike(r"^\d+/\d+$") & db.rlike(r"^\d+/\d+$")
+    return F.when(both, let(compared, number=number, gap=number - n_db.try_cast("int"))).when(~blank(pdf), "unparseable")
 
 
 def faction_reason(pdf: Column, db: Column, wp: Column) -> Column:
@@ -130,6 +142,12 @@ def classify(flags: Column, row: dict[str, Column]) -> Column:
     a_body, a_foot, a_db = row["answer_body"], row["answer_footer"], row["answer_db"]
     question_pdf = F.when(blank(body), foot).otherwise(body)
 
+    readable = {k: as_date(v) for k, v in {"question": question_pdf, "body": body, "foot": foot, "db": db, "a_body": a_body, "a_foot": a_foot, "a_db": a_db}.items()}
+
+    def gaps(d: Column) -> Column:
+        apart = {"gap": ("db", "question"), "fd": ("db", "foot"), "bf": ("foot", "body"), "bd": ("db", "body"), "a_gap": ("a_db", "a_foot"), "abd": ("a_db", "a_body")}
+        return let(walk, **{k: F.datediff(d[later], d[earlier]) for k, (later, earlier) in apart.items()})
+
     def near(gap: Column) -> Column:
         return F.coalesce(gap.between(-NARROW, NARROW), F.lit(False))
 
@@ -139,25 +157,27 @@ def classify(flags: Column, row: dict[str, Column]) -> Column:
     def out_of_years(text: Column) -> Column:
         return F.coalesce(~year_of(text).between(*YEARS), F.lit(False))
 
-    def one_date(pdf: Column, stored: Column, question: bool) -> Column:
-        gap = days(stored, pdf)
+    def one_date(pdf: Column, stored: Column, gap: Column, foot_gap: Column | None) -> Column:
         out = F.when(out_of_years(pdf), _state("ocr_year")).when(gap.isNull(), F.when(blank(pdf) & blank(stored), _state()).otherwise(_state("incomplete"))).when(a_year(gap), _state("year_typo", stored))
-        if question:
-            out = out.when(near(days(stored, foot)), _state("body_typo", foot)).when(F.array_contains(flags, "anfragedatum_pdf_kreuz"), _state("see_cross"))
+        if foot_gap is not None:
+            out = out.when(near(foot_gap), _state("body_typo", foot)).when(F.array_contains(flags, "anfragedatum_pdf_kreuz"), _state("see_cross"))
         return out.otherwise(_state("pdf_kept"))
 
-    bf, bd, fd = days(foot, body), days(db, body), days(db, foot)
-    years_off = F.abs(bd).between(700, 1850) & F.abs(bf).between(700, 1850) & (F.abs(bd - bf) <= NARROW)
-    question_cross = (
-        F.when(out_of_years(body), _state("ocr_year"))
-        .when(a_year(bf) & a_year(bd), _state("year_typo", db))
-        .when(F.coalesce(years_off, F.lit(False)), F.struct(F.concat(F.lit("years_typo "), years_apart(bd)).alias("note"), db.cast("string").alias("date")))
-        .when(near(bd), _state("footer_typo"))
-        .when(near(fd) & F.coalesce(F.abs(bd) > NARROW, F.lit(False)), _state("body_typo", foot))
-        .otherwise(_state())
-    )
-    abd, afd = days(a_db, a_body), days(a_db, a_foot)
-    answer_cross = F.when(near(abd), _state("footer_typo", a_body)).when(near(afd) & F.coalesce(F.abs(abd) > NARROW, F.lit(False)), _state("body_typo")).otherwise(_state())
+    def question_cross(g: Column) -> Column:
+        bf, bd = g["bf"], g["bd"]
+        years_off = F.abs(bd).between(700, 1850) & F.abs(bf).between(700, 1850) & (F.abs(bd - bf) <= NARROW)
+        return (
+            F.when(out_of_years(body), _state("ocr_year"))
+            .when(a_year(bf) & a_year(bd), _state("year_typo", db))
+            .when(F.coalesce(years_off, F.lit(False)), F.struct(F.concat(F.lit("years_typo "), years_apart(bd)).alias("note"), db.cast("string").alias("date")))
+            .when(near(bd), _state("footer_typo"))
+            .when(near(g["fd"]) & F.coalesce(F.abs(bd) > NARROW, F.lit(False)), _state("body_typo", foot))
+            .otherwise(_state())
+        )
+
+    def answer_cross(g: Column) -> Column:
+        return F.when(near(g["abd"]), _state("footer_typo", a_body)).when(near(g["a_gap"]) & F.coalesce(F.abs(g["abd"]) > NARROW, F.lit(False)), _state("body_typo")).otherwise(_state())
+
     nr, faction = number_reason(row["pdf_nr"], row["db_nr"], row["question"]), faction_reason(row["pdf_faction"], row["faction"], row["wp"])
     nothing = blank(row["question_body"]) & blank(row["answer_body"]) & blank(row["pdf_nr"]) & blank(row["pdf_faction"])
     number = F.when(nothing & row["text_there"] & row["number_found"], _state("spacing")).when(nothing & row["text_there"] & row["header_doubled"], _state("doubled_header")).when(~nothing, _state("other_number")).otherwise(_state())
@@ -165,22 +185,21 @@ def classify(flags: Column, row: dict[str, Column]) -> Column:
     def noted(reason: Column) -> Column:
         return F.struct(reason.alias("note"), F.lit(None).cast("string").alias("date"))
 
-    def judge(flag: Column) -> Column:
+    def judge(flag: Column, g: Column) -> Column:
         return (
-            F.when(flag == "anfragedatum", one_date(question_pdf, db, True))
-            .when(flag == "antwortdatum", one_date(a_foot, a_db, False))
+            F.when(flag == "anfragedatum", one_date(question_pdf, db, g["gap"], g["fd"]))
+            .when(flag == "antwortdatum", one_date(a_foot, a_db, g["a_gap"], None))
             .when(flag == "drucksache_anfrage_nr", noted(nr))
             .when(flag == "fraktion", noted(faction))
             .when(flag == "md_kanr", number)
-            .when(flag == "anfragedatum_pdf_kreuz", question_cross)
-            .when(flag == "antwortdatum_pdf_kreuz", answer_cross)
+            .when(flag == "anfragedatum_pdf_kreuz", question_cross(g))
+            .when(flag == "antwortdatum_pdf_kreuz", answer_cross(g))
             .otherwise(_state())
         )
 
     start = F.struct(F.array().cast("array<string>").alias("notes"), F.lit(None).cast("string").alias("question_date"), F.lit(None).cast("string").alias("answer_date"), F.lit(True).alias("open"))
 
-    def step(state: Column, flag: Column) -> Column:
-        one = judge(flag)
+    def step(state: Column, flag: Column, one: Column) -> Column:
         go = state["open"] & one["note"].isNotNull()
         asks = F.startswith(flag, F.lit("anfragedatum"))
         return F.struct(
@@ -190,5 +209,9 @@ def classify(flags: Column, row: dict[str, Column]) -> Column:
             go.alias("open"),
         )
 
-    walked = F.aggregate(flags, start, step)
-    return F.struct(walked["notes"].alias("notes"), walked["question_date"].alias("question_date"), walked["answer_date"].alias("answer_date"), (walked["open"] & (F.size(flags) > 0)).alias("resolved"))
+    def walk(g: Column) -> Column:
+        judged = F.transform(flags, lambda flag: F.struct(flag.alias("flag"), judge(flag, g).alias("one")))
+        done = lambda w: F.struct(w["notes"].alias("notes"), w["question_date"].alias("question_date"), w["answer_date"].alias("answer_date"), (w["open"] & (F.size(flags) > 0)).alias("resolved"))
+        return F.aggregate(judged, start, lambda state, j: step(state, j["flag"], j["one"]), done)
+
+    return let(lambda d: gaps(d), **readable)
