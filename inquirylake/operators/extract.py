@@ -142,14 +142,15 @@ def names_found(rows: DataFrame, lexicon: DataFrame, block: Column, keys: list[s
     """Adds anfrager_alle, anzahl_abgeordnete and rest by a lexicon of (keys, form, nach, vor).
 
     A form can only count if its last run of letters is a whole one of the block, so an equi join
-    on it finds the few forms that each distinct block is searched for, longest first.
+    on it finds the forms that may stand in each distinct block; those that do are searched for,
+    longest first.  What a longer form covers is masked, which brings no other form into the block.
     """
     with_block = rows.withColumn("_block", block)
     blocks = with_block.select(*keys, "_block").distinct()
     runs = blocks.select(*keys, "_block", F.explode(F.array_distinct(F.regexp_extract_all("_block", F.lit(r"(\p{L}+)"), F.lit(1)))).alias("_run"))
     forms = lexicon.select(*keys, "form", "nach", "vor", F.element_at(F.regexp_extract_all("form", F.lit(r"(\p{L}+)"), F.lit(1)), -1).alias("_run"))
     order = F.sort_array(F.collect_list(F.struct((-F.length("form")).alias("size"), "form", "nach", "vor")))
-    listed = runs.join(forms, [*keys, "_run"]).groupBy(*keys, "_block").agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_forms"))
+    listed = runs.join(forms, [*keys, "_run"]).where(F.contains("_block", F.col("form"))).groupBy(*keys, "_block").agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_forms"))
     found = listed.select(*keys, "_block", find_names(F.col("_block"), F.col("_forms")).alias("_found"))
     joined = with_block.join(found, [*keys, "_block"], "left")
     hits = F.coalesce("_found.hits", F.array().cast("array<struct<at:int,nach:string,vor:string>>"))

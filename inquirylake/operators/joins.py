@@ -94,18 +94,6 @@ def tasks(index: DataFrame) -> DataFrame:
     return rows.select("wp", "ka_nr", "t.paper", "t.kind").where(F.col("paper").rlike(r"^\d+/\d+$"))
 
 
-def _candidates(values: DataFrame, value: str, names: DataFrame) -> DataFrame:
-    """Pairs of a value and a name that share a token, with the sizes that both matches need.
-
-    An equi join on tokens, not all pairs: values are made distinct first.  Adds v, c, common.
-    """
-    v = values.select(value).distinct().withColumn("_v", ministry_tokens(F.col(value)))
-    c = names.withColumn("_c", ministry_tokens(F.col("name")))
-    left = v.select(value, F.size("_v").alias("v"), F.explode("_v").alias("_token"))
-    right = c.select("code", "name", F.size("_c").alias("c"), F.explode("_c").alias("_token"))
-    return left.join(right, "_token").groupBy(value, "v", "code", "name", "c").agg(F.count("*").cast("int").alias("common"))
-
-
 def subset_match(rows: DataFrame, value: str, names: DataFrame) -> DataFrame:
     """Adds code and name of the name that has all of the value's tokens.
 
@@ -122,15 +110,41 @@ def subset_match(rows: DataFrame, value: str, names: DataFrame) -> DataFrame:
     return rows.join(best, value, "left")
 
 
+def overlap_pairs(values: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs of token sets among which each value's best name is: _v, k, _c, best, common.
+
+    values has the distinct sets _v; names the distinct sets _c, each with its best name.  Tokens of a
+    value are taken in order of rarity, those of no name aside.  A name without the first p of them
+    shares at most the others; so once names with the rarest token are met and the best of these
+    shares b tokens, only names with one of the tokens 2 to m - b + 1 of m can share as many.
+    """
+    postings = names.select("_c", "best", F.explode("_c").alias("_token"))
+    often = postings.groupBy("_token").agg(F.count("*").alias("_n"))
+    tokens = values.select("_v", F.explode("_v").alias("_token")).join(often, "_token")
+    ranked = tokens.groupBy("_v").agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", "_token"))), lambda t: t["_token"]).alias("_ranked"))
+    common = F.size(F.array_intersect("_v", "_c")).alias("common")
+    first = ranked.withColumn("_token", F.get("_ranked", F.lit(0))).join(postings, "_token").select("_v", "_ranked", "_c", "best", common)
+    reached = first.groupBy("_v", "_ranked").agg(F.max("common").alias("b"))
+    more = F.slice("_ranked", F.lit(2), F.greatest(F.size("_ranked") - F.col("b"), F.lit(0)))
+    rest = reached.select("_v", "_ranked", F.explode(more).alias("_token")).join(postings, "_token")
+    rest = rest.where(~F.array_contains("_c", F.get("_ranked", F.lit(0)))).select("_v", "_c", "best", common)
+    return first.select("_v", "_c", "best", "common").unionByName(rest)
+
+
 def best_overlap(rows: DataFrame, value: str, names: DataFrame) -> DataFrame:
     """Adds code, name, containment, jaccard of the name that overlaps most.
 
     Ties: containment, Jaccard, fewest tokens, then the greatest (code, name).  Without any
-    overlap the names are empty and the figures 0.
+    overlap the names are empty and the figures 0.  Values and names of equal tokens are compared once.
     """
-    pairs = _candidates(rows, value, names).withColumns({"containment": F.col("common") / F.col("v"), "jaccard": F.col("common") / (F.col("v") + F.col("c") - F.col("common"))})
-    best = pairs.groupBy(value).agg(F.max_by(F.struct("code", "name", "containment", "jaccard"), F.struct("containment", "jaccard", -F.col("c"), "code", "name")).alias("m")).select(value, "m.*")
-    joined = rows.join(best, value, "left")
+    spelled = rows.select(value).distinct().withColumn("_v", F.array_sort(ministry_tokens(F.col(value))))
+    named = names.withColumn("_c", F.array_sort(ministry_tokens(F.col("name")))).where(F.size("_c") > 0)
+    sets = named.groupBy("_c").agg(F.max(F.struct("code", "name")).alias("best"))
+    pairs = overlap_pairs(spelled.select("_v").where(F.size("_v") > 0).distinct(), sets)
+    c, v = F.size("_c"), F.size("_v")
+    pairs = pairs.select("_v", "best", c.alias("c"), (F.col("common") / v).alias("containment"), (F.col("common") / (v + c - F.col("common"))).alias("jaccard"))
+    best = pairs.groupBy("_v").agg(F.max_by(F.struct("best.code", "best.name", "containment", "jaccard"), F.struct("containment", "jaccard", -F.col("c"), "best")).alias("m"))
+    joined = rows.join(spelled.join(best, "_v").select(value, "m.*"), value, "left")
     blank = {c: F.coalesce(c, F.lit("")) for c in ("code", "name")} | {c: F.bround(F.coalesce(c, F.lit(0.0)), 2) for c in ("containment", "jaccard")}
     return joined.withColumns(blank)
 

@@ -426,3 +426,35 @@ def test_look_ups_have_one_row_a_key(spark):
     placed = twice.withColumn("position", F.when(F.col("primary") == "A", 2).otherwise(1))
     assert [r["name"] for r in joins.alias_name(rows, "code", names, placed).collect()] == ["name of A"]
     assert [r["name"] for r in joins.override(rows.withColumnRenamed("code", "raw"), "raw", placed.withColumnsRenamed({"alias": "raw", "primary": "code"}), names).collect()] == ["name of A"]
+
+
+def test_best_overlap_meets_few_pairs(spark):
+    """Against all pairs: the same names, with a tenth of the pairs that share a token."""
+    import random
+
+    dice = random.Random(9)
+    words = [f"{a}{b}wort" for a in "abcdefghij" for b in "klmnopqrst"]
+    draw = lambda k: " ".join(dice.choice(words[: 3 + int(97 * dice.random() ** 2)]) for _ in range(k))
+    names = [(f"c{i}", draw(dice.randint(1, 5))) for i in range(600)] + [("d", "zu an")]
+    values = [draw(dice.randint(1, 4)) for _ in range(150)] + ["", "unbekanntes", names[3][1], "unbekanntes " + names[5][1]]
+    rows, table = spark.createDataFrame([(v,) for v in values], "value string"), spark.createDataFrame(names, "code string, name string")
+    got = {r["value"]: (r["code"], r["name"], r["containment"], r["jaccard"]) for r in joins.best_overlap(rows, "value", table).collect()}
+    shared = 0
+    for value_ in set(values):
+        v, best = set(value_.split()), None
+        for code, name in names:
+            c = {w for w in name.split() if len(w) >= 4}
+            both = len(v & c)
+            shared += both > 0
+            if both:
+                best = max(best or (0,), (both / len(v), both / len(v | c), -len(c), code, name))
+        expected = (best[3], best[4], best[0], best[1]) if best else ("", "", 0.0, 0.0)
+        assert got[value_][:2] == expected[:2], value_
+        assert got[value_][2:] == pytest.approx(expected[2:], abs=0.006)
+    parts = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    tokens = lambda c: F.array_sort(text.ministry_tokens(c))
+    v = parts.select(tokens(F.col("p_name")).alias("_v")).distinct()
+    c = parts.select(tokens(F.concat_ws(" ", "p_name", "p_type")).alias("_c"), F.struct(F.lit("c").alias("code"), F.lit("n").alias("name")).alias("best")).dropDuplicates(["_c"])
+    met = joins.overlap_pairs(v, c).count()
+    every = parts.select(F.explode(tokens(F.col("p_name"))).alias("t"), "p_name").distinct().join(parts.select(F.explode(tokens(F.concat_ws(" ", "p_name", "p_type"))).alias("t"), "p_partkey"), "t").select("p_name", "p_partkey").distinct().count()
+    assert 0 < met <= every / 10
