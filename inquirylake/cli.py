@@ -7,9 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries, sinks, sources
+from . import queries, sinks
 from .operators import extract, joins, quality, stages
-from .streaming import versions
+from .streaming import archive, versions
 
 #: Verbs that read a table and write its next version, with what else each one reads.
 VERBS = {
@@ -29,11 +29,14 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("folder")
     run.add_argument("names", nargs="+")
     run.add_argument("--out", help="write results below this folder instead of showing them")
-    scan = verbs.add_parser("scan-archive", help="fields of all document texts below a folder")
+    scan = verbs.add_parser("scan-archive", help="new document texts below a folder, decided on, parsed and merged into a table")
     scan.add_argument("folder")
-    scan.add_argument("--out", required=True)
+    scan.add_argument("--table", required=True, help="folder of versions")
+    scan.add_argument("--checkpoint", required=True, help="folder of the mark from which the next run goes on, and of the audit")
     scan.add_argument("--wahlperiode", type=int)
-    scan.add_argument("--limit", type=int)
+    scan.add_argument("--batch", type=int, default=1000, help="documents a batch, in the order of their time")
+    scan.add_argument("--allow-discovery", action="store_true", help="add rows for papers that the table lacks")
+    scan.add_argument("--force", action="store_true", help="parse complete and withdrawn rows again")
     verify = verbs.add_parser("verify", help="check a table; exit code 1 on findings")
     verify.add_argument("table")
     verify.add_argument("--texts", help="table of key and text")
@@ -75,11 +78,9 @@ def main(argv: Sequence[str] | None = None) -> int:
             sinks.save_report(result, f"{args.out}/{name}") if args.out else result.show(50, truncate=80)
         return 0
     if args.verb == "scan-archive":
-        texts = sources.heads(spark, args.folder, 16000)
-        found = extract.page_fields(texts.where(extract.is_answer(texts["head"]) & ~extract.is_large_inquiry(texts["head"])), "head").drop("head")
-        if args.wahlperiode is not None:
-            found = found.where(found["drucksache_antwort_nr"].startswith(f"{args.wahlperiode}/"))
-        (found.limit(args.limit) if args.limit is not None else found).write.mode("overwrite").parquet(args.out)
+        texts = archive.documents(spark, args.folder, args.wahlperiode, args.batch)
+        archive.scan(texts, args.table, f"{args.checkpoint}/mark", f"{args.checkpoint}/audit", args.allow_discovery, args.force).awaitTermination()
+        stages.counters(archive.decisions(spark, f"{args.checkpoint}/audit"), "action").orderBy("action").show()
         return 0
     rows = versions.load(spark, args.table)
     if args.verb == "verify":

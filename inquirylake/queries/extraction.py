@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import adapter, sources
+from .. import adapter, sources, streaming
 from ..functions.dates import MONTHS
 from ..operators import extract as x
 from ..operators import joins as j
 from ..operators import keyed as k
+from ..streaming import archive, versions
 from .common import INQUIRIES, MEMBERS
 from .registry import registry
 
@@ -46,6 +47,30 @@ def x1(spark, sf_dir):
     return x.page_fields(flagged, "page").drop("page")
 
 
+@query("src10_archive_stream", f"""WITH {INQUIRIES}, c AS (SELECT *, ka_nr % 11 <> 0 AS known, ka_nr % 7 = 0 AS withdrawn, ka_nr % 5 = 0 AS complete, ka_nr % 3 = 0 AS silent FROM inq),
+a AS (SELECT *, NOT withdrawn AND NOT complete AND NOT silent AS parsed FROM c WHERE known)
+SELECT a_nr AS drucksache_antwort_nr, CASE WHEN complete THEN 'alt' WHEN parsed THEN 'Titel der Frage Nummer ' || ka_nr END AS anfragetitel, CASE WHEN complete THEN 'alt' WHEN parsed THEN 'Minister ' || ministry || ' und Kultur' END AS ministerium,
+    CASE WHEN parsed THEN 'local' END AS antworttext_quelle, CASE WHEN withdrawn THEN 'anfrage_zurueckgezogen' ELSE 'pending' END AS antworttext_status, CASE WHEN parsed THEN 'keep' ELSE 'keep,missing_anfragetitel' END AS extract_flags FROM a""")
+def src10(spark, sf_dir):
+    """A table, and documents of all its rows and of others in a stream of several batches; some rows are
+    withdrawn or complete, some documents are questions.  What the table knows isn't overwritten."""
+    n, folder = F.col("ka_nr"), streaming.scratch(spark)
+    rows = _rows(spark, sf_dir)
+    done = F.when(n % 5 == 0, "alt")
+    table = rows.where("ka_nr % 11 <> 0").select(
+        F.col("a_nr").alias("drucksache_antwort_nr"), "wp", n.cast("int").alias("kleine_anfrage_nr"), F.col("q_nr").alias("drucksache_anfrage_nr"), F.lit("Muster, Eva").alias("anfrager"), F.lit("SPD").alias("fraktion"), F.lit("2020-01-01").alias("anfragedatum"),
+        done.alias("anfragetitel"), F.lit("").alias("antwortdatum"), done.alias("ministerium"), F.lit("").alias("ministerium_kuerzel"), F.lit("").alias("ministerium_canonical"), F.when(n % 7 == 0, "anfrage_zurueckgezogen").otherwise("pending").alias("antworttext_status"),
+        F.lit(None).cast("string").alias("antworttext_quelle"), F.lit("keep,missing_anfragetitel").alias("extract_flags"), F.lit("a").alias("added_at"), F.lit("a").alias("updated_at"),
+    )
+    versions.replace(table, f"{folder}/table", archive.KEY, 200_000)
+    page = F.when(n % 3 == 0, F.concat(F.lit("LANDTAG NORDRHEIN-WESTFALEN\nKleine Anfrage "), n, F.lit("\ndes Abgeordneten Max Muster"))).otherwise(_page())
+    texts = rows.select(F.concat(F.lit("archive/MMD"), F.replace("a_nr", F.lit("/"), F.lit("-")), F.lit(".md")).alias("path"), page.alias("text"))
+    texts.repartition(2).write.parquet(f"{folder}/documents")
+    stream = spark.readStream.schema("path string, text string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/documents")
+    archive.scan(stream, f"{folder}/table", f"{folder}/mark", f"{folder}/audit", width=200_000).awaitTermination()
+    return versions.read(spark, f"{folder}/table").select("drucksache_antwort_nr", "anfragetitel", "ministerium", "antworttext_quelle", "antworttext_status", "extract_flags")
+
+
 @query("x2_header_fields", f"""WITH {INQUIRIES} SELECT ka_nr, strftime(question_date + 20, '%Y-%m-%d') AS antwortdatum, strftime(question_date, '%Y-%m-%d') AS anfragedatum, q_nr AS drucksache_anfrage_nr,
     CASE ka_nr % 3 WHEN 0 THEN 'GRÜNE' WHEN 1 THEN 'fraktionslos' ELSE 'AfD' END AS fraktion FROM inq""")
 def x2(spark, sf_dir):
