@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import adapter
+from .. import adapter, streaming
 from ..functions.text import clean_members, remove_first
 from ..plans import reports as r
+from ..plans import run
 from .common import BASE, BLOCK, MEMBERS, TOPICS
 from .registry import registry
 
@@ -122,3 +123,35 @@ def w5(spark, sf_dir):
 def _topics(spark, sf_dir):
     """The report's rows, one for each topic of a question."""
     return r.separate(adapter.base(spark, sf_dir).join(adapter.topics(spark, sf_dir), "ka_nr"), "topics", "topic")
+
+
+def facts(spark, sf_dir):
+    """The report's rows with their members and topics as lists: one scan of the questions."""
+    people, names = adapter.members(spark, sf_dir), adapter.topics(spark, sf_dir)
+    rows = adapter.base(spark, sf_dir).join(people, "ka_nr", "left").join(names, "ka_nr", "left")
+    return rows.select("ka_nr", "wp", "fraktion", "ministry", "periode", "days", "late", F.coalesce("n_members", F.lit(0)).alias("beteiligte"), F.split("members", "; ").alias("members"), F.split("topics", "; ").alias("topics"))
+
+
+@query("snk8_report_run", f"""WITH {BASE}, {MEMBERS}, {TOPICS}, c AS (SELECT ka_nr, count(*) AS k FROM members GROUP BY 1),
+p AS (SELECT wp, periode, topic, {BLOCK} FROM base JOIN topics USING (ka_nr) GROUP BY ALL), pf AS (SELECT wp, fraktion, periode, topic, {BLOCK} FROM base JOIN topics USING (ka_nr) GROUP BY ALL),
+qf AS (SELECT wp, fraktion, topic, {REAGG} FROM pf GROUP BY wp, fraktion, topic)
+SELECT 'ministerien' AS report, wp, NULL AS fraktion, NULL AS periode, CASE WHEN grouping(ministry) = 1 THEN 'LREG' ELSE ministry END AS key, {BLOCK} FROM base GROUP BY GROUPING SETS ((wp, ministry), (wp))
+UNION ALL SELECT 'parteien', wp, fraktion, NULL, NULL, {BLOCK} FROM base GROUP BY wp, fraktion
+UNION ALL SELECT 'abgeordnete', wp, NULL, NULL, member, {BLOCK} FROM base JOIN members USING (ka_nr) GROUP BY wp, member
+UNION ALL SELECT 'sachgebiete', wp, NULL, NULL, topic, {REAGG} FROM p GROUP BY wp, topic
+UNION ALL SELECT 'sachgebiete_fraktion', wp, fraktion, NULL, topic, anzahl, zeit, verspaetet, quote FROM (SELECT *, row_number() OVER (PARTITION BY wp, fraktion ORDER BY anzahl DESC, topic) AS rank FROM qf) WHERE rank <= 20
+UNION ALL SELECT 'beteiligte', wp, NULL, NULL, CAST(coalesce(k, 1) AS VARCHAR), {BLOCK} FROM base LEFT JOIN c USING (ka_nr) GROUP BY ALL
+UNION ALL SELECT 'zeitreihe', NULL, NULL, periode, NULL, {BLOCK} FROM base GROUP BY periode""")
+def snk8(spark, sf_dir):
+    """The reports of a run that have the block, one under the other."""
+    folder = streaming.scratch(spark)
+    facts(spark, sf_dir).write.parquet(f"{folder}/facts")
+    rows = spark.read.parquet(f"{folder}/facts")
+    run.states(rows).write.parquet(f"{folder}/states")
+    made, out = run.reports(spark.read.parquet(f"{folder}/states"), rows), None
+    for name in ("ministerien", "parteien", "abgeordnete", "sachgebiete", "sachgebiete_fraktion", "beteiligte", "zeitreihe"):
+        report = made[name].withColumnRenamed("topic", "key")
+        have = lambda c, kind, report=report: (F.col(c) if c in report.columns else F.lit(None)).cast(kind).alias(c)
+        one = report.select(F.lit(name).alias("report"), have("wp", "int"), have("fraktion", "string"), have("periode", "date"), have("key", "string"), "anzahl", "zeit", "verspaetet", "quote")
+        out = one if out is None else out.unionByName(one)
+    return out
