@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from .. import adapter, sources
 from ..functions import text as t
 from ..functions.dates import days
+from ..operators import joins as j
 from ..operators import keyed as k
+from ..operators import runs
 from ..operators import stages as s
-from .common import INQUIRIES
+from .common import ANSWERED, INQUIRIES
 from .quality import FIELDS, PAIRS, _pairs
 from .registry import registry
 
@@ -92,6 +94,40 @@ def p15(spark, sf_dir):
     return s.without_tag(adapter.inquiries(spark, sf_dir).withColumn("flags", flags), "flags", "anfrager_manual").select("ka_nr")
 
 
+@query("q8b_decisions", f"""WITH {INQUIRIES}, e AS (SELECT ka_nr, ka_nr % 7 AS session, CASE WHEN ka_nr = 1004 THEN ' Q ' WHEN ka_nr % 9 = 0 THEN '' ELSE 'n' || ka_nr END AS note, CASE WHEN ka_nr % 4 = 0 THEN 's' ELSE 'K' END AS verdict FROM inq WHERE ka_nr % 3 <> 1 OR ka_nr = 1004),
+h AS (SELECT ka_nr, note, verdict FROM e WHERE note <> '' AND NOT (session = 3 AND ka_nr >= 1004)),
+f AS (SELECT i.ka_nr, coalesce(h.note, CASE WHEN i.ka_nr % 12 = 0 THEN 'late' END) AS note, CASE WHEN h.note IS NOT NULL THEN h.verdict ELSE '' END AS verdict FROM inq i LEFT JOIN h USING (ka_nr))
+SELECT ka_nr, CASE WHEN ka_nr % 5 = 0 THEN 'seen' WHEN ka_nr % 2 = 0 AND note IS NOT NULL THEN note ELSE '' END AS notizen,
+    CASE WHEN ka_nr % 2 = 1 THEN 'ok' WHEN ka_nr % 5 <> 0 AND note IS NOT NULL AND verdict <> 's' THEN 'korrigiert' ELSE 'ask_review' END AS datenqualitaet FROM f""")
+def q8b(spark, sf_dir):
+    """Seven sessions over the table, one of them broken off, and a later one; skipped rows, unlike verdicts, rows with a note."""
+    n, key = F.col("ka_nr"), F.col("q_nr").alias("drucksache_antwort_nr")
+    rows = adapter.inquiries(spark, sf_dir)
+    table = rows.select("ka_nr", key, F.when(n % 2 == 0, "ask_review").otherwise("ok").alias("datenqualitaet"), F.when(n % 5 == 0, "seen").otherwise("").alias("notizen"))
+    note = F.when(n == 1004, " Q ").when(n % 9 == 0, " ").otherwise(F.concat(F.lit("n"), n))
+    made = rows.where("ka_nr % 3 <> 1 or ka_nr = 1004").select(key, (n % 7).alias("session"), n.alias("seq"), note.alias("note"), F.when(n % 4 == 0, "s").otherwise("K").alias("verdict"))
+    late = rows.where("ka_nr % 12 = 0").select(key, F.lit(100).cast("long").alias("session"), n.alias("seq"), F.lit("late").alias("note"), F.lit("").alias("verdict"))
+    return runs.reviewed(table, made.unionByName(late), F.lit("t")).select("ka_nr", "notizen", "datenqualitaet")
+
+
+@query("j15_letters_again", f"""WITH {ANSWERED}, t AS (SELECT wp, ka_nr, q_nr AS paper, 'Anfrage' AS kind FROM ans UNION ALL SELECT wp, ka_nr, pk, 'Antwort' FROM ans WHERE pk <> q_nr)
+SELECT t.wp, ka_nr, paper, kind, CASE WHEN ka_nr % 3 = 0 AND kind = 'Anfrage' THEN 'ok' WHEN ka_nr % 5 = 0 THEN 'pdf_missing' WHEN ka_nr % 7 = 0 THEN 'no_match' ELSE 'ok' END AS status,
+    CASE WHEN ka_nr % 3 = 0 AND kind = 'Anfrage' THEN '2001-01-01' WHEN ka_nr % 5 = 0 OR ka_nr % 7 = 0 THEN '' ELSE strftime(question_date, '%Y-%m-%d') END AS original FROM t JOIN (SELECT ka_nr, question_date FROM inq) USING (ka_nr)""")
+def j15(spark, sf_dir):
+    """Letters read before, a third of the questions' well, all others badly; pages of most papers, some without a foot."""
+    n, index = F.col("ka_nr"), adapter.answered(spark, sf_dir).select("wp", "ka_nr", "q_nr", "pk", "question_date")
+    day = F.date_format("question_date", "dd.MM.yyyy")
+    foot = F.concat(F.lit("Datum des Originals: "), day, F.lit("/Ausgegeben: "), day)
+    page = F.when(n % 7 == 0, "no foot").otherwise(foot)
+    fit = index.where("ka_nr % 5 <> 0")
+    pages = fit.select(F.col("q_nr").alias("paper"), page.alias("page")).unionByName(fit.where("pk <> q_nr").select(F.col("pk").alias("paper"), page.alias("page")))
+    tasks = index.select("wp", "ka_nr", F.explode(F.array(F.struct(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind")), F.struct(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind")))).alias("t")).select("wp", "ka_nr", "t.*")
+    well = (n % 3 == 0) & (F.col("kind") == "Anfrage")
+    existing = tasks.where("not (kind = 'Antwort' and ka_nr % 2 = 0)").where(well | (n % 4 == 0)).select("paper", "kind", "wp", "ka_nr", F.when(well, "ok").otherwise("parse_failed").alias("status"), F.when(well, "2001-01-01").otherwise("").alias("original"), F.lit("").alias("issued"))
+    existing = existing.join(j.tasks(index).select("paper", "kind"), ["paper", "kind"], "left_semi")
+    return runs.letters(index, pages, existing).select("wp", "ka_nr", "paper", "kind", "status", "original")
+
+
 @query("j17_logged_rows", f"WITH {INQUIRIES} SELECT q_nr AS pk, ka_nr, CAST(2 AS INTEGER) AS parsed FROM inq WHERE ka_nr % 3 = 0")
 def j17(spark, sf_dir):
     """Logged mismatches of stored rows; logged keys that aren't stored fall out."""
