@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import dedouble, least_askers, trimmed_parts
-from .extract import first_block, header_fields, lexicon, minister_forms, names_found
+from .extract import ALL_BLOCKS, first_block, header_fields, lexicon, minister_forms, names_found
 from .joins import at, subset_match, unique
 from .reconcile import HEAD, answer_before_question, blank, classify, cross_flags, header_flags, mismatch, number_in, quality, reconcile
 
@@ -196,15 +196,48 @@ def extract_members(rows: DataFrame, texts: DataFrame, lexicon: DataFrame, key:
     return out.drop("_asked", *(f"_old_{c}" for c in old))
 
 
-def members_to_fixed_point(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", passes: int = 2) -> DataFrame:
-    """Lexicon and extraction in turn: names that a pass finds are known to the next one (STR-5)."""
-    columns = rows.columns
-    for _ in range(passes):
-        known = rows.where("wp is not null and fraktion <> ''")
-        listed = [c for c in ("anfrager", "anfrager_alle") if c in rows.columns]
-        rows = extract_members(rows, texts, lexicon(known, ["wp", "fraktion"], listed), key)
-        rows = rows.select(*columns, *[c for c in ("anfrager_alle", "anzahl_abgeordnete") if c not in columns])
-    return rows
+def members_to_fixed_point(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", passes: int = 20, step: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The table of the last pass of fixed_point."""
+    return fixed_point(rows, texts, key, passes, step)[0]
+
+
+def fixed_point(rows: DataFrame, texts: DataFrame, key: str = "drucksache_antwort_nr", passes: int = 20, step: Callable[[DataFrame, DataFrame, DataFrame], DataFrame] | None = None) -> tuple[DataFrame, int]:
+    """Lexicon and extraction in turn until no form is new (STR-5): the table, and the number of passes.
+
+    The first pass searches all rows.  A later one searches only rows of a term and faction that has
+    gained a form, and whose block holds a word that such a form ends with; all others would find
+    what they have found.  step is what searches rows, extract_members if nothing else is given.  Each
+    pass is written to the scratch folder, so no plan grows and a lost executor costs one pass.
+    """
+    from ..streaming import scratch
+
+    spark, folder = rows.sparkSession, scratch(rows.sparkSession)
+    search = step or (lambda some, from_texts, names: extract_members(some, from_texts, names, key))
+    columns = [*rows.columns, *(c for c in ("anfrager_alle", "anzahl_abgeordnete") if c not in rows.columns)]
+    runs = lambda c: F.regexp_extract_all(c, F.lit(r"(\p{L}+)"), F.lit(1))
+    words = texts.where("text is not null").select(key, F.explode(F.array_distinct(runs(F.substring("text", 1, ALL_BLOCKS)))).alias("_word"))
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
+    def forms(table: DataFrame) -> DataFrame:
+        listed = [c for c in ("anfrager", "anfrager_alle") if c in table.columns]
+        return lexicon(table.where("wp is not null and fraktion <> ''"), ["wp", "fraktion"], listed)
+
+    known = stored(forms(rows), "forms0")
+    table = stored(search(rows, texts, known).select(columns), "table0")
+    for done in range(1, passes):
+        now = stored(forms(table), f"forms{done}")
+        new = now.join(known, ["wp", "fraktion", "form"], "left_anti").select("wp", "fraktion", F.element_at(runs("form"), -1).alias("_word")).distinct()
+        if new.isEmpty():
+            return table, done
+        hold = words.join(new, "_word").select(key, "wp", "fraktion").distinct()
+        again = table.join(hold, [key, "wp", "fraktion"], "left_semi")
+        found = search(again, texts.join(again.select(key), key, "left_semi"), now).select(columns)
+        table = stored(table.join(hold, [key, "wp", "fraktion"], "left_anti").select(columns).unionByName(found), f"table{done}")
+        known = now
+    return table, passes
 
 
 def involve_ministries(rows: DataFrame, texts: DataFrame, names: DataFrame, aliases: DataFrame, key: str = "drucksache_antwort_nr") -> DataFrame:

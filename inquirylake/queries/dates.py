@@ -34,14 +34,18 @@ def d2(spark, sf_dir):
     return adapter.inquiries(spark, sf_dir).select("ka_nr", d.footer_date(text, F.year(q)).alias("iso"))
 
 
-@query("d8_easter", f"WITH {CALENDAR} SELECT DISTINCT CAST(year(day) AS INTEGER) AS year, CAST(easter AS DATE) AS easter FROM f")
+@query("d8_easter", f"WITH {INQUIRIES}, {CALENDAR} SELECT ka_nr, CAST(easter AS DATE) AS easter, CAST(question_date - easter AS INTEGER) AS days_after FROM inq JOIN f ON day = question_date")
 def d8(spark, sf_dir):
-    return spark.range(2010, 2036).select(F.col("id").cast("int").alias("year")).select("year", d.easter(F.col("year")).alias("easter"))
+    """Easter Sunday of each question's year."""
+    rows = adapter.inquiries(spark, sf_dir).withColumn("easter", d.easter(F.year("question_date")))
+    return rows.select("ka_nr", "easter", F.datediff("question_date", "easter").alias("days_after"))
 
 
-@query("d9_calendar", f"WITH {CALENDAR} SELECT day, free, CAST(workday AS DATE) AS workday FROM cal WHERE day < DATE '2035-12-20'")
+@query("d9_calendar", f"WITH {INQUIRIES}, {CALENDAR} SELECT ka_nr, free, CAST(workday AS DATE) AS workday FROM inq JOIN cal ON day = question_date")
 def d9(spark, sf_dir):
-    return d.calendar(spark, 2010, 2035).where("day < date '2035-12-20'")
+    """Whether each question came on a free day, and the first working day from then on."""
+    days = F.broadcast(d.calendar(spark).withColumnRenamed("day", "question_date"))  # a fixed number of days
+    return adapter.inquiries(spark, sf_dir).join(days, "question_date").select("ka_nr", "free", "workday")
 
 
 @query("d11_lateness", f"WITH {INQUIRIES}, {CALENDAR} SELECT ka_nr, CAST(workday AS DATE) AS deadline, answer_date > workday AS late FROM inq LEFT JOIN cal ON day = question_date + 27")

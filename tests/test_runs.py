@@ -75,3 +75,26 @@ def test_reviews_searches_and_triage_as_verbs(spark, tmp_path):
         assert cli.main(["build-ministerien-erkennung", at("lines"), "--ministries", at("ministries"), "--table", at("t"), "--out", at("triage")]) == 0
         row = spark.read.option("header", True).csv(at("triage")).first()
         assert (row["n"], row["first"], row["code"]) == ("2", "18/1", "IM")
+
+
+def test_lexicon_and_extraction_reach_a_fixed_point(spark):
+    """A search that finds what stands beside a known name: each pass gains one, four until none is new."""
+    from inquirylake.operators import stages
+
+    names = ["Ahorn", "Birke", "Cedern", "Distel"]
+    rows = [("18/1", 18, "SPD", "Ahorn, Eva", "extracted", "")] + [(f"18/{n + 2}", 18, "SPD", "", "extracted", "") for n in range(3)] + [("18/9", 18, "CDU", "Ahorn, Eva", "extracted", "")]
+    table = spark.createDataFrame(rows, f"{KEY} string, wp int, fraktion string, anfrager string, antworttext_status string, extract_flags string")
+    texts = spark.createDataFrame([("18/1", "Eva Ahorn")] + [(f"18/{n + 2}", f"Eva {names[n]} und Eva {names[n + 1]}") for n in range(3)] + [("18/9", "Eva Ahorn und Eva Birke")], f"{KEY} string, text string")
+    searched = []
+
+    def step(some, from_texts, lexicon):
+        searched.append(some.count())
+        joined = some.drop("anfrager_alle", "anzahl_abgeordnete").join(from_texts, KEY)
+        met = joined.join(lexicon.where("is_alias = 0").select("wp", "fraktion", "form"), ["wp", "fraktion"]).where("contains(text, form)").select(KEY).distinct().withColumn("met", F.lit(True))
+        found = F.array_join(F.transform(F.split("text", " und "), lambda x: F.regexp_replace(x, "Eva (.*)", "$1, Eva")), "; ")
+        return joined.join(met, KEY, "left").withColumns({"anfrager_alle": F.when(F.col("met") & (F.col("fraktion") == "SPD"), found).otherwise(""), "anzahl_abgeordnete": F.lit(0)}).drop("text", "met")
+
+    out, passes = stages.fixed_point(table, texts, step=step)
+    got = {r[KEY]: r["anfrager_alle"] for r in out.collect()}
+    assert got == {"18/1": "Ahorn, Eva", "18/2": "Ahorn, Eva; Birke, Eva", "18/3": "Birke, Eva; Cedern, Eva", "18/4": "Cedern, Eva; Distel, Eva", "18/9": ""}
+    assert passes == 4 and searched[0] == 5 and all(n <= 2 for n in searched[1:])
