@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import adapter, streaming
 from ..operators import keyed as k
 from ..streaming import versions
+from ..streaming.identity import stream_identities
 from .common import ANSWERED, INQUIRIES
 from .registry import registry
 
@@ -96,6 +97,20 @@ def u2(spark, sf_dir):
     return k.migrate(_stored(spark, sf_dir), _hits(spark, sf_dir))
 
 
+@query("str3_identity_stream", f"""WITH {INQUIRIES} SELECT q_nr, CASE WHEN ka_nr % 5 IN (1, 3, 4) OR ka_nr % 2 = 0 THEN a_nr ELSE q_nr END AS pk, CASE WHEN ka_nr % 11 = 0 THEN 'anfrage_zurueckgezogen' ELSE 'pending' END AS status FROM inq""")
+def str3(spark, sf_dir):
+    """The stored rows, and a stream of hits: each question twice, first without and then with what is known, in any order."""
+    folder = streaming.scratch(spark)
+    stored = _stored(spark, sf_dir).select("pk", "q_nr", F.lit("pending").alias("status"), F.lit("a").alias("added_at"), F.lit("a").alias("updated_at"))
+    versions.replace(stored, f"{folder}/table", "pk", WIDE)
+    late = _hits(spark, sf_dir).select("q_nr", "pk", "withdrawn", F.lit(2).cast("long").alias("at"))
+    early = late.withColumns({"pk": F.lit(None).cast("string"), "withdrawn": F.lit(False), "at": F.lit(1).cast("long")})
+    late.unionByName(early).repartition(3, F.xxhash64("q_nr", "at")).write.parquet(f"{folder}/hits")
+    hits = spark.readStream.schema(late.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/hits")
+    stream_identities(hits, f"{folder}/table", f"{folder}/stream", versions.read(spark, f"{folder}/table"), WIDE).awaitTermination()
+    return versions.read(spark, f"{folder}/table").select("q_nr", "pk", "status")
+
+
 @query("j13_placeholder_purge", f"""WITH {INQUIRIES} SELECT q_nr, a_nr AS pk FROM inq WHERE ka_nr % 5 IN (1, 3, 4) UNION ALL SELECT q_nr, q_nr FROM inq WHERE ka_nr % 5 = 2""")
 def j13(spark, sf_dir):
     return k.purge_placeholders(_stored(spark, sf_dir))

@@ -1,0 +1,96 @@
+"""Which row a question is, as keyed state: placeholders move to late answers, withdrawn questions stay so."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+
+from ..operators.keyed import upsert
+from . import identity, now, versions
+
+#: What is known of a question: its answer and when that was said, whether it was withdrawn, and whether
+#: the stream has written its row.
+STATE = "pk string, at long, withdrawn boolean, told boolean"
+CHANGE = "q_nr string, pk string, status string"
+SCHEMA = "pk string, q_nr string, status string, added_at string, updated_at string"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class Questions(StatefulProcessor):
+    """One state a question number; the latest answer counts (ties: the greater one), in whatever order hits come."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        q_nr = key[0]
+        pk, at, withdrawn, told = self.known.get() if self.known.exists() else (None, None, False, False)
+        before = (pk, withdrawn)
+        for row in rows:
+            withdrawn = bool(withdrawn or row.withdrawn)
+            if row.pk and row.pk != q_nr and (at is None or (row.at, row.pk) > (at, pk)):
+                pk, at = row.pk, row.at
+        self.known.update((pk, at, withdrawn, True))
+        if not told or before != (pk, withdrawn):
+            yield Row(q_nr=q_nr, pk=pk or q_nr, status="anfrage_zurueckgezogen" if withdrawn else "pending")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """What the table held before the stream began; of a question with both rows the answer's."""
+        have = self.known.get() if self.known.exists() else (None, None, False, False)
+        pk = initialState.pk if initialState.pk != key[0] else None
+        self.known.update((max(filter(None, (have[0], pk)), default=None), -1 if pk or have[0] else None, bool(have[2] or initialState.status == "anfrage_zurueckgezogen"), False))
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams that start in this block keep their state in RocksDB, so it may be larger than memory."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
+def stream_identities(hits: DataFrame, table: str, checkpoint: str, initial: DataFrame | None = None, width: int = versions.WIDTH) -> StreamingQuery:
+    """Keeps a table in versions with one row a question (STR-3), keyed by its answer, or by itself while there is none.
+
+    hits has q_nr, pk (null without an answer), withdrawn and at; initial is what the table holds
+    (pk, q_nr, status) when the first run starts.  Only questions that changed are written; the state
+    survives a restart with the checkpoint, and a repeated batch finds itself committed.
+    """
+    spark = hits.sparkSession
+
+    def apply(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = batch.persist()
+        try:
+            # a question's placeholder goes when its answer is known
+            keys = new.select("pk").unionByName(new.select(F.col("q_nr").alias("pk"))).distinct()
+            if new.isEmpty():
+                return
+
+            def moved(stored: DataFrame) -> DataFrame:
+                answered = new.where("pk <> q_nr").select("q_nr", F.col("pk").alias("_new"))
+                kept = stored.join(answered, "q_nr", "left").where("_new is null or pk = _new")
+                return upsert(kept.select(*stored.columns), new, "pk", ["q_nr", "status"], now())
+
+            versions.change(keys, table, SCHEMA, "pk", moved, (identity(spark, checkpoint), number), width)
+        finally:
+            new.unpersist()
+
+    rows = hits.select("q_nr", "pk", "withdrawn", "at").groupBy("q_nr")
+    start = None if initial is None else initial.select("q_nr", "pk", "status").groupBy("q_nr")
+    with _rocksdb(spark):
+        changes = rows.transformWithState(Questions(), CHANGE, "Update", "None", start)
+        return changes.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -113,3 +113,24 @@ def test_verbs_read_and_write_versions(spark, tmp_path, capsys):
         assert cli.main(["build-abgeordnete-index", str(tmp_path / "t"), "--out", str(tmp_path / "l")]) == 0
     assert versions.head(spark, str(tmp_path / "l"))[0] == 1 and versions.load(spark, str(tmp_path / "l")).select(F.count("*")).first()[0] == 1
     assert "rows=1" in capsys.readouterr().out
+
+
+def test_questions_keep_their_identity_over_restarts(spark, tmp_path):
+    """Late answers in any order, a withdrawn question, a restart; the table held two rows of one question."""
+    from inquirylake.streaming.identity import SCHEMA as IDENTITIES
+    from inquirylake.streaming.identity import stream_identities
+
+    path, schema = str(tmp_path / "t"), "q_nr string, pk string, withdrawn boolean, at long"
+    stored = spark.createDataFrame([(pk, q, "pending", "a", "a") for pk, q in (("18/1", "18/1"), ("18/2", "18/2"), ("18/12", "18/2"), ("18/3", "18/3"))], IDENTITIES)
+    versions.replace(stored, path, "pk")
+
+    def run(*hits):
+        spark.createDataFrame(hits, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "hits"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "hits"))
+        stream_identities(source, path, str(tmp_path / "c"), stored).awaitTermination()
+        return {(r["q_nr"], r["pk"], r["status"]) for r in versions.read(spark, path).collect()}
+
+    first = run(("18/1", "18/11", False, 5), ("18/1", None, False, 6), ("18/2", None, False, 1), ("18/4", None, True, 1))
+    assert first == {("18/1", "18/11", "pending"), ("18/2", "18/12", "pending"), ("18/3", "18/3", "pending"), ("18/4", "18/4", "anfrage_zurueckgezogen")}
+    second = run(("18/1", "18/10", False, 4), ("18/2", "18/22", False, 2), ("18/4", "18/14", False, 9), ("18/5", "18/15", False, 1))
+    assert second == {("18/1", "18/11", "pending"), ("18/2", "18/22", "pending"), ("18/3", "18/3", "pending"), ("18/4", "18/14", "anfrage_zurueckgezogen"), ("18/5", "18/15", "pending")}
