@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import adapter, streaming
 from ..operators import keyed as k
 from ..streaming import versions
-from ..streaming.identity import stream_identities
+from ..streaming.questions import stream_identities
 from .common import ANSWERED, INQUIRIES
 from .registry import registry
 

@@ -117,8 +117,8 @@ def test_verbs_read_and_write_versions(spark, tmp_path, capsys):
 
 def test_questions_keep_their_identity_over_restarts(spark, tmp_path):
     """Late answers in any order, a withdrawn question, a restart; the table held two rows of one question."""
-    from inquirylake.streaming.identity import SCHEMA as IDENTITIES
-    from inquirylake.streaming.identity import stream_identities
+    from inquirylake.streaming.questions import SCHEMA as IDENTITIES
+    from inquirylake.streaming.questions import stream_identities
 
     path, schema = str(tmp_path / "t"), "q_nr string, pk string, withdrawn boolean, at long"
     stored = spark.createDataFrame([(pk, q, "pending", "a", "a") for pk, q in (("18/1", "18/1"), ("18/2", "18/2"), ("18/12", "18/2"), ("18/3", "18/3"))], IDENTITIES)
