@@ -51,6 +51,9 @@ HIT_TOPICS = r"(?sdU)Systematik:\s*\n(.+?)(?:\nSchlagworte:|\nRegion:|\nAntwort\
 HIT_KEYWORDS = r"(?sdU)Schlagworte:\s*\n(.+?)(?:\nRegion:|\nSystematik:|\nAntwort\s|$)"
 HIT_LINK = r"<a[^>]*href=\"([^\"]*MMD(\d+)-(\d+)\.pdf[^\"]*)\""
 SITE = "https://www.landtag.nrw.de"
+# Where a paper's document lies: the folder, and what an address that may be fetched looks like
+DOCUMENTS = SITE + "/portal/WWW/dokumentenarchiv/Dokument/"
+DOCUMENT_URL = r"^https://www\.landtag\.nrw\.de/portal/WWW/dokumentenarchiv/Dokument/MMD\d+-\d+\.pdf$"
 
 # Log lines
 NOVELTY_LINE = r'^\S+\s\|\s(\S+)\s\|\sministerium_form\s\|\sscraped="(.+)"$'

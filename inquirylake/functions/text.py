@@ -8,6 +8,8 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import patterns
+
 from .patterns import HYPHENATION, MINISTRY_SUFFIX
 
 # Spellings of factions in documents and what they are called in the table.
@@ -94,6 +96,22 @@ def bucket(n: Column, width: int = BUCKET) -> Column:
     return F.concat_ws("-", low, low + width - 1)
 
 
+def document_url(number: Column) -> Column:
+    """The address of a paper's document; null if the paper is malformed (FN-9)."""
+    p = paper(number)
+    return F.when(p["n"].isNotNull(), F.concat(F.lit(patterns.DOCUMENTS), F.lit("MMD"), p["wp"], F.lit("-"), p["n"], F.lit(".pdf")))
+
+
+def absolute(link: Column) -> Column:
+    """A link of the site with its host; others stay (FN-9)."""
+    return F.when(F.startswith(link, F.lit("/")), F.concat(F.lit(patterns.SITE), link)).otherwise(link)
+
+
+def may_fetch(url: Column) -> Column:
+    """Whether an address is one of a paper's document (FN-9)."""
+    return F.coalesce(url.rlike(patterns.DOCUMENT_URL), F.lit(False))
+
+
 def dedouble(head: Column) -> Column:
     """Repairs text in which every character is doubled (FN-10).
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import adapter, sources
+from .. import adapter, sinks, sources, streaming
 from ..functions import text as t
 from ..operators import keyed as k
+from ..operators.extract import next_page
 from ..operators import quality as q
-from .common import INQUIRIES, MEMBERS
+from ..plans import reports
+from .common import BASE, BLOCK, INQUIRIES, MEMBERS
 from .registry import registry
 
 QUERIES, SQL, query = registry()
@@ -113,3 +115,55 @@ def v1(spark, sf_dir):
     texts = texts.unionByName(texts.withColumns({"text": F.lit("an earlier, short text"), "position": F.lit(0)}))
     findings = q.verify(table.unionByName(twice), texts)
     return q.report(findings, "drucksache_antwort_nr").select("check", "total")
+
+
+@query("fn9_document_urls", f"""WITH {INQUIRIES}, u AS (SELECT ka_nr, CASE WHEN ka_nr % 13 <> 0 THEN 'https://www.landtag.nrw.de/portal/WWW/dokumentenarchiv/Dokument/MMD' || replace(q_nr, '/', '-') || '.pdf' END AS url FROM inq)
+SELECT ka_nr, url, ka_nr % 13 <> 0 AND ka_nr % 4 NOT IN (1, 2) AS allowed FROM u""")
+def fn9(spark, sf_dir):
+    """Addresses by the template; some papers are malformed, some links are relative, elsewhere, or go on behind the document."""
+    n, paper = F.col("ka_nr"), F.when(F.col("ka_nr") % 13 == 0, F.replace("q_nr", F.lit("/"), F.lit("-"))).otherwise(F.col("q_nr"))
+    rows = adapter.inquiries(spark, sf_dir).select("ka_nr", t.document_url(paper).alias("url"))
+    link = F.when(n % 4 == 0, F.regexp_replace("url", "^https://[^/]*", "")).when(n % 4 == 1, F.regexp_replace("url", "landtag.nrw", "elsewhere")).when(n % 4 == 2, F.concat("url", F.lit("?x"))).otherwise(F.col("url"))
+    return rows.select("ka_nr", "url", t.may_fetch(t.absolute(link)).alias("allowed"))
+
+
+@query("src17_next_pages", """SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://www.landtag.nrw.de/suche.html?page=' || (page_id + 1) WHEN 1 THEN url END AS next FROM pages""")
+def src17(spark, sf_dir):
+    """Saved pages with a relative link to the next one, an absolute one, a disabled one, or none."""
+    n = F.col("page_id")
+    anchor = (
+        F.when(n % 4 == 0, F.concat(F.lit('<a class="item item--next" href="/suche.html?page='), n + 1, F.lit('">weiter</a>')))
+        .when(n % 4 == 1, F.concat(F.lit('<a rel="x" class="item--next item" href="'), "url", F.lit('">weiter</a>')))
+        .when(n % 4 == 2, F.lit('<a class="item--next item--disabled" href="/suche.html?page=9">weiter</a>'))
+        .otherwise("")
+    )
+    rows = adapter.read(spark, sf_dir, "pages")
+    return rows.select("page_id", next_page(F.concat(F.coalesce("html", F.lit("")), anchor)).alias("next"))
+
+
+@query("snk4_bucketed_texts", "SELECT ((doc_id + 1 - 1) // 2000 * 2000 + 1) || '-' || ((doc_id + 1 - 1) // 2000 * 2000 + 2000) AS bucket, count(*) AS n, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS characters FROM documents GROUP BY 1")
+def snk4(spark, sf_dir):
+    """Texts written below the folder of their number, and read back with it."""
+    folder = f"{streaming.scratch(spark)}/texts"
+    rows = adapter.read(spark, sf_dir, "documents").select((F.col("doc_id") + 1).alias("number"), F.coalesce("text", F.lit("")).alias("text"))
+    sinks.save_texts(rows, folder, "number")
+    return spark.read.parquet(folder).groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("characters"))
+
+
+@query("snk3_audit_log", f"WITH {INQUIRIES} SELECT 'first' AS run_at, status AS what, count(*) AS n FROM inq GROUP BY status UNION ALL SELECT 'second', fraktion, count(*) FROM inq GROUP BY fraktion")
+def snk3(spark, sf_dir):
+    """Two runs append to one log."""
+    folder = f"{streaming.scratch(spark)}/audit"
+    rows = adapter.inquiries(spark, sf_dir)
+    for run, column in (("first", "status"), ("second", "fraktion")):
+        sinks.append_audit(rows.select("ka_nr", F.col(column).alias("what")), folder, F.lit(run))
+    return spark.read.parquet(folder).groupBy("run_at", "what").agg(F.count("*").alias("n"))
+
+
+@query("snk10_report_files", f"WITH {BASE} SELECT wp, fraktion, {BLOCK} FROM base GROUP BY ALL")
+def snk10(spark, sf_dir):
+    """A report written as CSV, a folder for each term, and read back."""
+    folder = f"{streaming.scratch(spark)}/report"
+    sinks.save_report(reports.sla(adapter.base(spark, sf_dir), "wp", "fraktion"), folder, "wp")
+    kinds = "fraktion string, anzahl long, zeit double, verspaetet long, quote double, wp int"
+    return spark.read.option("header", True).schema(kinds).csv(folder)
