@@ -9,6 +9,7 @@ from ..functions.dates import MONTHS
 from ..operators import extract as x
 from ..operators import joins as j
 from ..operators import keyed as k
+from ..sources.search import saved_pages
 from ..streaming import archive, versions
 from .common import INQUIRIES, MEMBERS
 from .registry import registry
@@ -135,6 +136,27 @@ def x7(spark, sf_dir):
     return x.search_hits(_rows(spark, sf_dir).select("ka_nr", html.alias("html")))
 
 
+@query("src15_saved_search", f"""WITH {INQUIRIES} SELECT CAST(wp AS VARCHAR) AS term, ka_nr // 2000 + 1 AS page, q_nr AS drucksache_anfrage_nr, CASE WHEN ka_nr % 2 = 0 THEN a_nr END AS drucksache_antwort_nr, CAST(ka_nr AS INTEGER) AS kleine_anfrage_nr, strftime(question_date, '%Y-%m-%d') AS anfragedatum FROM inq""")
+def src15(spark, sf_dir):
+    """All questions as hits on saved pages, some dozens a page, each page with a link to the next one; read as a stream."""
+    n, folder = F.col("ka_nr"), streaming.scratch(spark)
+    link = lambda c: F.concat(F.lit("portal/WWW/dokumentenarchiv/Dokument/MMD"), F.replace(c, F.lit("/"), F.lit("-")), F.lit(".pdf"))
+    answer = F.when(n % 2 == 0, F.concat(F.lit('<a href="/'), link(F.col("a_nr")), F.lit('">Drucksache '), "a_nr", F.lit("</a><p>"), F.date_format("issued", "dd.MM.yyyy"), F.lit(" 5 S.</p>"))).otherwise("")
+    hit = F.concat(
+        F.lit('<article class="e-search-result"><div><b>Frage</b><p>Kleine Anfrage '), n, F.lit("</p><p>Muster, Eva "), "party", F.lit('</p><a href="/'), link(F.col("q_nr")), F.lit('">Drucksache '), "q_nr", F.lit("</a><p>"), F.date_format("question_date", "dd.MM.yyyy"),
+        F.lit(" 2 S.</p>"), answer, F.lit("</div></article>"),
+    )
+    rows = _rows(spark, sf_dir).select(F.col("wp").cast("string").alias("term"), (F.floor(n / 2000) + 1).alias("page"), hit.alias("hit"))
+    ends = rows.groupBy("term").agg(F.max("page").alias("last"))
+    pages = rows.groupBy("term", "page").agg(F.concat_ws("", F.collect_list("hit")).alias("html")).join(ends, "term")
+    tag = F.when(F.col("page") < F.col("last"), F.concat(F.lit('<a class="item--next" href="/s.html?page='), F.col("page") + 1, F.lit('">'))).otherwise('<a class="item--next item--disabled" href="/s.html?page=1">')
+    pages.select("term", "page", F.concat("html", tag).alias("value")).repartition("term", "page").write.partitionBy("term", "page").text(f"{folder}/pages")
+    stream = saved_pages(spark, f"{folder}/pages").writeStream.format("parquet").option("path", f"{folder}/read").option("checkpointLocation", f"{folder}/mark").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    hits = x.search_hits(spark.read.schema("term string, page long, html string").parquet(f"{folder}/read"))
+    return hits.select("term", "page", "drucksache_anfrage_nr", "drucksache_antwort_nr", "kleine_anfrage_nr", "anfragedatum")
+
+
 def _names(spark, sf_dir):
     """ka_nr, wp, fraktion and suppliers as people: 'Nach<i>, Vor'."""
     rows = adapter.inquiries(spark, sf_dir).join(adapter.members(spark, sf_dir), "ka_nr")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -12,6 +14,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from ..operators.keyed import upsert
 from . import identity, now, versions
 
+# workers need not have this package: they get what is theirs by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: What is known of a question: its answer and when that was said, whether it was withdrawn, and whether
 #: the stream has written its row.
 STATE = "pk string, at long, withdrawn boolean, told boolean"
