@@ -39,9 +39,7 @@ def a12(spark, sf_dir):
     listed = F.when(n % 7 == 0, F.concat(listed, F.lit(" u.a."))).otherwise(listed)
     rows = adapter.base(spark, sf_dir).join(adapter.members(spark, sf_dir), "ka_nr").withColumn("members", listed)
     rows = r.separate(rows.withColumn("members", clean_members(F.col("members"))), "members", "member").withColumn("member", remove_first(F.col("member"), " u.a."))
-    # the earliest question of each faction, so that what is collected is as small as the factions
-    first = rows.groupBy("wp", "member", "fraktion").agg(F.min("ka_nr").alias("p")).groupBy("wp", "member").agg(r.first_seen("fraktion", "p").alias("fraktionen"))
-    return r.sla(rows, "wp", "member").join(first, ["wp", "member"]).orderBy("wp", F.desc("anzahl"), "member")
+    return r.sla_of_members(rows, "wp", "member").orderBy("wp", F.desc("anzahl"), "member")
 
 
 @query("a13_topics_by_month", f"WITH {BASE}, {TOPICS} SELECT wp, periode, topic, {BLOCK} FROM base JOIN topics USING (ka_nr) GROUP BY ALL")

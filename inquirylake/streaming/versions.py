@@ -95,12 +95,12 @@ def _write(df: DataFrame, path: str, key: str, width: int) -> dict[str, str]:
     """
     spark, folder = df.sparkSession, f"data/{uuid.uuid4().hex}"
     p = paper(F.col(key))
-    rows = df.withColumns({"range": key_range(F.col(key), width), "_n": F.coalesce(p["n"], F.lit(2**31 - 1))})
-    deal = F.when(F.col("range") == OTHER, F.pmod(F.xxhash64(key), F.lit(64))).otherwise(0)
-    rows.repartition("range", deal).sortWithinPartitions("range", "_n", key).drop("_n").write.partitionBy("range").parquet(f"{path}/{folder}")
+    rows = df.withColumns({"range_of_key": key_range(F.col(key), width), "number_of_key": F.coalesce(p["n"], F.lit(2**31 - 1))})
+    deal = F.when(F.col("range_of_key") == OTHER, F.pmod(F.xxhash64(key), F.lit(64))).otherwise(0)
+    rows.repartition("range_of_key", deal).sortWithinPartitions("range_of_key", "number_of_key", key).drop("number_of_key").write.partitionBy("range_of_key").parquet(f"{path}/{folder}")
     fs, root, files = _paths(spark, path)
     made = [s.getPath().getName() for s in files.listStatus(fs.Path(root, folder))]
-    return {name.partition("=")[2]: f"{folder}/{name}" for name in made if name.startswith("range=")}
+    return {name.partition("=")[2]: f"{folder}/{name}" for name in made if name.startswith("range_of_key=")}
 
 
 def _drop(spark: SparkSession, path: str, folders: Iterable[str]) -> None:
