@@ -53,3 +53,10 @@ def test_each_equals_its_query(spark, made, report, query, names):
     assert len(columns) >= 2 and set(frame.columns) <= {*columns, "rank"}
     shown = lambda df: sorted(repr(tuple(r)) for r in df.select(*(F.col(c).cast("string") for c in columns)).collect())
     assert shown(frame) == shown(theirs)
+
+
+def test_the_verb_writes_all_reports(spark, tmp_path):
+    from inquirylake import cli
+
+    assert cli.main(["report", FOLDER, "--out", str(tmp_path / "o")]) == 0
+    assert sum(not n.startswith("_") for n in os.listdir(tmp_path / "o")) == 12

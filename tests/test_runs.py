@@ -65,16 +65,12 @@ def test_reviews_searches_and_triage_as_verbs(spark, tmp_path):
     spark.createDataFrame([(18, 5)], "wp int, kleine_anfrage_nr int").write.parquet(at("numbers"))
     assert cli.main(["search-again", at("t"), "--out", at("s"), "--hits", at("hits"), "--numbers", at("numbers")]) == 0
     assert {(r[KEY], r["anfragetitel"], r["antworttext_status"]) for r in versions.load(spark, at("s")).collect()} == {("18/20", "new", "pending"), ("18/9", "kept", "extracted")}
-    line = "t | 18/{0} | Ministerium | Minister für Innern und Kultur"
-    from inquirylake import sources
-
-    lines = spark.createDataFrame([(line.format(n), n) for n in (1, 9)], "value string, position int")
-    if sources.novelty_log(lines).count():
-        lines.write.parquet(at("lines"))
-        spark.createDataFrame([("IM", "Ministerium des Innern"), ("FM", "Ministerium der Finanzen")], "code string, name string").write.parquet(at("ministries"))
-        assert cli.main(["build-ministerien-erkennung", at("lines"), "--ministries", at("ministries"), "--table", at("t"), "--out", at("triage")]) == 0
-        row = spark.read.option("header", True).csv(at("triage")).first()
-        assert (row["n"], row["first"], row["code"]) == ("2", "18/1", "IM")
+    line = 't | 18/{0} | ministerium_form | scraped="Minister Innern und Kultur"'
+    spark.createDataFrame([(line.format(n), n) for n in (1, 9)], "value string, position int").write.parquet(at("lines"))
+    spark.createDataFrame([("IM", "Ministerium des Innern"), ("FM", "Ministerium der Finanzen")], "code string, name string").write.parquet(at("ministries"))
+    assert cli.main(["build-ministerien-erkennung", at("lines"), "--ministries", at("ministries"), "--table", at("t"), "--out", at("triage")]) == 0
+    row = spark.read.option("header", True).csv(at("triage")).first()
+    assert (row["form"], row["n"], row["first"], row["more"], row["code"], row["kleine_anfrage_nr"]) == ("Minister Innern und Kultur", "2", "18/1", "18/9", "IM", "5")
 
 
 def test_lexicon_and_extraction_reach_a_fixed_point(spark):
