@@ -53,13 +53,14 @@ def searched_again(rows: DataFrame, hits: DataFrame, numbers: DataFrame, run_at:
 def letters(rows: DataFrame, pages: DataFrame, existing: DataFrame, force: bool = False) -> DataFrame:
     """paper, kind, wp, ka_nr, status, original, issued of each letter.
 
-    rows has wp, ka_nr, q_nr and pk; pages paper and page, the first page; existing is what this gave
-    before.  Letters that were read well stay; all others are read again, and what was known of
-    them is superseded.
+    rows has wp, ka_nr, q_nr and pk; pages paper and page, the first page, and kind where one number is
+    an answer's and another question's; existing is what this gave before.  Letters that were read
+    well stay; all others are read again, and what was known of them is superseded.
     """
     done = existing.where("status = 'ok'") if not force else existing.limit(0)
     todo = orphans(tasks(rows), done.select("paper", "kind"), "paper", "kind")
-    read = letter_date(todo.join(unique(pages.select(*at(pages, "paper", "page")), "paper"), "paper", "left"), "page")
+    keys = [c for c in ("paper", "kind") if c in pages.columns]
+    read = letter_date(todo.join(unique(pages.select(*at(pages, *keys, "page")), *keys), keys, "left"), "page")
     columns = ["paper", "kind", "wp", "ka_nr", "status", "original", "issued"]
     return orphans(existing, todo, "paper", "kind").select(columns).unionByName(read.select(columns))
 

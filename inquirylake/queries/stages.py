@@ -120,7 +120,8 @@ def j15(spark, sf_dir):
     foot = F.concat(F.lit("Datum des Originals: "), day, F.lit("/Ausgegeben: "), day)
     page = F.when(n % 7 == 0, "no foot").otherwise(foot)
     fit = index.where("ka_nr % 5 <> 0")
-    pages = fit.select(F.col("q_nr").alias("paper"), page.alias("page")).unionByName(fit.where("pk <> q_nr").select(F.col("pk").alias("paper"), page.alias("page")))
+    asked = fit.select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), page.alias("page"))
+    pages = asked.unionByName(fit.where("pk <> q_nr").select(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), page.alias("page")))
     tasks = index.select("wp", "ka_nr", F.explode(F.array(F.struct(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind")), F.struct(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind")))).alias("t")).select("wp", "ka_nr", "t.*")
     well = (n % 3 == 0) & (F.col("kind") == "Anfrage")
     existing = tasks.where("not (kind = 'Antwort' and ka_nr % 2 = 0)").where(well | (n % 4 == 0)).select("paper", "kind", "wp", "ka_nr", F.when(well, "ok").otherwise("parse_failed").alias("status"), F.when(well, "2001-01-01").otherwise("").alias("original"), F.lit("").alias("issued"))
