@@ -26,7 +26,7 @@ MINISTRY_STOP_WORDS = [
 BUCKET = 2000
 #: All named HTML entities, and what the numbers 128 to 159 stand for, as name -> characters.
 ENTITIES = dict(html.entities.html5) | {f"#{n}": bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
-ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});?"
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def squish(text: Column) -> Column:
@@ -55,13 +55,14 @@ def clean_members(text: Column) -> Column:
     return remove_first(remove_first(text, " , ", "; "), " SPD")
 
 
-def decode_entities(text: Column) -> Column:
+def decode_entities(text: Column, bare: bool = True) -> Column:
     """Tags dropped and all HTML entities decoded, named, decimal or hexadecimal (FN-5).
 
-    The text is cut at its entities, so that nothing is decoded twice.  What is no entity stays.
+    The text is cut at its entities, so that nothing is decoded twice.  What is no entity stays, and
+    without ``bare`` also what has no semicolon behind it.
     """
-    plain = F.regexp_replace(text, r"<[^>]*>", "")
-    parts = F.zip_with(F.split(plain, ENTITY, -1), F.regexp_extract_all(plain, F.lit(ENTITY), F.lit(0)), lambda part, entity: F.concat(part, F.coalesce(_entity(entity), F.lit(""))))
+    plain, pattern = F.regexp_replace(text, r"<[^>]*>", ""), f"{ENTITY}?" if bare else ENTITY
+    parts = F.zip_with(F.split(plain, pattern, -1), F.regexp_extract_all(plain, F.lit(pattern), F.lit(0)), lambda part, entity: F.concat(part, F.coalesce(_entity(entity), F.lit(""))))
     return F.when(F.contains(plain, F.lit("&")), F.array_join(parts, "")).otherwise(plain)
 
 

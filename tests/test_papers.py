@@ -23,3 +23,9 @@ def test_letters_of_one_number_are_read_by_kind(spark):
     none = spark.createDataFrame([], "paper string, kind string, wp int, ka_nr long, status string, original string, issued string")
     got = {(r["paper"], r["kind"]): r["original"] for r in runs.letters(rows, pages, none).where("status = 'ok'").collect()}
     assert got == {("18/9", "Antwort"): "2022-02-01", ("18/9", "Anfrage"): "2022-06-05"}
+
+
+def test_entities_without_their_semicolon(spark, tmp_path):
+    spark.createDataFrame([(1, "a&amp{b} &amp;lt; &copy &copy;")], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert queries.QUERIES["fn5_entities"](spark, str(tmp_path)).first()["plain"].startswith("a&amp{b} &lt; &copy © ")
+    assert spark.range(1).select(text.decode_entities(F.lit("a&amp{b}"))).first()[0] == "a&{b}"
