@@ -50,21 +50,24 @@ def identity(hits: DataFrame, table: DataFrame) -> DataFrame:
     """Adds disposition of each search hit (J10, U2): which stored row it is and what happens.
 
     hits and table have q_nr and pk (a hit's pk may be null).  A placeholder is a stored row whose pk
-    is its own question number.
+    is its own question number.  One number may be an answer's and another question's, so an answer
+    isn't told by a placeholder of its number; stored keys count once, so hits stay as many.
     """
-    real = table.select(F.col("pk").alias("_real"))
-    placeholder = table.where("pk = q_nr").select(F.col("pk").alias("_ph"))
-    joined = hits.join(real, F.col("pk") == F.col("_real"), "left").join(placeholder, (F.col("q_nr") == F.col("_ph")) & ~F.coalesce(F.col("pk") == F.col("q_nr"), F.lit(False)), "left")
+    own = F.coalesce(F.col("pk") == F.col("q_nr"), F.lit(False))
+    stored = table.groupBy(F.col("pk").alias("_pk")).agg(F.bool_or(~own).alias("_answer"), F.bool_or(own).alias("_self"))
+    placeholder = table.where("pk = q_nr").select(F.col("pk").alias("_ph")).distinct()
+    joined = hits.join(stored, F.col("pk") == F.col("_pk"), "left").join(placeholder, (F.col("q_nr") == F.col("_ph")) & ~own, "left")
+    real = F.col("_answer") | (F.col("_self") & own)
     disposition = (
-        F.when(F.col("_real").isNotNull() & F.col("_ph").isNotNull(), "drop_placeholder")
-        .when(F.col("_real").isNotNull(), "update")
+        F.when(real & F.col("_ph").isNotNull(), "drop_placeholder")
+        .when(real, "update")
         .when(F.col("_ph").isNotNull() & F.col("pk").isNotNull(), "migrate")
         .when(F.col("_ph").isNotNull(), "update_placeholder")
         .when(F.col("withdrawn"), "insert_withdrawn")
         .when(F.col("pk").isNotNull(), "insert")
         .otherwise("insert_placeholder")
     )
-    return joined.withColumn("disposition", disposition).drop("_real", "_ph")
+    return joined.withColumn("disposition", disposition).drop("_pk", "_answer", "_self", "_ph")
 
 
 def migrate(table: DataFrame, hits: DataFrame) -> DataFrame:

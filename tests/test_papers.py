@@ -29,3 +29,10 @@ def test_entities_without_their_semicolon(spark, tmp_path):
     spark.createDataFrame([(1, "a&amp{b} &amp;lt; &copy &copy;")], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     assert queries.QUERIES["fn5_entities"](spark, str(tmp_path)).first()["plain"].startswith("a&amp{b} &lt; &copy © ")
     assert spark.range(1).select(text.decode_entities(F.lit("a&amp{b}"))).first()[0] == "a&{b}"
+
+
+def test_a_placeholder_is_no_other_questions_answer(spark):
+    hits = spark.createDataFrame([("18/1", "18/9", False), ("18/9", None, False)], f"{PAIR}, withdrawn boolean")
+    waiting = spark.createDataFrame([("18/1", "18/1"), ("18/9", "18/9")], PAIR)
+    assert sets(keyed.identity(hits, waiting), "q_nr", "disposition") == [("18/1", "migrate"), ("18/9", "update_placeholder")]
+    assert sets(keyed.identity(hits, spark.createDataFrame(STORED, PAIR)), "q_nr", "disposition") == [("18/1", "update"), ("18/9", "update_placeholder")]
