@@ -79,9 +79,9 @@ def migrate(table: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def purge_placeholders(table: DataFrame) -> DataFrame:
-    """Drops placeholders whose question also has a real row."""
-    real = table.where("pk <> q_nr").select(F.col("q_nr").alias("pk"))
-    return table.join(real, "pk", "left_anti")
+    """Drops placeholders whose question also has a real row (J13); real rows stay, whatever their number is beside."""
+    real = table.where("pk <> q_nr").select(F.col("q_nr").alias("_q"))
+    return table.join(real, (F.col("pk") == F.col("_q")) & (F.col("q_nr") == F.col("_q")), "left_anti")
 
 
 def targeted(table: DataFrame, hits: DataFrame, numbers: DataFrame, mask: Sequence[str], run_at: Column) -> DataFrame:

@@ -36,3 +36,8 @@ def test_a_placeholder_is_no_other_questions_answer(spark):
     waiting = spark.createDataFrame([("18/1", "18/1"), ("18/9", "18/9")], PAIR)
     assert sets(keyed.identity(hits, waiting), "q_nr", "disposition") == [("18/1", "migrate"), ("18/9", "update_placeholder")]
     assert sets(keyed.identity(hits, spark.createDataFrame(STORED, PAIR)), "q_nr", "disposition") == [("18/1", "update"), ("18/9", "update_placeholder")]
+
+
+def test_a_real_row_is_no_placeholder_of_its_number(spark):
+    table = spark.createDataFrame([("18/1", "18/9"), ("18/9", "18/20"), ("18/9", "18/9")], PAIR)
+    assert sets(keyed.purge_placeholders(table), "q_nr", "pk") == [("18/1", "18/9"), ("18/9", "18/20")]
