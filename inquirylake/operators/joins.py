@@ -73,15 +73,16 @@ def override(rows: DataFrame, raw: str, overrides: DataFrame, names: DataFrame)
     return rows.join(both, raw, "left")
 
 
-def letter_dates(index: DataFrame, dates: DataFrame) -> DataFrame:
+def letter_dates(index: DataFrame, dates: DataFrame, *questions: str) -> DataFrame:
     """Adds question_letter and answer_letter from (paper, kind, date) rows, one look-up each.
 
-    Of several letters of a paper and kind the last by position counts.
+    Of several letters of a paper and kind the last by position counts.  questions are columns of both
+    tables that tell whose letter it is, where rows of unlike questions have one number.
     """
-    dates = unique(dates.select(*at(dates, "paper", "kind", "date")), "paper", "kind")
+    dates = unique(dates.select(*at(dates, *questions, "paper", "kind", "date")), *questions, "paper", "kind")
     for kind, paper, out in (("Anfrage", "q_nr", "question_letter"), ("Antwort", "pk", "answer_letter")):
-        side = dates.where(F.col("kind") == kind).select(F.col("paper").alias(paper), F.col("date").alias(out))
-        index = index.join(side, paper, "left")
+        side = dates.where(F.col("kind") == kind).select(*questions, F.col("paper").alias(paper), F.col("date").alias(out))
+        index = index.join(side, [*questions, paper], "left")
     return index
 
 

@@ -45,14 +45,16 @@ def j3(spark, sf_dir):
 @query("j4_letter_dates_twice", f"""WITH {ANSWERED} SELECT ka_nr, CASE WHEN ka_nr % 4 <> 0 THEN strftime(question_date, '%Y-%m-%d') END AS question_letter,
     CASE WHEN ka_nr % 5 <> 0 AND answer_date IS NOT NULL THEN strftime(answer_date + CAST(CASE WHEN ka_nr % 2 = 0 THEN 1 ELSE 0 END AS INTEGER), '%Y-%m-%d') END AS answer_letter FROM ans""")
 def j4(spark, sf_dir):
-    """Every third question letter is preceded by another one, every other answer letter followed by one of the day after."""
+    """Every third question letter is preceded by another one, every other answer letter followed by one of the day after.
+
+    An answer and a question that waits for its own may have one number, so letters name their question."""
     index = adapter.answered(spark, sf_dir)
-    q = index.where("ka_nr % 4 <> 0").select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.date_format("question_date", "yyyy-MM-dd").alias("date"))
-    a = index.where("ka_nr % 5 <> 0 and answer_date is not null").select(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format("answer_date", "yyyy-MM-dd").alias("date"))
+    q = index.where("ka_nr % 4 <> 0").select("ka_nr", F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.date_format("question_date", "yyyy-MM-dd").alias("date"))
+    a = index.where("ka_nr % 5 <> 0 and answer_date is not null").select("ka_nr", F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format("answer_date", "yyyy-MM-dd").alias("date"))
     letters = q.unionByName(a).withColumn("position", F.lit(1))
-    before = index.where("ka_nr % 3 = 0 and ka_nr % 4 <> 0").select(F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.lit("1999-01-01").alias("date"), F.lit(0).alias("position"))
-    after = index.where("ka_nr % 5 <> 0 and answer_date is not null and ka_nr % 2 = 0").select(F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format(F.date_add("answer_date", 1), "yyyy-MM-dd").alias("date"), F.lit(2).alias("position"))
-    return j.letter_dates(index.select("ka_nr", "q_nr", "pk"), letters.unionByName(before).unionByName(after)).select("ka_nr", "question_letter", "answer_letter")
+    before = index.where("ka_nr % 3 = 0 and ka_nr % 4 <> 0").select("ka_nr", F.col("q_nr").alias("paper"), F.lit("Anfrage").alias("kind"), F.lit("1999-01-01").alias("date"), F.lit(0).alias("position"))
+    after = index.where("ka_nr % 5 <> 0 and answer_date is not null and ka_nr % 2 = 0").select("ka_nr", F.col("pk").alias("paper"), F.lit("Antwort").alias("kind"), F.date_format(F.date_add("answer_date", 1), "yyyy-MM-dd").alias("date"), F.lit(2).alias("position"))
+    return j.letter_dates(index.select("ka_nr", "q_nr", "pk"), letters.unionByName(before).unionByName(after), "ka_nr").select("ka_nr", "question_letter", "answer_letter")
 
 
 TOKENS = "SELECT p_name, list_distinct(list_filter(regexp_extract_all(lower(p_name), '[a-z]+'), lambda w: len(w) >= 4)) AS v FROM (SELECT DISTINCT p_name FROM part)"

@@ -41,3 +41,9 @@ def test_a_placeholder_is_no_other_questions_answer(spark):
 def test_a_real_row_is_no_placeholder_of_its_number(spark):
     table = spark.createDataFrame([("18/1", "18/9"), ("18/9", "18/20"), ("18/9", "18/9")], PAIR)
     assert sets(keyed.purge_placeholders(table), "q_nr", "pk") == [("18/1", "18/9"), ("18/9", "18/20")]
+
+
+def test_letters_name_their_question(spark):
+    index = spark.createDataFrame([(1, *STORED[0]), (8, *STORED[1])], f"ka_nr long, {PAIR}")
+    letters = spark.createDataFrame([(1, "18/9", "Antwort", "2022-01-01", 1), (8, "18/9", "Antwort", "2022-08-08", 2)], "ka_nr long, paper string, kind string, date string, position int")
+    assert sets(joins.letter_dates(index, letters, "ka_nr"), "ka_nr", "answer_letter") == [(1, "2022-01-01"), (8, "2022-08-08")]
