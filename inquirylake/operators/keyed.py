@@ -15,11 +15,12 @@ def filled(column: Column) -> Column:
     return F.nullif(column.cast("string"), F.lit("")).cast("string")
 
 
-def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], run_at: Column) -> DataFrame:
+def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], run_at: Column, once: Sequence[str] = ()) -> DataFrame:
     """The next version of a table (U1): masked columns of new rows, only where they say something.
 
     Columns outside the mask stay; rows of neither side vanish; added_at is set once, updated_at for
-    each row that new touches.  New rows without a key take no part: see rejects.
+    each row that new touches.  Columns of once are only written in rows that are added.  New rows
+    without a key take no part: see rejects.
     """
     new = new.where(F.col(key).isNotNull() & (F.col(key) != ""))
     old, inserted = F.col(f"c.{key}").isNotNull(), F.col(f"c.{key}").isNull()
@@ -32,10 +33,10 @@ def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], ru
             columns.append(F.when(old, F.col("c.added_at")).otherwise(run_at).alias(name))
         elif name == "updated_at":
             columns.append(F.when(touched, run_at).otherwise(F.col("c.updated_at")).alias(name))
-        elif name in mask:
+        elif name in mask or name in once:
             kind = current.schema[name].dataType
-            said = filled(F.col(f"n.{name}")).cast(kind)
-            columns.append(F.when(inserted, said).otherwise(F.coalesce(said, F.col(f"c.{name}"))).alias(name))
+            said, kept = filled(F.col(f"n.{name}")).cast(kind), F.col(f"c.{name}")
+            columns.append(F.when(inserted, said).otherwise(kept if name in once else F.coalesce(said, kept)).alias(name))
         else:
             columns.append(F.col(f"c.{name}").alias(name))
     return current.alias("c").join(new.alias("n"), F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer").select(*columns)

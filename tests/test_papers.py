@@ -47,3 +47,9 @@ def test_letters_name_their_question(spark):
     index = spark.createDataFrame([(1, *STORED[0]), (8, *STORED[1])], f"ka_nr long, {PAIR}")
     letters = spark.createDataFrame([(1, "18/9", "Antwort", "2022-01-01", 1), (8, "18/9", "Antwort", "2022-08-08", 2)], "ka_nr long, paper string, kind string, date string, position int")
     assert sets(joins.letter_dates(index, letters, "ka_nr"), "ka_nr", "answer_letter") == [(1, "2022-01-01"), (8, "2022-08-08")]
+
+
+def test_a_stored_row_keeps_its_question(spark):
+    current = spark.createDataFrame([("18/9", "18/1", "a", "a")], "pk string, q_nr string, added_at string, updated_at string")
+    new = spark.createDataFrame([("18/9", "18/9"), ("18/3", "18/3")], "pk string, q_nr string")
+    assert sets(keyed.upsert(current, new, "pk", [], F.lit("b"), once=["q_nr"]), "pk", "q_nr") == [("18/3", "18/3"), ("18/9", "18/1")]
