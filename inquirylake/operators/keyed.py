@@ -15,20 +15,21 @@ def filled(column: Column) -> Column:
     return F.nullif(column.cast("string"), F.lit("")).cast("string")
 
 
-def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], run_at: Column, once: Sequence[str] = ()) -> DataFrame:
+def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], run_at: Column, once: Sequence[str] = (), beside: Sequence[str] = ()) -> DataFrame:
     """The next version of a table (U1): masked columns of new rows, only where they say something.
 
     Columns outside the mask stay; rows of neither side vanish; added_at is set once, updated_at for
-    each row that new touches.  Columns of once are only written in rows that are added.  New rows
-    without a key take no part: see rejects.
+    each row that new touches.  Columns of once are only written in rows that are added.  Rows of
+    one key are the same if they also agree in the columns beside it, where both say something.  New
+    rows without a key take no part: see rejects.
     """
     new = new.where(F.col(key).isNotNull() & (F.col(key) != ""))
     old, inserted = F.col(f"c.{key}").isNotNull(), F.col(f"c.{key}").isNull()
     touched = F.col(f"n.{key}").isNotNull()
     columns = []
     for name in current.columns:
-        if name == key:
-            columns.append(F.coalesce(f"c.{key}", f"n.{key}").alias(key))
+        if name == key or name in beside:
+            columns.append(F.coalesce(f"c.{name}", f"n.{name}").alias(name))
         elif name == "added_at":
             columns.append(F.when(old, F.col("c.added_at")).otherwise(run_at).alias(name))
         elif name == "updated_at":
@@ -39,7 +40,10 @@ def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], ru
             columns.append(F.when(inserted, said).otherwise(kept if name in once else F.coalesce(said, kept)).alias(name))
         else:
             columns.append(F.col(f"c.{name}").alias(name))
-    return current.alias("c").join(new.alias("n"), F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer").select(*columns)
+    same = F.col(f"c.{key}") == F.col(f"n.{key}")
+    for name in beside:
+        same &= F.coalesce(filled(F.col(f"c.{name}")) == filled(F.col(f"n.{name}")), F.lit(True))
+    return current.alias("c").join(new.alias("n"), same, "full_outer").select(*columns)
 
 
 def rejects(new: DataFrame, key: str) -> DataFrame:

@@ -41,21 +41,22 @@ def now() -> Column:
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str, width: int = versions.WIDTH) -> StreamingQuery:
+def stream_upserts(source: DataFrame, path: str, checkpoint: str, schema: str, key: str, mask: Sequence[str], position: str, width: int = versions.WIDTH, once: Sequence[str] = (), beside: Sequence[str] = ()) -> StreamingQuery:
     """Upserts a stream of new rows into a table in versions; each batch commits one.
 
     Any number of streams may write one table: a batch that another one overtakes is applied to the
     new version, and one that is run again after a failure finds itself committed.  Only the key
-    ranges that a batch touches are rewritten.  Within a batch the last row of each key counts.
+    ranges that a batch touches are rewritten.  Within a batch the last row of each key counts; once
+    and beside are those of upsert.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.where(F.col(key).isNotNull() & (F.col(key) != ""))
-        new = keep_last(rows, position, key).persist()
+        new = keep_last(rows, position, key, *beside).persist()
         try:
             if not new.isEmpty():
-                versions.change(new, path, schema, key, lambda stored: upsert(stored, new, key, mask, now()), (identity(spark, checkpoint), number), width)
+                versions.change(new, path, schema, key, lambda stored: upsert(stored, new, key, mask, now(), once, beside), (identity(spark, checkpoint), number), width)
         finally:
             new.unpersist()
 

@@ -49,6 +49,17 @@ def test_letters_name_their_question(spark):
     assert sets(joins.letter_dates(index, letters, "ka_nr"), "ka_nr", "answer_letter") == [(1, "2022-01-01"), (8, "2022-08-08")]
 
 
+def test_two_streams_change_each_row_of_a_number(spark, tmp_path):
+    schema = "pk string, q_nr string, name string, added_at string, updated_at string, waits boolean"
+    stored = [("18/9", q, "old", "a", "a", waits) for q in ("18/1", "18/9") for waits in (False, True)]
+    versions.replace(spark.createDataFrame(stored, schema), str(tmp_path / "t"), "pk")
+    new = spark.createDataFrame([("18/9", "18/1", "answer", 1, False), ("18/9", "18/9", "waits", 1, True)], "pk string, q_nr string, name string, at int, waits boolean")
+    new.repartition(1).write.parquet(str(tmp_path / "new"))
+    source = spark.readStream.schema(new.schema).parquet(str(tmp_path / "new"))
+    streaming.stream_upserts(source, str(tmp_path / "t"), str(tmp_path / "c"), schema, "pk", ["name"], "at", once=["q_nr"], beside=["waits"]).awaitTermination()
+    assert sets(versions.read(spark, str(tmp_path / "t")), "q_nr", "name") == [("18/1", "answer"), ("18/1", "waits"), ("18/9", "answer"), ("18/9", "waits")]
+
+
 def test_a_stored_row_keeps_its_question(spark):
     current = spark.createDataFrame([("18/9", "18/1", "a", "a")], "pk string, q_nr string, added_at string, updated_at string")
     new = spark.createDataFrame([("18/9", "18/9"), ("18/3", "18/3")], "pk string, q_nr string")
