@@ -64,3 +64,9 @@ def test_a_stored_row_keeps_its_question(spark):
     current = spark.createDataFrame([("18/9", "18/1", "a", "a")], "pk string, q_nr string, added_at string, updated_at string")
     new = spark.createDataFrame([("18/9", "18/9"), ("18/3", "18/3")], "pk string, q_nr string")
     assert sets(keyed.upsert(current, new, "pk", [], F.lit("b"), once=["q_nr"]), "pk", "q_nr") == [("18/3", "18/3"), ("18/9", "18/1")]
+
+
+def test_migrating_keeps_the_question_beside_an_answer(spark):
+    hits = spark.createDataFrame([("18/1", "18/9", False)], f"{PAIR}, withdrawn boolean")
+    table = spark.createDataFrame([("18/1", "18/1"), ("18/9", "18/9")], PAIR)
+    assert sets(keyed.migrate(table, hits), "q_nr", "pk") == STORED
