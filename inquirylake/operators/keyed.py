@@ -46,6 +46,12 @@ def upsert(current: DataFrame, new: DataFrame, key: str, mask: Sequence[str], ru
     return current.alias("c").join(new.alias("n"), same, "full_outer").select(*columns)
 
 
+def by_question(current: DataFrame, new: DataFrame, mask: Sequence[str], run_at: Column) -> DataFrame:
+    """An upsert by pk in which placeholders and answers of one number are unlike rows."""
+    waits = F.col("pk") == F.col("q_nr")
+    return upsert(current.withColumn("_waits", waits), new.withColumn("_waits", waits), "pk", mask, run_at, beside=["_waits"]).drop("_waits")
+
+
 def rejects(new: DataFrame, key: str) -> DataFrame:
     """New rows that an upsert can't take, as they have no key; a run that has any should stop or log them."""
     return new.where(F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == "")
@@ -97,7 +103,7 @@ def targeted(table: DataFrame, hits: DataFrame, numbers: DataFrame, mask: Sequen
     """
     wanted = hits.join(numbers.select("wp", "ka_nr"), ["wp", "ka_nr"], "left_semi")
     moved = migrate(table, wanted)
-    return upsert(moved, wanted.withColumn("pk", F.coalesce(filled(F.col("pk")), "q_nr")), "pk", mask, run_at)
+    return by_question(moved, wanted.withColumn("pk", F.coalesce(filled(F.col("pk")), "q_nr")), mask, run_at)
 
 
 def stale(rows: DataFrame, keys: Sequence[str], pk: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..operators.keyed import upsert
+from ..operators.keyed import by_question
 from . import identity, now, versions
 
 # workers need not have this package: they get what is theirs by value
@@ -88,7 +88,7 @@ def stream_identities(hits: DataFrame, table: str, checkpoint: str, initial: Dat
             def moved(stored: DataFrame) -> DataFrame:
                 answered = new.where("pk <> q_nr").select("q_nr", F.col("pk").alias("_new"))
                 kept = stored.join(answered, "q_nr", "left").where("_new is null or pk = _new")
-                return upsert(kept.select(*stored.columns), new, "pk", ["q_nr", "status"], now())
+                return by_question(kept.select(*stored.columns), new, ["q_nr", "status"], now())
 
             versions.change(keys, table, SCHEMA, "pk", moved, (identity(spark, checkpoint), number), width)
         finally:

@@ -70,3 +70,15 @@ def test_migrating_keeps_the_question_beside_an_answer(spark):
     hits = spark.createDataFrame([("18/1", "18/9", False)], f"{PAIR}, withdrawn boolean")
     table = spark.createDataFrame([("18/1", "18/1"), ("18/9", "18/9")], PAIR)
     assert sets(keyed.migrate(table, hits), "q_nr", "pk") == STORED
+
+
+def test_a_streamed_answer_leaves_the_question_of_its_number(spark, tmp_path):
+    from inquirylake.streaming.questions import SCHEMA, stream_identities
+
+    stored = spark.createDataFrame([(pk, q, "pending", "a", "a") for q, pk in STORED], SCHEMA)
+    versions.replace(stored, str(tmp_path / "t"), "pk")
+    spark.createDataFrame([("18/1", "18/9", False, 1), ("18/9", None, True, 1)], "q_nr string, pk string, withdrawn boolean, at long").coalesce(1).write.parquet(str(tmp_path / "hits"))
+    source = spark.readStream.schema("q_nr string, pk string, withdrawn boolean, at long").parquet(str(tmp_path / "hits"))
+    stream_identities(source, str(tmp_path / "t"), str(tmp_path / "c"), stored).awaitTermination()
+    got = sets(versions.read(spark, str(tmp_path / "t")), "q_nr", "pk", "status")
+    assert got == [("18/1", "18/9", "pending"), ("18/9", "18/9", "anfrage_zurueckgezogen")]
