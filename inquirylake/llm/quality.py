@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Labelled rows that training takes at most, those whose id has the least hash; preference pairs;
-#: the score that the cut-off quantile is given.
-LABELLED, PAIRS, CUT_SCORE = 40_000, 60_000, 0.3
+#: The score that the cut-off quantile is given.
+CUT_SCORE = 0.3
 #: The share of rejected training rows below which the cut lies: clean rows are kept in doubt.
 MARGIN = 0.97
+#: Rows of a block, in which each row meets all of the other label, and rows of the rarer one there on average at
+#: least; bins in which the place of the cut is looked for.
+BLOCK, MET, BINS = 2048, 32, 1024
 
 _LETTERS = str.maketrans("", "", "abcdefghijklmnopqrstuvwxyz")
 _MARKS = "!?*#$%&|@=+_~^<>{}[]\\/"
@@ -110,57 +112,146 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def fit(x: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
+def _numbers(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, N_FEATURES).astype(np.float64)
+
+
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's rows: weights and numbers of both labels, mean and sum of squares about it."""
+    counts, mean, squares = np.zeros(4), np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+    for batch in batches:
+        if batch.num_rows:
+            x, n, bad = _numbers(batch["features"]), np.asarray(batch["n"], np.float64), np.asarray(batch["quality"]) == 0
+            one = n @ x / n.sum()
+            counts, mean, squares = _added((counts, mean, squares), (np.array([n[bad].sum(), n[~bad].sum(), bad.sum(), (~bad).sum()]), one, n @ (x - one) ** 2))
+    yield pa.RecordBatch.from_arrays([pa.array([list(values)]) for values in (counts, mean, squares)], ["counts", "mean", "squares"])
+
+
+def _added(one: tuple, other: tuple) -> tuple:
+    """Moments of two sets of rows together."""
+    n, m = one[0][:2].sum(), other[0][:2].sum()
+    if not n or not m:
+        return other if m else one
+    apart = other[1] - one[1]
+    return one[0] + other[0], one[1] + apart * m / (n + m), one[2] + other[2] + apart**2 * n * m / (n + m)
+
+
+def _block(group: pa.Table) -> pa.Table:
+    """A block's rows as one row: features and weights of each label, in an order of their own."""
+    x, n, label = _numbers(group["features"].combine_chunks()), np.asarray(group["n"], np.float64), np.asarray(group["quality"])
+    order = np.lexsort(x.T)
+    x, n, label = x[order].astype(np.float32), n[order], label[order]
+    out = [part.tobytes() for y in (1, 0) for part in (x[label == y], n[label == y])]
+    return pa.Table.from_arrays([pa.array([part], pa.binary()) for part in out], ["good", "good_n", "bad", "bad_n"])
+
+
+def _slopes(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Sums over all pairs of a task's blocks: weight, gradient and curvature of the logistic loss."""
+    total, gradient, curve = 0.0, np.zeros(N_FEATURES), np.zeros((N_FEATURES, N_FEATURES))
+    for batch in batches:
+        for row in batch.to_pylist():
+            a, b = ((np.frombuffer(row[k], np.float32).reshape(-1, N_FEATURES) - model.mean) / model.spread for k in ("good", "bad"))
+            n, m = np.frombuffer(row["good_n"]), np.frombuffer(row["bad_n"])
+            p = 1 / (1 + np.exp(np.clip((a @ model.weights)[:, None] - b @ model.weights, -30, 30)))
+            first = p * n[:, None] * m
+            second = first * (1 - p)
+            across = a.T @ second @ b
+            total += n.sum() * m.sum()
+            gradient -= first.sum(1) @ a - first.sum(0) @ b
+            curve += a.T @ (second.sum(1)[:, None] * a) + b.T @ (second.sum(0)[:, None] * b) - across - across.T
+    yield pa.RecordBatch.from_arrays([pa.array([total]), pa.array([list(gradient)]), pa.array([list(curve.ravel())])], ["total", "gradient", "curve"])
+
+
+def _raws(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(model.raw(_numbers(batch["features"]))), batch["n"]], ["raw", "n"])
+
+
+def _blocks(rows: DataFrame, counts: np.ndarray) -> DataFrame:
+    """Rows dealt over blocks by their hash; where rows of the rarer label are few, each goes to several blocks."""
+    number = int(-(-counts[2:].sum() // BLOCK))
+    rarer, few = int(np.argmin(counts[2:])), counts[2:].min()
+    copies = int(min(number, max(1, -(-MET * number // few))))
+    each = F.sequence(F.lit(0), F.when(F.col("quality") == rarer, copies - 1).otherwise(0))
+    dealt = rows.withColumn("_copy", F.explode(each)).withColumn("block", F.pmod(F.xxhash64("features") + F.col("_copy") * (number // copies), F.lit(number)))
+    return common.checkpoint(common.arrow_groups(dealt.select("block", "quality", "n", "features"), ["block"], _block, "good binary, good_n binary, bad binary, bad_n binary"))
+
+
+def _quantile(raws: DataFrame, share: float) -> float:
+    """The exact quantile of column raw with weights n, between its two neighbours in proportion.
+
+    Each pass counts the bins of a range, then goes on in the bin that holds the place.
+    """
+    ends = raws.agg(F.min("raw"), F.max("raw"), F.sum("n")).first()
+    low, high, place, below = ends[0], ends[1], (ends[2] - 1) * share, 0
+    k = int(place)
+    after = min(k + 1, ends[2] - 1)
+    while low < high:
+        bins = F.least(F.lit(BINS - 1), F.floor((F.col("raw") - low) / ((high - low) / BINS))).alias("bin")
+        counted = raws.where(F.col("raw").between(low, high)).groupBy(bins).agg(F.sum("n").alias("n"), F.min("raw").alias("low"), F.max("raw").alias("high")).orderBy("bin").collect()  # BINS rows at most
+        reached = below + np.cumsum([r["n"] for r in counted])
+        i, j = (int(np.searchsorted(reached, at, "right")) for at in (k, after))
+        if i != j:
+            return counted[i]["high"] + (counted[j]["low"] - counted[i]["high"]) * (place - k)
+        low, high, below = counted[i]["low"], counted[i]["high"], int(reached[i]) - counted[i]["n"]
+    return low
+
+
+def fit(rows: DataFrame) -> Model:
     """Bradley-Terry: P(a preferred to b) = sigmoid(w . (a - b)), over pairs with unlike labels.
 
-    Minimises the mean logistic loss of the feature differences with a small ridge, by Newton's
-    method.  The cut is the quantile of the training scores at MARGIN times the share of label 0.
-    With one label only there are no pairs: weights are 0, and all scores lie at the cut.
+    rows has quality, features and n, how often they stand.  Each row meets all rows of the other label
+    in its block, so all teach, and pairs grow with the rows.  Minimises the mean logistic loss of the
+    feature differences with a small ridge, by Newton's method; a step's sums come from one pass
+    over the blocks, and only they go to the driver.  The cut is the quantile of all rows' scores at
+    MARGIN times the share of label 0.  With one label only there are no pairs: weights are 0, and
+    all scores lie at the cut.
     """
-    x = np.asarray(x, np.float64)
-    mean = x.mean(0) if len(x) else np.zeros(N_FEATURES)
-    spread = x.std(0) + 1e-6 if len(x) else np.ones(N_FEATURES)
-    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    weights = np.zeros(N_FEATURES)
-    if not len(good) or not len(bad):
-        return Model(mean, spread, weights, 0.0)
-    dice = np.random.default_rng(seed)
-    z = (x - mean) / spread
-    diff = z[dice.choice(good, PAIRS)] - z[dice.choice(bad, PAIRS)]
-    ridge = 1e-3
+    moments = (np.zeros(4), np.zeros(N_FEATURES), np.zeros(N_FEATURES))
+    for r in common.arrow_map(rows, _moments, "counts array<double>, mean array<double>, squares array<double>").collect():  # one row a task
+        moments = _added(moments, tuple(np.array(r[c]) for c in ("counts", "mean", "squares")))
+    counts, mean, squares = moments
+    model = Model(mean, np.ones(N_FEATURES), np.zeros(N_FEATURES), 0.0)
+    if not counts[:2].sum():
+        return model
+    model.spread = np.sqrt(squares / counts[:2].sum()) + 1e-6
+    if not counts[:2].all():
+        return model
+    blocks, ridge = _blocks(rows, counts), 1e-3
     for _ in range(25):
-        p = 1 / (1 + np.exp(np.clip(diff @ weights, -30, 30)))
-        gradient = -(diff * p[:, None]).mean(0) + ridge * weights
-        curve = (diff * (p * (1 - p))[:, None]).T @ diff / PAIRS + ridge * np.eye(N_FEATURES)
+        sums = common.arrow_map(blocks, _slopes, "total double, gradient array<double>, curve array<double>", model).collect()  # one row a task
+        total = sum(r["total"] for r in sums)
+        gradient = sum(np.array(r["gradient"]) for r in sums) / total + ridge * model.weights
+        curve = sum(np.array(r["curve"]) for r in sums).reshape(N_FEATURES, -1) / total + ridge * np.eye(N_FEATURES)
         step = np.linalg.solve(curve, gradient)
-        weights = weights - step
+        model.weights = model.weights - step
         if np.abs(step).max() < 1e-6:
             break
-    cut = float(np.quantile(z @ weights, MARGIN * len(bad) / (len(good) + len(bad))))
-    return Model(mean, spread, weights, cut)
+    raws = common.checkpoint(common.arrow_map(rows, _raws, "raw double, n long", model))
+    model.cut = _quantile(raws, MARGIN * counts[0] / counts[:2].sum())
+    return model
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
-    """Fits on at most ``labelled`` labelled rows that aren't held out; ties of the hash by doc_id.
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id and features of each row."""
+    return common.arrow_map(common.with_text(docs), _features, "doc_id long, features array<float>")
 
-    Ids are chosen before texts are read, so features are computed for the chosen rows alone.  Their
-    number is bounded by ``labelled``, so they may be broadcast.
-    """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").where(~held_out(F.col("doc_id")))
-    order = [F.xxhash64("doc_id"), "doc_id", "quality"]
-    texts = common.with_text(docs)
-    taught = common.checkpoint(known.join(texts.select("doc_id"), "doc_id").orderBy(*order).limit(labelled))
-    extracted = common.arrow_map(texts.join(F.broadcast(taught.select("doc_id").distinct()), "doc_id"), _features, "doc_id long, features array<float>")
-    rows = extracted.join(F.broadcast(taught.distinct()), "doc_id").orderBy(*order, "features").limit(labelled).select("quality", "features").toArrow()
-    if not rows.num_rows:
-        return fit(np.zeros((0, N_FEATURES)), np.zeros(0))
-    x = rows["features"].combine_chunks().flatten().to_numpy().reshape(-1, N_FEATURES)
-    return fit(x, rows["quality"].to_numpy())
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fits on all labelled rows that aren't held out."""
+    return _taught(described(docs), labels)
+
+
+def _taught(extracted: DataFrame, labels: DataFrame) -> Model:
+    """Texts aren't moved: features of all rows meet the labels, and equal ones count together."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").where(~held_out(F.col("doc_id"))).distinct()
+    rows = extracted.join(known, "doc_id").groupBy("quality", "features").agg(F.count("*").alias("n"))
+    return fit(common.checkpoint(rows))
 
 
 def _scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.score(_matrix(batch["text"])))], ["doc_id", "score"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(model.score(_numbers(batch["features"])))], ["doc_id", "score"])
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -169,9 +260,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null or empty text: scored from zero features.  Null doc_id: held out.  Labels other than 0 and
     1, and labels of unknown documents, teach nothing; several labels of one document all do, but
     equal ones once.  Repeated rows get equal scores.  No labels: every score is 0.3.  Empty table:
-    no rows.  Other columns of either table are ignored.
+    no rows.  Other columns of either table are ignored.  Features are computed once and kept.
     """
-    scored = common.arrow_map(common.with_text(docs), _scores, "doc_id long, score double", train(docs, labels))
+    extracted = common.checkpoint(described(docs))
+    scored = common.arrow_map(extracted, _scores, "doc_id long, score double", _taught(extracted, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT_SCORE).cast("int").alias("predicted"))
 
 

@@ -156,6 +156,33 @@ def test_quality_scores_by_brute_force(spark, small):
         assert r["score"] == pytest.approx(score, abs=1e-9) and r["predicted"] == int(r["score"] >= 0.3)
 
 
+def test_quality_learns_from_all_labelled_rows(spark):
+    """More rows than the 40,000 that training once took at most, most of them of one label, in many blocks."""
+    from pyspark.sql import functions as F
+
+    texts = [f"word{i} " * (i % 5 + 1) + "!A." * (i % 7) for i in range(500)]
+    told = F.array(*map(F.lit, texts))
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.get(told, (F.col("id") * 7919 % 500).cast("int")).alias("text"))
+    good = lambda i: int(i % 50 != 0)
+    labels = docs.select("doc_id", (F.col("doc_id") % 50 != 0).cast("int").alias("quality"))
+    model = quality.train(docs, labels)
+    ids = [i for i in range(60_000) if zlib.crc32(str(i).encode()) % 5]
+    seen = np.float32([quality.features(t) for t in texts]).astype(float)
+    x, bad = seen[[i * 7919 % 500 for i in ids]], np.mean([not good(i) for i in ids])
+    assert len(ids) > 40_000 and np.allclose(model.mean, x.mean(0)) and np.allclose(model.spread, x.std(0) + 1e-6)
+    assert model.cut == pytest.approx(np.quantile(model.raw(x), 0.97 * bad), abs=1e-9)
+
+
+def test_quality_pairs_all_rows_in_blocks(spark, small, monkeypatch):
+    """Small blocks, so that rows of the rarer label go to several; the optimum is about that of all pairs."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    whole = quality.train(small, labels)
+    monkeypatch.setattr(quality, "BLOCK", 40)
+    blocks = quality.train(small, labels)
+    texts = np.array([quality.features(t or "") for _, t in texts_of(small)])
+    assert np.corrcoef(whole.raw(texts), blocks.raw(texts))[0, 1] > 0.99 and np.allclose(whole.mean, blocks.mean)
+
+
 # -- op 3
 
 
