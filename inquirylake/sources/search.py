@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyarrow import fs
@@ -19,10 +20,14 @@ NEXT = re.compile(r'<a[^>]*class="[^"]*--next[^"]*"[^>]*>')
 NUMBER = re.compile(r'href="[^"]*[?&](?:amp;)?page=(\d+)')
 
 
+#: Pages that one task reads.
+TOGETHER = 8
+
+
 @dataclass
-class Page(InputPartition):
+class Pages(InputPartition):
     term: str
-    number: int
+    numbers: list[int]
 
 
 class SavedSearch(DataSource):
@@ -43,12 +48,16 @@ class Chain(DataSourceStreamReader):
     """The offset is each term's last page that was read.
 
     A page that isn't saved yet ends a term's chain for now, as does a page without a link to a next
-    one; a later run goes on behind it.  The driver only looks at the links of new pages, executors
-    read the pages.
+    one; a later run goes on behind it.  The driver only looks at the links of new pages, each once, and
+    follows several terms at a time; executors read the pages, some in each task.
     """
 
     def __init__(self, path: str, first: int):
         self.path, self.first, self.seen = path, first, None
+        self.links: dict[tuple[str, int], int | None] = {}  # of the pages that are saved
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"links": {}}  # readers of pages need none
 
     def _store(self) -> tuple[fs.FileSystem, str]:
         return fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), self.path)
@@ -65,11 +74,28 @@ class Chain(DataSourceStreamReader):
                 texts.append(stream.read().decode())
         return "\n".join(texts)
 
+    def _saved(self, term: str, number: int) -> bool:
+        """Whether a page is there; the page that it links to, if that link isn't disabled, is then in links."""
+        if (term, number) not in self.links:
+            html = self._html(term, number)
+            if html is None:
+                return False
+            tag = NEXT.search(html)
+            found = tag and "disabled" not in tag[0] and NUMBER.search(tag[0])
+            self.links[term, number] = int(found[1]) if found else None
+        return True
+
     def _next(self, term: str, number: int) -> int | None:
-        """The page that a saved page links to, if that link isn't disabled."""
-        tag = NEXT.search(self._html(term, number) or "")
-        found = tag and "disabled" not in tag[0] and NUMBER.search(tag[0])
-        return int(found[1]) if found else None
+        return self.links[term, number] if self._saved(term, number) else None
+
+    def _last(self, term: str, last: int | None) -> int | None:
+        """The last page of a term's chain for now."""
+        if last is not None and self.links.get((term, last), 0) is None:
+            del self.links[term, last]  # it may have got a link since
+        number = self.first if last is None else self._next(term, last)
+        while number is not None and number > (self.first - 1 if last is None else last) and self._saved(term, number):
+            last, number = number, self.links[term, number]
+        return last
 
     def _terms(self) -> list[str]:
         store, root = self._store()
@@ -81,29 +107,31 @@ class Chain(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         last = dict(self.seen or {})
-        for term in self._terms():
-            number = self._next(term, last[term]) if term in last else self.first
-            while number is not None and self._html(term, number) is not None and number > last.get(term, self.first - 1):
-                last[term] = number
-                number = self._next(term, number)
+        terms = self._terms()
+        with ThreadPoolExecutor(8) as pool:
+            ends = list(pool.map(lambda term: self._last(term, last.get(term)), terms))
+        last |= {term: end for term, end in zip(terms, ends, strict=True) if end is not None}
         self.seen = last
         return last
 
-    def partitions(self, start: dict, end: dict) -> list[Page]:
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
         self.seen = dict(end)
         out = []
         for term, last in end.items():
             number = self._next(term, start[term]) if term in start else self.first
+            numbers = []
             while number is not None and number <= last:
-                out.append(Page(term, number))
+                numbers.append(number)
                 number = self._next(term, number)
+            out += [Pages(term, numbers[i : i + TOGETHER]) for i in range(0, len(numbers), TOGETHER)]
         return out
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        yield partition.term, partition.number, self._html(partition.term, partition.number)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        for number in partition.numbers:
+            yield partition.term, number, self._html(partition.term, number)
 
     def commit(self, end: dict) -> None:
-        pass
+        self.links = {page: link for page, link in self.links.items() if page[1] >= end.get(page[0], self.first)}
 
 
 def saved_pages(spark: SparkSession, path: str, first: int = 1):

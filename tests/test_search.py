@@ -31,3 +31,17 @@ def test_pages_are_followed_and_resumed(spark, tmp_path):
     save(root, "15", 1, None)
     assert run() == sorted([*first, ("17", 2, "17"), ("17", 3, "17"), ("15", 1, "15")])
     assert run() == sorted([*first, ("17", 2, "17"), ("17", 3, "17"), ("15", 1, "15")])
+
+
+def test_the_driver_reads_each_page_once(spark, tmp_path, monkeypatch):
+    from inquirylake.sources.search import Chain
+
+    for number in range(1, 20):
+        save(tmp_path, "18", number, number + 1)
+    read, chain = [], Chain(str(tmp_path), 1)
+    html = Chain._html
+    monkeypatch.setattr(Chain, "_html", lambda self, term, number: read.append(number) or html(self, term, number))
+    end = chain.latestOffset()
+    parts = chain.partitions(chain.initialOffset(), end)
+    assert end == {"18": 19} and [n for p in parts for n in p.numbers] == list(range(1, 20)) and len(parts) == 3
+    assert read == list(range(1, 21))  # the last one isn't saved yet
