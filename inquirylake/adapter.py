@@ -10,13 +10,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+#: Rows of a task, where much is computed for each row.
+COSTLY = 100_000
+
+
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A table that is scanned by fewer tasks than there are cores, dealt over all of them.
 
-    For plans that compute much for each row without any shuffle.  A large table has tasks enough, so
-    nothing is moved there.
+    For plans that compute much for each row.  With the number of rows, a table is dealt over tasks of
+    COSTLY rows, so their number grows with it and the time and memory of one don't.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        return df.repartition(max(cores, -(-rows // COSTLY)))
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
@@ -26,12 +32,11 @@ def inquiries(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFra
     costly tells that much is computed for each row.
     """
     o, c, n = (read(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    o = spread(o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")) if costly else o
     key = F.col("o_orderkey")
     wp = (key % 2 + 17).cast("int")
     asked = F.add_months(F.col("o_orderdate").cast("date"), 252)
     nations = F.broadcast(n.select("n_nationkey", "n_name"))  # a table of countries
-    return (
+    out = (
         o.join(c.select("c_custkey", "c_mktsegment", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
@@ -46,6 +51,7 @@ def inquiries(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFra
             F.col("n_name").alias("ministry"),
         )
     )
+    return spread(out, o.count()) if costly else out  # the files' own counts: no scan
 
 
 def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
