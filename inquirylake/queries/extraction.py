@@ -109,7 +109,8 @@ def x16(spark, sf_dir):
 def x6(spark, sf_dir):
     """The lead's code first, mapped if it is an alias, then each form's; unknown forms stay out."""
     rows = _rows(spark, sf_dir).withColumn("lead", F.when(F.col("ka_nr") % 4 == 0, "MI").otherwise("LEAD"))
-    forms = x.minister_forms(rows.select("ka_nr", _page().alias("page")), "page").select("ka_nr", F.posexplode("forms").alias("at", "form"))
+    forms = x.minister_forms(rows.select("ka_nr", _page().alias("page")), "page").select("ka_nr", F.posexplode_outer("forms").alias("at", "form"))  # the other kind finds forms once more to filter by them
+    forms = streaming.stored(forms.where("form is not null"))
     names = spark.createDataFrame([("FM", "Ministerium der Finanzen", 1), ("IM", "Ministerium des Innern", 2)], "code string, name string, position int")
     resolved = j.subset_match(forms, "form", names).where("code is not null")
     listed = resolved.groupBy("ka_nr").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "code"))), lambda r: r["code"]).alias("c"))

@@ -26,6 +26,13 @@ def scratch(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written to a new folder and read back, so that a costly plan that several steps read runs once."""
+    folder = scratch(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def latest(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, int]:
     """The last version of a table and its number; an empty table before the first."""
     return versions.read(spark, path, schema), versions.head(spark, path)[0]
