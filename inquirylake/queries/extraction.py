@@ -66,8 +66,9 @@ def src10(spark, sf_dir):
     versions.replace(table, f"{folder}/table", archive.KEY, 200_000)
     page = F.when(n % 3 == 0, F.concat(F.lit("LANDTAG NORDRHEIN-WESTFALEN\nKleine Anfrage "), n, F.lit("\ndes Abgeordneten Max Muster"))).otherwise(_page())
     texts = rows.select(F.concat(F.lit("archive/MMD"), F.replace("a_nr", F.lit("/"), F.lit("-")), F.lit(".md")).alias("path"), page.alias("text"))
-    texts.repartition(2).write.parquet(f"{folder}/documents")
-    stream = spark.readStream.schema("path string, text string").option("maxFilesPerTrigger", 1).parquet(f"{folder}/documents")
+    half = -(-texts.rdd.getNumPartitions() // 2)  # two batches, of as many files as there are tasks
+    texts.repartition(2 * half).write.parquet(f"{folder}/documents")
+    stream = spark.readStream.schema("path string, text string").option("maxFilesPerTrigger", half).parquet(f"{folder}/documents")
     archive.scan(stream, f"{folder}/table", f"{folder}/mark", f"{folder}/audit", width=200_000).awaitTermination()
     return versions.read(spark, f"{folder}/table").select("drucksache_antwort_nr", "anfragetitel", "ministerium", "antworttext_quelle", "antworttext_status", "extract_flags")
 
