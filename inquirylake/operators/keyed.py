@@ -82,11 +82,17 @@ def identity(hits: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def migrate(table: DataFrame, hits: DataFrame) -> DataFrame:
-    """Re-keys placeholders whose answer has arrived, and drops those stored under both keys."""
-    moves = identity(hits, table).where("disposition in ('migrate', 'drop_placeholder')").select(F.col("q_nr").alias("_q"), F.col("pk").alias("_new"), "disposition")
+    """Re-keys placeholders whose answer has arrived, and drops those stored under both keys.
+
+    A question may stand in several hits: it moves once, to the greatest of its answers, and goes if
+    any of them is stored.  So rows never become more.  Hits without an answer (null or empty) move nothing.
+    """
+    answered = hits.where(filled(F.col("pk")).isNotNull())  # before the joins: those without would all meet in one task
+    found = identity(answered, table).where("disposition in ('migrate', 'drop_placeholder')")
+    moves = found.groupBy(F.col("q_nr").alias("_q")).agg(F.max("pk").alias("_new"), F.bool_or(F.col("disposition") == "drop_placeholder").alias("_drop"))
     joined = table.join(moves, (F.col("pk") == F.col("_q")) & (F.col("q_nr") == F.col("_q")), "left")
-    kept = joined.where(F.coalesce(F.col("disposition") != "drop_placeholder", F.lit(True)))
-    return kept.withColumn("pk", F.coalesce("_new", "pk")).drop("_q", "_new", "disposition")
+    kept = joined.where(~F.coalesce("_drop", F.lit(False)))
+    return kept.withColumn("pk", F.coalesce("_new", "pk")).drop("_q", "_new", "_drop")
 
 
 def purge_placeholders(table: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """One number that is an answer's and another question's own: no row is lost, doubled or mixed up."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from inquirylake import queries, streaming
@@ -72,6 +73,32 @@ def test_migrating_keeps_the_question_beside_an_answer(spark):
     assert sets(keyed.migrate(table, hits), "q_nr", "pk") == STORED
 
 
+def test_migrating_moves_a_question_of_several_hits_once(spark):
+    hits = spark.createDataFrame([("18/1", "18/9", False), ("18/1", "18/9", False), ("18/2", "18/7", False), ("18/2", "18/8", False)], f"{PAIR}, withdrawn boolean")
+    table = spark.createDataFrame([("18/1", "18/1"), ("18/2", "18/2"), ("18/9", "18/9")], PAIR)
+    assert sets(keyed.migrate(table, hits), "q_nr", "pk") == [("18/1", "18/9"), ("18/2", "18/8"), ("18/9", "18/9")]
+    stored = table.unionByName(spark.createDataFrame([("18/2", "18/7")], PAIR))
+    assert sets(keyed.migrate(stored, hits), "q_nr", "pk") == [("18/1", "18/9"), ("18/2", "18/7"), ("18/9", "18/9")]
+
+
+def test_an_empty_answer_moves_no_question(spark):
+    hits = spark.createDataFrame([("18/1", "", False), ("18/2", None, False)], f"{PAIR}, withdrawn boolean")
+    table = spark.createDataFrame([("18/1", "18/1"), ("18/2", "18/2")], PAIR)
+    assert sets(keyed.migrate(table, hits), "q_nr", "pk") == [("18/1", "18/1"), ("18/2", "18/2")]
+
+
+def test_migrating_equals_its_sql_where_numbers_meet_and_orders_repeat(spark, tmp_path):
+    con = duckdb.connect()
+    for name in ("customer", "nation", "orders"):
+        con.execute(f"CREATE TABLE {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
+    # order n + 100000 has the number of order n's answer, and each order stands twice
+    con.execute("CREATE OR REPLACE TABLE orders AS SELECT orders.* REPLACE (o_orderkey + i % 2 * 100000 AS o_orderkey) FROM orders, range(4) t(i)")
+    for name in ("customer", "nation", "orders"):
+        con.execute(f"COPY {name} TO '{tmp_path}/{name}.parquet'")
+    expected = con.execute(f"SELECT q_nr, pk FROM ({queries.SQL['u2_migrate']})").fetchall()
+    assert sets(queries.QUERIES["u2_migrate"](spark, str(tmp_path)), "q_nr", "pk") == sorted(expected)
+
+
 def test_a_streamed_answer_leaves_the_question_of_its_number(spark, tmp_path):
     from inquirylake.streaming.questions import SCHEMA, stream_identities
 
