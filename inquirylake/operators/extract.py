@@ -112,15 +112,15 @@ def find_names(block: Column, lexicon: Column) -> Column:
 
     def look(state: Column, name: Column) -> Column:
         text, form = state["text"], name["form"]
-        at = F.position(form, text)
         size = F.length(form)
-        beside = F.substring(text, at - 1, F.lit(1)).rlike(r"^\p{L}$") & (at > 1) | F.substring(text, at + size, F.lit(1)).rlike(r"^\p{L}$")
-        found = (at > 0) & (size > 0) & ~beside
-        masked = F.concat(F.substring(text, F.lit(1), at - 1), F.repeat(F.lit(MASK), size), F.substring(text, at + size, F.length(text)))
-        return F.struct(
-            F.when(found, masked).otherwise(text).alias("text"),
-            F.when(found, F.concat(state["hits"], F.array(F.struct(at.cast("int").alias("at"), name["nach"].alias("nach"), name["vor"].alias("vor"))))).otherwise(state["hits"]).alias("hits"),
-        )
+
+        def placed(at: Column) -> Column:
+            beside = F.substring(text, at - 1, F.lit(1)).rlike(r"^\p{L}$") & (at > 1) | F.substring(text, at + size, F.lit(1)).rlike(r"^\p{L}$")
+            masked = F.concat(F.substring(text, F.lit(1), at - 1), F.repeat(F.lit(MASK), size), F.substring(text, at + size, F.length(text)))
+            hit = F.struct(at.cast("int").alias("at"), name["nach"].alias("nach"), name["vor"].alias("vor"))
+            return F.when((at > 0) & (size > 0) & ~beside, F.struct(masked.alias("text"), F.concat(state["hits"], F.array(hit)).alias("hits"))).otherwise(state)
+
+        return F.transform(F.array(F.position(form, text)), placed)[0]  # so that the place is looked for once
 
     return F.aggregate(lexicon, start, look, lambda s: F.struct(F.array_sort(s["hits"]).alias("hits"), s["text"].alias("text")))
 
@@ -144,13 +144,14 @@ def names_found(rows: DataFrame, lexicon: DataFrame, block: Column, keys: list[s
     A form can only count if its last run of letters is a whole one of the block, so an equi join
     on it finds the forms that may stand in each distinct block; those that do are searched for,
     longest first.  What a longer form covers is masked, which brings no other form into the block.
+    Runs are many times the rows, and a file's size tells little of them, so they are never broadcast.
     """
     with_block = rows.withColumn("_block", block)
     blocks = with_block.select(*keys, "_block").distinct()
-    runs = blocks.select(*keys, "_block", F.explode(F.array_distinct(F.regexp_extract_all("_block", F.lit(r"(\p{L}+)"), F.lit(1)))).alias("_run"))
+    runs = blocks.select(*keys, "_block", F.explode_outer(F.array_distinct(F.regexp_extract_all("_block", F.lit(r"(\p{L}+)"), F.lit(1)))).alias("_run"))  # the other kind finds runs once more to filter by them
     forms = lexicon.select(*keys, "form", "nach", "vor", F.element_at(F.regexp_extract_all("form", F.lit(r"(\p{L}+)"), F.lit(1)), -1).alias("_run"))
     order = F.sort_array(F.collect_list(F.struct((-F.length("form")).alias("size"), "form", "nach", "vor")))
-    listed = runs.join(forms, [*keys, "_run"]).where(F.contains("_block", F.col("form"))).groupBy(*keys, "_block").agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_forms"))
+    listed = runs.join(forms.hint("merge"), [*keys, "_run"]).where(F.contains("_block", F.col("form"))).groupBy(*keys, "_block").agg(F.transform(order, lambda x: F.struct(x["form"].alias("form"), x["nach"].alias("nach"), x["vor"].alias("vor"))).alias("_forms"))
     found = listed.select(*keys, "_block", find_names(F.col("_block"), F.col("_forms")).alias("_found"))
     joined = with_block.join(found, [*keys, "_block"], "left")
     hits = F.coalesce("_found.hits", F.array().cast("array<struct<at:int,nach:string,vor:string>>"))

@@ -172,11 +172,11 @@ SQL_NAME = "'Nach' || translate(CAST(CAST(regexp_extract(member, '(\\d+)$', 1) A
 @query("x13_members_from_text", f"""WITH {INQUIRIES}, {MEMBERS} SELECT ka_nr, string_agg({SQL_NAME} || ', Eva', '; ' ORDER BY member) AS anfrager_alle, CAST(count(*) AS INTEGER) AS anzahl_abgeordnete, 'Frank' AS rest FROM inq JOIN members USING (ka_nr) GROUP BY ka_nr""")
 def x13(spark, sf_dir):
     """Names are rendered into a block of askers, some spaces lost, and found again by the lexicon."""
-    rows = streaming.stored(_names(spark, sf_dir))
-    block = F.concat(F.lit("auf die Kleine Anfrage der AbgeordnetenFrank und "), F.array_join(F.transform("people", lambda n: F.concat(F.lit("Eva"), n)), ", "), F.lit(" CDU\nDrucksache 18/1"))
+    shown = F.concat(F.lit("auf die Kleine Anfrage der AbgeordnetenFrank und "), F.array_join(F.transform("people", lambda n: F.concat(F.lit("Eva"), n)), ", "), F.lit(" CDU\nDrucksache 18/1"))
+    text = F.regexp_replace(shown, r"Eva(?=N)", "Eva ")
+    rows = streaming.stored(_names(spark, sf_dir).withColumn("block", x.first_block(text)))
     forms = rows.select("wp", "fraktion", F.explode("people").alias("nach")).distinct().select("wp", "fraktion", F.concat(F.lit("Eva "), "nach").alias("form"), "nach", F.lit("Eva").alias("vor"))
-    text = F.regexp_replace(block, r"Eva(?=N)", "Eva ")
-    found = x.names_found(rows.withColumn("text", text), forms, x.first_block(F.col("text")), ["wp", "fraktion"])
+    found = x.names_found(rows, forms, F.col("block"), ["wp", "fraktion"])
     return found.select("ka_nr", "anfrager_alle", "anzahl_abgeordnete", "rest")
 
 
