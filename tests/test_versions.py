@@ -134,3 +134,24 @@ def test_questions_keep_their_identity_over_restarts(spark, tmp_path):
     assert first == {("18/1", "18/11", "pending"), ("18/2", "18/12", "pending"), ("18/3", "18/3", "pending"), ("18/4", "18/4", "anfrage_zurueckgezogen")}
     second = run(("18/1", "18/10", False, 4), ("18/2", "18/22", False, 2), ("18/4", "18/14", False, 9), ("18/5", "18/15", False, 1))
     assert second == {("18/1", "18/11", "pending"), ("18/2", "18/22", "pending"), ("18/3", "18/3", "pending"), ("18/4", "18/14", "anfrage_zurueckgezogen"), ("18/5", "18/15", "pending")}
+
+
+def test_questions_are_kept_without_python_and_only_changes_are_written(spark, tmp_path):
+    from inquirylake.streaming.questions import SCHEMA as IDENTITIES
+    from inquirylake.streaming.questions import stream_identities
+
+    path, schema = str(tmp_path / "t"), "q_nr string, pk string, withdrawn boolean, at long"
+    stored = spark.createDataFrame([(pk, q, "pending", "a", "a") for pk, q in (("18/11", "18/1"), ("18/2", "18/2"), ("18/12", "18/2"), ("18/3", "18/3"))], IDENTITIES)
+    versions.replace(stored, path, "pk")
+
+    def run(*hits):
+        spark.createDataFrame(hits, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "hits"))
+        query = stream_identities(spark.readStream.schema(schema).parquet(str(tmp_path / "hits")), path, str(tmp_path / "c"), stored)
+        query.awaitTermination()
+        assert [o["operatorName"] for p in query.recentProgress for o in p["stateOperators"]] == ["stateStoreSave"] * len(query.recentProgress)
+        return versions.head(spark, path)[0], sorted((r["q_nr"], r["pk"], r["updated_at"] == "a") for r in versions.read(spark, path).collect())
+
+    same = [("18/1", "18/11", True), ("18/2", "18/12", True), ("18/2", "18/2", True), ("18/3", "18/3", True)]
+    assert run(("18/1", "18/11", False, 1), ("18/3", "", False, 1)) == (0, same)  # nothing that the table doesn't hold
+    assert run(("18/2", None, False, 1)) == (1, [same[0], ("18/2", "18/12", False), same[3]])
+    assert run(("18/3", "18/13", False, 1), ("18/1", "18/10", False, 0)) == (2, [same[0], ("18/2", "18/12", False), ("18/3", "18/13", False)])
